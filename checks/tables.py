@@ -53,6 +53,9 @@ VIEWS = {
         SELECT CAST(o_custkey % 5 AS INT) AS ClientId, o_orderdate AS TrainEnd, o_orderkey AS run_id,
                o_totalprice / 10000.0 AS WMAPE_percent, o_totalprice / 100.0 AS RMSE, o_orderstatus = 'F' AS was_in_use
         FROM orders""",
+    # the readings of all sites as those of one: dense enough for the features that need 24 full bins in a row
+    "site_energy": "SELECT 0 AS ClientId, * EXCLUDE (ClientId) FROM energy",
+    "site_measurements": "SELECT 0 AS ClientId, * EXCLUDE (ClientId) FROM measurements",
     "model_files": """
         SELECT concat('model_', CAST(p_partkey % 5 AS VARCHAR), '_v', CAST(p_size AS VARCHAR), '.keras') AS file_name
         FROM part""",
@@ -105,6 +108,14 @@ class Tables:
             "event_id",
         )
 
+    @cached_property
+    def site_energy(self) -> DataFrame:
+        return self.energy.withColumn("ClientId", F.lit(0))
+
+    @cached_property
+    def site_measurements(self) -> DataFrame:
+        return self.measurements.withColumn("ClientId", F.lit(0))
+
     @cached_property
     def weather_forecast(self) -> DataFrame:
         hour = F.date_trunc("HOUR", "ts").cast("timestamp_ntz")

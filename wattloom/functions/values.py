@@ -33,6 +33,11 @@ def watt_to_kwh(value: Column) -> Column:
     return value * HOURS_PER_STEP / WATT_PER_KILOWATT
 
 
+def to_whole(value: Column) -> Column:
+    """Rounded to a whole number, as a database does when a fraction meets an integer column."""
+    return F.round(value).cast("long")
+
+
 def night_to_zero(forecast: Column, time: Column, sunrise: Column, sunset: Column) -> Column:
     """No solar power below zero or outside daylight; both daylight bounds count as day."""
     clock = F.date_format(time, "HH:mm:ss")

@@ -23,10 +23,13 @@ def densify(binned: DataFrame, keys: list[str], bin_col: str = "bin", width: int
     a generated grid is needed. Input: one row per key and bin.
     """
     successor = F.lead(bin_col).over(Window.partitionBy(*keys).orderBy(bin_col))
-    steps = cal.grid(F.col(bin_col), F.coalesce(successor - cal.minutes(width), F.col(bin_col)), width)
+    end = F.coalesce(F.col("_next") - cal.minutes(width), F.col(bin_col))
     rest = [c for c in binned.columns if c not in (*keys, bin_col)]
-    return binned.select(*keys, *rest, F.posexplode(steps).alias("_gap", bin_col)).select(
-        *[F.when(F.col("_gap") == 0, F.col(c)).alias(c) if c in rest else F.col(c) for c in binned.columns]
+    steps = F.posexplode(cal.grid(F.col(bin_col), end, width)).alias("_gap", bin_col)
+    return (
+        binned.withColumn("_next", successor)
+        .select(*keys, *rest, steps)
+        .select(*[F.when(F.col("_gap") == 0, F.col(c)).alias(c) if c in rest else F.col(c) for c in binned.columns])
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
+from wattloom.functions import values as val
 
 # Fixed values.
 DAY_STEPS = 96
@@ -37,7 +38,7 @@ def hourly_rows(predictions: DataFrame, now: Column, values: str = "predictions"
     return predictions.select("ClientId", F.posexplode(values).alias("_p", "LoadPower"), now.alias("_now")).select(
         "ClientId",
         (F.col("_now") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("_p") + 1) * cal.STEP_MINUTES)).alias("Time"),
-        F.col("LoadPower").cast("long").alias("LoadPower"),
+        val.to_whole(F.col("LoadPower")).alias("LoadPower"),
     )
 
 
@@ -58,7 +59,7 @@ def shape_load_output(forecast: DataFrame, ts: str = "Timestamp", value: str = "
         "ClientId",
         cal.to_local(F.col(ts)).alias("Time"),
         F.col(ts).alias("TimeUtc"),
-        F.col(value).cast("long").alias("LSTMLoadPower"),
+        val.to_whole(F.col(value)).alias("LSTMLoadPower"),
         F.lit(0).cast("long").alias("HybridLoadPower"),
     )
 

@@ -22,13 +22,13 @@ from wattloom.functions import calendar as cal
 BLOCK_ROWS = 100_000
 
 
-def hour_of(ts: str) -> Column:
-    """The usual chunk for raw readings."""
-    return F.date_trunc("HOUR", F.col(ts))
+def hour_of(ts: str) -> str:
+    """The usual chunk for raw readings, as an expression text."""
+    return f"date_trunc('HOUR', `{ts}`)"
 
 
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(n) if isinstance(n, str) else n for n in names]
+def _chunked(df: DataFrame, chunk: str | Column) -> DataFrame:
+    return df.withColumn("_chunk", F.expr(chunk) if isinstance(chunk, str) else chunk)
 
 
 def _with_summary(chunked: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,7 +41,7 @@ def row_ordinal(
     df: DataFrame,
     keys: list[str],
     order: Sequence[str | Column],
-    chunk: Column | None,
+    chunk: str | Column | None,
     name: str = "index",
     total: str | None = None,
 ) -> DataFrame:
@@ -49,7 +49,7 @@ def row_ordinal(
     if chunk is None:
         df = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
         return df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))) if total else df
-    chunked = df.withColumn("_chunk", chunk)
+    chunked = _chunked(df, chunk)
     sizes = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -70,14 +70,14 @@ def row_ordinal(
 
 
 def fill_forward(
-    df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], chunk: Column | None
+    df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], chunk: str | Column | None
 ) -> DataFrame:
     """Last known value down the rows; nulls before the first known value stay."""
     so_far = (Window.unboundedPreceding, 0)
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-    chunked = df.withColumn("_chunk", chunk)
+    chunked = _chunked(df, chunk)
     # A struct as ordering would force a sort-based aggregate, so it is used only when ties need it.
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     lasts = chunked.groupBy(*keys, "_chunk").agg(
@@ -116,7 +116,7 @@ def neighbour_columns(
     keys: list[str],
     order: Sequence[str | Column],
     columns: dict[str, tuple[str, int]],
-    chunk: Column | None,
+    chunk: str | Column | None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Values of other rows by row distance: ``{name: (column, k)}``, k > 0 earlier, k < 0 later."""
@@ -140,7 +140,7 @@ def lag_features(
     order: Sequence[str | Column],
     value: str,
     max_lag: int,
-    chunk: Column | None = None,
+    chunk: str | Column | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``lag_1 .. lag_N``: the values of the N rows before, by row and not by time."""
@@ -226,7 +226,7 @@ def chronological_split(
     df: DataFrame,
     keys: list[str],
     order: Sequence[str | Column],
-    chunk: Column | None,
+    chunk: str | Column | None,
     fraction: float | None = None,
     test_rows: int | None = None,
 ) -> DataFrame:

@@ -155,7 +155,7 @@ def held_out(split: DataFrame, models: DataFrame, inputs: list[str], targets: li
     scored = linear.predict(test, models, KEY, inputs).where(F.col("predictions").isNotNull())
     pairs = F.arrays_zip(F.array(*targets).alias("y"), F.col("predictions").alias("p"))
     return scored.select(*KEY, "bin", F.posexplode(pairs).alias("_i", "_pair")).select(
-        *KEY, "bin", (F.col("_i") + 1).alias("h"), F.col("_pair")["0"].alias("y"), F.col("_pair")["predictions"].alias("p")
+        *KEY, "bin", (F.col("_i") + 1).alias("h"), F.col("_pair.y"), F.col("_pair.p")
     )
 
 

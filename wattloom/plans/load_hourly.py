@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
@@ -109,7 +109,7 @@ def forecast(energy: DataFrame, measurements: DataFrame, now: str, trees: int =
 
 
 def reading_sequences(
-    energy: DataFrame, chunk: Column, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
+    energy: DataFrame, chunk: str, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Supervised rows straight from readings: the last ``lags`` readings, clock features, the next four."""
     ts = F.col("TimeStampMeasured")
@@ -132,7 +132,7 @@ def reading_sequences(
     return table, inputs, [f"y_{h}" for h in range(1, horizon + 1)]
 
 
-def forecast_from_readings(energy: DataFrame, chunk: Column, tie: tuple[str, ...] = ()) -> DataFrame:
+def forecast_from_readings(energy: DataFrame, chunk: str, tie: tuple[str, ...] = ()) -> DataFrame:
     """The next four readings of every site from its last 24, without resampling."""
     table, inputs, targets = reading_sequences(energy, chunk, tie=tie)
     table = stored(table.na.drop("any", subset=inputs), "reading-sequences")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.functions import values as val
 from wattloom.operators import sets
 
 # Fixed value.
@@ -33,13 +34,13 @@ def load_forecast_rows(forecast: DataFrame) -> DataFrame:
     return forecast.select(
         F.col("Time").cast("timestamp_ntz").alias("Time"),
         "ClientId",
-        F.col("lstm_predictions").cast("long").alias("LSTMLoadPower"),
-        F.col("hybrid_predictions").cast("long").alias("HybridLoadPower"),
+        val.to_whole(F.col("lstm_predictions")).alias("LSTMLoadPower"),
+        val.to_whole(F.col("hybrid_predictions")).alias("HybridLoadPower"),
     )
 
 
 def pv_forecast_rows(forecast: DataFrame, value: str = "SolarPower_pred") -> DataFrame:
-    return forecast.select("Time", "ClientId", F.col(value).cast("long").alias("PVProductionPower"))
+    return forecast.select("Time", "ClientId", val.to_whole(F.col(value)).alias("PVProductionPower"))
 
 
 def replace_from(
