@@ -88,6 +88,7 @@ def replace_forecast_from(t: Tables):
     old = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerFromLoad").alias("LoadPower"))
     start = filters.at(old, "Time", PV_FROM)
     since = old.where((F.col("Time") >= start) & (F.col("ClientId") < 4)).groupBy("ClientId").agg(F.min("Time").alias("since"))
+    since = stored(since, "since")
     new = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerToPv").alias("LoadPower"))
     fresh = new.join(since, "ClientId").where(F.col("Time") >= F.col("since")).drop("since")
     root = work_path(t.spark, "replaced")
@@ -330,11 +331,15 @@ def forecast_daily_load(t: Tables):
     return load_daily.forecast(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
 
 
+def _daily_table(t: Tables):
+    table = load_daily.supervised(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
+    return stored(load_daily.split(table), "daily-load-features")
+
+
 @check()
 def evaluate_daily_load(t: Tables):
-    table, inputs, targets = load_daily.supervised(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
-    models, split = load_daily.train(stored(table, "daily-load-features"), inputs, targets)
-    return load_daily.evaluate(split, models, inputs, targets)
+    table = _daily_table(t)
+    return load_daily.evaluate(table, stored(load_daily.train(table), "daily-load-models"))
 
 
 @check()
@@ -353,9 +358,6 @@ def hyperparameter_sweep(t: Tables):
 
 @check()
 def batch_score(t: Tables):
-    table, inputs, targets = load_daily.supervised(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
-    table = stored(table, "daily-load-features")
-    models, _ = load_daily.train(table, inputs, targets)
-    path = work_path(t.spark, "models")
-    saved_models.save(models, path)
-    return saved_models.score(t.spark, path, table, inputs)
+    table, path = _daily_table(t), work_path(t.spark, "models")
+    saved_models.save(load_daily.train(table), path)
+    return saved_models.score(t.spark, path, table)

@@ -11,6 +11,7 @@ from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
 from wattloom.operators import filters, joins, metrics, ordered, sets, transforms
 from wattloom.plans import gate, load_daily, load_hourly, slots, solar_daily
+from wattloom.session import stored
 
 KEY = ["ClientId"]
 TIME = "TimeStampMeasured"
@@ -264,7 +265,8 @@ def lag_features_by_slot(t: Tables):
 def ffill(t: Tables):
     raw = filters.after_cutoff(t.energy, TIME, CUTOFF, ["ClientId", TIME, "event_id", VALUE])
     spiked = raw.select("ClientId", TIME, "event_id", val.spike_to_null(F.col(VALUE)).alias("v"))
-    return ordered.fill_forward(spiked, KEY, [TIME, "event_id"], ["v"], READ).drop(TIME)
+    # site and instant identify a reading, so the instant alone orders a site's readings
+    return ordered.fill_forward(spiked, KEY, [TIME], ["v"], READ).drop(TIME)
 
 
 @check("""
@@ -412,7 +414,7 @@ FRAGMENTS["pv_cut_over"] = """
       AND date_trunc('minute', e.TimeStampMeasured) = date_trunc('minute', m.Time)
     WHERE date_trunc('minute', m.Time) > c.cut_over""")
 def join_measurements_pv_recent(t: Tables):
-    since = joins.cut_over(t.measurements, t.pv_history)
+    since = stored(joins.cut_over(t.measurements, t.pv_history), "cut-over")
     recent = joins.join_pv_recent(t.measurements, t.energy, since)
     return rounded(recent.select("ClientId", "Time", "event_id", "SolarPower"))
 
@@ -474,7 +476,7 @@ def join_cluster_centroid(t: Tables):
       SELECT CAST(regexp_extract(file_name, 'model_([0-9]+)_', 1) AS INT) AS ClientId, max({VERSION}) AS latest_version
       FROM model_files GROUP BY 1) v ON e.ClientId = v.ClientId""")
 def join_model_params(t: Tables):
-    params = gate.latest_version(t.model_files).select("ClientId", "latest_version")
+    params = stored(gate.latest_version(t.model_files).select("ClientId", "latest_version"), "versions")
     return joins.join_model_params(t.energy.select("ClientId", "event_id"), params, KEY)
 
 
@@ -513,14 +515,14 @@ def _split(t: Tables):
     FROM split s JOIN fitted f ON s.ClientId = f.ClientId""")
 def minmax_scale(t: Tables):
     split = _split(t)
-    params = transforms.fit_minmax(split.where("is_train"), KEY, ["v"])
+    params = stored(transforms.fit_minmax(split.where("is_train"), KEY, ["v"]), "scaler")
     return rounded(transforms.minmax_scale(split, params, KEY, ["v"]))
 
 
 @check(f"SELECT ClientId, event_id, round({VALUE}, 6) AS v FROM energy")
 def minmax_inverse(t: Tables):
     rows = t.energy.select("ClientId", "event_id", F.col(VALUE).alias("v"))
-    params = transforms.fit_minmax(rows, KEY, ["v"])
+    params = stored(transforms.fit_minmax(rows, KEY, ["v"]), "scaler")
     return rounded(transforms.minmax_inverse(transforms.minmax_scale(rows, params, KEY, ["v"]), params, KEY, "v"))
 
 
@@ -531,7 +533,7 @@ def minmax_inverse(t: Tables):
            round((WindSpeed - wm) / ws, 6) + 0.0 AS WindSpeed FROM measurements m JOIN fitted f ON m.ClientId = f.ClientId""")
 def standard_scale(t: Tables):
     rows = t.measurements.select("ClientId", "event_id", "Temperature", "WindSpeed")
-    params = transforms.fit_standard(rows, KEY, ["Temperature", "WindSpeed"])
+    params = stored(transforms.fit_standard(rows, KEY, ["Temperature", "WindSpeed"]), "scaler")
     return rounded(transforms.standard_scale(rows, params, KEY, ["Temperature", "WindSpeed"]))
 
 
@@ -551,7 +553,7 @@ CODES = "SELECT WeatherDescription, dense_rank() OVER (ORDER BY WeatherDescripti
     SELECT m.event_id, CAST(c.code AS DOUBLE) AS WeatherDescription_encoded FROM measurements m
     JOIN (SELECT DISTINCT * FROM ({CODES}) d) c ON m.WeatherDescription = c.WeatherDescription""")
 def label_encode(t: Tables):
-    labels = transforms.fit_labels(t.measurements, [], "WeatherDescription")
+    labels = stored(transforms.fit_labels(t.measurements, [], "WeatherDescription"), "labels")
     rows = t.measurements.select("event_id", "WeatherDescription")
     encoded = transforms.label_encode(rows, labels, [], "WeatherDescription")
     return encoded.select("event_id", F.col("WeatherDescription_encoded").cast("double").alias("WeatherDescription_encoded"))
@@ -561,7 +563,7 @@ def label_encode(t: Tables):
     SELECT f.ClientId, f.Time, CAST(coalesce(c.code, 0) AS DOUBLE) AS WeatherDescription_encoded FROM weather_forecast f
     LEFT JOIN (SELECT DISTINCT * FROM ({CODES}) d) c ON f.WeatherDescription = c.WeatherDescription""")
 def safe_label_encode(t: Tables):
-    labels = transforms.fit_labels(t.measurements, [], "WeatherDescription")
+    labels = stored(transforms.fit_labels(t.measurements, [], "WeatherDescription"), "labels")
     rows = t.weather_forecast.select("ClientId", "Time", "WeatherDescription")
     encoded = transforms.safe_label_encode(rows, labels, [], "WeatherDescription")
     return encoded.select("ClientId", "Time", F.col("WeatherDescription_encoded").cast("double").alias("WeatherDescription_encoded"))

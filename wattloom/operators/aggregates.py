@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 
 from wattloom.functions import calendar as cal
 from wattloom.operators import columns as cols
+from wattloom.session import stored
 
 # Fixed value: what the mode of nothing is called.
 NO_MODE = "Unknown"
 QUANTILE_BUCKETS = 256
+SKETCH_ACCURACY = 10_000
 
 
 def densify(binned: DataFrame, keys: list[str], bin_col: str = "bin", width: int = cal.STEP_MINUTES) -> DataFrame:
@@ -130,44 +132,42 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: Sequenc
 
     The built-in exact percentile holds all values of a key in one task. Here approximate split points,
     which are small sketches, cut each key into ordered buckets of similar size; counts tell which bucket
-    holds a wanted rank, and only those buckets are ordered.
+    holds a wanted rank, and only those buckets are ordered. The value counts are read three times and so
+    stored once.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counted, "value-counts")
     steps = [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)]
-    splits = counts.groupBy(*keys).agg(
-        F.percentile_approx("v", steps, 10_000).alias("_splits"), F.sum("n").alias("_total")
+    sketch = F.percentile_approx("v", steps, SKETCH_ACCURACY)
+    splits = stored(counts.groupBy(*keys).agg(sketch.alias("_splits"), F.sum("n").alias("_total")), "value-splits")
+    bucketed = counts.join(splits, keys).select(
+        *keys, "v", "n", "_total", F.size(F.filter("_splits", lambda s: s <= F.col("v"))).alias("_bucket")
     )
-    bucketed = counts.join(splits, keys).withColumn(
-        "_bucket", F.size(F.filter("_splits", lambda s: s <= F.col("v")))
-    )
-    ranks = F.array(*[F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("_total") - 1)).alias("_rank")) for p in probabilities])
     below = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    wanted = (
+    ranks = F.array(*[F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("_total") - 1)).alias("rank")) for p in probabilities])
+    low, high = F.floor("rank"), F.ceil("rank")
+    # per wanted rank the one or two buckets that hold it
+    wanted = stored(
         bucketed.groupBy(*keys, "_bucket")
         .agg(F.sum("n").alias("_size"), F.max("_total").alias("_total"))
         .withColumn("_base", F.coalesce(F.sum("_size").over(below), F.lit(0)))
-        .withColumn("_r", F.explode(ranks))
-        .select(*keys, "_bucket", "_base", "_size", "_r.probability", "_r._rank")
-        .where((F.col("_base") <= F.ceil("_rank")) & (F.floor("_rank") < F.col("_base") + F.col("_size")))
+        .select(*keys, "_bucket", "_base", "_size", F.inline(ranks))
+        .where((F.col("_base") <= high) & (low < F.col("_base") + F.col("_size"))),
+        "wanted-ranks",
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     touched = bucketed.join(wanted.select(*keys, "_bucket").distinct(), [*keys, "_bucket"], "left_semi")
     placed = touched.withColumn("_from", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     start = F.col("_base") + F.col("_from")
 
-    def holds(position: Column) -> Column:
-        return (start <= position) & (position < start + F.col("n"))
+    def at(position: Column) -> Column:
+        return F.max(F.when((start <= position) & (position < start + F.col("n")), F.col("v")))
 
-    low, high = F.floor("_rank"), F.ceil("_rank")
     picked = (
         placed.select(*keys, "_bucket", "v", "n", "_from")
         .join(wanted, [*keys, "_bucket"])
         .groupBy(*keys, "probability")
-        .agg(
-            F.max(F.when(holds(low), F.col("v"))).alias("_low"),
-            F.max(F.when(holds(high), F.col("v"))).alias("_high"),
-            F.max(F.col("_rank") - F.floor("_rank")).alias("_part"),
-        )
+        .agg(at(low).alias("_low"), at(high).alias("_high"), F.max(F.col("rank") - low).alias("_part"))
     )
     quantile = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")
     return picked.select(*keys, "probability", quantile.alias("quantile"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
+from wattloom.session import stored
 
 # Fixed values.
 POWER_LOW = 3000
@@ -52,7 +53,7 @@ def drop_any_null(df: DataFrame) -> DataFrame:
 
 def before_first(df: DataFrame, ts: str, keys: list[str], later: DataFrame, later_ts: str) -> DataFrame:
     """History strictly before the first instant of another frame, per key. Keys absent there are dropped."""
-    starts = later.groupBy(*keys).agg(F.min(later_ts).alias("_start"))
+    starts = stored(later.groupBy(*keys).agg(F.min(later_ts).alias("_start")), "starts")
     return df.join(starts, keys).where(F.col(ts) < F.col("_start")).drop("_start")
 
 
@@ -85,8 +86,11 @@ def asof_last_row(df: DataFrame, keys: list[str], ts: str, now: datetime | str)
 
 
 def min_history_guard(df: DataFrame, keys: list[str], needed: int, value: str | None = None) -> DataFrame:
-    """One row per key with its usable rows and whether they suffice; nothing is raised."""
-    usable = F.count(F.lit(1)) if value is None else F.count(F.nanvl(F.col(value).cast("double"), F.lit(None)))
+    """One row per key with its usable rows and whether they suffice; nothing is raised.
+
+    With ``value``, rows where it is null, NaN or infinite do not count.
+    """
+    usable = F.count(F.lit(1)) if value is None else F.count_if(F.abs(F.col(value).cast("double")) < float("inf"))
     return df.groupBy(*keys).agg(usable.alias("rows")).withColumn("enough", F.col("rows") >= needed)
 
 

@@ -111,7 +111,7 @@ def join_next_day_head(days: DataFrame, keys: list[str], head: int = HEAD, full:
     Where that day is absent or too short the last value of the day is repeated.
     """
     following = F.lead("values").over(Window.partitionBy(*keys).orderBy("Date"))
-    held = F.array_repeat(F.element_at("values", -1), head)
+    held = F.array_repeat(F.element_at(F.slice("values", 1, full), -1), head)
     tail = F.when(F.size(following) >= head, F.slice(following, 1, head)).otherwise(held)
     return (
         days.withColumn("_tail", tail)
@@ -135,7 +135,10 @@ def align_series(left: DataFrame, right: DataFrame, keys: list[str], bin_col: st
     """
     both = left.withColumn("_l", F.lit(True)).join(right.withColumn("_r", F.lit(True)), [*keys, bin_col], "full_outer")
     dense = agg.densify(both, keys, bin_col)
-    whole = Window.partitionBy(*keys)
+    # ordered like the windows before and after it, so that the rows are sorted once
+    whole = Window.partitionBy(*keys).orderBy(bin_col).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
 
     def inside(flag: str):
         seen = F.when(F.col(flag), F.col(bin_col))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HELD_KEYS = 512
+BLOCK = 4096
 
 
 def _key_types(df: DataFrame, keys: list[str]) -> str:
@@ -49,6 +50,44 @@ def moments(df: DataFrame, keys: list[str], features: Sequence[str], targets: Se
     return used.mapInPandas(reduce_partition, f"{_key_types(df, keys)}, moments array<double>")
 
 
+def moments_ahead(
+    series: DataFrame,
+    keys: list[str],
+    order: str,
+    features: Sequence[str],
+    target: str,
+    horizon: int,
+    train: str,
+) -> DataFrame:
+    """As :func:`moments` for the next ``horizon`` values of a gap-free series as targets.
+
+    The targets of a row are rows of its own group, so they are viewed there and not shipped 96 times. A
+    row counts if its features are known and its last target is still a training row. A group is one
+    series, whose length the time grid bounds.
+    """
+    size = 1 + len(features) + horizon
+    columns = list(dict.fromkeys([target, *features]))
+    numbers = [F.col(c).cast("double").alias(c) for c in columns]
+
+    def reduce_series(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(batches).sort_values(order)
+        total = np.zeros((size, size))
+        origins = len(rows) - horizon
+        if origins > 0:
+            x = rows[list(features)].to_numpy(float)[:origins]
+            y = np.lib.stride_tricks.sliding_window_view(rows[target].to_numpy(float)[1:], horizon)
+            counts = rows[train].to_numpy(bool)[horizon:] & np.isfinite(x).all(axis=1)
+            for at in range(0, origins, BLOCK):
+                part = slice(at, at + BLOCK)
+                z = np.column_stack([np.ones(len(x[part])), x[part], y[part]])[counts[part]]
+                z = z[np.isfinite(z).all(axis=1)]
+                total += z.T @ z
+        yield pd.DataFrame([(*key, total.ravel())], columns=[*keys, "moments"])
+
+    schema = f"{_key_types(series, keys)}, moments array<double>"
+    return series.select(*keys, order, train, *numbers).groupBy(*keys).applyInPandas(reduce_series, schema)
+
+
 def solve_moments(total: np.ndarray, n_features: int, ridge: float) -> np.ndarray:
     """Coefficients ``(targets, 1 + features)`` from summed moments, on standardised features."""
     n = total[0, 0]

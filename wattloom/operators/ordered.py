@@ -72,13 +72,16 @@ def row_ordinal(
 def fill_forward(
     df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], chunk: str | Column | None
 ) -> DataFrame:
-    """Last known value down the rows; nulls before the first known value stay."""
+    """Last known value down the rows; nulls before the first known value stay.
+
+    Readings are identified by site and instant, so the instant alone should be their ``order``: the last
+    value of a chunk is then found by a hash aggregate. With more columns, as ties need, rows are sorted.
+    """
     so_far = (Window.unboundedPreceding, 0)
     if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
     chunked = _chunked(df, chunk)
-    # A struct as ordering would force a sort-based aggregate, so it is used only when ties need it.
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     lasts = chunked.groupBy(*keys, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_last_{c}") for c in columns]

@@ -13,8 +13,8 @@ def save(models: DataFrame, path: str) -> None:
     models.write.mode("errorifexists").parquet(path)
 
 
-def score(spark: SparkSession, path: str, table: DataFrame, inputs: list[str]) -> DataFrame:
-    """Align the columns to the saved order, then 96 + 4 steps for every site that has a model."""
+def score(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    """Align the columns to the model's inputs, then 96 + 4 steps for every site that has a model."""
     models = spark.read.parquet(path)
-    aligned = columns.align_columns(table, ["ClientId", "bin", *inputs])
-    return load_daily.forecast_from(aligned, models, inputs)
+    aligned = columns.align_columns(table, ["ClientId", "bin", *load_daily.inputs(), "usable"])
+    return load_daily.forecast_from(aligned, models)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +47,13 @@ def bin_states(
     Spikes take the last good reading. Inside a bin that needs the order of its own rows only: ``total`` is
     the sum of good and filled readings, ``open`` counts the spikes before the first good one, which wait
     for an earlier bin, and ``final`` is the last good reading. So readings are shuffled once, by site and
-    bin, and never gathered by site; and a bin's state depends on no other bin.
+    bin, and never gathered by site; and a bin's state depends on no other bin. Readings bucketed by site
+    and ``day`` are not shuffled at all.
     """
-    raw = filters.after_cutoff(energy, ts, cutoff, [*KEY, ts, value, *tie])
-    good = raw.select(*KEY, ts, *tie, cal.bin_start(ts).alias("bin"), val.spike_to_null(F.col(value), limit).alias("v"))
-    inside = Window.partitionBy(*KEY, "bin").orderBy(ts, *tie)
+    place = [*KEY, *[c for c in ("day",) if c in energy.columns]]
+    raw = filters.after_cutoff(energy, ts, cutoff, [*place, ts, value, *tie])
+    good = raw.select(*place, ts, *tie, cal.bin_start(ts).alias("bin"), val.spike_to_null(F.col(value), limit).alias("v"))
+    inside = Window.partitionBy(*place, "bin").orderBy(ts, *tie)
     known = F.last("v", ignorenulls=True)
     return (
         good.withColumns(
@@ -57,21 +62,26 @@ def bin_states(
                 "final": known.over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
             }
         )
-        .groupBy(*KEY, "bin")
+        .groupBy(*place, "bin")
         .agg(
             F.sum("filled").alias("total"),
             F.count_if(F.col("filled").isNull()).alias("open"),
             F.max("final").alias("final"),
         )
+        .select(*KEY, "bin", "total", "open", "final")
     )
 
 
-def bin_sums(states: DataFrame) -> DataFrame:
-    """Sum per bin, ``(ClientId, bin, TARGET)``: open spikes get the last good reading of an earlier bin."""
+def _summed(states: DataFrame) -> DataFrame:
     before = Window.partitionBy(*KEY).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     carried = F.last("final", ignorenulls=True).over(before)
     total = F.coalesce("total", F.lit(0.0)) + F.coalesce(F.col("open") * carried, F.lit(0.0))
-    return states.withColumn(TARGET, total).select(*KEY, "bin", TARGET)
+    return states.withColumn(TARGET, total).drop("total", "open", "final")
+
+
+def bin_sums(states: DataFrame) -> DataFrame:
+    """Sum per bin, ``(ClientId, bin, TARGET)``: open spikes get the last good reading of an earlier bin."""
+    return _summed(states).select(*KEY, "bin", TARGET)
 
 
 def energy_bins(energy: DataFrame, cutoff: str = CUTOFF, limit: float = val.SPIKE_LIMIT, **names) -> DataFrame:
@@ -105,9 +115,14 @@ def weather_series(measurements: DataFrame) -> DataFrame:
 def joined_series(
     energy: DataFrame, measurements: DataFrame, cutoff: str = CUTOFF, limit: float = val.SPIKE_LIMIT, **names
 ) -> DataFrame:
-    """Energy and weather over their common span, nulls where the weather has gaps."""
-    aligned = joins.align_series(energy_bins(energy, cutoff, limit, **names), weather_bins(measurements), KEY)
-    return _clean_sums(aligned.where("in_left"), limit).where("in_right").drop("in_left", "in_right")
+    """Energy and weather over their common span, nulls where the weather has gaps.
+
+    Bin states are joined before values are carried across bins, so both sides are still partitioned by
+    site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags.
+    """
+    aligned = joins.align_series(bin_states(energy, cutoff, limit, **names), weather_bins(measurements), KEY)
+    clean = _clean_sums(_summed(aligned).where("in_left"), limit)
+    return clean.where("in_right").select(*KEY, "bin", TARGET, "Temperature", "Humidity")
 
 
 def with_features(joined: DataFrame) -> DataFrame:
@@ -124,49 +139,55 @@ def features(energy: DataFrame, measurements: DataFrame, **settings) -> DataFram
     return table.select(*KEY, F.col("bin").alias("Timestamp"), TARGET, *FEATURES)
 
 
-def supervised(energy: DataFrame, measurements: DataFrame, horizon: int = HORIZON, **settings) -> tuple[DataFrame, list[str], list[str]]:
-    """Features known at the origin, the origin's own value, and ``y_1 .. y_H``; with the column names.
+def inputs() -> list[str]:
+    return [TARGET, *FEATURES, *[f"lag_{k}" for k in DAY_LAGS]]
+
 
-    The series is gap-free, so the h-th next row is ``h`` quarter hours later. Origins with weather gaps
-    leave out of the fit but still serve others as lags and targets.
+def supervised(energy: DataFrame, measurements: DataFrame, **settings) -> DataFrame:
+    """Every bin of the joined span with the model's inputs, and whether all of them are known.
+
+    Incomplete rows stay: they are no origins, but they are targets and lags of others, and without them
+    the h-th next row would not be h quarter hours later.
     """
-    joined = joined_series(energy, measurements, **settings)
-    table = with_features(joined)
-    steps = {f"lag_{k}": (TARGET, k) for k in DAY_LAGS} | {f"y_{h}": (TARGET, -h) for h in range(1, horizon + 1)}
-    table = ordered.neighbour_columns(table, KEY, ["bin"], steps, None)
-    inputs = [TARGET, *FEATURES, *[f"lag_{k}" for k in DAY_LAGS]]
-    targets = [f"y_{h}" for h in range(1, horizon + 1)]
-    usable = table.na.drop("any", subset=inputs)
-    return columns.cast_numeric(usable.select(*KEY, "bin", *inputs, *targets), inputs), inputs, targets
-
-
-def train(table: DataFrame, inputs: list[str], targets: list[str], fraction: float = TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:
-    """Models fitted on the first part of every site, and the whole table with ``is_train``."""
-    split = ordered.chronological_split(table, KEY, ["bin"], None, fraction=fraction)
-    models = linear.fit_ridge(
-        split.where("is_train"), KEY, inputs, targets, min_rows=filters.MIN_HISTORY["daily_load"]
-    )
-    return models, split
+    table = with_features(joined_series(energy, measurements, **settings))
+    table = ordered.neighbour_columns(table, KEY, ["bin"], {f"lag_{k}": (TARGET, k) for k in DAY_LAGS}, None)
+    known = reduce(and_, [F.col(c).isNotNull() for c in inputs()])
+    return columns.cast_numeric(table, inputs()).select(*KEY, "bin", *inputs(), known.alias("usable"))
+
+
+def split(table: DataFrame, fraction: float = TRAIN_FRACTION) -> DataFrame:
+    """Add ``is_train``: up to the bin where the first part of the usable rows of a site ends."""
+    place = F.count_if("usable").over(Window.partitionBy(*KEY).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.count_if("usable").over(Window.partitionBy(*KEY))
+    return table.withColumn("is_train", place <= F.floor(total * F.lit(fraction)))
+
+
+def train(parts: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """One model per site with enough history, for all steps at once; targets stay within the training part."""
+    partials = linear.moments_ahead(parts, KEY, "bin", inputs(), TARGET, horizon, "is_train")
+    size, needed = len(inputs()), filters.MIN_HISTORY["daily_load"]
+    return linear.solve_ridge(partials, KEY, size, horizon, [(size, 1.0)], needed).drop("n_features", "ridge")
 
 
-def held_out(split: DataFrame, models: DataFrame, inputs: list[str], targets: list[str]) -> DataFrame:
-    """``(ClientId, bin, h, y, p)`` for the held-out origins."""
-    test = split.where(~F.col("is_train")).na.drop("any", subset=targets)
-    scored = linear.predict(test, models, KEY, inputs).where(F.col("predictions").isNotNull())
-    pairs = F.arrays_zip(F.array(*targets).alias("y"), F.col("predictions").alias("p"))
+def held_out(parts: DataFrame, models: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """``(ClientId, bin, h, y, p)`` for the held-out origins that have all their targets."""
+    ahead = ordered.target_vector(parts, KEY, "bin", TARGET, horizon).where("usable AND NOT is_train")
+    scored = linear.predict(ahead, models, KEY, inputs()).where(F.col("predictions").isNotNull())
+    pairs = F.zip_with("target", "predictions", lambda y, p: F.struct(y.alias("y"), p.alias("p")))
     return scored.select(*KEY, "bin", F.posexplode(pairs).alias("_i", "_pair")).select(
         *KEY, "bin", (F.col("_i") + 1).alias("h"), F.col("_pair.y"), F.col("_pair.p")
     )
 
 
-def evaluate(split: DataFrame, models: DataFrame, inputs: list[str], targets: list[str], keys: list[str] = KEY) -> DataFrame:
-    return metrics.evaluate(held_out(split, models, inputs, targets), keys, "y", "p")
+def evaluate(parts: DataFrame, models: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    return metrics.evaluate(held_out(parts, models), keys, "y", "p")
 
 
-def forecast_from(table: DataFrame, models: DataFrame, inputs: list[str], horizon: int = HORIZON) -> DataFrame:
-    """96 steps after each site's last usable origin, then the last value held for 4 more."""
-    last = ordered.sequence_tail(table.select(*KEY, "bin", *inputs), KEY, [F.desc("bin")], 1)
-    scored = linear.predict(last, models, KEY, inputs).where(F.col("predictions").isNotNull())
+def forecast_from(table: DataFrame, models: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """96 steps after each site's last usable row, then the last value held for 4 more."""
+    origins = table.where("usable").select(*KEY, "bin", *inputs())
+    last = ordered.sequence_tail(origins, KEY, [F.desc("bin")], 1)
+    scored = linear.predict(last, models, KEY, inputs()).where(F.col("predictions").isNotNull())
     steps = scored.select(*KEY, F.posexplode("predictions").alias("_i", FORECAST)).select(
         *KEY, (F.col("_i") + 1).alias("h"), FORECAST
     )
@@ -176,8 +197,7 @@ def forecast_from(table: DataFrame, models: DataFrame, inputs: list[str], horizo
 
 
 def forecast(energy: DataFrame, measurements: DataFrame, **settings) -> DataFrame:
-    """The whole daily job. Fit, evaluation and scoring read one stored feature table."""
-    table, inputs, targets = supervised(energy, measurements, **settings)
-    table = stored(table, "daily-load-features")
-    models, _ = train(table, inputs, targets)
-    return forecast_from(table, stored(models, "daily-load-models"), inputs)
+    """The whole daily job. Fit and scoring read one stored feature table."""
+    table = stored(split(supervised(energy, measurements, **settings)), "daily-load-features")
+    models = stored(train(table), "daily-load-models")
+    return forecast_from(table, models)

@@ -109,7 +109,7 @@ def forecast(energy: DataFrame, measurements: DataFrame, now: str, trees: int =
 
 
 def reading_sequences(
-    energy: DataFrame, chunk: str, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
+    energy: DataFrame, chunk: str | None, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Supervised rows straight from readings: the last ``lags`` readings, clock features, the next four."""
     ts = F.col("TimeStampMeasured")
@@ -133,12 +133,17 @@ def reading_sequences(
 
 
 def forecast_from_readings(energy: DataFrame, chunk: str, tie: tuple[str, ...] = ()) -> DataFrame:
-    """The next four readings of every site from its last 24, without resampling."""
+    """The next four readings of every site from its last 24, without resampling.
+
+    The fit reduces the lagged readings where they are; only coefficients and the last readings of a site
+    are kept.
+    """
     table, inputs, targets = reading_sequences(energy, chunk, tie=tie)
-    table = stored(table.na.drop("any", subset=inputs), "reading-sequences")
     models = linear.fit_ridge(table, KEY, inputs, targets, min_rows=filters.MIN_HISTORY["slot_model"])
-    last = ordered.sequence_tail(table, KEY, [F.desc("TimeStampMeasured"), *map(F.desc, tie)], 1)
-    scored = linear.predict(last, models, KEY, inputs).where(F.col("predictions").isNotNull())
+    newest_first = [F.desc("TimeStampMeasured"), *map(F.desc, tie)]
+    tail = ordered.sequence_tail(energy.select(*KEY, "TimeStampMeasured", *tie, "PowerFromLoad"), KEY, newest_first, LAGS)
+    last = ordered.sequence_tail(reading_sequences(tail, None, tie=tie)[0], KEY, newest_first, 1)
+    scored = linear.predict(last, stored(models, "reading-models"), KEY, inputs).where(F.col("predictions").isNotNull())
     return scored.select(*KEY, F.posexplode("predictions").alias("_i", "LoadPower")).select(
         *KEY, (F.col("_i") + 1).alias("h"), "LoadPower"
     )

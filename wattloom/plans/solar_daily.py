@@ -33,7 +33,7 @@ def training_series(
     measurements: DataFrame, history: DataFrame, energy: DataFrame, include_cut_over: bool = False
 ) -> DataFrame:
     """Weather with solar power per bin: recorded history, then metered power after its end."""
-    since = joins.cut_over(measurements, history)
+    since = stored(joins.cut_over(measurements, history), "cut-over")
     recorded = joins.join_pv_history(measurements, history).drop("PowerPV")
     metered = joins.join_pv_recent(measurements, energy, since, include_cut_over=include_cut_over).drop("PowerPV")
     mixed = agg.resample_mixed(sets.union_all(recorded, metered), KEY, "Time")

@@ -68,7 +68,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back.
 
-    Unlike a checkpoint the columnar copy keeps column pruning and filter pushdown for its readers.
+    Unlike a checkpoint the columnar copy keeps column pruning and filter pushdown for its readers, and its
+    size is known to the planner: state of one row per site (bounds, scalers, cut-overs, models) is stored
+    before it meets the readings, so that it is broadcast if and only if it is small. The readings are then
+    not shuffled by site, where one site may own a third of them; beyond the threshold the join shuffles
+    and splits skewed partitions.
     """
     spark = df.sparkSession
     path = work_path(spark, name)

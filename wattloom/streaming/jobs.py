@@ -74,6 +74,10 @@ def current_forecast(batches: DataFrame, ts: str = "Time", key: str = "ClientId"
     return batches.join(ends, [key, "batch_id"]).where(live).drop("_end")
 
 
+def _overwrite_partitions(df: DataFrame, by: list[str], path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def incremental_bins(
     readings: DataFrame, landed: str, bins: str, checkpoint: str, cutoff: str, **names
 ) -> None:
@@ -87,25 +91,18 @@ def incremental_bins(
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        by_day = batch.withColumns({"day": F.to_date("TimeStampMeasured"), "batch_id": F.lit(batch_id)})
-        (
-            by_day.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
-            .parquet(landed)
-        )
-        span = batch.agg(*[F.to_date(f("TimeStampMeasured")) for f in (F.min, F.max)]).first()
-        if span[0] is None:
+        by_day = batch.withColumns({"day": F.to_date("TimeStampMeasured"), "batch_id": F.lit(batch_id)}).persist()
+        try:
+            _overwrite_partitions(by_day, ["day", "batch_id"], landed)
+            first, last = by_day.agg(F.min("day"), F.max("day")).first()
+        finally:
+            by_day.unpersist()
+        if first is None:
             return
-        history = spark.read.parquet(landed).where(F.col("day").between(*span))
+        history = spark.read.parquet(landed).where(F.col("day").between(first, last))
         states = load_daily.bin_states(history, cutoff, **names).withColumn("day", F.to_date("bin"))
-        (
-            states.repartition("day", F.pmod(F.hash("ClientId"), F.lit(FILES_PER_DAY)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(bins)
-        )
+        spread = states.repartition("day", F.pmod(F.hash("ClientId"), F.lit(FILES_PER_DAY)))
+        _overwrite_partitions(spread, ["day"], bins)
 
     query = (
         readings.writeStream.foreachBatch(refresh)
