@@ -9,11 +9,11 @@ from checks.series import KEY, TIME, VALUE, energy_series
 from checks.tables import CUTOFF, FRAGMENTS, NOW, PV_FROM, Tables, check, rounded
 from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, filters, ordered, sets
+from wattloom.operators import assembly, filters, metrics, ordered, sets
 from wattloom.plans import batch_score as saved_models
 from wattloom.plans import load_daily, load_hourly, profiles, slots, solar_daily, sweep
 from wattloom.session import stored, work_path
-from wattloom.sources import schemas, sinks
+from wattloom.sources import readers, schemas, sinks
 from wattloom.streaming import jobs
 
 TREES = 10
@@ -140,7 +140,7 @@ def append_run_metrics(t: Tables):
     )
     sinks.append_run_metrics(history, path)
     sinks.append_run_metrics(latest.select(names), path)
-    return t.spark.read.schema(schemas.RUNS).json(path).select(names)
+    return readers.read_runs(t.spark, path).select(names)
 
 
 # ---- assembly
@@ -342,6 +342,19 @@ def evaluate_daily_load(t: Tables):
     return load_daily.evaluate(table, stored(load_daily.train(table), "daily-load-models"))
 
 
+@check()
+def retrain_daily_load(t: Tables):
+    """Two runs: the first has no rival, the second is no better than the first."""
+    table, history = _daily_table(t), work_path(t.spark, "run-history")
+    names = ["ClientId", "TrainEnd", *metrics.RUN_ERRORS, "n_rows_total", "n_train_rows", "n_test_rows", "was_in_use"]
+    runs, active = load_daily.retrain(table, t.spark.createDataFrame([], schemas.RUNS), None, "2024-01-31T00:01:00")
+    sinks.append_run_metrics(runs, history)
+    active = stored(active, "active-models")
+    runs, _ = load_daily.retrain(table, readers.read_runs(t.spark, history), active, "2024-02-01T00:01:00")
+    sinks.append_run_metrics(runs, history)
+    return readers.read_runs(t.spark, history).select(names)
+
+
 @check()
 def forecast_daily_pv(t: Tables):
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", NOW))

@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.operators import linear
+from wattloom.operators import columns, linear
 from wattloom.plans import load_daily, load_hourly, profiles, slots, solar_daily, sweep
+from wattloom.sources import schemas
 
 KEY = ["ClientId"]
 START = datetime(2024, 1, 1)
@@ -132,6 +133,27 @@ class TestDailyLoad:
         assert load_daily.evaluate(parts, load_daily.train(parts)).first().WMAPE_percent < 10
 
 
+    def test_only_better_models_replace_the_old_ones(self, spark):
+        energy, measurements = site_readings(spark, 10)
+        parts = load_daily.split(load_daily.supervised(energy, measurements, cutoff="2020-01-01 00:00:00")).cache()
+        none = spark.createDataFrame([], schemas.RUNS)
+        runs, first = load_daily.retrain(parts, none, None, "2024-01-11T00:01:00")
+        assert [r.was_in_use for r in runs.collect()] == [True, True]
+        # site 1 had a poor model in use, site 2 a perfect one
+        old = columns.cast_to(
+            spark.createDataFrame(
+                [(1, "2024-01-01T00:00:00", 1e6, 1e6, True), (2, "2024-01-01T00:00:00", 0.0, 0.0, True)],
+                "ClientId int, TrainEnd string, WMAPE_percent double, RMSE double, was_in_use boolean",
+            ),
+            schemas.RUNS,
+        )
+        kept = first.withColumn("rows", F.lit(-1).cast("long"))
+        runs, active = load_daily.retrain(parts, old, kept, "2024-01-11T00:01:00")
+        assert {r.ClientId: r.was_in_use for r in runs.collect()} == {1: True, 2: False}
+        models = {r.ClientId: r.rows for r in active.collect()}
+        assert models[1] > 0 and models[2] == -1 and len(models) == 2
+
+
 class TestHourlyLoad:
     def test_four_steps_after_now(self, spark):
         energy, measurements = site_readings(spark, 4)

@@ -24,6 +24,12 @@ def align_columns(df: DataFrame, wanted: Sequence[str], fill: object = 0) -> Dat
     return df.select(*[F.col(c) if c in present else F.lit(fill).alias(c) for c in wanted])
 
 
+def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a fixed schema in its order and types, null where absent."""
+    present = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Drop what is there; names that are absent do not matter."""
     return df.drop(*names)

@@ -63,6 +63,9 @@ ALL = {
 }
 
 
+RUN_ERRORS = ("MAE", "RMSE", "SMAPE_percent", "WMAPE_percent")
+
+
 def evaluate(df: DataFrame, keys: list[str], y: str, p: str, names: list[str] | None = None) -> DataFrame:
     """The named errors per key over rows that have both values."""
     wanted = names or list(ALL)
@@ -71,17 +74,16 @@ def evaluate(df: DataFrame, keys: list[str], y: str, p: str, names: list[str] |
 
 
 def run_summary(
-    scored: DataFrame, keys: list[str], ts: str, y: str, p: str, is_train: str, settings: dict[str, object]
+    scored: DataFrame, keys: list[str], y: str, p: str, is_train: str, trained_at: str, settings: dict[str, object]
 ) -> DataFrame:
-    """One row per key: errors on the held-out rows, row counts, last training instant and settings."""
+    """One row per key for the run history: errors on the held-out rows, row counts and settings."""
     train = F.col(is_train)
     held_y = F.when(~train, F.col(y))
     held_p = F.when(~train, F.col(p))
-    return scored.groupBy(*keys).agg(
-        F.max(F.when(train, F.col(ts))).alias("TrainEnd"),
-        *[ALL[n](held_y, held_p).alias(n) for n in ("MAE", "RMSE", "SMAPE_percent", "WMAPE_percent")],
+    summary = scored.groupBy(*keys).agg(
+        *[ALL[n](held_y, held_p).alias(n) for n in RUN_ERRORS],
         F.count(F.lit(1)).alias("n_rows_total"),
         F.count_if(train).alias("n_train_rows"),
         F.count_if(~train).alias("n_test_rows"),
-        *[F.first(F.lit(v)).alias(k) for k, v in settings.items()],
     )
+    return summary.withColumns({"TrainEnd": F.lit(trained_at), **{k: F.lit(v) for k, v in settings.items()}})

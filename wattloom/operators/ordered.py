@@ -182,11 +182,11 @@ def input_sequences(
     item = F.struct(*features) if len(features) > 1 else F.col(features[0])
     # a list skips nulls, so null readings are wrapped to keep their place
     rows = F.collect_list(F.struct(item.alias("v"))).over(w)
-    return df_with_full(series.withColumn(name, rows), name, length).withColumn(name, F.col(f"{name}.v"))
+    return _full(series.withColumn(name, rows), name, length)
 
 
-def df_with_full(df: DataFrame, name: str, length: int) -> DataFrame:
-    return df.where(F.size(name) == length)
+def _full(df: DataFrame, name: str, length: int) -> DataFrame:
+    return df.where(F.size(name) == length).withColumn(name, F.col(f"{name}.v"))
 
 
 def target_vector(
@@ -201,7 +201,25 @@ def target_vector(
     """The values of rows i+first .. i+first+horizon-1; rows without all of them are left out."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(first, first + horizon - 1)
     rows = F.collect_list(F.struct(F.col(value).alias("v"))).over(w)
-    return df_with_full(series.withColumn(name, rows), name, horizon).withColumn(name, F.col(f"{name}.v"))
+    return _full(series.withColumn(name, rows), name, horizon)
+
+
+def supervised_windows(
+    series: DataFrame,
+    keys: list[str],
+    order: str,
+    features: Sequence[str],
+    value: str,
+    length: int,
+    horizon: int,
+    spare: int = 1,
+) -> DataFrame:
+    """Inputs i-L..i-1 with targets i..i+H-1, where at least ``spare`` more rows follow the last target."""
+    w = Window.partitionBy(*keys).orderBy(order)
+    later = F.count(F.lit(1)).over(w.rowsBetween(0, horizon - 1 + spare))
+    known = series.withColumn("_later", later)
+    both = target_vector(input_sequences(known, keys, order, features, length), keys, order, value, horizon, 0)
+    return both.where(F.col("_later") == horizon + spare).drop("_later")
 
 
 def targets_by_time(

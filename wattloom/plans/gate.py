@@ -26,7 +26,8 @@ def champion_gate(challengers: DataFrame, champions: DataFrame) -> DataFrame:
     better = (F.col("WMAPE_percent") < WMAPE_FACTOR * F.col("old_wmape")) & (
         F.col("RMSE") <= RMSE_FACTOR * F.col("old_rmse")
     )
-    return challengers.join(old, KEY, "left").withColumn("accepted", F.col("old_wmape").isNull() | better)
+    unrivalled = F.col("old_wmape").isNull() & F.col("old_rmse").isNull()
+    return challengers.join(old, KEY, "left").withColumn("accepted", unrivalled | F.coalesce(better, F.lit(False)))
 
 
 def latest_version(files: DataFrame, name: str = "file_name") -> DataFrame:

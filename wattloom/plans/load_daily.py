@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 from operator import and_
 
@@ -12,6 +13,7 @@ from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
 from wattloom.operators import assembly, columns, filters, joins, linear, metrics, ordered, transforms
+from wattloom.plans import gate
 from wattloom.session import stored
 
 # Fixed values.
@@ -183,6 +185,42 @@ def evaluate(parts: DataFrame, models: DataFrame, keys: list[str] = KEY) -> Data
     return metrics.evaluate(held_out(parts, models), keys, "y", "p")
 
 
+def run_metrics(parts: DataFrame, models: DataFrame, trained_at: str, seconds: float | None = None) -> DataFrame:
+    """The run history entry of every site that has a model and held-out rows."""
+    errors = metrics.evaluate(held_out(parts, models), KEY, "y", "p", list(metrics.RUN_ERRORS))
+    counts = parts.where("usable").groupBy(*KEY).agg(
+        F.count(F.lit(1)).cast("int").alias("n_rows_total"),
+        F.count_if("is_train").cast("int").alias("n_train_rows"),
+        F.count_if(~F.col("is_train")).cast("int").alias("n_test_rows"),
+    )
+    return errors.join(counts, KEY).withColumns(
+        {
+            "TrainEnd": F.lit(trained_at),
+            "seq_len": F.lit(max(DAY_LAGS)),
+            "prediction_steps": F.lit(HORIZON),
+            "n_features": F.lit(len(inputs())),
+            "training_time_seconds": F.lit(seconds).cast("double"),
+        }
+    )
+
+
+def retrain(
+    parts: DataFrame, history: DataFrame, in_use: DataFrame | None, trained_at: str
+) -> tuple[DataFrame, DataFrame]:
+    """Fit, judge and promote site by site: the run history's new rows, and the models to use from now on.
+
+    A site keeps its old model unless the new one passes the gate against the run in use.
+    """
+    started = time.monotonic()
+    models = stored(train(parts), "daily-load-models")
+    runs = run_metrics(parts, models, trained_at, time.monotonic() - started)
+    champions = gate.latest_in_use(history.withColumn("TrainEnd", F.try_to_timestamp("TrainEnd")))
+    decided = stored(gate.champion_gate(runs, champions).drop("old_wmape", "old_rmse"), "daily-load-runs")
+    accepted = models.join(decided.where("accepted"), KEY, "left_semi")
+    active = accepted if in_use is None else accepted.unionByName(in_use.join(accepted, KEY, "left_anti"))
+    return decided.withColumnRenamed("accepted", "was_in_use"), active
+
+
 def forecast_from(table: DataFrame, models: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """96 steps after each site's last usable row, then the last value held for 4 more."""
     origins = table.where("usable").select(*KEY, "bin", *inputs())

@@ -20,7 +20,7 @@ TREES = 500
 LEARNING_RATE = 0.05
 SEED = 42
 TARGET = "ConsumerPower1"
-WEATHER = ["Temperature", "Clouds", "Humidity", "Pressure", "WindSpeed"]
+WEATHER = ["Temperature", "Humidity"]
 KEY = ["ClientId"]
 
 

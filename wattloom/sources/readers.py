@@ -135,6 +135,11 @@ def scan_trial_scores(spark: SparkSession, path: str, multi_line: bool = True) -
     )
 
 
-def read_run_history(spark: SparkSession, path: str, schema: StructType = schemas.RUNS) -> DataFrame:
-    """Run metrics from JSON files that hold a list or a single object; what is not JSON counts as empty."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The run table."""
+    return spark.read.schema(schemas.RUNS).parquet(path)
+
+
+def read_run_history(spark: SparkSession, path: str) -> DataFrame:
+    """Old run files, each a JSON list or a single object; what is not JSON counts as empty."""
+    return spark.read.schema(schemas.RUNS).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)

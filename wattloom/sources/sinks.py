@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions import values as val
-from wattloom.operators import sets
+from wattloom.operators import columns, sets
+from wattloom.sources import schemas
 
 # Fixed value.
 JDBC_BATCH = 100
@@ -105,9 +106,11 @@ def write_once(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def append_run_metrics(runs: DataFrame, path: str) -> None:
-    """One more entry in the run history."""
-    runs.write.mode("append").json(path)
+def append_run_metrics(runs: DataFrame, path: str, latest_csv: str | None = None) -> None:
+    """More entries in the run table; the newest ones also alone, as CSV."""
+    append(columns.cast_to(runs, schemas.RUNS), path)
+    if latest_csv:
+        write_csv(runs, latest_csv, "overwrite")
 
 
 def read_back(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
