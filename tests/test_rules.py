@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import pandas
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +106,35 @@ class TestQuantiles:
         assert len(got) == 5
 
 
+class TestSolarPairs:
+    def test_weights_stand_for_pairs(self, spark):
+        def at(minute, second):
+            return t(f"00:{minute:02d}:{second:02d}")
+
+        sky = [(1, at(0, 1), 1.0, 5.0, "a"), (1, at(0, 30), 4.0, None, "b"), (1, at(1, 0), 9.0, 7.0, "b"), (1, at(20, 0), 2.0, None, "a"),
+               (1, at(21, 0), 3.0, None, "c"), (1, at(21, 9), 5.0, 2.0, "c"), (1, at(50, 0), 1.0, None, "z")]
+        measurements = spark.createDataFrame(sky, "ClientId int, Time timestamp_ntz, Temperature double, PowerPV double, Weather string")
+        history = spark.createDataFrame(
+            [(1, at(0, 0), 1.0), (1, at(0, 0), 2.0), (1, at(0, 0), None), (1, at(1, 0), 8.0)],
+            "ClientId int, Time timestamp_ntz, SolarPower double",
+        )
+        energy = spark.createDataFrame(
+            [(1, at(20, 1), 1000), (1, at(20, 2), 3000), (1, at(21, 2), None), (1, at(21, 3), 6000)],
+            "ClientId int, TimeStampMeasured timestamp_ntz, PowerToPv long",
+        )
+        since = joins.cut_over(measurements, history)
+        pairs = sets.union_all(
+            joins.join_pv_history(measurements, history), joins.join_pv_recent(measurements, energy, since)
+        ).drop("PowerPV")
+        weighed = sets.union_all(
+            joins.weigh_pv_history(measurements, history), joins.weigh_pv_recent(measurements, energy, since)
+        ).drop("PowerPV")
+        want = agg.resample_mixed(pairs, KEY, "Time").orderBy("bin").toPandas()
+        got = agg.resample_mixed(weighed, KEY, "Time", weight="pairs", weights={"SolarPower": "known"}).orderBy("bin").toPandas()
+        pandas.testing.assert_frame_equal(got[want.columns], want)
+        assert len(weighed.collect()) == len(sky) < pairs.count()
+
+
 class TestTime:
     def test_autumn_hour_keeps_two_keys(self, spark):
         df = spark.createDataFrame([(t("00:30:00", "2025-10-26"),), (t("01:30:00", "2025-10-26"),)], "ts timestamp_ntz")

@@ -60,18 +60,19 @@ def resample_sum(
     return grid.na.fill(0, list(columns))
 
 
-def modes(df: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
+def modes(df: DataFrame, keys: list[str], columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Most frequent value of each column per key; among equally frequent ones the largest.
 
     Values are counted first, so a frequent value costs one row per map task, and only the counts are
-    ranked. All-null text columns give ``Unknown``, other types null.
+    ranked. All-null text columns give ``Unknown``, other types null. A row counts ``weight`` times.
     """
     types = {c: df.schema[c].dataType for c in columns}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])
+    times = F.lit(1) if weight is None else F.col(weight)
     counted = (
-        df.select(*keys, F.explode(pairs).alias("p"))
+        df.select(*keys, times.alias("w"), F.explode(pairs).alias("p"))
         .groupBy(*keys, F.col("p.c").alias("c"), F.col("p.v").alias("v"))
-        .agg(F.count("p.v").alias("n"))
+        .agg(F.sum("w").alias("n"))
     )
 
     def best(column: str) -> Column:
@@ -89,14 +90,33 @@ def resample_mode(
     return modes(df.withColumn("bin", cal.bin_start(ts, width)), [*keys, "bin"], columns)
 
 
-def resample_mixed(df: DataFrame, keys: list[str], ts: str, width: int = cal.STEP_MINUTES) -> DataFrame:
-    """Mean of numeric and mode of all other columns per bin, on the gap-free grid."""
-    numeric = [c for c in cols.numeric_columns(df) if c not in keys]
+def _mean(column: str, weight: str | None) -> Column:
+    if weight is None:
+        return F.avg(column)
+    times = F.when(F.col(column).isNotNull(), F.col(weight))
+    return F.sum(F.col(column) * times) / F.nullif(F.sum(times), F.lit(0))
+
+
+def resample_mixed(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    width: int = cal.STEP_MINUTES,
+    weight: str | None = None,
+    weights: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Mean of numeric and mode of all other columns per bin, on the gap-free grid.
+
+    A row counts ``weight`` times; ``weights`` names another weight for single columns.
+    """
+    own = dict(weights or {})
+    helpers = {weight, *own.values()}
+    numeric = [c for c in cols.numeric_columns(df) if c not in keys and c not in helpers]
     other = [c for c in cols.other_columns(df) if c not in (*keys, ts)]
     with_bin = df.withColumn("bin", cal.bin_start(ts, width))
-    means = with_bin.groupBy(*keys, "bin").agg(*[F.avg(c).alias(c) for c in numeric])
+    means = with_bin.groupBy(*keys, "bin").agg(*[_mean(c, own.get(c, weight)).alias(c) for c in numeric])
     text = [c for c in other if isinstance(df.schema[c].dataType, T.StringType)]
-    both = means.join(modes(with_bin, [*keys, "bin"], other), [*keys, "bin"]) if other else means
+    both = means.join(modes(with_bin, [*keys, "bin"], other, weight), [*keys, "bin"]) if other else means
     return densify(both, keys, "bin", width).na.fill(NO_MODE, text)
 
 

@@ -6,10 +6,11 @@ time what turned out to be small, and splits skewed partitions otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
+from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
 
 HEAD = 4
@@ -37,6 +38,16 @@ def cut_over(measurements: DataFrame, history: DataFrame, key: str = "ClientId")
     return both.groupBy(key).agg(F.max("Time").alias("cut_over"))
 
 
+def _recent(measurements: DataFrame, since: DataFrame, key: str, include_cut_over: bool) -> DataFrame:
+    later = F.col("Time") >= F.col("cut_over") if include_cut_over else F.col("Time") > F.col("cut_over")
+    return _by_minute(measurements, "Time").join(since, key).where(later).drop("cut_over")
+
+
+def _metered(energy: DataFrame, key: str) -> DataFrame:
+    by_minute = _by_minute(energy.select(key, F.col("TimeStampMeasured").alias("Time"), "PowerToPv"), "Time")
+    return by_minute.select(key, "Time", val.watt_to_kilowatt(F.col("PowerToPv")).alias("SolarPower"))
+
+
 def join_pv_recent(
     measurements: DataFrame,
     energy: DataFrame,
@@ -48,20 +59,47 @@ def join_pv_recent(
 
     ``include_cut_over`` keeps the cut-over minute itself, which the history branch holds too.
     """
-    recent = F.col("Time") >= F.col("cut_over") if include_cut_over else F.col("Time") > F.col("cut_over")
-    metered = _by_minute(energy.select(key, F.col("TimeStampMeasured").alias("Time"), "PowerToPv"), "Time").select(
-        key, "Time", (F.col("PowerToPv") / 1000).alias("SolarPower")
-    )
-    return (
-        _by_minute(measurements, "Time")
-        .join(since, key)
-        .where(recent)
-        .drop("cut_over")
-        .join(metered, [key, "Time"], "left")
-        .withColumn("SolarPower", F.coalesce("SolarPower", "PowerPV"))
+    recent = _recent(measurements, since, key, include_cut_over)
+    both = recent.join(_metered(energy, key), [key, "Time"], "left")
+    return both.withColumn("SolarPower", F.coalesce("SolarPower", "PowerPV"))
+
+
+def _per_minute(powers: DataFrame, key: str) -> DataFrame:
+    return powers.groupBy(key, "Time").agg(
+        F.sum("SolarPower").alias("_sum"), F.count("SolarPower").alias("_known"), F.count(F.lit(1)).alias("_all")
     )
 
 
+def weigh_pv_history(measurements: DataFrame, history: DataFrame, key: str = "ClientId") -> DataFrame:
+    """The pairs of :func:`join_pv_history` summed up per reading, one row each.
+
+    ``SolarPower`` is the mean over a reading's pairs, ``pairs`` their number and ``known`` how many have a
+    value. Means and modes by these weights are those of the pairs, which are never made.
+    """
+    matched = _by_minute(measurements, "Time").join(_per_minute(_by_minute(history, "Time"), key), [key, "Time"])
+    return _weighted(matched, F.col("_sum"), F.col("_known"), F.col("_all"))
+
+
+def weigh_pv_recent(
+    measurements: DataFrame, energy: DataFrame, since: DataFrame, key: str = "ClientId", include_cut_over: bool = False
+) -> DataFrame:
+    """The pairs of :func:`join_pv_recent` summed up per reading; see :func:`weigh_pv_history`."""
+    recent = _recent(measurements, since, key, include_cut_over)
+    matched = recent.join(_per_minute(_metered(energy, key), key), [key, "Time"], "left")
+    pairs = F.coalesce("_all", F.lit(1))
+    metered = F.coalesce("_known", F.lit(0))
+    # pairs without a metered value take the plant's own, if there is one
+    own = F.when(F.col("PowerPV").isNotNull(), pairs - metered).otherwise(0)
+    total = F.coalesce("_sum", F.lit(0.0)) + own * F.coalesce("PowerPV", F.lit(0.0))
+    return _weighted(matched, total, metered + own, pairs)
+
+
+def _weighted(matched: DataFrame, total: Column, known: Column, pairs: Column) -> DataFrame:
+    return matched.withColumns(
+        {"SolarPower": total / F.nullif(known, F.lit(0)), "known": known, "pairs": pairs}
+    ).drop("_sum", "_known", "_all")
+
+
 def join_client_energy(clients: DataFrame, energy: DataFrame) -> DataFrame:
     """Site columns once per reading of the site."""
     readings = energy.select(F.col("ClientId").alias("Id"))

@@ -32,11 +32,16 @@ KEY = ["ClientId"]
 def training_series(
     measurements: DataFrame, history: DataFrame, energy: DataFrame, include_cut_over: bool = False
 ) -> DataFrame:
-    """Weather with solar power per bin: recorded history, then metered power after its end."""
+    """Weather with solar power per bin: recorded history, then metered power after its end.
+
+    Readings that share a minute pair up with all powers of that minute. The bin's means and modes over
+    those pairs are taken by weight.
+    """
     since = stored(joins.cut_over(measurements, history), "cut-over")
-    recorded = joins.join_pv_history(measurements, history).drop("PowerPV")
-    metered = joins.join_pv_recent(measurements, energy, since, include_cut_over=include_cut_over).drop("PowerPV")
-    mixed = agg.resample_mixed(sets.union_all(recorded, metered), KEY, "Time")
+    recorded = joins.weigh_pv_history(measurements, history)
+    metered = joins.weigh_pv_recent(measurements, energy, since, include_cut_over=include_cut_over)
+    both = sets.union_all(recorded, metered).drop("PowerPV")
+    mixed = agg.resample_mixed(both, KEY, "Time", weight="pairs", weights={TARGET: "known"})
     return mixed.withColumns(
         {
             "SunriseDT": cal.truncate(F.col("SunriseDT"), "MINUTE"),

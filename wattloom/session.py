@@ -55,8 +55,8 @@ def work_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder path below the shared work folder."""
-    return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared work folder, which can go when the run is over."""
+    return f"{work_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
