@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks.tables import CUTOFF, FRAGMENTS, Tables, check, rounded
+from checks.tables import CUTOFF, FRAGMENTS, PV_FROM, Tables, check, rounded
 from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
 from wattloom.operators import filters, joins, metrics, ordered, sets, transforms
-from wattloom.plans import gate, load_daily, load_hourly, slots, solar_daily
+from wattloom.plans import gate, load_daily, load_hourly, profiles, slots, solar_daily
 from wattloom.session import stored
 
 KEY = ["ClientId"]
@@ -634,19 +635,21 @@ def features_hourly(t: Tables):
     return rounded(load_hourly.features(t.site_energy, t.site_measurements))
 
 
-FRAGMENTS["solar_rows"] = """
-    SELECT m.ClientId, date_trunc('minute', m.Time) AS Time, m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.WindSpeed,
-           m.Weather, h.SolarPower FROM measurements m
+SOLAR_COLUMNS = """m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.WindSpeed, m.Weather, m.WeatherDescription,
+           m.SunriseDT, m.SunsetDT"""
+
+FRAGMENTS["solar_rows"] = f"""
+    SELECT m.ClientId, date_trunc('minute', m.Time) AS Time, {SOLAR_COLUMNS}, h.SolarPower FROM measurements m
     JOIN pv_history h ON m.ClientId = h.ClientId AND date_trunc('minute', m.Time) = h.Time
     UNION ALL
-    SELECT m.ClientId, date_trunc('minute', m.Time), m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.WindSpeed, m.Weather,
-           coalesce(e.PowerToPv / 1000.0, m.PowerPV)
+    SELECT m.ClientId, date_trunc('minute', m.Time), {SOLAR_COLUMNS}, coalesce(e.PowerToPv / 1000.0, m.PowerPV)
     FROM measurements m JOIN pv_cut_over c ON m.ClientId = c.ClientId
     LEFT JOIN energy e ON e.ClientId = m.ClientId AND date_trunc('minute', e.TimeStampMeasured) = date_trunc('minute', m.Time)
     WHERE date_trunc('minute', m.Time) > c.cut_over"""
 FRAGMENTS["solar_means"] = f"""
     SELECT ClientId, {BIN.format('Time')} AS bin, avg(Temperature) - 273.15 AS Temperature, avg(Humidity) AS Humidity,
-           avg(SolarPower) AS SolarPower FROM solar_rows GROUP BY 1, 2"""
+           avg(Clouds) AS Clouds, avg(Pressure) AS Pressure, avg(WindSpeed) AS WindSpeed, avg(SolarPower) AS SolarPower
+    FROM solar_rows GROUP BY 1, 2"""
 FRAGMENTS["solar_spine"] = spine("solar_means")
 
 
@@ -661,6 +664,143 @@ def solar_series(t: Tables):
     return rounded(series.select("ClientId", "bin", "Temperature", "Humidity", "SolarPower", "Weather"))
 
 
+SOLAR_SKY = ["Temperature", "Humidity", "Clouds", "Pressure", "WindSpeed"]
+LOCAL_BIN = "timezone('Europe/Ljubljana', timezone('UTC', {}))"
+FRAGMENTS["solar_weather"] = mode_sql("solar_rows", "Weather")
+FRAGMENTS["solar_description"] = mode_sql("solar_rows", "WeatherDescription")
+FRAGMENTS["solar_rise"] = mode_sql("solar_rows", "SunriseDT")
+FRAGMENTS["solar_fall"] = mode_sql("solar_rows", "SunsetDT")
+FRAGMENTS["solar_complete"] = """
+    SELECT m.*, w.Weather, d.WeatherDescription, r.SunriseDT, f.SunsetDT FROM solar_means m
+    JOIN solar_weather w ON m.ClientId = w.ClientId AND m.bin = w.bin
+    JOIN solar_description d ON m.ClientId = d.ClientId AND m.bin = d.bin
+    JOIN solar_rise r ON m.ClientId = r.ClientId AND m.bin = r.bin
+    JOIN solar_fall f ON m.ClientId = f.ClientId AND m.bin = f.bin WHERE m.SolarPower IS NOT NULL"""
+for _column in ("Weather", "WeatherDescription"):
+    FRAGMENTS[f"{_column}_codes"] = f"""
+        SELECT {_column}, row_number() OVER (ORDER BY {_column}) - 1 AS code
+        FROM (SELECT DISTINCT {_column} FROM solar_complete) c"""
+
+
+def local_calendar_sql(ts: str) -> str:
+    local = LOCAL_BIN.format(ts)
+    return f"""round(sin(2 * pi() * hour({local}) / 24), 6) + 0.0 AS hour_sin,
+               round(cos(2 * pi() * hour({local}) / 24), 6) + 0.0 AS hour_cos,
+               round(sin(2 * pi() * day({local}) / 30), 6) + 0.0 AS sin_day_of_month,
+               round(cos(2 * pi() * day({local}) / 30), 6) + 0.0 AS cos_day_of_month"""
+
+
+def solar_table(t: Tables):
+    """The complete series, its encoders and the feature table."""
+    series = solar_daily.training_series(t.measurements.drop("event_id"), t.pv_history, t.energy)
+    series = stored(filters.drop_any_null(series), "solar-series")
+    encoders = {c: stored(labels, "labels") for c, labels in solar_daily.fit_encoders(series).items()}
+    return encoders, solar_daily.features(series, encoders, SOLAR_SKY)
+
+
+@check(f"""
+    SELECT c.ClientId, c.bin, {", ".join(f"round(c.{x}, 6) + 0.0 AS {x}" for x in SOLAR_SKY)}, {local_calendar_sql("c.bin")},
+           round(epoch(c.SunsetDT - c.SunriseDT) / 3600.0, 6) AS daylight_duration, CAST(w.code AS BIGINT) AS Weather_encoded,
+           CAST(d.code AS BIGINT) AS WeatherDescription_encoded, round(c.SolarPower, 6) AS SolarPower, c.SunriseDT, c.SunsetDT
+    FROM solar_complete c JOIN Weather_codes w ON c.Weather = w.Weather
+    JOIN WeatherDescription_codes d ON c.WeatherDescription = d.WeatherDescription""")
+def features_solar(t: Tables):
+    return rounded(solar_table(t)[1])
+
+
+@check(f"""
+    WITH sun AS (SELECT ClientId, arg_max(SunriseDT, bin) AS rise, arg_max(SunsetDT, bin) AS fall FROM solar_complete GROUP BY 1),
+    hours AS (
+      SELECT f.ClientId, f.Time AS bin, round(f.Temperature, 6) AS Temperature, f.Humidity, {local_calendar_sql("f.Time")},
+             round(epoch(s.fall - date_trunc('day', s.fall) - (s.rise - date_trunc('day', s.rise))) / 3600.0, 6)
+               AS daylight_duration, coalesce(w.code, 0) AS Weather_encoded, coalesce(d.code, 0) AS WeatherDescription_encoded,
+             date_trunc('day', f.Time) + (s.rise - date_trunc('day', s.rise)) AS SunriseDT,
+             date_trunc('day', f.Time) + (s.fall - date_trunc('day', s.fall)) AS SunsetDT
+      FROM weather_forecast f JOIN sun s ON f.ClientId = s.ClientId LEFT JOIN Weather_codes w ON f.Weather = w.Weather
+      LEFT JOIN WeatherDescription_codes d ON f.WeatherDescription = d.WeatherDescription
+      WHERE f.Time >= TIMESTAMP '{PV_FROM}'),
+    grid AS ({spine("hours")})
+    SELECT g.ClientId, g.bin, {", ".join(f"h.{c}" for c in ("Temperature", "Humidity", "hour_sin", "hour_cos", "sin_day_of_month", "cos_day_of_month", "daylight_duration"))},
+           CAST(h.Weather_encoded AS BIGINT) AS Weather_encoded, CAST(h.WeatherDescription_encoded AS BIGINT) AS WeatherDescription_encoded,
+           h.SunriseDT, h.SunsetDT
+    FROM grid g ASOF JOIN hours h ON g.ClientId = h.ClientId AND g.bin >= h.bin""")
+def serving_solar(t: Tables):
+    """Hourly forecast rows with features, carried to the quarter hours."""
+    encoders, table = solar_table(t)
+    served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", PV_FROM))
+    rows = solar_daily.serving(served, table, encoders, ["Temperature", "Humidity"])
+    return rounded(rows)
+
+
+def _hourly_targets_sql() -> str:
+    w = "OVER (PARTITION BY ClientId ORDER BY bin)"
+    lags = ", ".join(f"lag(ConsumerPower1, {k}) {w} AS lag_{k}" for k in range(1, 25))
+    ahead = ", ".join(f"lead(ConsumerPower1, {h}) {w} AS y_{h}" for h in range(1, 5))
+    known = " AND ".join(f"lag_{k} IS NOT NULL" for k in range(1, 25))
+    return f"""
+        SELECT ClientId, bin, CAST(h AS INT) AS h, round(label, 6) AS label FROM (
+          SELECT ClientId, bin, h, CASE h WHEN 1 THEN y_1 WHEN 2 THEN y_2 WHEN 3 THEN y_3 ELSE y_4 END AS label
+          FROM (SELECT *, {lags}, {ahead} FROM (
+            SELECT p.ClientId, p.bin, p.ConsumerPower1, s.Temperature FROM site_power_15m p
+            JOIN site_sky_15m s ON p.ClientId = s.ClientId AND p.bin = s.bin) j) q, generate_series(1, 4) g(h)
+          WHERE ConsumerPower1 IS NOT NULL AND Temperature IS NOT NULL AND {known}) r
+        WHERE label IS NOT NULL"""
+
+
+@check(_hourly_targets_sql())
+def hourly_targets(t: Tables):
+    """One row per complete origin and known step."""
+    long = load_hourly.long_form(load_hourly.supervised(t.site_energy, t.site_measurements))
+    return rounded(long.select("ClientId", "bin", "h", "label"))
+
+
+@check(f"""
+    SELECT ClientId, event_id, lag(p, 1) OVER w AS lag_1, lag(p, 23) OVER w AS lag_23, lead(p, 1) OVER w AS y_1,
+           lead(p, 4) OVER w AS y_4, hour({TIME}) * 10000 + minute({TIME}) * 100 + CAST(floor(second({TIME})) AS INT) AS TimeOfDay,
+           isodow({TIME}) AS DayOfWeek, 1 AS Season
+    FROM (SELECT ClientId, event_id, {TIME}, CAST(PowerFromLoad AS DOUBLE) AS p FROM energy) e
+    WINDOW w AS (PARTITION BY ClientId ORDER BY {TIME}, event_id)""")
+def reading_sequences(t: Tables):
+    table, _, _ = load_hourly.reading_sequences(t.energy, READ, tie=("event_id",))
+    return table.select("ClientId", "event_id", "lag_1", "lag_23", "y_1", "y_4", "TimeOfDay", "DayOfWeek", "Season")
+
+
+FRAGMENTS["profile_values"] = """
+    SELECT ClientId, bin, CAST(bin AS DATE) AS d, coalesce(
+      last_value(ConsumerPower1 IGNORE NULLS) OVER (PARTITION BY ClientId, strftime(bin, '%H:%M:%S') ORDER BY bin
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      first_value(ConsumerPower1 IGNORE NULLS) OVER (PARTITION BY ClientId, strftime(bin, '%H:%M:%S') ORDER BY bin
+        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS v
+    FROM power_15m"""
+FRAGMENTS["profile_lists"] = "SELECT ClientId, d, list(v ORDER BY bin) AS vs FROM profile_values GROUP BY 1, 2"
+FRAGMENTS["profile_slots"] = """
+    SELECT ClientId, strftime(d, '%Y-%m-%d') AS Date, CAST(i AS INT) AS slot,
+           CASE WHEN i < 96 THEN vs[i + 1] WHEN len(nxt) >= 4 THEN nxt[i - 95] ELSE vs[96] END AS v
+    FROM (SELECT *, lead(vs) OVER (PARTITION BY ClientId ORDER BY d) AS nxt FROM profile_lists) q, generate_series(0, 99) g(i)
+    WHERE len(vs) = 96"""
+
+
+def _profiles(t: Tables):
+    return profiles.profiles(profiles.filled_days(slots.load_series(t.energy), slots.TARGET), slots.TARGET)
+
+
+@check("SELECT ClientId, Date, slot, round(v, 6) AS v FROM profile_slots")
+def day_profiles(t: Tables):
+    days = _profiles(t).withColumn("Date", F.col("Date").cast("string"))
+    return rounded(days.select("ClientId", "Date", F.posexplode("profile").alias("slot", "v")))
+
+
+@check("""
+    WITH fitted AS (SELECT ClientId, slot, avg(v) AS m, stddev_pop(v) AS s FROM profile_slots GROUP BY 1, 2)
+    SELECT p.ClientId, p.Date, p.slot, round(CASE WHEN s = 0 THEN v - m ELSE (v - m) / s END, 6) + 0.0 AS v
+    FROM profile_slots p JOIN fitted f ON p.ClientId = f.ClientId AND p.slot = f.slot""")
+def day_profiles_scaled(t: Tables):
+    days = stored(_profiles(t), "profiles")
+    scaled = profiles.scaled(days, stored(profiles.fit_scaler(days), "profile-scaler"))
+    values = vector_to_array("features")
+    return rounded(scaled.select("ClientId", F.col("Date").cast("string").alias("Date"), F.posexplode(values).alias("slot", "v")))
+
+
 # ---- errors
 
 

@@ -73,8 +73,8 @@ def fit_encoders(train: DataFrame) -> dict[str, DataFrame]:
 
 
 def features(series: DataFrame, encoders: dict[str, DataFrame], weather: list[str] = WEATHER) -> DataFrame:
-    """The published feature table of complete rows."""
-    table = _calendar(filters.drop_any_null(series), "bin")
+    """The published feature table, from complete rows of the series."""
+    table = _calendar(series, "bin")
     for column, labels in encoders.items():
         table = transforms.label_encode(table, labels, [], column)
     return table.select(*KEY, "bin", *weather, *CALENDAR, *ENCODED, TARGET, "SunriseDT", "SunsetDT")
@@ -156,8 +156,9 @@ def forecast(
     depth: int = 5,
 ) -> DataFrame:
     """The whole daily solar job."""
-    series = stored(training_series(measurements, history, energy), "solar-series")
-    encoders = fit_encoders(series)
+    complete = filters.drop_any_null(training_series(measurements, history, energy))
+    series = stored(complete, "solar-series")
+    encoders = {c: stored(labels, "solar-labels") for c, labels in fit_encoders(series).items()}
     table = stored(features(series, encoders, weather), "solar-table")
     model, _ = train(table, weather, trees, depth)
     served = serving(weather_forecast, table, encoders, weather)
