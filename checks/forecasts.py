@@ -200,23 +200,25 @@ def default_zero_slots(t: Tables):
 
 @check(f"""
     WITH tail AS (
-      SELECT ClientId, Time, Temperature, false AS is_serving FROM (
-        SELECT *, row_number() OVER (PARTITION BY ClientId ORDER BY Time DESC, event_id DESC) AS rn FROM measurements
-        WHERE Time < TIMESTAMP '{PV_FROM}') q WHERE rn <= 1152),
+      SELECT ClientId, bin AS Time, Temperature, false AS is_serving FROM (
+        SELECT *, row_number() OVER (PARTITION BY ClientId ORDER BY bin DESC) AS rn FROM sky_15m
+        WHERE bin < TIMESTAMP '{PV_FROM}') q WHERE rn <= 1152),
     served AS (SELECT ClientId, Time, Temperature, true FROM weather_forecast WHERE Time >= TIMESTAMP '{PV_FROM}'),
     lagged AS (SELECT *, lag(Temperature, 24) OVER (PARTITION BY ClientId ORDER BY Time) AS lag_24
                FROM (SELECT * FROM tail UNION ALL SELECT * FROM served) u)
-    SELECT ClientId, Time, Temperature, lag_24 FROM lagged WHERE is_serving""")
+    SELECT ClientId, Time, round(Temperature, 6) AS Temperature, round(lag_24, 6) AS lag_24 FROM lagged WHERE is_serving""")
 def align_serving_tail(t: Tables):
-    history = t.measurements.where(F.col("Time") < filters.at(t.measurements, "Time", PV_FROM))
-    tail = ordered.sequence_tail(history, KEY, [F.desc("Time"), F.desc("event_id")], solar_daily.CONTEXT_ROWS)
+    """The last 1152 bins before the served rows give these their lags and are dropped again."""
+    history = load_daily.weather_series(t.measurements).withColumnRenamed("bin", "Time")
+    before = history.where(F.col("Time") < filters.at(history, "Time", PV_FROM))
+    tail = ordered.sequence_tail(before, KEY, [F.desc("Time")], solar_daily.CONTEXT_ROWS)
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", PV_FROM))
     names = ["ClientId", "Time", "Temperature"]
     both = sets.union_all(
         tail.select(names).withColumn("is_serving", F.lit(False)), served.select(names).withColumn("is_serving", F.lit(True))
     )
     lagged = ordered.neighbour_columns(both, KEY, ["Time"], {"lag_24": ("Temperature", 24)}, None)
-    return assembly.serving_rows(lagged)
+    return rounded(assembly.serving_rows(lagged))
 
 
 # ---- streams

@@ -51,8 +51,8 @@ FRAGMENTS.update(
                      OVER (PARTITION BY ClientId ORDER BY bin {before(0)}) AS LoadEnergyCalculated_15
             FROM load_filled""",
         "joined_15m": """
-            SELECT e.ClientId, e.bin, e.LoadEnergyCalculated_15, w.Temperature, w.Humidity
-            FROM load_15m e JOIN sky_15m w ON e.ClientId = w.ClientId AND e.bin = w.bin""",
+            SELECT e.ClientId, e.bin, e.index, e.LoadEnergyCalculated_15, w.Temperature, w.Humidity
+            FROM (SELECT *, row_number() OVER (PARTITION BY ClientId ORDER BY bin) - 1 AS index FROM load_15m) e JOIN sky_15m w ON e.ClientId = w.ClientId AND e.bin = w.bin""",
         # a forecast that repeats the value before, to have something to judge
         "naive_scores": """
             SELECT * FROM (SELECT ClientId, bin, LoadEnergyCalculated_15 / 1000.0 AS y,
@@ -99,7 +99,7 @@ def _features_sql() -> str:
     days = ", ".join(f"CASE WHEN isodow(bin) - 1 = {k} THEN 1 ELSE 0 END AS DayOfWeek_{k}" for k in range(1, 7))
     known = " AND ".join(f"lag_{k} IS NOT NULL" for k in range(1, 16))
     return f"""
-        SELECT ClientId, bin AS Timestamp, round(LoadEnergyCalculated_15, 6) AS LoadEnergyCalculated_15,
+        SELECT ClientId, bin AS Timestamp, index, round(LoadEnergyCalculated_15, 6) AS LoadEnergyCalculated_15,
                round(Temperature, 6) AS Temperature, round(Humidity, 6) AS Humidity, month(bin) AS Month, day(bin) AS Day,
                hour(bin) AS Hour, round(sin(2 * pi() * hour(bin) / 24), 6) + 0.0 AS hour_sin,
                round(cos(2 * pi() * hour(bin) / 24), 6) + 0.0 AS hour_cos,
@@ -293,7 +293,7 @@ def input_sequences(t: Tables):
     """The 288-row inputs, shown by their length, sum and ends."""
     value = "LoadEnergyCalculated_15"
     sequences = ordered.input_sequences(energy_series(t), KEY, "bin", [value], 288)
-    total = F.aggregate("sequence", F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate("sequence", F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
     return rounded(
         sequences.select(
             "ClientId",
@@ -317,7 +317,7 @@ def supervised_windows(t: Tables):
     """288 rows before and 96 from the current one on, with one more row after them."""
     value = "LoadEnergyCalculated_15"
     windows = ordered.supervised_windows(energy_series(t), KEY, "bin", [value], value, 288, 96)
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
     return rounded(
         windows.select(
             "ClientId",
@@ -655,13 +655,13 @@ FRAGMENTS["solar_spine"] = spine("solar_means")
 
 @check(f"""
     WITH w AS ({mode_sql('solar_rows', 'Weather')})
-    SELECT g.ClientId, g.bin, round(Temperature, 6) + 0.0 AS Temperature, round(Humidity, 6) AS Humidity,
-           round(SolarPower, 6) AS SolarPower, coalesce(w.Weather, 'Unknown') AS Weather
+    SELECT g.ClientId, g.bin, round(Temperature, 9) + 0.0 AS Temperature, round(Humidity, 9) AS Humidity,
+           round(SolarPower, 9) AS SolarPower, coalesce(w.Weather, 'Unknown') AS Weather
     FROM solar_spine g LEFT JOIN solar_means m ON g.ClientId = m.ClientId AND g.bin = m.bin
     LEFT JOIN w ON g.ClientId = w.ClientId AND g.bin = w.bin""")
 def solar_series(t: Tables):
     series = solar_daily.training_series(t.measurements.drop("event_id"), t.pv_history, t.energy)
-    return rounded(series.select("ClientId", "bin", "Temperature", "Humidity", "SolarPower", "Weather"))
+    return rounded(series.select("ClientId", "bin", "Temperature", "Humidity", "SolarPower", "Weather"), 9)
 
 
 SOLAR_SKY = ["Temperature", "Humidity", "Clouds", "Pressure", "WindSpeed"]
@@ -684,10 +684,10 @@ for _column in ("Weather", "WeatherDescription"):
 
 def local_calendar_sql(ts: str) -> str:
     local = LOCAL_BIN.format(ts)
-    return f"""round(sin(2 * pi() * hour({local}) / 24), 6) + 0.0 AS hour_sin,
-               round(cos(2 * pi() * hour({local}) / 24), 6) + 0.0 AS hour_cos,
-               round(sin(2 * pi() * day({local}) / 30), 6) + 0.0 AS sin_day_of_month,
-               round(cos(2 * pi() * day({local}) / 30), 6) + 0.0 AS cos_day_of_month"""
+    return f"""round(sin(2 * pi() * hour({local}) / 24), 9) + 0.0 AS hour_sin,
+               round(cos(2 * pi() * hour({local}) / 24), 9) + 0.0 AS hour_cos,
+               round(sin(2 * pi() * day({local}) / 30), 9) + 0.0 AS sin_day_of_month,
+               round(cos(2 * pi() * day({local}) / 30), 9) + 0.0 AS cos_day_of_month"""
 
 
 def solar_table(t: Tables):
@@ -699,20 +699,20 @@ def solar_table(t: Tables):
 
 
 @check(f"""
-    SELECT c.ClientId, c.bin, {", ".join(f"round(c.{x}, 6) + 0.0 AS {x}" for x in SOLAR_SKY)}, {local_calendar_sql("c.bin")},
-           round(epoch(c.SunsetDT - c.SunriseDT) / 3600.0, 6) AS daylight_duration, CAST(w.code AS BIGINT) AS Weather_encoded,
-           CAST(d.code AS BIGINT) AS WeatherDescription_encoded, round(c.SolarPower, 6) AS SolarPower, c.SunriseDT, c.SunsetDT
+    SELECT c.ClientId, c.bin, {", ".join(f"round(c.{x}, 9) + 0.0 AS {x}" for x in SOLAR_SKY)}, {local_calendar_sql("c.bin")},
+           round(epoch(c.SunsetDT - c.SunriseDT) / 3600.0, 9) AS daylight_duration, CAST(w.code AS BIGINT) AS Weather_encoded,
+           CAST(d.code AS BIGINT) AS WeatherDescription_encoded, round(c.SolarPower, 9) AS SolarPower, c.SunriseDT, c.SunsetDT
     FROM solar_complete c JOIN Weather_codes w ON c.Weather = w.Weather
     JOIN WeatherDescription_codes d ON c.WeatherDescription = d.WeatherDescription""")
 def features_solar(t: Tables):
-    return rounded(solar_table(t)[1])
+    return rounded(solar_table(t)[1], 9)
 
 
 @check(f"""
     WITH sun AS (SELECT ClientId, arg_max(SunriseDT, bin) AS rise, arg_max(SunsetDT, bin) AS fall FROM solar_complete GROUP BY 1),
     hours AS (
-      SELECT f.ClientId, f.Time AS bin, round(f.Temperature, 6) AS Temperature, f.Humidity, {local_calendar_sql("f.Time")},
-             round(epoch(s.fall - date_trunc('day', s.fall) - (s.rise - date_trunc('day', s.rise))) / 3600.0, 6)
+      SELECT f.ClientId, f.Time AS bin, round(f.Temperature, 9) AS Temperature, f.Humidity, {local_calendar_sql("f.Time")},
+             round(epoch(s.fall - date_trunc('day', s.fall) - (s.rise - date_trunc('day', s.rise))) / 3600.0, 9)
                AS daylight_duration, coalesce(w.code, 0) AS Weather_encoded, coalesce(d.code, 0) AS WeatherDescription_encoded,
              date_trunc('day', f.Time) + (s.rise - date_trunc('day', s.rise)) AS SunriseDT,
              date_trunc('day', f.Time) + (s.fall - date_trunc('day', s.fall)) AS SunsetDT
@@ -729,7 +729,7 @@ def serving_solar(t: Tables):
     encoders, table = solar_table(t)
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", PV_FROM))
     rows = solar_daily.serving(served, table, encoders, ["Temperature", "Humidity"])
-    return rounded(rows)
+    return rounded(rows, 9)
 
 
 def _hourly_targets_sql() -> str:

@@ -131,6 +131,9 @@ def test_aligned_series_equals_join_of_two_grids(spark):
     together = load_daily.joined_series(energy, sky, cutoff=cutoff)
     apart = joins.join_on_bin(load_daily.energy_series(energy, cutoff), load_daily.weather_series(sky))
     names = ["ClientId", "bin", load_daily.TARGET, "Temperature", "Humidity"]
+    firsts = load_daily.energy_series(energy, cutoff).groupBy("ClientId").agg(F.min("bin").alias("first"))
+    minutes = F.timestamp_diff("MINUTE", "first", "bin") / 15
+    assert together.join(firsts, "ClientId").where(F.col("index") != minutes).isEmpty()
     assert together.count() > 100
     assert together.select(names).exceptAll(apart.select(names)).isEmpty()
     assert apart.select(names).exceptAll(together.select(names)).isEmpty()

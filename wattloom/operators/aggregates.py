@@ -18,20 +18,24 @@ QUANTILE_BUCKETS = 256
 SKETCH_ACCURACY = 10_000
 
 
-def densify(binned: DataFrame, keys: list[str], bin_col: str = "bin", width: int = cal.STEP_MINUTES) -> DataFrame:
+def densify(
+    binned: DataFrame, keys: list[str], bin_col: str = "bin", width: int = cal.STEP_MINUTES, last: str | None = None
+) -> DataFrame:
     """Add the absent bins between a key's first and last one, with nulls.
 
     Every row fills the gap up to its successor, so neither a second scan for the bounds nor a join with
-    a generated grid is needed. Input: one row per key and bin.
+    a generated grid is needed. Input: one row per key and bin. The grid goes on to the instant in the column
+    ``last`` if one is named, which is dropped.
     """
     successor = F.lead(bin_col).over(Window.partitionBy(*keys).orderBy(bin_col))
-    end = F.coalesce(F.col("_next") - cal.minutes(width), F.col(bin_col))
-    rest = [c for c in binned.columns if c not in (*keys, bin_col)]
+    end = F.coalesce(F.col("_next") - cal.minutes(width), F.col(last or bin_col))
+    kept = [c for c in binned.columns if c != last]
+    rest = [c for c in kept if c not in (*keys, bin_col)]
     steps = F.posexplode(cal.grid(F.col(bin_col), end, width)).alias("_gap", bin_col)
     return (
         binned.withColumn("_next", successor)
         .select(*keys, *rest, steps)
-        .select(*[F.when(F.col("_gap") == 0, F.col(c)).alias(c) if c in rest else F.col(c) for c in binned.columns])
+        .select(*[F.when(F.col("_gap") == 0, F.col(c)).alias(c) if c in rest else F.col(c) for c in kept])
     )
 
 

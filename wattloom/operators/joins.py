@@ -106,28 +106,20 @@ def join_client_energy(clients: DataFrame, energy: DataFrame) -> DataFrame:
     return readings.join(clients, "Id").select(*clients.columns)
 
 
-def join_spine_left(
-    df: DataFrame, keys: list[str], ts: str, width: int = cal.STEP_MINUTES, anchors: DataFrame | None = None
-) -> DataFrame:
-    """Put rows on the complete grid from the first to the last instant of a key.
+def join_spine_left(df: DataFrame, keys: list[str], ts: str, width: int = cal.STEP_MINUTES) -> DataFrame:
+    """Put a series on the complete grid from the first to the last instant of a key.
 
     Rows off the grid are lost; absent grid points get nulls. One row per key and instant is expected.
     """
-    bounds = df.groupBy(*keys).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
-    step = F.lit(width * 60 * 1_000_000)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    offset = micros(ts) - micros("_first")
-    on_grid = df.join(bounds, keys).where(offset % step == 0)
-    filled = agg.densify(on_grid.drop("_first", "_last"), keys, ts, width)
-    # the grid may go on after the last row that is on it
-    last_on_grid = filled.groupBy(*keys).agg(F.max(ts).alias("_reached"))
-    tail = (
-        last_on_grid.join(bounds, keys)
-        .select(*keys, F.explode(cal.grid(F.col("_reached"), F.col("_last"), width)).alias(ts), "_reached")
-        .where(F.col(ts) > F.col("_reached"))
-        .drop("_reached")
-    )
-    return filled.unionByName(tail, allowMissingColumns=True)
+    whole = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bounded = df.withColumns({"_first": F.min(ts).over(whole), "_last": F.max(ts).over(whole)})
+    offset = _micros(ts) - _micros("_first")
+    on_grid = bounded.where(offset % F.lit(width * 60 * 1_000_000) == 0).drop("_first")
+    return agg.densify(on_grid, keys, ts, width, last="_last")
+
+
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def anti_unseen(serving: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:

@@ -232,7 +232,10 @@ def targets_by_time(
 
 
 def sequence_tail(df: DataFrame, keys: list[str], order: Sequence[Column | str], length: int) -> DataFrame:
-    """The last ``length`` rows of every key; ``order`` is descending."""
+    """The last ``length`` rows of every key; ``order`` is descending.
+
+    Up to 1000 rows are cut by each task before the shuffle; take longer tails of series only.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= length).drop("_rank")
 

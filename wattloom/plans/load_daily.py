@@ -119,12 +119,13 @@ def joined_series(
 ) -> DataFrame:
     """Energy and weather over their common span, nulls where the weather has gaps.
 
-    Bin states are joined before values are carried across bins, so both sides are still partitioned by
+    ``index`` is the place of a bin in the site's energy series. Bin states are joined before values are carried across bins, so both sides are still partitioned by
     site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags.
     """
     aligned = joins.align_series(bin_states(energy, cutoff, limit, **names), weather_bins(measurements), KEY)
     clean = _clean_sums(_summed(aligned).where("in_left"), limit)
-    return clean.where("in_right").select(*KEY, "bin", TARGET, "Temperature", "Humidity")
+    numbered = ordered.row_ordinal(clean, KEY, ["bin"], None)
+    return numbered.where("in_right").select(*KEY, "bin", "index", TARGET, "Temperature", "Humidity")
 
 
 def with_features(joined: DataFrame) -> DataFrame:
@@ -138,7 +139,7 @@ def with_features(joined: DataFrame) -> DataFrame:
 def features(energy: DataFrame, measurements: DataFrame, **settings) -> DataFrame:
     """The published feature table; rows with any null are dropped after the lags were taken."""
     table = filters.drop_any_null(with_features(joined_series(energy, measurements, **settings)))
-    return table.select(*KEY, F.col("bin").alias("Timestamp"), TARGET, *FEATURES)
+    return table.select(*KEY, F.col("bin").alias("Timestamp"), TARGET, "index", *FEATURES)
 
 
 def inputs() -> list[str]:
