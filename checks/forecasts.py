@@ -11,7 +11,7 @@ from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
 from wattloom.operators import assembly, filters, metrics, ordered, sets
 from wattloom.plans import batch_score as saved_models
-from wattloom.plans import load_daily, load_hourly, profiles, slots, solar_daily, sweep
+from wattloom.plans import load_daily, load_hourly, profiles, publish, slots, solar_daily, sweep
 from wattloom.session import stored, work_path
 from wattloom.sources import readers, schemas, sinks
 from wattloom.streaming import jobs
@@ -183,6 +183,43 @@ def shape_load_output(t: Tables):
     return assembly.shape_load_output(assembly.hold_last(_day_ahead(t), KEY, "Timestamp", load_daily.FORECAST))
 
 
+@check(f"""
+    WITH fresh AS (SELECT ClientId, Timestamp, LoadEnergyForecast_15 AS p FROM day_ahead_held),
+    since AS (SELECT ClientId, min(Timestamp) AS since FROM fresh GROUP BY 1),
+    old AS (SELECT ClientId, {TIME} + INTERVAL 5 DAY AS at, PowerFromLoad AS v FROM energy)
+    SELECT o.ClientId, o.at AS TimeUtc, timezone('Europe/Ljubljana', timezone('UTC', o.at)) AS Time, o.v AS LSTMLoadPower
+    FROM old o JOIN since s ON o.ClientId = s.ClientId WHERE o.at < s.since
+    UNION ALL SELECT ClientId, Timestamp, timezone('Europe/Ljubljana', timezone('UTC', Timestamp)), CAST(round(p) AS BIGINT)
+    FROM fresh""")
+def publish_daily_load(t: Tables):
+    """Old rows reach five days beyond the readings; those the new forecast covers go."""
+    ahead = assembly.hold_last(_day_ahead(t), KEY, "Timestamp", load_daily.FORECAST)
+    old = t.energy.select("ClientId", (F.col(TIME) + F.expr("INTERVAL 5 DAYS")).alias("TimeUtc"), F.col("PowerFromLoad").alias("LSTMLoadPower"))
+    old = old.withColumns({"Time": cal.to_local(F.col("TimeUtc")), "HybridLoadPower": F.lit(0).cast("long")})
+    return publish.daily_load(old, ahead).select("ClientId", "TimeUtc", "Time", "LSTMLoadPower")
+
+
+@check(f"""
+    SELECT ClientId, {TIME} AS Time, PowerFromLoad AS LoadPower FROM energy WHERE {TIME} <= TIMESTAMP '{NOW}'
+    UNION ALL {HOUR_SQL}""")
+def publish_hourly_load(t: Tables):
+    old = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerFromLoad").alias("LoadPower"))
+    return publish.hourly_load(old, _hour_rows(t), NOW)
+
+
+WEEK_START = f"""timezone('UTC', timezone('Europe/Ljubljana',
+      date_trunc('day', timezone('Europe/Ljubljana', timezone('UTC', TIMESTAMP '{NOW}'))) - INTERVAL 7 DAY))"""
+
+
+@check(f"""
+    SELECT ClientId, {TIME} AS Time, PowerToPv AS PVProductionPower FROM energy WHERE {TIME} < {WEEK_START}
+    UNION ALL SELECT ClientId, Time, CAST(round(PowerPV) AS BIGINT) FROM measurements WHERE Time >= {WEEK_START}""")
+def publish_solar(t: Tables):
+    old = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerToPv").alias("PVProductionPower"))
+    forecast = t.measurements.select("ClientId", "Time", F.col("PowerPV").alias("SolarPower_pred"))
+    return publish.solar(old, forecast, NOW)
+
+
 @check("""
     WITH spine AS (SELECT Id AS ClientId, strftime(TIMESTAMP '2024-01-01' + to_minutes(15 * CAST(i AS INT)), '%H:%M:%S') AS slot
                    FROM clients, generate_series(0, 95) g(i)),

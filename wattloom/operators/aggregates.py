@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ from wattloom.session import stored
 
 # Fixed value: what the mode of nothing is called.
 NO_MODE = "Unknown"
-QUANTILE_BUCKETS = 256
+# Half the width of the bracket around a wanted quantile, well above the sketch's error.
+BRACKET = 0.002
 SKETCH_ACCURACY = 10_000
 
 
@@ -151,45 +154,56 @@ def cluster_histogram(df: DataFrame, keys: list[str], cluster: str = "cluster")
     return df.groupBy(*keys, cluster).agg(F.count(F.lit(1)).alias("members"))
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, ``(keys, probability, quantile)``.
+def _sketch(df: DataFrame, keys: list[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Per key the moments of a column and approximate brackets around the wanted quantiles."""
+    around = [min(max(p + side * BRACKET, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
+    return df.groupBy(*keys).agg(
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        F.percentile_approx(value, around, SKETCH_ACCURACY).alias("_splits"),
+    )
 
-    The built-in exact percentile holds all values of a key in one task. Here approximate split points,
-    which are small sketches, cut each key into ordered buckets of similar size; counts tell which bucket
-    holds a wanted rank, and only those buckets are ordered. The value counts are read three times and so
-    stored once.
-    """
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    counts = stored(counted, "value-counts")
-    steps = [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)]
-    sketch = F.percentile_approx("v", steps, SKETCH_ACCURACY)
-    splits = stored(counts.groupBy(*keys).agg(sketch.alias("_splits"), F.sum("n").alias("_total")), "value-splits")
-    bucketed = counts.join(splits, keys).select(
-        *keys, "v", "n", "_total", F.size(F.filter("_splits", lambda s: s <= F.col("v"))).alias("_bucket")
+
+def _exact(df: DataFrame, keys: list[str], value: str, probabilities: Sequence[float], sketch: DataFrame) -> DataFrame:
+    """``(keys, probability, quantile)`` from the rows inside the brackets."""
+    v = F.col("v")
+    bucket = reduce(add, [(v >= F.get("_splits", F.lit(i))).cast("int") for i in range(2 * len(probabilities))])
+    bucketed = (
+        df.where(F.col(value).isNotNull())
+        .select(*keys, F.col(value).alias("v"))
+        .join(sketch.select(*keys, "_splits", F.col("count").alias("_total")), keys)
+        .select(*keys, "v", "_total", bucket.alias("_bucket"))
     )
     below = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = F.array(*[F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("_total") - 1)).alias("rank")) for p in probabilities])
+    rank = [(F.lit(p) * (F.col("_total") - 1)).alias("rank") for p in probabilities]
+    ranks = F.array(*[F.struct(F.lit(p).alias("probability"), r) for p, r in zip(probabilities, rank, strict=True)])
     low, high = F.floor("rank"), F.ceil("rank")
     # per wanted rank the one or two buckets that hold it
     wanted = stored(
         bucketed.groupBy(*keys, "_bucket")
-        .agg(F.sum("n").alias("_size"), F.max("_total").alias("_total"))
+        .agg(F.count(F.lit(1)).alias("_size"), F.max("_total").alias("_total"))
         .withColumn("_base", F.coalesce(F.sum("_size").over(below), F.lit(0)))
         .select(*keys, "_bucket", "_base", "_size", F.inline(ranks))
         .where((F.col("_base") <= high) & (low < F.col("_base") + F.col("_size"))),
         "wanted-ranks",
     )
     inside = Window.partitionBy(*keys, "_bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    touched = bucketed.join(wanted.select(*keys, "_bucket").distinct(), [*keys, "_bucket"], "left_semi")
-    placed = touched.withColumn("_from", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    counted = (
+        bucketed.join(wanted.select(*keys, "_bucket").distinct(), [*keys, "_bucket"], "left_semi")
+        .groupBy(*keys, "_bucket", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("_from", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    )
     start = F.col("_base") + F.col("_from")
 
     def at(position: Column) -> Column:
-        return F.max(F.when((start <= position) & (position < start + F.col("n")), F.col("v")))
+        return F.max(F.when((start <= position) & (position < start + F.col("n")), v))
 
     picked = (
-        placed.select(*keys, "_bucket", "v", "n", "_from")
-        .join(wanted, [*keys, "_bucket"])
+        counted.join(wanted, [*keys, "_bucket"])
         .groupBy(*keys, "probability")
         .agg(at(low).alias("_low"), at(high).alias("_high"), F.max(F.col("rank") - low).alias("_part"))
     )
@@ -197,22 +211,26 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: Sequenc
     return picked.select(*keys, "probability", quantile.alias("quantile"))
 
 
+def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation, ``(keys, probability, quantile)``.
+
+    The built-in exact percentile holds all values of a key in one task. Here a first pass brackets every
+    wanted quantile by a small sketch, a second counts the rows between the brackets, and a third orders
+    the few values inside the ones that hold a wanted rank, equal values counted once. Whatever the
+    sketch's error, the ranks are counted, so the result is exact.
+    """
+    return _exact(df, keys, value, probabilities, stored(_sketch(df, keys, value, probabilities), "value-sketch"))
+
+
 def summary_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Count, mean, sample standard deviation, min, quartiles and max per key."""
-    moments = df.groupBy(*keys).agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-    )
     quartile = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
-    wide = (
-        quantiles(df, keys, value, list(quartile))
-        .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for p, n in quartile.items()])
+    sketch = stored(_sketch(df, keys, value, list(quartile)), "value-sketch")
+    picked = _exact(df, keys, value, list(quartile), sketch)
+    wide = picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(n) for p, n in quartile.items()]
     )
-    return moments.join(wide, keys, "left").select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return sketch.join(wide, keys, "left").select(*keys, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def max_time(df: DataFrame, keys: list[str], ts: str, name: str = "max_time") -> DataFrame:

@@ -57,12 +57,15 @@ def before_first(df: DataFrame, ts: str, keys: list[str], later: DataFrame, late
     return df.join(starts, keys).where(F.col(ts) < F.col("_start")).drop("_start")
 
 
-def recent_days(df: DataFrame, ts: str, now: datetime | str, days: int = 7, zone: str = cal.LOCAL_ZONE) -> DataFrame:
-    """From the local midnight ``days`` days before the one that began the current local day."""
+def days_before(now: datetime | str, days: int = 7, zone: str = cal.LOCAL_ZONE) -> Column:
+    """The UTC instant of the local midnight ``days`` days before the one that began the current local day."""
     local_now = cal.to_local(F.lit(now).cast("timestamp_ntz"), zone)
     midnight = cal.truncate(local_now, "DAY") - F.expr(f"INTERVAL {days} DAYS")
-    start = F.convert_timezone(F.lit(zone), F.lit("UTC"), midnight)
-    return df.where(F.col(ts) >= start.cast(df.schema[ts].dataType))
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), midnight)
+
+
+def recent_days(df: DataFrame, ts: str, now: datetime | str, days: int = 7, zone: str = cal.LOCAL_ZONE) -> DataFrame:
+    return df.where(F.col(ts) >= days_before(now, days, zone).cast(df.schema[ts].dataType))
 
 
 def time_slot(df: DataFrame, ts: str, slots: Sequence[str]) -> DataFrame:

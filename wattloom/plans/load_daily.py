@@ -55,20 +55,14 @@ def bin_states(
     place = [*KEY, *[c for c in ("day",) if c in energy.columns]]
     raw = filters.after_cutoff(energy, ts, cutoff, [*place, ts, value, *tie])
     good = raw.select(*place, ts, *tie, cal.bin_start(ts).alias("bin"), val.spike_to_null(F.col(value), limit).alias("v"))
-    inside = Window.partitionBy(*place, "bin").orderBy(ts, *tie)
-    known = F.last("v", ignorenulls=True)
+    inside = Window.partitionBy(*place, "bin").orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        good.withColumns(
-            {
-                "filled": known.over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-                "final": known.over(inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-            }
-        )
+        good.withColumn("filled", F.last("v", ignorenulls=True).over(inside))
         .groupBy(*place, "bin")
         .agg(
             F.sum("filled").alias("total"),
             F.count_if(F.col("filled").isNull()).alias("open"),
-            F.max("final").alias("final"),
+            F.max_by("filled", F.struct(ts, *tie) if tie else F.col(ts)).alias("final"),
         )
         .select(*KEY, "bin", "total", "open", "final")
     )
