@@ -246,7 +246,8 @@ def lag_sql(source: str, value: str, keys: str, order: str, n: int, keep: str) -
 
 @check(lag_sql("energy", VALUE, "ClientId", f"{TIME}, event_id", 30, "ClientId, event_id"))
 def lag_features(t: Tables):
-    lagged = ordered.lag_features(t.energy.select("ClientId", TIME, "event_id", VALUE), KEY, [TIME, "event_id"], VALUE, 30, READ)
+    even = ordered.even_chunks(t.energy.select("ClientId", TIME, "event_id", VALUE), KEY, TIME)
+    lagged = ordered.lag_features(even, KEY, [TIME, "event_id"], VALUE, 30, ordered.CHUNK)
     return lagged.drop(TIME, VALUE)
 
 
@@ -267,7 +268,8 @@ def ffill(t: Tables):
     raw = filters.after_cutoff(t.energy, TIME, CUTOFF, ["ClientId", TIME, "event_id", VALUE])
     spiked = raw.select("ClientId", TIME, "event_id", val.spike_to_null(F.col(VALUE)).alias("v"))
     # site and instant identify a reading, so the instant alone orders a site's readings
-    return ordered.fill_forward(spiked, KEY, [TIME], ["v"], READ).drop(TIME)
+    even = ordered.even_chunks(spiked, KEY, TIME)
+    return ordered.fill_forward(even, KEY, [TIME], ["v"], ordered.CHUNK).drop(TIME, ordered.CHUNK)
 
 
 @check("""

@@ -110,6 +110,43 @@ def test_energy_series_against_pandas(spark, seed):
     np.testing.assert_allclose(got[load_daily.TARGET].astype(float), want.to_numpy())
 
 
+@pytest.mark.parametrize("max_rows", [1, 40, 200, 10**6])
+def test_crowded_hours_are_split(spark, max_rows):
+    """Most readings of site 1 fall into one hour, many of them into one bin."""
+    rng = np.random.default_rng(11)
+    start = pd.Timestamp("2024-01-01")
+    rows = []
+    for site, n, span in ((1, 400, 3600), (1, 100, 86400), (2, 80, 86400)):
+        # distinct instants
+        for s in rng.choice(span * 10, n, replace=False):
+            rows.append((site, (start + pd.Timedelta(int(s) * 100 + site * 50 + span % 7, "ms")).to_pydatetime()))
+    rows = sorted(set(rows))
+    values = rng.choice([10.0, 90.0, 250.0, 50000.0, 60000.0], len(rows))
+    df = spark.createDataFrame(
+        [(c, ts, i, float(v)) for i, ((c, ts), v) in enumerate(zip(rows, values, strict=True))],
+        "ClientId int, TimeStampMeasured timestamp_ntz, id long, LoadEnergyCalculated double",
+    )
+    even = ordered.even_chunks(df, KEY, "TimeStampMeasured", max_rows)
+    chunks = even.select("ClientId", "_chunk").distinct().count()
+    assert even.count() == len(rows) and (chunks > 60 if max_rows < 300 else chunks <= 48)
+
+    names = ["ClientId", "bin", F.round(load_daily.TARGET, 6)]
+    plain = load_daily.energy_series(df, "2020-01-01 00:00:00").select(names)
+    split = load_daily.energy_series(even, "2020-01-01 00:00:00").select(names)
+    assert plain.count() > 100
+    assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+
+    v = "LoadEnergyCalculated"
+    spiked = even.withColumn(v, F.when(F.col(v) < 40000, F.col(v)))
+    for order in (["TimeStampMeasured"], ["TimeStampMeasured", "id"]):
+        a = ordered.fill_forward(spiked, KEY, order, [v], ordered.CHUNK).select("id", v)
+        b = ordered.fill_forward(spiked, KEY, order, [v], None).select("id", v)
+        assert a.exceptAll(b).isEmpty()
+    a = ordered.lag_features(even, KEY, ["TimeStampMeasured"], v, 3, ordered.CHUNK, 50).select("id", "lag_1", "lag_3")
+    b = ordered.lag_features(df, KEY, ["TimeStampMeasured"], v, 3).select("id", "lag_1", "lag_3")
+    assert a.exceptAll(b).isEmpty() and a.count() == len(rows)
+
+
 def test_aligned_series_equals_join_of_two_grids(spark):
     from wattloom.operators import joins
 

@@ -18,8 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
+from wattloom.session import stored
 
 BLOCK_ROWS = 100_000
+CHUNK_ROWS = 1_000_000
+CHUNK = "_chunk"
 
 
 def hour_of(ts: str) -> str:
@@ -27,6 +30,22 @@ def hour_of(ts: str) -> str:
     return f"date_trunc('HOUR', `{ts}`)"
 
 
+def even_chunks(df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add the column ``_chunk``: hours, cut into minutes or seconds where a key has too many rows in one.
+
+    For readings that may crowd into few hours. Pass ``CHUNK`` as the chunk of the operators below. One pass
+    counts rows; only crowded hours, at most one per ``max_rows`` rows, are kept and joined back.
+    """
+    hour = F.date_trunc("HOUR", F.col(ts))
+    sizes = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_size"))
+    crowded = stored(sizes.where(F.col("_size") > max_rows), "crowded-hours")
+    finer = F.when(F.col("_size") <= 60 * max_rows, F.date_trunc("MINUTE", F.col(ts))).when(
+        F.col("_size").isNotNull(), F.date_trunc("SECOND", F.col(ts))
+    )
+    marked = df.withColumn("_hour", hour).join(crowded, [*keys, "_hour"], "left")
+    return marked.withColumn(CHUNK, F.coalesce(finer, F.col("_hour"))).select(*df.columns, CHUNK)
+
+
 def _chunked(df: DataFrame, chunk: str | Column) -> DataFrame:
     return df.withColumn("_chunk", F.expr(chunk) if isinstance(chunk, str) else chunk)
 

@@ -50,21 +50,39 @@ def bin_states(
     the sum of good and filled readings, ``open`` counts the spikes before the first good one, which wait
     for an earlier bin, and ``final`` is the last good reading. So readings are shuffled once, by site and
     bin, and never gathered by site; and a bin's state depends on no other bin. Readings bucketed by site
-    and ``day`` are not shuffled at all.
+    and ``day`` are not shuffled at all. Readings that passed :func:`ordered.even_chunks` have crowded bins
+    ordered in parts.
     """
     place = [*KEY, *[c for c in ("day",) if c in energy.columns]]
-    raw = filters.after_cutoff(energy, ts, cutoff, [*place, ts, value, *tie])
-    good = raw.select(*place, ts, *tie, cal.bin_start(ts).alias("bin"), val.spike_to_null(F.col(value), limit).alias("v"))
-    inside = Window.partitionBy(*place, "bin").orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    crowded = ordered.CHUNK in energy.columns
+    wanted = [*place, ts, value, *tie, *([ordered.CHUNK] if crowded else [])]
+    raw = filters.after_cutoff(energy, ts, cutoff, wanted)
+    bin_ = cal.bin_start(ts)
+    good = raw.select(*wanted, bin_.alias("bin")).withColumn("v", val.spike_to_null(F.col(value), limit))
+    if crowded:
+        good = good.withColumn("part", F.greatest("bin", F.col(ordered.CHUNK).cast("timestamp_ntz")))
+    parts = [*place, "bin", *(["part"] if crowded else [])]
+    inside = Window.partitionBy(*parts).orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, 0)
+    states = (
         good.withColumn("filled", F.last("v", ignorenulls=True).over(inside))
-        .groupBy(*place, "bin")
+        .groupBy(*parts)
         .agg(
             F.sum("filled").alias("total"),
             F.count_if(F.col("filled").isNull()).alias("open"),
             F.max_by("filled", F.struct(ts, *tie) if tie else F.col(ts)).alias("final"),
         )
-        .select(*KEY, "bin", "total", "open", "final")
+    )
+    return (_merged(states, place) if crowded else states).select(*KEY, "bin", "total", "open", "final")
+
+
+def _merged(states: DataFrame, place: list[str]) -> DataFrame:
+    """The states of a bin's consecutive parts as one state."""
+    before = Window.partitionBy(*place, "bin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = states.withColumn("carried", F.last("final", ignorenulls=True).over(before))
+    return carried.groupBy(*place, "bin").agg(
+        F.sum(F.coalesce("total", F.lit(0.0)) + F.coalesce(F.col("open") * F.col("carried"), F.lit(0.0))).alias("total"),
+        F.sum(F.when(F.col("carried").isNull(), F.col("open")).otherwise(0)).alias("open"),
+        F.max_by("final", F.when(F.col("final").isNotNull(), F.col("part"))).alias("final"),
     )
 
 
