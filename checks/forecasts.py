@@ -9,7 +9,7 @@ from checks.series import KEY, TIME, VALUE, energy_series
 from checks.tables import CUTOFF, FRAGMENTS, NOW, PV_FROM, Tables, check, rounded
 from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, filters, metrics, ordered, sets
+from wattloom.operators import assembly, columns, filters, metrics, ordered, sets
 from wattloom.plans import batch_score as saved_models
 from wattloom.plans import load_daily, load_hourly, profiles, publish, slots, solar_daily, sweep
 from wattloom.session import stored, work_path
@@ -316,9 +316,8 @@ def scheduled_incremental_features(t: Tables):
         t.energy.where(part).select(columns).coalesce(1).write.mode("append").parquet(landed)
     readings = jobs.read_stream(t.spark, landed, t.energy.select(columns).schema, files_per_batch=1)
     bins = work_path(t.spark, "bins")
-    jobs.incremental_bins(
-        readings, work_path(t.spark, "by-day"), bins, work_path(t.spark, "bins-checkpoint"), CUTOFF, tie=("event_id",)
-    )
+    by_day, checkpoint = work_path(t.spark, "by-day"), work_path(t.spark, "bins-checkpoint")
+    jobs.incremental_bins(readings, by_day, bins, checkpoint, CUTOFF, files_per_day=1, tie=("event_id",))
     return rounded(jobs.series_from_states(t.spark.read.parquet(bins)))
 
 
@@ -413,3 +412,16 @@ def batch_score(t: Tables):
     table, path = _daily_table(t), work_path(t.spark, "models")
     saved_models.save(load_daily.train(table), path)
     return saved_models.score(t.spark, path, table)
+
+
+@check()
+def batch_score_records(t: Tables):
+    """The same forecast, from energy and weather that arrive as JSON records."""
+    models, energy, sky = (work_path(t.spark, n) for n in ("models", "energy-json", "weather-json"))
+    saved_models.save(load_daily.train(_daily_table(t)), models)
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    lower = {"ClientId": "clientId", TIME: "timeStampMeasured", VALUE: "loadEnergyCalculated"}
+    columns.select_rename(t.energy, lower).write.option("timestampNTZFormat", micros).json(energy)
+    lower = {"ClientId": "clientId", "Time": "time", "Temperature": "temperature", "Humidity": "humidity"}
+    columns.select_rename(t.measurements, lower).write.option("timestampNTZFormat", micros).json(sky)
+    return saved_models.score_records(t.spark, models, energy, sky, cutoff=CUTOFF)

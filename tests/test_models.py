@@ -177,6 +177,24 @@ class TestHourlyLoad:
         assert len(rows) == sum(known) < 4 * len(origins)
 
 
+    def test_no_full_history_gives_no_rows(self, spark):
+        energy, measurements = site_readings(spark, 1, sites=(1,))
+        out = load_hourly.forecast(energy.where(F.hour("TimeStampMeasured") % 2 == 0), measurements, "2024-01-01 20:00:00")
+        assert out.columns == ["ClientId", "h", "Time", "LoadPower"] and out.isEmpty()
+
+
+class TestRecords:
+    def test_records_give_the_same_forecast(self, spark):
+        from checks.tables import Tables
+        from checks.forecasts import batch_score, batch_score_records
+        from conftest import SF
+
+        names = ["ClientId", "Timestamp", F.round(load_daily.FORECAST, 4)]
+        direct, records = (query(Tables(spark, SF)).select(names) for query in (batch_score, batch_score_records))
+        assert direct.count() == records.count() == 500
+        assert direct.exceptAll(records).isEmpty()
+
+
 class TestSlots:
     def test_hundred_rows_and_default(self, spark):
         rows = []

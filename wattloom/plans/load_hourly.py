@@ -22,6 +22,7 @@ SEED = 42
 TARGET = "ConsumerPower1"
 WEATHER = ["Temperature", "Humidity"]
 KEY = ["ClientId"]
+FORECAST_SCHEMA = "ClientId int, h int, Time timestamp_ntz, LoadPower double"
 
 
 def merged_series(energy: DataFrame, measurements: DataFrame, weather: list[str] = WEATHER) -> DataFrame:
@@ -105,6 +106,9 @@ def forecast(energy: DataFrame, measurements: DataFrame, now: str, trees: int =
     """The whole hourly job: fit on everything known at ``now``, then score."""
     until = energy.where(F.col("TimeStampMeasured") <= filters.at(energy, "TimeStampMeasured", now))
     table = stored(supervised(until, measurements), "hourly-load-features")
+    if table.isEmpty():
+        # no site has 24 full bins in a row: nothing to fit, no rows
+        return table.sparkSession.createDataFrame([], FORECAST_SCHEMA)
     return score(table, fit(long_form(table), trees, depth), now)
 
 

@@ -22,12 +22,12 @@ BLOCK = 2048
 
 
 def _windows(values: np.ndarray, lags: int, horizon: int) -> np.ndarray:
-    """Rows ``(1, lag_1 .. lag_L, y_0 .. y_H-1)``, as views until a block is copied."""
-    spans = np.lib.stride_tricks.sliding_window_view(values, lags + horizon)
-    return spans
+    """All spans of ``lags + horizon`` values, as views."""
+    return np.lib.stride_tricks.sliding_window_view(values, lags + horizon)
 
 
 def _design(spans: np.ndarray, lags: int) -> np.ndarray:
+    """Rows ``(1, lag_1 .. lag_L, y_0 .. y_H-1)``, the newest lag first."""
     return np.column_stack([np.ones(len(spans)), spans[:, :lags][:, ::-1], spans[:, lags:]])
 
 

@@ -23,7 +23,10 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_ba
 
 
 def resampled(readings: DataFrame, ts: str, value: str, width: int = cal.STEP_MINUTES, late: str = LATENESS) -> DataFrame:
-    """Sum, mean and count per site and bin; a bin is emitted once the watermark has passed its end."""
+    """Sum, mean and count per site and bin; a bin is emitted once the watermark has passed its end.
+
+    Readings later than that are dropped; :func:`incremental_bins` takes them in.
+    """
     timed = readings.withColumn(ts, F.col(ts).cast("timestamp"))
     window = F.window(ts, f"{width} minutes")
     return (
@@ -79,7 +82,13 @@ def _overwrite_partitions(df: DataFrame, by: list[str], path: str) -> None:
 
 
 def incremental_bins(
-    readings: DataFrame, landed: str, bins: str, checkpoint: str, cutoff: str, **names
+    readings: DataFrame,
+    landed: str,
+    bins: str,
+    checkpoint: str,
+    cutoff: str,
+    files_per_day: int = FILES_PER_DAY,
+    **names,
 ) -> None:
     """Keep the table of bin states up to date as readings arrive.
 
@@ -101,7 +110,7 @@ def incremental_bins(
             return
         history = spark.read.parquet(landed).where(F.col("day").between(first, last))
         states = load_daily.bin_states(history, cutoff, **names).withColumn("day", F.to_date("bin"))
-        spread = states.repartition("day", F.pmod(F.hash("ClientId"), F.lit(FILES_PER_DAY)))
+        spread = states.repartition("day", F.pmod(F.hash("ClientId"), F.lit(files_per_day)))
         _overwrite_partitions(spread, ["day"], bins)
 
     query = (
