@@ -166,6 +166,8 @@ def test_aligned_series_equals_join_of_two_grids(spark):
     )
     cutoff = "2020-01-01 00:00:00"
     together = load_daily.joined_series(energy, sky, cutoff=cutoff)
+    in_parts = load_daily.joined_series(energy, sky, cutoff=cutoff, max_rows=2)
+    assert "part" in in_parts._jdf.queryExecution().toString() and together.exceptAll(in_parts).isEmpty()
     apart = joins.join_on_bin(load_daily.energy_series(energy, cutoff), load_daily.weather_series(sky))
     names = ["ClientId", "bin", load_daily.TARGET, "Temperature", "Humidity"]
     firsts = load_daily.energy_series(energy, cutoff).groupBy("ClientId").agg(F.min("bin").alias("first"))

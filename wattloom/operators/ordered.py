@@ -30,22 +30,40 @@ def hour_of(ts: str) -> str:
     return f"date_trunc('HOUR', `{ts}`)"
 
 
-def even_chunks(df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add the column ``_chunk``: hours, cut into minutes or seconds where a key has too many rows in one.
+def crowded_hours(df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``(keys, _hour, _size)`` where a key has more than ``max_rows`` rows in an hour.
 
-    For readings that may crowd into few hours. Pass ``CHUNK`` as the chunk of the operators below. One pass
-    counts rows; only crowded hours, at most one per ``max_rows`` rows, are kept and joined back.
+    One pass over the keys and instants, combined before the shuffle. Stored, with at most one row per
+    ``max_rows`` rows of the input.
     """
     hour = F.date_trunc("HOUR", F.col(ts))
     sizes = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_size"))
-    crowded = stored(sizes.where(F.col("_size") > max_rows), "crowded-hours")
+    return stored(sizes.where(F.col("_size") > max_rows), "crowded-hours")
+
+
+def even_chunks(
+    df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS, crowded: DataFrame | None = None
+) -> DataFrame:
+    """Add the column ``_chunk``: hours, cut into minutes or seconds where a key has too many rows in one.
+
+    For readings that may crowd into few hours. Pass ``CHUNK`` as the chunk of the operators below.
+    """
+    if crowded is None:
+        crowded = crowded_hours(df, keys, ts, max_rows)
     finer = F.when(F.col("_size") <= 60 * max_rows, F.date_trunc("MINUTE", F.col(ts))).when(
         F.col("_size").isNotNull(), F.date_trunc("SECOND", F.col(ts))
     )
-    marked = df.withColumn("_hour", hour).join(crowded, [*keys, "_hour"], "left")
+    marked = df.withColumn("_hour", F.date_trunc("HOUR", F.col(ts))).join(crowded, [*keys, "_hour"], "left")
     return marked.withColumn(CHUNK, F.coalesce(finer, F.col("_hour"))).select(*df.columns, CHUNK)
 
 
+def even_if_crowded(df: DataFrame, keys: list[str], ts: str, since: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
+    """With ``_chunk`` if any hour after ``since`` is crowded, else unchanged and without a further join."""
+    later = df.where(F.col(ts) > F.lit(since).cast(df.schema[ts].dataType))
+    crowded = crowded_hours(later, keys, ts, max_rows)
+    return df if crowded.isEmpty() else even_chunks(df, keys, ts, max_rows, crowded)
+
+
 def _chunked(df: DataFrame, chunk: str | Column) -> DataFrame:
     return df.withColumn("_chunk", F.expr(chunk) if isinstance(chunk, str) else chunk)
 

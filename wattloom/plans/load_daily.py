@@ -127,14 +127,21 @@ def weather_series(measurements: DataFrame) -> DataFrame:
 
 
 def joined_series(
-    energy: DataFrame, measurements: DataFrame, cutoff: str = CUTOFF, limit: float = val.SPIKE_LIMIT, **names
+    energy: DataFrame,
+    measurements: DataFrame,
+    cutoff: str = CUTOFF,
+    limit: float = val.SPIKE_LIMIT,
+    max_rows: int = ordered.CHUNK_ROWS,
+    **names,
 ) -> DataFrame:
     """Energy and weather over their common span, nulls where the weather has gaps.
 
     ``index`` is the place of a bin in the site's energy series. Bin states are joined before values are carried across bins, so both sides are still partitioned by
-    site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags.
+    site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags. Hours with
+    more than ``max_rows`` readings of a site are found first and ordered in parts.
     """
-    aligned = joins.align_series(bin_states(energy, cutoff, limit, **names), weather_bins(measurements), KEY)
+    even = ordered.even_if_crowded(energy, KEY, names.get("ts", "TimeStampMeasured"), cutoff, max_rows)
+    aligned = joins.align_series(bin_states(even, cutoff, limit, **names), weather_bins(measurements), KEY)
     clean = _clean_sums(_summed(aligned).where("in_left"), limit)
     numbered = ordered.row_ordinal(clean, KEY, ["bin"], None)
     return numbered.where("in_right").select(*KEY, "bin", "index", TARGET, "Temperature", "Humidity")
