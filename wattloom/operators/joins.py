@@ -33,8 +33,9 @@ def join_pv_history(measurements: DataFrame, history: DataFrame, key: str = "Cli
 
 def cut_over(measurements: DataFrame, history: DataFrame, key: str = "ClientId") -> DataFrame:
     """Per site the last minute that both readings and recorded solar power have."""
-    minutes = _by_minute(measurements, "Time").select(key, "Time")
-    both = minutes.join(_by_minute(history, "Time").select(key, "Time"), [key, "Time"], "left_semi")
+    # distinct first: repeats of a minute are merged before the shuffle that the join needs anyway
+    minutes, recorded = (_by_minute(df, "Time").select(key, "Time").distinct() for df in (measurements, history))
+    both = minutes.join(recorded, [key, "Time"], "left_semi")
     return both.groupBy(key).agg(F.max("Time").alias("cut_over"))
 
 

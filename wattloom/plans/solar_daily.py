@@ -27,6 +27,10 @@ SEED = 42
 # Rows before a serving row whose weather is looked at: the next one, one hour and the full window back.
 CONTEXT_LAGS = (1, 4, SEQUENCE)
 KEY = ["ClientId"]
+FORECAST_SCHEMA = (
+    "ClientId int, Time timestamp_ntz, SolarPower_pred double, Time_predicted timestamp_ntz,"
+    " SunriseDT timestamp_ntz, SunsetDT timestamp_ntz"
+)
 
 
 def training_series(
@@ -160,6 +164,9 @@ def forecast(
     series = stored(complete, "solar-series")
     encoders = {c: stored(labels, "solar-labels") for c, labels in fit_encoders(series).items()}
     table = stored(features(series, encoders, weather), "solar-table")
+    if table.isEmpty():
+        # no bin has both weather and solar power: nothing to fit, no rows
+        return table.sparkSession.createDataFrame([], FORECAST_SCHEMA)
     model, _ = train(table, weather, trees, depth)
     served = serving(weather_forecast, table, encoders, weather)
     return score(model, table, served, issued, weather)
