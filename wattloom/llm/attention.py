@@ -104,7 +104,7 @@ class Model:
     def fit(self, bags: list[np.ndarray], labels: np.ndarray) -> Model:
         """Full-batch Adam on the log loss. One class alone, or no labels, leave a constant score."""
         positive = float(labels.mean()) if len(labels) else 0.5
-        if not 0 < positive < 1:
+        if not len(labels) or not 0 < positive < 1:
             self.p = {k: np.zeros_like(v) for k, v in self.p.items()}
             self.p["b"] += np.log((len(labels) * positive + 1) / (len(labels) * (1 - positive) + 1))
             return self

@@ -158,7 +158,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, trees: int
     schema = "query_id long, vec_id long, score double"
     found = None
     for dim, total in sorted(sizes.items()):
-        wanted = SPREAD * total**GROWTH
+        # at least k others besides the query itself, however often the same ones are met
+        wanted = max(SPREAD * total**GROWTH, (k + 1) * trees)
         rows = index.where(F.col("dim") == dim)
         mine = asked.where(F.col("__dim") == dim)
         n = mine.count()

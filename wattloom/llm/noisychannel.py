@@ -118,7 +118,9 @@ def tripled(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         lead = np.flatnonzero((data[:-5] >= 0xC3) & (data[:-5] == data[2:-3]) & (data[2:-3] == data[4:-1]))
         wide = lead[(data[lead + 1] == data[lead + 3]) & (data[lead + 3] == data[lead + 5])]
     out = np.zeros(len(starts) - 1, bool)
-    out[np.searchsorted(starts, np.concatenate((at, wide)), "right") - 1] = True
+    found, last = np.concatenate((at, wide)), np.concatenate((at + 2, wide + 5))
+    row = np.searchsorted(starts, found, "right") - 1
+    out[row[last < starts[row + 1]]] = True  # not from one text into the next
     return out
 
 

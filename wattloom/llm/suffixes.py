@@ -233,7 +233,7 @@ def _send_anchors(shards: int, length: int):
             yield shard, part, DIGESTS, b"".join(found)
         if copies:
             yield int(part % shards), part, COPIES, np.array(copies, "<u4").tobytes()
-        if keys:
+        if any(map(len, keys)):
             key, owner = np.concatenate(keys), np.concatenate(owners)
             order = np.lexsort((owner, key))
             key, owner = key[order], owner[order]
