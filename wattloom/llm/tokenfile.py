@@ -9,6 +9,9 @@ order over all segments; a document's global start is its start in the segment p
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -27,8 +30,8 @@ END = 2
 # Ids in a segment, at least; a segment holds whole documents.
 SEGMENT = 1 << 20
 SAMPLED = 64
-# Words whose ids a worker remembers.
-REMEMBERED = 400_000
+# Words, and pieces of words, whose ids a worker remembers.
+REMEMBERED = 800_000
 
 SEGMENTS = (
     "part int, segment int, before long, n_tokens long, n_docs int, width int, low_bits int, doc_ids array<long>, "
@@ -88,11 +91,34 @@ class EliasFano:
         return len(self.low) + len(self.high) + len(self.samples)
 
 
+# The normalizer and splitter that the quick way below follows, as tokenizer files state them.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# The same split for lower-case text of printable ASCII and Latin-1 letters, which the normalizer changes in no other way.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+_OTHER = re.compile(r"[^\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+
+
+class _Pieces(dict):
+    """Piece to ids; what is not known yet goes to the tokenizer's model."""
+
+    def __init__(self, tokenizer, written: dict[int, str], pack):
+        super().__init__()
+        self.tokenize, self.written, self.pack = tokenizer.model.tokenize, written, pack
+
+    def __missing__(self, piece: str) -> bytes:
+        pack = self.pack
+        found = b"".join([pack(t.id) for t in self.tokenize(piece if piece.isascii() else piece.translate(self.written))])
+        self[piece] = found
+        return found
+
+
 class WordEncoder:
-    """Ids of texts as bytes, word by word.
+    """Ids of texts as bytes, word by word; a word is encoded once and remembered.
 
-    Fits tokenizers whose tokens never reach over a space or a line end and that treat what stands between them alike wherever it
-    stands; a word is then encoded once and remembered.
+    Fits tokenizers whose tokens never reach over a space or a line end and that treat what stands between them alike
+    wherever it stands. Where the file states the usual splitter, plain text is split here and the pieces go to the file's
+    model; other words, and all words of other files, go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer_json: str, remembered: int = REMEMBERED):
@@ -101,22 +127,45 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        stated = json.loads(tokenizer_json)
+        steps = (stated.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.splits = (stated.get("normalizer") or {}).get("normalizers") == _NORMALIZER and (
+            [x.get("type") for x in steps] == ["Split", "ByteLevel"] and steps[0]["pattern"].get("Regex") == _SPLIT
+        )
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        # how the file's splitter writes the bytes of a letter
+        letters = [chr(c) for c in (*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100))] if self.splits else []
+        written = {ord(c): "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in letters}
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.remembered = remembered
-        self.known: dict[str, bytes] = {}
+        self.pieces = _Pieces(self.tokenizer, written, struct.Struct("<H" if self.dtype.itemsize == 2 else "<I").pack)
+        self.words: dict[str, bytes] = {}
+
+    def _by_word(self, text: str) -> bytes:
+        """Word by word: plain words by their pieces, others by the whole tokenizer."""
+        words = text.split(" ")
+        odd = [w for w in dict.fromkeys(words) if w not in self.words and not (self.splits and _plain(w))]
+        for word, found in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False) if odd else (), strict=True):
+            self.words[word] = np.array(found.ids, self.dtype).tobytes()
+        known = self.words.get
+        return b"".join([x if (x := known(w)) is not None else b"".join(map(self.pieces.__getitem__, _PIECES.findall(w.lower()))) for w in words])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*words) - self.known.keys())
-        if len(self.known) + len(new) > self.remembered:
-            self.known.clear()
-            new = list(set().union(*words))
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for word, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        out = []
+        for text in texts:
+            text = text.replace("\n", " ")
+            if self.splits and _plain(text):
+                out.append(b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower()))))
+            else:
+                out.append(self._by_word(text))
+            if len(self.pieces) + len(self.words) > self.remembered:
+                self.pieces.clear()
+                self.words.clear()
+        return out
+
+
+def _plain(text: str) -> bool:
+    return "<|" not in text and (text.isascii() and text.isprintable() or not _OTHER.search(text))
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = END, segment: int = SEGMENT) -> None:
