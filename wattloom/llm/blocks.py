@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import pieces
+from wattloom.llm.common import pieces, stored
 
 SAMPLE = 300
 ROUNDS, RATE, DECAY = 300, 0.15, 1e-5
@@ -377,9 +377,11 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[list[int
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Field:
     """A field from at most ``sample`` pages with an article element, those with the smallest url and id hashes."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    chosen = marked.select(F.xxhash64("page_id", "url").alias("k"), "html").orderBy("k", "html").limit(sample)
-    return Field().fit(training_pages([r["html"] for r in chosen.collect()]))
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select(F.xxhash64("page_id", "url").alias("k"), "html")
+    # the hashes first: no task gives out more than the pages that are chosen in the end
+    keys = stored(marked.select("k").distinct().orderBy("k").limit(sample), "page-keys")
+    chosen = marked.join(F.broadcast(keys), "k").groupBy("k").agg(F.min("html").alias("html"))  # at most `sample` numbers
+    return Field().fit(training_pages([r["html"] for r in chosen.orderBy("k").collect()]))
 
 
 def main_text(pages: DataFrame, field: Field) -> DataFrame:
