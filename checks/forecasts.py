@@ -293,31 +293,28 @@ ISSUED = " UNION ALL ".join(
     WHERE NOT EXISTS (SELECT 1 FROM starts s WHERE s.ClientId = i.ClientId AND s.batch_id > i.batch_id AND s.start <= i.Time)""")
 def stream_replace_forecast(t: Tables):
     """Three forecasts of 15 days, ten days apart, arrive one after the other."""
-    landed = work_path(t.spark, "issued")
+    landed, out, checkpoint = (work_path(t.spark, n) for n in ("issued", "batches", "batches-checkpoint"))
     for i, start in enumerate(STARTS):
         at = F.lit(start).cast("timestamp_ntz")
         rows = t.energy.where((F.col(TIME) >= at) & (F.col(TIME) < at + F.expr("INTERVAL 15 DAYS"))).select(
             "ClientId", F.col(TIME).alias("Time"), (F.col("PowerFromLoad") * (i + 1)).alias("LoadPower")
         )
-        rows.coalesce(1).write.mode("append").parquet(landed)
-    stream = jobs.read_stream(t.spark, landed, rows.schema, files_per_batch=1)
-    out = work_path(t.spark, "batches")
-    jobs.publish_batches(stream, out, work_path(t.spark, "batches-checkpoint"))
+        rows.write.mode("append").parquet(landed)
+        jobs.publish_batches(jobs.read_stream(t.spark, landed, rows.schema), out, checkpoint)
     return jobs.current_forecast(t.spark.read.parquet(out)).select("batch_id", "ClientId", "Time", "LoadPower")
 
 
 @check(f"SELECT ClientId, bin, round({TARGET}, 6) AS {TARGET} FROM load_15m")
 def scheduled_incremental_features(t: Tables):
     """The clean series from bins kept up to date over three arrivals, the last one with late rows."""
-    landed, columns = work_path(t.spark, "arrivals"), ["ClientId", TIME, "event_id", VALUE]
+    landed, by_day, bins, checkpoint = (work_path(t.spark, n) for n in ("arrivals", "by-day", "bins", "bins-checkpoint"))
+    columns = ["ClientId", TIME, "event_id", VALUE]
     middle = F.lit(STARTS[1]).cast("timestamp_ntz")
     late = F.col("event_id") % 10 == 0
     for part in ((F.col(TIME) < middle) & ~late, (F.col(TIME) >= middle) & ~late, late):
-        t.energy.where(part).select(columns).coalesce(1).write.mode("append").parquet(landed)
-    readings = jobs.read_stream(t.spark, landed, t.energy.select(columns).schema, files_per_batch=1)
-    bins = work_path(t.spark, "bins")
-    by_day, checkpoint = work_path(t.spark, "by-day"), work_path(t.spark, "bins-checkpoint")
-    jobs.incremental_bins(readings, by_day, bins, checkpoint, CUTOFF, files_per_day=1, tie=("event_id",))
+        t.energy.where(part).select(columns).write.mode("append").parquet(landed)
+        readings = jobs.read_stream(t.spark, landed, t.energy.select(columns).schema)
+        jobs.incremental_bins(readings, by_day, bins, checkpoint, CUTOFF, tie=("event_id",))
     return rounded(jobs.series_from_states(t.spark.read.parquet(bins)))
 
 
@@ -326,17 +323,22 @@ def scheduled_incremental_features(t: Tables):
 
 @check()
 def forecast_hourly_direct(t: Tables):
-    return load_hourly.forecast(t.site_energy, t.site_measurements, NOW, trees=TREES, depth=DEPTH)
+    return load_hourly.forecast(t.dense_energy, t.dense_measurements, NOW, trees=TREES, depth=DEPTH)
 
 
 @check()
 def forecast_hourly_sequence(t: Tables):
-    return load_hourly.forecast_from_readings(t.energy, ordered.hour_of(TIME), tie=("event_id",))
+    return load_hourly.forecast_from_readings(t.energy, tie=("event_id",))
+
+
+def _filled(t: Tables):
+    """Every site's gap-free series: a slot has a value on each day."""
+    return profiles.filled_days(slots.load_series(t.energy), slots.TARGET).select("ClientId", "bin", slots.TARGET)
 
 
 @check()
 def forecast_by_slot(t: Tables):
-    return slots.forecast(slots.load_series(t.site_energy))
+    return slots.forecast(_filled(t))
 
 
 @check()
@@ -348,18 +350,18 @@ def cluster_day_profiles(t: Tables):
 
 @check()
 def hybrid_forecast(t: Tables):
-    series = stored(slots.load_series(t.site_energy), "site-series")
+    series = stored(_filled(t), "filled-series")
     ahead = stored(slots.forecast(series), "slot-forecast")
-    days = profiles.profiles(profiles.filled_days(series, slots.TARGET), slots.TARGET)
+    days = profiles.profiles(series, slots.TARGET)
     _, scaler, model = profiles.cluster(days)
     return profiles.hybrid_forecast(ahead, scaler, model)
 
 
 @check()
 def hybrid_forecast_hourly(t: Tables):
-    series = stored(slots.load_series(t.site_energy), "site-series")
+    series = stored(_filled(t), "filled-series")
     ahead = stored(slots.forecast(series), "slot-forecast")
-    days = profiles.profiles(profiles.filled_days(series, slots.TARGET), slots.TARGET)
+    days = profiles.profiles(series, slots.TARGET)
     _, scaler, model = profiles.cluster(days)
     return profiles.hourly(profiles.hybrid_forecast(ahead, scaler, model))
 

@@ -17,7 +17,6 @@ from wattloom.session import stored
 KEY = ["ClientId"]
 TIME = "TimeStampMeasured"
 VALUE = "LoadEnergyCalculated"
-READ = ordered.hour_of(TIME)
 
 BIN = "time_bucket(INTERVAL 15 MINUTE, {})"
 
@@ -85,7 +84,7 @@ def _means(prefix: str, energy: str, measurements: str) -> dict[str, str]:
 
 
 FRAGMENTS.update(_means("", "energy", "measurements"))
-FRAGMENTS.update(_means("site_", "site_energy", "site_measurements"))
+FRAGMENTS.update(_means("dense_", "dense_energy", "dense_measurements"))
 
 
 def energy_series(t: Tables):
@@ -246,8 +245,8 @@ def lag_sql(source: str, value: str, keys: str, order: str, n: int, keep: str) -
 
 @check(lag_sql("energy", VALUE, "ClientId", f"{TIME}, event_id", 30, "ClientId, event_id"))
 def lag_features(t: Tables):
-    even = ordered.even_chunks(t.energy.select("ClientId", TIME, "event_id", VALUE), KEY, TIME)
-    lagged = ordered.lag_features(even, KEY, [TIME, "event_id"], VALUE, 30, ordered.CHUNK)
+    rows = t.energy.select("ClientId", TIME, "event_id", VALUE)
+    lagged = ordered.lag_features(rows, KEY, [TIME, "event_id"], VALUE, 30, TIME)
     return lagged.drop(TIME, VALUE)
 
 
@@ -268,8 +267,7 @@ def ffill(t: Tables):
     raw = filters.after_cutoff(t.energy, TIME, CUTOFF, ["ClientId", TIME, "event_id", VALUE])
     spiked = raw.select("ClientId", TIME, "event_id", val.spike_to_null(F.col(VALUE)).alias("v"))
     # site and instant identify a reading, so the instant alone orders a site's readings
-    even = ordered.even_chunks(spiked, KEY, TIME)
-    return ordered.fill_forward(even, KEY, [TIME], ["v"], ordered.CHUNK).drop(TIME, ordered.CHUNK)
+    return ordered.fill_forward(spiked, KEY, [TIME], ["v"], TIME).drop(TIME)
 
 
 @check("""
@@ -354,7 +352,7 @@ def sequence_tail(t: Tables):
     SELECT ClientId, event_id, row_number() OVER (PARTITION BY ClientId ORDER BY {TIME}, event_id) - 1 AS index FROM energy""")
 def row_ordinal(t: Tables):
     rows = t.energy.select("ClientId", TIME, "event_id")
-    return ordered.row_ordinal(rows, KEY, [TIME, "event_id"], READ).drop(TIME)
+    return ordered.row_ordinal(rows, KEY, [TIME, "event_id"], TIME).drop(TIME)
 
 
 @check(f"""
@@ -371,7 +369,7 @@ def row_position_in_day(t: Tables):
              <= floor(0.8 * count(*) OVER (PARTITION BY ClientId)) AS is_train FROM energy""")
 def chronological_split(t: Tables):
     rows = t.energy.select("ClientId", TIME, "event_id")
-    return ordered.chronological_split(rows, KEY, [TIME, "event_id"], READ, fraction=0.8).drop(TIME)
+    return ordered.chronological_split(rows, KEY, [TIME, "event_id"], TIME, fraction=0.8).drop(TIME)
 
 
 # ---- order and limit
@@ -436,10 +434,10 @@ FRAGMENTS["pv_cut_over"] = """
 @check("""
     SELECT m.ClientId, date_trunc('minute', m.Time) AS Time, m.event_id,
            round(coalesce(e.PowerToPv / 1000.0, m.PowerPV), 6) AS SolarPower
-    FROM measurements m JOIN pv_cut_over c ON m.ClientId = c.ClientId
+    FROM measurements m LEFT JOIN pv_cut_over c ON m.ClientId = c.ClientId
     LEFT JOIN energy e ON e.ClientId = m.ClientId
       AND date_trunc('minute', e.TimeStampMeasured) = date_trunc('minute', m.Time)
-    WHERE date_trunc('minute', m.Time) > c.cut_over""")
+    WHERE c.cut_over IS NULL OR date_trunc('minute', m.Time) > c.cut_over""")
 def join_measurements_pv_recent(t: Tables):
     since = stored(joins.cut_over(t.measurements, t.pv_history), "cut-over")
     recent = joins.join_pv_recent(t.measurements, t.energy, since)
@@ -533,7 +531,7 @@ TRAIN_SQL = f"""SELECT ClientId, event_id, {VALUE} AS v, row_number() OVER (PART
 
 def _split(t: Tables):
     rows = t.energy.select("ClientId", TIME, "event_id", F.col(VALUE).alias("v"))
-    return ordered.chronological_split(rows, KEY, [TIME, "event_id"], READ, fraction=0.8).drop(TIME)
+    return ordered.chronological_split(rows, KEY, [TIME, "event_id"], TIME, fraction=0.8).drop(TIME)
 
 
 @check(f"""
@@ -627,14 +625,14 @@ def _hourly_sql() -> str:
                round(Temperature * hour(bin), 6) AS Temperature_Hour, {days},
                {", ".join(f"round(lag_{k}, 6) AS lag_{k}" for k in range(1, 25))}
         FROM (SELECT *, {lags} FROM (
-          SELECT p.ClientId, p.bin, p.ConsumerPower1, {joined} FROM site_power_15m p
-          JOIN site_sky_15m s ON p.ClientId = s.ClientId AND p.bin = s.bin) j) q
+          SELECT p.ClientId, p.bin, p.ConsumerPower1, {joined} FROM dense_power_15m p
+          JOIN dense_sky_15m s ON p.ClientId = s.ClientId AND p.bin = s.bin) j) q
         WHERE ConsumerPower1 IS NOT NULL AND Temperature IS NOT NULL AND {known}"""
 
 
 @check(_hourly_sql())
 def features_hourly(t: Tables):
-    return rounded(load_hourly.features(t.site_energy, t.site_measurements))
+    return rounded(load_hourly.features(t.dense_energy, t.dense_measurements))
 
 
 SOLAR_COLUMNS = """m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.WindSpeed, m.Weather, m.WeatherDescription,
@@ -645,9 +643,9 @@ FRAGMENTS["solar_rows"] = f"""
     JOIN pv_history h ON m.ClientId = h.ClientId AND date_trunc('minute', m.Time) = h.Time
     UNION ALL
     SELECT m.ClientId, date_trunc('minute', m.Time), {SOLAR_COLUMNS}, coalesce(e.PowerToPv / 1000.0, m.PowerPV)
-    FROM measurements m JOIN pv_cut_over c ON m.ClientId = c.ClientId
+    FROM measurements m LEFT JOIN pv_cut_over c ON m.ClientId = c.ClientId
     LEFT JOIN energy e ON e.ClientId = m.ClientId AND date_trunc('minute', e.TimeStampMeasured) = date_trunc('minute', m.Time)
-    WHERE date_trunc('minute', m.Time) > c.cut_over"""
+    WHERE c.cut_over IS NULL OR date_trunc('minute', m.Time) > c.cut_over"""
 FRAGMENTS["solar_means"] = f"""
     SELECT ClientId, {BIN.format('Time')} AS bin, avg(Temperature) - 273.15 AS Temperature, avg(Humidity) AS Humidity,
            avg(Clouds) AS Clouds, avg(Pressure) AS Pressure, avg(WindSpeed) AS WindSpeed, avg(SolarPower) AS SolarPower
@@ -743,8 +741,8 @@ def _hourly_targets_sql() -> str:
         SELECT ClientId, bin, CAST(h AS INT) AS h, round(label, 6) AS label FROM (
           SELECT ClientId, bin, h, CASE h WHEN 1 THEN y_1 WHEN 2 THEN y_2 WHEN 3 THEN y_3 ELSE y_4 END AS label
           FROM (SELECT *, {lags}, {ahead} FROM (
-            SELECT p.ClientId, p.bin, p.ConsumerPower1, s.Temperature FROM site_power_15m p
-            JOIN site_sky_15m s ON p.ClientId = s.ClientId AND p.bin = s.bin) j) q, generate_series(1, 4) g(h)
+            SELECT p.ClientId, p.bin, p.ConsumerPower1, s.Temperature FROM dense_power_15m p
+            JOIN dense_sky_15m s ON p.ClientId = s.ClientId AND p.bin = s.bin) j) q, generate_series(1, 4) g(h)
           WHERE ConsumerPower1 IS NOT NULL AND Temperature IS NOT NULL AND {known}) r
         WHERE label IS NOT NULL"""
 
@@ -752,7 +750,7 @@ def _hourly_targets_sql() -> str:
 @check(_hourly_targets_sql())
 def hourly_targets(t: Tables):
     """One row per complete origin and known step."""
-    long = load_hourly.long_form(load_hourly.supervised(t.site_energy, t.site_measurements))
+    long = load_hourly.long_form(load_hourly.supervised(t.dense_energy, t.dense_measurements))
     return rounded(long.select("ClientId", "bin", "h", "label"))
 
 
@@ -763,7 +761,7 @@ def hourly_targets(t: Tables):
     FROM (SELECT ClientId, event_id, {TIME}, CAST(PowerFromLoad AS DOUBLE) AS p FROM energy) e
     WINDOW w AS (PARTITION BY ClientId ORDER BY {TIME}, event_id)""")
 def reading_sequences(t: Tables):
-    table, _, _ = load_hourly.reading_sequences(t.energy, READ, tie=("event_id",))
+    table, _, _ = load_hourly.reading_sequences(t.energy, TIME, tie=("event_id",))
     return table.select("ClientId", "event_id", "lag_1", "lag_23", "y_1", "y_4", "TimeOfDay", "DayOfWeek", "Season")
 
 

@@ -19,6 +19,14 @@ RANGE_END = "2024-01-20 18:00:00"
 NOW = "2024-01-25 12:45:00"
 CLIENT = 3
 
+FOLD_DAYS = 5
+
+
+def _folded_sql(ts: str) -> str:
+    days = f"date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', {ts}))"
+    return f"{ts} - to_days(CAST({days} - {days} % {FOLD_DAYS} AS INT))"
+
+
 VIEWS = {
     "energy": """
         SELECT CAST(user_id % 5 AS INT) AS ClientId, ts AS TimeStampMeasured, value * 200.0 AS LoadEnergyCalculated,
@@ -53,15 +61,21 @@ VIEWS = {
         SELECT CAST(o_custkey % 5 AS INT) AS ClientId, o_orderdate AS TrainEnd, o_orderkey AS run_id,
                o_totalprice / 10000.0 AS WMAPE_percent, o_totalprice / 100.0 AS RMSE, o_orderstatus = 'F' AS was_in_use
         FROM orders""",
-    # the readings of all sites as those of one: dense enough for the features that need 24 full bins in a row
-    "site_energy": "SELECT 0 AS ClientId, * EXCLUDE (ClientId) FROM energy",
-    "site_measurements": "SELECT 0 AS ClientId, * EXCLUDE (ClientId) FROM measurements",
+    # every site's days laid over five days: dense enough for the features that need 24 full bins in a row
+    "dense_energy": f"""
+        SELECT * REPLACE ({_folded_sql('TimeStampMeasured')} AS TimeStampMeasured) FROM energy""",
+    "dense_measurements": f"SELECT * REPLACE ({_folded_sql('Time')} AS Time) FROM measurements",
     "model_files": """
         SELECT concat('model_', CAST(p_partkey % 5 AS VARCHAR), '_v', CAST(p_size AS VARCHAR), '.keras') AS file_name
         FROM part""",
 }
 
 
+def _folded(df: DataFrame, ts: str) -> DataFrame:
+    days = F.datediff(F.to_date(ts), F.lit("2024-01-01").cast("date"))
+    return df.withColumn(ts, F.col(ts) - F.make_dt_interval(days - days % FOLD_DAYS))
+
+
 class Tables:
     """Lazy Spark forms of the views; naive UTC timestamps as stored, so that filters reach the scan."""
 
@@ -109,12 +123,12 @@ class Tables:
         )
 
     @cached_property
-    def site_energy(self) -> DataFrame:
-        return self.energy.withColumn("ClientId", F.lit(0))
+    def dense_energy(self) -> DataFrame:
+        return _folded(self.energy, "TimeStampMeasured")
 
     @cached_property
-    def site_measurements(self) -> DataFrame:
-        return self.measurements.withColumn("ClientId", F.lit(0))
+    def dense_measurements(self) -> DataFrame:
+        return _folded(self.measurements, "Time")
 
     @cached_property
     def weather_forecast(self) -> DataFrame:

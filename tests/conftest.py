@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from wattloom.session import local_session  # noqa: E402
+from wattloom.session import clear_work, local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF = "/root/testdata/sf0.01"
@@ -16,6 +16,7 @@ def spark():
     session = local_session("8", shuffle_partitions=8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_work(session)
     session.stop()
 
 

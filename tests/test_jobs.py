@@ -78,11 +78,25 @@ class TestWorkFolder:
             assert session.work_root(spark) == named.rstrip("/")
         assert session.work_path(spark, "a") != session.work_path(spark, "a")
 
-    def test_checkpoint_cuts_the_lineage(self, spark):
-        df = session.checkpointed(spark.range(5).withColumn("x", F.col("id") * 2))
+    def test_stored_copy_cuts_the_lineage(self, spark):
+        df = session.stored(spark.range(5).withColumn("x", F.col("id") * 2), "five")
         assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
         assert df.count() == 5
 
+    def test_only_threads_of_the_driver_may_share_a_local_folder(self):
+        class Context:
+            master = "local-cluster[2,1,1024]"
+
+            def getCheckpointDir(self):
+                return None
+
+        class Session:
+            sparkContext = Context()
+            conf = {}
+
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.work_root(Session())
+
 
 class TestStreams:
     COLUMNS = ["ClientId", "TimeStampMeasured", "event_id", "LoadEnergyCalculated"]

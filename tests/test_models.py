@@ -321,10 +321,14 @@ class TestSolar:
         noon = series.where(F.hour("bin") == 12).where(F.minute("bin") == 0).collect()
         assert all(r.SolarPower == pytest.approx(10) and r.Temperature == pytest.approx(275 + 10 - 273.15) for r in noon)
 
-    def test_no_overlap_gives_no_rows(self, spark):
-        measurements, history, energy, served = self.frames(spark, days=1)
+    def test_site_without_history_is_fitted_on_its_meter(self, spark):
+        measurements, history, energy, _ = self.frames(spark, days=1)
         elsewhere = history.withColumn("ClientId", F.lit(9))
-        out = solar_daily.forecast(measurements, elsewhere, energy, served, "2024-01-09 00:01:00", ["Temperature", "Humidity"])
+        assert solar_daily.training_series(measurements, elsewhere, energy).count() == 96
+
+    def test_no_readings_give_no_rows(self, spark):
+        measurements, history, energy, served = self.frames(spark, days=1)
+        out = solar_daily.forecast(measurements.limit(0), history, energy, served, "2024-01-09 00:01:00", ["Temperature", "Humidity"])
         assert out.isEmpty() and "SolarPower_pred" in out.columns
 
     def test_forecast_is_dark_at_night_and_bright_at_noon(self, spark):

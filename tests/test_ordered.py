@@ -11,7 +11,7 @@ from wattloom.operators import ordered
 from wattloom.plans import load_daily
 
 KEY = ["ClientId"]
-CHUNK = "floor(at / 10)"
+TS = "ts"
 
 
 def frame(seed, n=600, hot=0.7):
@@ -24,7 +24,11 @@ def frame(seed, n=600, hot=0.7):
 
 def to_spark(spark, pdf):
     rows = [(int(c), int(a), int(i), None if np.isnan(v) else float(v)) for c, a, i, v in pdf.itertuples(index=False)]
-    return spark.createDataFrame(rows, "ClientId int, at long, id long, v double").repartition(5)
+    df = spark.createDataFrame(rows, "ClientId int, at long, id long, v double").repartition(5)
+    # ten instants share a second, three seconds an hour
+    second = F.floor(F.col("at") / 10)
+    micros = F.floor(second / 3) * 3_600_000_000 + second % 3 * 1_000_000 + F.col("at") % 10
+    return df.withColumn("ts", F.timestamp_micros(micros).cast("timestamp_ntz"))
 
 
 def as_pandas(df, *names):
@@ -40,13 +44,13 @@ def expected(pdf, function):
 class TestAgainstPandas:
     def test_fill_forward(self, spark, seed):
         pdf = frame(seed)
-        got = as_pandas(ordered.fill_forward(to_spark(spark, pdf), KEY, ["at", "id"], ["v"], CHUNK), "v")["v"]
+        got = as_pandas(ordered.fill_forward(to_spark(spark, pdf), KEY, ["at", "id"], ["v"], TS), "v")["v"]
         want = expected(pdf, lambda rows, groups: groups["v"].ffill())
         pd.testing.assert_series_equal(got.astype(float), want, check_names=False, check_index=False)
 
     def test_row_ordinal_and_total(self, spark, seed):
         pdf = frame(seed)
-        got = as_pandas(ordered.row_ordinal(to_spark(spark, pdf), KEY, ["at", "id"], CHUNK, "index", "total"), "index", "total")
+        got = as_pandas(ordered.row_ordinal(to_spark(spark, pdf), KEY, ["at", "id"], TS, "index", "total"), "index", "total")
         want = expected(pdf, lambda rows, groups: groups.cumcount())
         assert got["index"].tolist() == want.tolist()
         assert got["total"].tolist() == pdf.groupby("ClientId")["id"].transform("count").tolist()
@@ -55,7 +59,7 @@ class TestAgainstPandas:
     def test_neighbours_across_blocks(self, spark, seed, block):
         pdf = frame(seed, 200)
         wanted = {"back_1": ("v", 1), "back_7": ("v", 7), "ahead_2": ("v", -2)}
-        out = ordered.neighbour_columns(to_spark(spark, pdf), KEY, ["at", "id"], wanted, CHUNK, block)
+        out = ordered.neighbour_columns(to_spark(spark, pdf), KEY, ["at", "id"], wanted, TS, block)
         got = as_pandas(out, *wanted)
         assert len(got) == len(pdf)
         for name, (_, k) in wanted.items():
@@ -67,7 +71,7 @@ class TestAgainstPandas:
         size = pdf.groupby("ClientId")["id"].transform("count")
         place = expected(pdf, lambda rows, groups: groups.cumcount())
         for args, limit in (({"fraction": 0.8}, np.floor(size * 0.8)), ({"test_rows": 40}, size - 40)):
-            got = as_pandas(ordered.chronological_split(to_spark(spark, pdf), KEY, ["at", "id"], CHUNK, **args), "is_train")
+            got = as_pandas(ordered.chronological_split(to_spark(spark, pdf), KEY, ["at", "id"], TS, **args), "is_train")
             assert got["is_train"].tolist() == (place < limit).tolist()
 
 
@@ -81,10 +85,10 @@ def test_any_rows(spark, rows, block):
         [(c, a, i, np.nan if v is None else float(v)) for i, (c, a, v) in enumerate(rows)], columns=["ClientId", "at", "id", "v"]
     )
     df = to_spark(spark, pdf).coalesce(1)
-    filled = as_pandas(ordered.fill_forward(df, KEY, ["at", "id"], ["v"], CHUNK), "v")["v"].astype(float)
+    filled = as_pandas(ordered.fill_forward(df, KEY, ["at", "id"], ["v"], TS), "v")["v"].astype(float)
     want = expected(pdf, lambda rows, groups: groups["v"].ffill())
     assert filled.fillna(-1).tolist() == want.fillna(-1).tolist()
-    lagged = as_pandas(ordered.lag_features(df, KEY, ["at", "id"], "v", 2, CHUNK, block), "lag_2")["lag_2"].astype(float)
+    lagged = as_pandas(ordered.lag_features(df, KEY, ["at", "id"], "v", 2, TS, block), "lag_2")["lag_2"].astype(float)
     want = expected(pdf, lambda rows, groups: groups["v"].shift(2))
     assert lagged.fillna(-1).tolist() == want.fillna(-1).tolist()
 
@@ -110,41 +114,37 @@ def test_energy_series_against_pandas(spark, seed):
     np.testing.assert_allclose(got[load_daily.TARGET].astype(float), want.to_numpy())
 
 
-@pytest.mark.parametrize("max_rows", [1, 40, 200, 10**6])
-def test_crowded_hours_are_split(spark, max_rows):
-    """Most readings of site 1 fall into one hour, many of them into one bin."""
+@pytest.mark.parametrize("span", [1, 60, 3600])
+def test_crowded_readings(spark, span):
+    """Most readings of site 1 fall into one second, one minute or one hour."""
     rng = np.random.default_rng(11)
     start = pd.Timestamp("2024-01-01")
-    rows = []
-    for site, n, span in ((1, 400, 3600), (1, 100, 86400), (2, 80, 86400)):
-        # distinct instants
-        for s in rng.choice(span * 10, n, replace=False):
-            rows.append((site, (start + pd.Timedelta(int(s) * 100 + site * 50 + span % 7, "ms")).to_pydatetime()))
-    rows = sorted(set(rows))
-    values = rng.choice([10.0, 90.0, 250.0, 50000.0, 60000.0], len(rows))
+    stamps = set()
+    for site, n, seconds in ((1, 400, span), (1, 100, 86400), (2, 80, 86400)):
+        stamps |= {(site, start + pd.Timedelta(int(s) * 1000 + 17, "us")) for s in rng.choice(seconds * 1000, n, replace=False)}
+    stamps = sorted(stamps)
+    values = rng.choice([10.0, 90.0, 250.0, 50000.0, 60000.0], len(stamps))
+    pdf = pd.DataFrame([(c, ts, i, v) for i, ((c, ts), v) in enumerate(zip(stamps, values, strict=True))], columns=["ClientId", "ts", "id", "v"])
     df = spark.createDataFrame(
-        [(c, ts, i, float(v)) for i, ((c, ts), v) in enumerate(zip(rows, values, strict=True))],
+        [(c, ts.to_pydatetime(), i, float(v)) for c, ts, i, v in pdf.itertuples(index=False)],
         "ClientId int, TimeStampMeasured timestamp_ntz, id long, LoadEnergyCalculated double",
     )
-    even = ordered.even_chunks(df, KEY, "TimeStampMeasured", max_rows)
-    chunks = even.select("ClientId", "_chunk").distinct().count()
-    assert even.count() == len(rows) and (chunks > 60 if max_rows < 300 else chunks <= 48)
-
-    names = ["ClientId", "bin", F.round(load_daily.TARGET, 6)]
-    plain = load_daily.energy_series(df, "2020-01-01 00:00:00").select(names)
-    split = load_daily.energy_series(even, "2020-01-01 00:00:00").select(names)
-    assert plain.count() > 100
-    assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty()
+    got = load_daily.energy_series(df, "2020-01-01 00:00:00").orderBy("ClientId", "bin").toPandas()
+    for site, own in pdf.groupby("ClientId"):
+        want = reference_series(own)
+        mine = got[got.ClientId == site]
+        assert mine["bin"].tolist() == want.index.tolist()
+        np.testing.assert_allclose(mine[load_daily.TARGET].astype(float), want.to_numpy())
 
     v = "LoadEnergyCalculated"
-    spiked = even.withColumn(v, F.when(F.col(v) < 40000, F.col(v)))
+    spiked = df.withColumn(v, F.when(F.col(v) < 40000, F.col(v)))
     for order in (["TimeStampMeasured"], ["TimeStampMeasured", "id"]):
-        a = ordered.fill_forward(spiked, KEY, order, [v], ordered.CHUNK).select("id", v)
+        a = ordered.fill_forward(spiked, KEY, order, [v], "TimeStampMeasured").select("id", v)
         b = ordered.fill_forward(spiked, KEY, order, [v], None).select("id", v)
         assert a.exceptAll(b).isEmpty()
-    a = ordered.lag_features(even, KEY, ["TimeStampMeasured"], v, 3, ordered.CHUNK, 50).select("id", "lag_1", "lag_3")
+    a = ordered.lag_features(df, KEY, ["TimeStampMeasured"], v, 3, "TimeStampMeasured", 50).select("id", "lag_1", "lag_3")
     b = ordered.lag_features(df, KEY, ["TimeStampMeasured"], v, 3).select("id", "lag_1", "lag_3")
-    assert a.exceptAll(b).isEmpty() and a.count() == len(rows)
+    assert a.exceptAll(b).isEmpty() and a.count() == len(stamps)
 
 
 def test_aligned_series_equals_join_of_two_grids(spark):
@@ -166,8 +166,6 @@ def test_aligned_series_equals_join_of_two_grids(spark):
     )
     cutoff = "2020-01-01 00:00:00"
     together = load_daily.joined_series(energy, sky, cutoff=cutoff)
-    in_parts = load_daily.joined_series(energy, sky, cutoff=cutoff, max_rows=2)
-    assert "part" in in_parts._jdf.queryExecution().toString() and together.exceptAll(in_parts).isEmpty()
     apart = joins.join_on_bin(load_daily.energy_series(energy, cutoff), load_daily.weather_series(sky))
     names = ["ClientId", "bin", load_daily.TARGET, "Temperature", "Humidity"]
     firsts = load_daily.energy_series(energy, cutoff).groupBy("ClientId").agg(F.min("bin").alias("first"))

@@ -25,8 +25,8 @@ def whole_text(spark):
 # Queries that write or fit while they are built; their result is a scan of what they wrote.
 EAGER = {n for n in QUERIES if re.match(r"forecast_|hybrid_|cluster_day|batch_score|evaluate_|hyperparameter|stream_|scheduled_", n)}
 
-# One row or a handful from the whole table, a dictionary's prefixes, or a final sort by time.
-ONE_TASK = {"null_report", "head_tail_preview", "append_client", "label_encode", "safe_label_encode", "sort_time"}
+# One row or a handful from the whole table, or a final sort by time.
+ONE_TASK = {"null_report", "head_tail_preview", "append_client", "sort_time"}
 
 
 def plan(df) -> str:
@@ -79,8 +79,30 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_flagship_shuffles_readings_once(spark):
     t = Tables(spark, SF_SMALL)
     text = plan(load_daily.features(t.energy, t.measurements, cutoff=CUTOFF))
-    # readings by site and bin, weather partials by site and bin, bins by site
-    assert text.count("Exchange hashpartitioning") == 3
+    # readings by site and second, their states by site and bin, weather partials by site and bin, bins by site
+    assert text.count("Exchange hashpartitioning") == 4
+    assert len(re.findall(r"FileScan parquet .*\bts#", text)) == 2  # readings once, weather once
+    assert "COUNT" not in text.split("FileScan")[-1]
+
+
+@pytest.mark.parametrize("name", ["features_load", "energy_series_15m", "row_ordinal", "ffill", "lag_features", "chronological_split"])
+def test_rows_crowded_into_one_second_are_the_most_a_window_sees(spark, name):
+    """Every window over readings is split by second at least; others run on summaries, bins or blocks."""
+    text = plan(QUERIES[name](spark, SF_SMALL))
+    first = [line for line in text.splitlines() if re.search(r"\bWindow \[", line)][-1]
+    lines = text.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(r"\bWindow \[", line):
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = []
+            for child in lines[i + 1 :]:
+                if len(child) - len(child.lstrip(" :+-")) <= depth:
+                    break
+                below.append(child)
+            reduced = any("HashAggregate" in c or "SortAggregate" in c for c in below)
+            parts = line.split("], [")[-2] if line.count("], [") > 1 else line
+            assert reduced or re.search(r"part#|_second#|_block#", parts), line
+    assert first
 
 
 def test_landed_readings_prune_partitions(spark):

@@ -10,7 +10,7 @@ from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
 from wattloom.operators import assembly, columns, filters, joins, metrics, ordered, sets, transforms
-from wattloom.plans import gate, load_daily
+from wattloom.plans import gate, load_daily, publish
 
 KEY = ["ClientId"]
 
@@ -186,6 +186,47 @@ class TestFilters:
         assert tuple(filters.asof_last_row(df, KEY, "ts", "2024-01-01 01:30:00").first()) == rows[1]
 
 
+class TestZones:
+    def test_truncation_and_labels_ignore_the_session_zone(self, spark):
+        """The local spring gap and the autumn hour are ordinary hours of a naive UTC clock."""
+        stamps = ["2025-03-30 02:30:10.5", "2025-03-30 01:59:59", "2025-10-26 02:30:10", "2025-03-30 03:00:00"]
+        df = spark.createDataFrame([(s,) for s in stamps], "s string")
+        before = spark.conf.get("spark.sql.session.timeZone")
+        got = {}
+        for zone in ("UTC", "Europe/Ljubljana"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            try:
+                ts = F.col("s").cast("timestamp_ntz")
+                out = df.select(
+                    *[cal.truncate(ts, u).cast("string").alias(u) for u in ("SECOND", "MINUTE", "HOUR", "DAY")],
+                    cal.slot(ts).alias("slot"),
+                    val.night_to_zero(F.lit(1.0), ts, F.lit("2025-01-01 02:15:00").cast("timestamp_ntz"), F.lit("2025-01-01 18:00:00").cast("timestamp_ntz")).alias("p"),
+                )
+                got[zone] = out.collect()
+            finally:
+                spark.conf.set("spark.sql.session.timeZone", before)
+        assert got["UTC"] == got["Europe/Ljubljana"]
+        assert tuple(got["UTC"][0]) == ("2025-03-30 02:30:10", "2025-03-30 02:30:00", "2025-03-30 02:00:00", "2025-03-30 00:00:00", "02:30:10", 1.0)
+
+    def test_as_of_row_is_one_row(self, spark):
+        rows = [(1, datetime(2025, 1, 1), 1, "b"), (1, datetime(2025, 1, 1), 2, "a"), (1, datetime(2025, 1, 2), 0, None), (2, datetime(2025, 1, 1), None, "x")]
+        df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, a int, b string")
+        got = sorted(map(tuple, filters.asof_last_row(df, ["k"], "ts", "2025-01-01 12:00:00").collect()))
+        assert got == [(1, datetime(2025, 1, 1), 2, "a"), (2, datetime(2025, 1, 1), None, "x")]
+
+    def test_replaced_rows_go_for_sites_without_a_forecast(self, spark):
+        old = spark.createDataFrame([(c, datetime(2025, 1, d), 5) for c in (1, 2) for d in (1, 3)], "ClientId int, Time timestamp_ntz, LoadPower long")
+        new = spark.createDataFrame([(1, datetime(2025, 1, 4), 7)], old.schema)
+        got = sorted(map(tuple, publish.hourly_load(old, new, "2025-01-02 00:00:00").collect()))
+        assert got == [(1, datetime(2025, 1, 1), 5), (1, datetime(2025, 1, 4), 7), (2, datetime(2025, 1, 1), 5)]
+
+    def test_site_without_a_cut_over_keeps_its_readings(self, spark):
+        readings = spark.createDataFrame([(1, datetime(2025, 1, 1), 2.0), (2, datetime(2025, 1, 1), 3.0)], "ClientId int, Time timestamp_ntz, PowerPV double")
+        energy = spark.createDataFrame([], "ClientId int, TimeStampMeasured timestamp_ntz, PowerToPv long")
+        since = spark.createDataFrame([(1, datetime(2025, 1, 2))], "ClientId int, cut_over timestamp_ntz")
+        assert [(r.ClientId, r.SolarPower) for r in joins.join_pv_recent(readings, energy, since).collect()] == [(2, 3.0)]
+
+
 class TestTransforms:
     def test_constant_column_scales_to_zero_and_back(self, spark):
         df = spark.createDataFrame([(1, 7.0), (1, 7.0)], "ClientId int, v double")

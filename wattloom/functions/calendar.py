@@ -45,8 +45,15 @@ def to_local(ts: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
 
 
+_UNITS = ("DAY", "HOUR", "MINUTE", "SECOND")
+
+
 def truncate(ts: Column, unit: str) -> Column:
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
+    """Down to the unit, on the naive clock: no zone takes part, so no hour is skipped or repeated."""
+    kept = _UNITS.index(unit)
+    ts = ts.cast("timestamp_ntz")
+    clock = [part(ts) if i < kept else F.lit(0) for i, part in enumerate((F.hour, F.minute, F.second))]
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), *clock)
 
 
 def weekday_from_0(ts: Column) -> Column:
@@ -116,7 +123,7 @@ def at_time_of_day(date_of: Column, clock_of: Column) -> Column:
 
 def slot(ts: Column) -> Column:
     """Clock label, the same on every day."""
-    return F.date_format(ts, FORMATS["slot"])
+    return F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts))
 
 
 def time_of_day_number(ts: Column) -> Column:

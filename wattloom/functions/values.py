@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.functions.calendar import second_of_day
+
 # Fixed values.
 SPIKE_LIMIT = 40000
 KELVIN_OFFSET = 273.15
@@ -40,8 +42,8 @@ def to_whole(value: Column) -> Column:
 
 def night_to_zero(forecast: Column, time: Column, sunrise: Column, sunset: Column) -> Column:
     """No solar power below zero or outside daylight; both daylight bounds count as day."""
-    clock = F.date_format(time, "HH:mm:ss")
-    dark = (clock < F.date_format(sunrise, "HH:mm:ss")) | (clock > F.date_format(sunset, "HH:mm:ss"))
+    clock = second_of_day(time)
+    dark = (clock < second_of_day(sunrise)) | (clock > second_of_day(sunset))
     return F.when((forecast < 0) | dark, F.lit(0.0)).otherwise(forecast)
 
 

@@ -76,16 +76,12 @@ def time_slot(df: DataFrame, ts: str, slots: Sequence[str]) -> DataFrame:
 def asof_last_row(df: DataFrame, keys: list[str], ts: str, now: datetime | str) -> DataFrame:
     """The latest row of every key not after ``now``.
 
-    ``(key, ts)`` identifies a row, so each column can be taken at the greatest ``ts`` by an aggregate
-    that is combined before the shuffle.
+    All columns come from one row. Of several rows at that instant the one with the greatest values counts, column by
+    column in their order. The aggregate is combined before the shuffle.
     """
     rest = [c for c in df.columns if c not in (*keys, ts)]
-    return (
-        df.where(F.col(ts) <= at(df, ts, now))
-        .groupBy(*keys)
-        .agg(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    last = df.where(F.col(ts) <= at(df, ts, now)).groupBy(*keys).agg(F.max(F.struct(ts, *rest)).alias("_row"))
+    return last.select(*keys, "_row.*").select(*df.columns)
 
 
 def min_history_guard(df: DataFrame, keys: list[str], needed: int, value: str | None = None) -> DataFrame:

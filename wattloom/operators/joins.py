@@ -41,7 +41,9 @@ def cut_over(measurements: DataFrame, history: DataFrame, key: str = "ClientId")
 
 def _recent(measurements: DataFrame, since: DataFrame, key: str, include_cut_over: bool) -> DataFrame:
     later = F.col("Time") >= F.col("cut_over") if include_cut_over else F.col("Time") > F.col("cut_over")
-    return _by_minute(measurements, "Time").join(since, key).where(later).drop("cut_over")
+    # a site without a cut-over has no history to repeat: all its readings are recent
+    whole = _by_minute(measurements, "Time").join(since, key, "left")
+    return whole.where(F.col("cut_over").isNull() | later).drop("cut_over")
 
 
 def _metered(energy: DataFrame, key: str) -> DataFrame:

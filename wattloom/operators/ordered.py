@@ -2,12 +2,13 @@
 
 Two sizes of input are told apart:
 
-* **Raw readings** have no bound per site; one site may own a third of them. These operators never
-  gather a site: rows are split by ``(site, chunk)`` with ``chunk`` a short time span, and what crosses a
-  chunk border (a count, a last value) travels through a small per-chunk summary that is joined back.
-  Where a fixed number of neighbours is needed, rows are cut into equal blocks with copied edges.
+* **Raw readings** have no bound per site; one site may own a third of them, and they may crowd into any hour. These
+  operators never gather a site: rows are split by site and second, which the clock's microseconds bound, since site and
+  instant identify a reading. What crosses a second's border (a count, a last value) is summed up by second and then by
+  hour, and joined back. Where a fixed number of neighbours is needed, rows are cut into equal blocks with
+  copied edges. Pass the instant's column as ``ts``.
 * **Series** on the 15-minute grid hold at most 35 040 rows per site and year whatever the reading rate,
-  so a plain window by site is safe there. Pass ``chunk=None`` for them.
+  so a plain window by site is safe there. Pass ``ts=None`` for them.
 """
 
 from __future__ import annotations
@@ -18,118 +19,84 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
-from wattloom.session import stored
 
 BLOCK_ROWS = 100_000
-CHUNK_ROWS = 1_000_000
-CHUNK = "_chunk"
+PLACE = ["_hour", "_second"]
 
 
-def hour_of(ts: str) -> str:
-    """The usual chunk for raw readings, as an expression text."""
-    return f"date_trunc('HOUR', `{ts}`)"
+def _placed(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumns({"_hour": cal.truncate(F.col(ts), "HOUR"), "_second": cal.truncate(F.col(ts), "SECOND")})
 
 
-def crowded_hours(df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``(keys, _hour, _size)`` where a key has more than ``max_rows`` rows in an hour.
-
-    One pass over the keys and instants, combined before the shuffle. Stored, with at most one row per
-    ``max_rows`` rows of the input.
-    """
-    hour = F.date_trunc("HOUR", F.col(ts))
-    sizes = df.groupBy(*keys, hour.alias("_hour")).agg(F.count(F.lit(1)).alias("_size"))
-    return stored(sizes.where(F.col("_size") > max_rows), "crowded-hours")
-
-
-def even_chunks(
-    df: DataFrame, keys: list[str], ts: str, max_rows: int = CHUNK_ROWS, crowded: DataFrame | None = None
-) -> DataFrame:
-    """Add the column ``_chunk``: hours, cut into minutes or seconds where a key has too many rows in one.
-
-    For readings that may crowd into few hours. Pass ``CHUNK`` as the chunk of the operators below.
-    """
-    if crowded is None:
-        crowded = crowded_hours(df, keys, ts, max_rows)
-    finer = F.when(F.col("_size") <= 60 * max_rows, F.date_trunc("MINUTE", F.col(ts))).when(
-        F.col("_size").isNotNull(), F.date_trunc("SECOND", F.col(ts))
-    )
-    marked = df.withColumn("_hour", F.date_trunc("HOUR", F.col(ts))).join(crowded, [*keys, "_hour"], "left")
-    return marked.withColumn(CHUNK, F.coalesce(finer, F.col("_hour"))).select(*df.columns, CHUNK)
-
-
-def even_if_crowded(df: DataFrame, keys: list[str], ts: str, since: str, max_rows: int = CHUNK_ROWS) -> DataFrame:
-    """With ``_chunk`` if any hour after ``since`` is crowded, else unchanged and without a further join."""
-    later = df.where(F.col(ts) > F.lit(since).cast(df.schema[ts].dataType))
-    crowded = crowded_hours(later, keys, ts, max_rows)
-    return df if crowded.isEmpty() else even_chunks(df, keys, ts, max_rows, crowded)
-
-
-def _chunked(df: DataFrame, chunk: str | Column) -> DataFrame:
-    return df.withColumn("_chunk", F.expr(chunk) if isinstance(chunk, str) else chunk)
-
-
-def _with_summary(chunked: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    # The rows must be shuffled to (keys, chunk) for the window that follows anyway, and the summary
-    # is the small side: a hash join adds neither a second shuffle nor a sort of the rows.
-    return chunked.join(summary.hint("shuffle_hash"), [*keys, "_chunk"])
+def _before(keys: list[str], order: str):
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def row_ordinal(
     df: DataFrame,
     keys: list[str],
     order: Sequence[str | Column],
-    chunk: str | Column | None,
+    ts: str | None,
     name: str = "index",
     total: str | None = None,
 ) -> DataFrame:
-    """0-based position of every row within its key, and optionally the row count of the key."""
-    if chunk is None:
+    """0-based position of every row within its key, and optionally the row count of the key.
+
+    Rows in a second follow ``order``. Seconds are counted within their hour, hours within their key.
+    """
+    if ts is None:
         df = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
         return df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))) if total else df
-    chunked = _chunked(df, chunk)
-    sizes = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    if total:
-        bases = sizes.select(
-            *keys,
-            "_chunk",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
-            F.sum("_n").over(whole).alias(total),
-        )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    return (
-        _with_summary(chunked, bases, keys)
-        .withColumn(name, F.col("_base") + F.row_number().over(inside) - 1)
-        .drop("_chunk", "_base")
+    placed = _placed(df, ts)
+    seconds = placed.groupBy(*keys, *PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    hours = seconds.groupBy(*keys, "_hour").agg(F.sum("_n").alias("_n"))
+    hours = hours.select(
+        *keys,
+        "_hour",
+        F.coalesce(F.sum("_n").over(_before(keys, "_hour")), F.lit(0)).alias("_hours_before"),
+        *([F.sum("_n").over(Window.partitionBy(*keys)).alias(total)] if total else []),
     )
+    inside = F.coalesce(F.sum("_n").over(_before([*keys, "_hour"], "_second")), F.lit(0))
+    bases = seconds.select(*keys, *PLACE, inside.alias("_inside")).join(hours, [*keys, "_hour"])
+    bases = bases.withColumn("_base", F.col("_hours_before") + F.col("_inside")).drop("_hours_before", "_inside", "_hour")
+    own = Window.partitionBy(*keys, "_second").orderBy(*order)
+    joined = placed.drop("_hour").join(bases, [*keys, "_second"])
+    return joined.withColumn(name, F.col("_base") + F.row_number().over(own) - 1).drop("_second", "_base")
 
 
 def fill_forward(
-    df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], chunk: str | Column | None
+    df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], ts: str | None
 ) -> DataFrame:
     """Last known value down the rows; nulls before the first known value stay.
 
     Readings are identified by site and instant, so the instant alone should be their ``order``: the last
-    value of a chunk is then found by a hash aggregate. With more columns, as ties need, rows are sorted.
+    value of a second is then found by a hash aggregate. With more columns, as ties need, rows are sorted.
     """
     so_far = (Window.unboundedPreceding, 0)
-    if chunk is None:
+    if ts is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-    chunked = _chunked(df, chunk)
+    placed = _placed(df, ts)
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    lasts = chunked.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_last_{c}") for c in columns]
+    lasts = {c: f"_last_{c}" for c in columns}
+    seconds = placed.groupBy(*keys, *PLACE).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(n) for c, n in lasts.items()]
+    )
+    hours = seconds.groupBy(*keys, "_hour").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_second"))).alias(n) for n in lasts.values()]
+    )
+    carried = hours.select(
+        *keys, "_hour", *[F.last(n, ignorenulls=True).over(_before(keys, "_hour")).alias(f"{n}_hour") for n in lasts.values()]
+    )
+    inside = seconds.select(
+        *keys, *PLACE, *[F.last(n, ignorenulls=True).over(_before([*keys, "_hour"], "_second")).alias(n) for n in lasts.values()]
     )
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = lasts.select(
-        *keys, "_chunk", *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns]
+    bases = inside.join(carried, [*keys, "_hour"]).select(
+        *keys, "_second", *[F.coalesce(n, f"{n}_hour").alias(f"_carry_{c}") for c, n in lasts.items()]
     )
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(*so_far)
-    filled = _with_summary(chunked, carried, keys).withColumns(
-        {c: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_carry_{c}")) for c in columns}
+    own = Window.partitionBy(*keys, "_second").orderBy(*order).rowsBetween(*so_far)
+    filled = placed.drop("_hour").join(bases, [*keys, "_second"]).withColumns(
+        {c: F.coalesce(F.last(c, ignorenulls=True).over(own), F.col(f"_carry_{c}")) for c in columns}
     )
     return filled.select(*df.columns)
 
@@ -156,7 +123,7 @@ def neighbour_columns(
     keys: list[str],
     order: Sequence[str | Column],
     columns: dict[str, tuple[str, int]],
-    chunk: str | Column | None,
+    ts: str | None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Values of other rows by row distance: ``{name: (column, k)}``, k > 0 earlier, k < 0 later."""
@@ -164,11 +131,11 @@ def neighbour_columns(
     def shifted(window):
         return {n: F.lag(c, k).over(window) if k >= 0 else F.lead(c, -k).over(window) for n, (c, k) in columns.items()}
 
-    if chunk is None:
+    if ts is None:
         return df.withColumns(shifted(Window.partitionBy(*keys).orderBy(*order)))
     before = max([k for _, k in columns.values()] + [0])
     after = max([-k for _, k in columns.values()] + [0])
-    numbered = row_ordinal(df, keys, order, chunk, "_pos")
+    numbered = row_ordinal(df, keys, order, ts, "_pos")
     blocks = in_blocks(numbered, keys, "_pos", before, after, block_rows)
     w = Window.partitionBy(*keys, "_block").orderBy("_pos")
     return blocks.withColumns(shifted(w)).where("_core").drop("_pos", "_block", "_core")
@@ -180,12 +147,12 @@ def lag_features(
     order: Sequence[str | Column],
     value: str,
     max_lag: int,
-    chunk: str | Column | None = None,
+    ts: str | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``lag_1 .. lag_N``: the values of the N rows before, by row and not by time."""
     wanted = {f"lag_{k}": (value, k) for k in range(1, max_lag + 1)}
-    return neighbour_columns(df, keys, order, wanted, chunk, block_rows)
+    return neighbour_columns(df, keys, order, wanted, ts, block_rows)
 
 
 def fill_across(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
@@ -287,14 +254,14 @@ def chronological_split(
     df: DataFrame,
     keys: list[str],
     order: Sequence[str | Column],
-    chunk: str | Column | None,
+    ts: str | None,
     fraction: float | None = None,
     test_rows: int | None = None,
 ) -> DataFrame:
     """Add ``is_train``: the first ``fraction`` of the rows of a key, or all but its last ``test_rows``."""
     if (fraction is None) == (test_rows is None):
         raise ValueError("give either fraction or test_rows")
-    numbered = row_ordinal(df, keys, order, chunk, "_pos", "_total")
+    numbered = row_ordinal(df, keys, order, ts, "_pos", "_total")
     total = F.col("_total")
     size = F.floor(total * F.lit(fraction)) if fraction is not None else total - test_rows
     return numbered.withColumn("is_train", F.col("_pos") < size).drop("_pos", "_total")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
-from wattloom.operators import ordered
+from wattloom.session import stored
 
 # Fixed value: Monday has no column of its own.
 WEEKDAY_COLUMNS = range(1, 7)
@@ -70,9 +70,19 @@ def one_hot_weekday(df: DataFrame, ts: str, from_one: bool = False) -> DataFrame
 
 
 def fit_labels(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Codes 0..n-1 of the sorted distinct values, ``(keys, column, code)``."""
+    """Codes 0..n-1 of the sorted distinct values, ``(keys, column, code)``.
+
+    Values are dealt to tasks by ranges, numbered there, and moved by the counts of the ranges before: no task holds a
+    whole dictionary. The dealt values are stored, so that counts and numbers speak of the same ranges.
+    """
     values = df.where(F.col(column).isNotNull()).select(*keys, column).distinct()
-    return ordered.row_ordinal(values, keys, [column], F.substring(column, 1, 2), "code")
+    dealt = stored(values.repartitionByRange(*keys, column).withColumn("_range", F.spark_partition_id()), "label-values")
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    bases = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(column)) - 1
+    numbered = dealt.withColumn("_place", place).join(bases, [*keys, "_range"])
+    return numbered.select(*keys, column, (F.col("_base") + F.col("_place")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, labels: DataFrame, keys: list[str], column: str) -> DataFrame:

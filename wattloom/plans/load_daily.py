@@ -48,20 +48,17 @@ def bin_states(
 
     Spikes take the last good reading. Inside a bin that needs the order of its own rows only: ``total`` is
     the sum of good and filled readings, ``open`` counts the spikes before the first good one, which wait
-    for an earlier bin, and ``final`` is the last good reading. So readings are shuffled once, by site and
-    bin, and never gathered by site; and a bin's state depends on no other bin. Readings bucketed by site
-    and ``day`` are not shuffled at all. Readings that passed :func:`ordered.even_chunks` have crowded bins
-    ordered in parts.
+    for an earlier bin, and ``final`` is the last good reading. Readings are ordered and reduced by site and
+    second, and the seconds of a bin, 900 at most, merge into its state. So no task holds more readings than a second has
+    instants, however they crowd; a bin's state depends on no other bin; and readings bucketed by site and
+    ``day`` are not shuffled at all.
     """
     place = [*KEY, *[c for c in ("day",) if c in energy.columns]]
-    crowded = ordered.CHUNK in energy.columns
-    wanted = [*place, ts, value, *tie, *([ordered.CHUNK] if crowded else [])]
+    wanted = [*place, ts, value, *tie]
     raw = filters.after_cutoff(energy, ts, cutoff, wanted)
-    bin_ = cal.bin_start(ts)
-    good = raw.select(*wanted, bin_.alias("bin")).withColumn("v", val.spike_to_null(F.col(value), limit))
-    if crowded:
-        good = good.withColumn("part", F.greatest("bin", F.col(ordered.CHUNK).cast("timestamp_ntz")))
-    parts = [*place, "bin", *(["part"] if crowded else [])]
+    marks = {"bin": cal.bin_start(ts), "part": cal.truncate(F.col(ts), "SECOND"), "v": val.spike_to_null(F.col(value), limit)}
+    good = raw.select(*wanted).withColumns(marks)
+    parts = [*place, "bin", "part"]
     inside = Window.partitionBy(*parts).orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, 0)
     states = (
         good.withColumn("filled", F.last("v", ignorenulls=True).over(inside))
@@ -72,7 +69,7 @@ def bin_states(
             F.max_by("filled", F.struct(ts, *tie) if tie else F.col(ts)).alias("final"),
         )
     )
-    return (_merged(states, place) if crowded else states).select(*KEY, "bin", "total", "open", "final")
+    return _merged(states, place).select(*KEY, "bin", "total", "open", "final")
 
 
 def _merged(states: DataFrame, place: list[str]) -> DataFrame:
@@ -131,17 +128,14 @@ def joined_series(
     measurements: DataFrame,
     cutoff: str = CUTOFF,
     limit: float = val.SPIKE_LIMIT,
-    max_rows: int = ordered.CHUNK_ROWS,
     **names,
 ) -> DataFrame:
     """Energy and weather over their common span, nulls where the weather has gaps.
 
     ``index`` is the place of a bin in the site's energy series. Bin states are joined before values are carried across bins, so both sides are still partitioned by
-    site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags. Hours with
-    more than ``max_rows`` readings of a site are found first and ordered in parts.
+    site and bin, and one shuffle by site serves the carrying, the gaps, the fill and the lags.
     """
-    even = ordered.even_if_crowded(energy, KEY, names.get("ts", "TimeStampMeasured"), cutoff, max_rows)
-    aligned = joins.align_series(bin_states(even, cutoff, limit, **names), weather_bins(measurements), KEY)
+    aligned = joins.align_series(bin_states(energy, cutoff, limit, **names), weather_bins(measurements), KEY)
     clean = _clean_sums(_summed(aligned).where("in_left"), limit)
     numbered = ordered.row_ordinal(clean, KEY, ["bin"], None)
     return numbered.where("in_right").select(*KEY, "bin", "index", TARGET, "Temperature", "Humidity")

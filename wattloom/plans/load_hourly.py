@@ -113,36 +113,36 @@ def forecast(energy: DataFrame, measurements: DataFrame, now: str, trees: int =
 
 
 def reading_sequences(
-    energy: DataFrame, chunk: str | None, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
+    energy: DataFrame, ts: str | None, lags: int = LAGS, horizon: int = HORIZON, tie: tuple[str, ...] = ()
 ) -> tuple[DataFrame, list[str], list[str]]:
     """Supervised rows straight from readings: the last ``lags`` readings, clock features, the next four."""
-    ts = F.col("TimeStampMeasured")
+    at = F.col("TimeStampMeasured")
     marked = energy.select(
         *KEY, "TimeStampMeasured", *tie, F.col("PowerFromLoad").cast("double").alias("PowerFromLoad")
     ).withColumns(
         {
-            "TimeOfDay": cal.time_of_day_number(ts),
-            "Month": F.month(ts),
-            "DayOfWeek": cal.weekday_from_1(ts),
-            "IsWeekend": cal.weekend(ts),
-            "Season": cal.season(F.month(ts)),
+            "TimeOfDay": cal.time_of_day_number(at),
+            "Month": F.month(at),
+            "DayOfWeek": cal.weekday_from_1(at),
+            "IsWeekend": cal.weekend(at),
+            "Season": cal.season(F.month(at)),
         }
     )
     # the current reading is lag 0: 24 readings in all
     steps = {f"lag_{k}": ("PowerFromLoad", k) for k in range(1, lags)}
     steps |= {f"y_{h}": ("PowerFromLoad", -h) for h in range(1, horizon + 1)}
-    table = ordered.neighbour_columns(marked, KEY, ["TimeStampMeasured", *tie], steps, chunk)
+    table = ordered.neighbour_columns(marked, KEY, ["TimeStampMeasured", *tie], steps, ts)
     inputs = ["PowerFromLoad", *[f"lag_{k}" for k in range(1, lags)], "TimeOfDay", "Month", "DayOfWeek", "IsWeekend", "Season"]
     return table, inputs, [f"y_{h}" for h in range(1, horizon + 1)]
 
 
-def forecast_from_readings(energy: DataFrame, chunk: str, tie: tuple[str, ...] = ()) -> DataFrame:
+def forecast_from_readings(energy: DataFrame, tie: tuple[str, ...] = ()) -> DataFrame:
     """The next four readings of every site from its last 24, without resampling.
 
     The fit reduces the lagged readings where they are; only coefficients and the last readings of a site
     are kept.
     """
-    table, inputs, targets = reading_sequences(energy, chunk, tie=tie)
+    table, inputs, targets = reading_sequences(energy, "TimeStampMeasured", tie=tie)
     models = linear.fit_ridge(table, KEY, inputs, targets, min_rows=filters.MIN_HISTORY["slot_model"])
     newest_first = [F.desc("TimeStampMeasured"), *map(F.desc, tie)]
     tail = ordered.sequence_tail(energy.select(*KEY, "TimeStampMeasured", *tie, "PowerFromLoad"), KEY, newest_first, LAGS)

@@ -1,4 +1,8 @@
-"""The published tables after a run: what a new forecast does not replace, and the new forecast."""
+"""The published tables after a run: what a new forecast does not replace, and the new forecast.
+
+Rows that a run replaces go for every site of the run, whether or not a forecast of the site follows: ``sites`` lists them
+(``ClientId``); without it they are all sites that have old or new rows.
+"""
 
 from __future__ import annotations
 
@@ -21,14 +25,18 @@ def daily_load(old: DataFrame, forecast: DataFrame) -> DataFrame:
     return sinks.replace_from(old, new, since, ts="TimeUtc")
 
 
-def hourly_load(old: DataFrame, new: DataFrame, now: datetime | str) -> DataFrame:
+def _sites(old: DataFrame, new: DataFrame, sites: DataFrame | None) -> DataFrame:
+    return sites.select(*KEY).distinct() if sites is not None else old.select(*KEY).union(new.select(*KEY)).distinct()
+
+
+def hourly_load(old: DataFrame, new: DataFrame, now: datetime | str, sites: DataFrame | None = None) -> DataFrame:
     """A site's rows go after the present instant, which itself stays."""
-    since = stored(new.select(*KEY).distinct().withColumn("since", F.lit(now).cast("timestamp_ntz")), "since")
+    since = stored(_sites(old, new, sites).withColumn("since", F.lit(now).cast("timestamp_ntz")), "since")
     return sinks.replace_from(old, new, since, strict=True)
 
 
-def solar(old: DataFrame, forecast: DataFrame, now: datetime | str) -> DataFrame:
+def solar(old: DataFrame, forecast: DataFrame, now: datetime | str, sites: DataFrame | None = None) -> DataFrame:
     """A site's last seven days and all later rows go; the new rows of that span come."""
     new = filters.recent_days(sinks.pv_forecast_rows(forecast), "Time", now)
-    since = stored(new.select(*KEY).distinct().withColumn("since", filters.days_before(now)), "since")
+    since = stored(_sites(old, new, sites).withColumn("since", filters.days_before(now)), "since")
     return sinks.replace_from(old, new, since)

@@ -39,13 +39,14 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def work_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting gets a
-    folder of its own, since a machine-local path would be lost with its machine.
+    It is named in ``spark.checkpoint.dir``. Only a session whose executors are threads of the driver (``local``,
+    ``local[n]``), as in tests, gets a folder of its own without that setting: a machine-local path would be lost with
+    its machine.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="wattloom-")
         context.setCheckpointDir(root)
@@ -59,10 +60,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that a lost executor does not replay the history."""
-    work_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def clear_work(spark: SparkSession) -> None:
+    """Remove this application's copies from the work folder; call it when no result that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{work_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

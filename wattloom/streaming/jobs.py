@@ -103,12 +103,13 @@ def incremental_bins(
         by_day = batch.withColumns({"day": F.to_date("TimeStampMeasured"), "batch_id": F.lit(batch_id)}).persist()
         try:
             _overwrite_partitions(by_day, ["day", "batch_id"], landed)
-            first, last = by_day.agg(F.min("day"), F.max("day")).first()
+            # the days it touched, and no others: a late row does not reach over the days since
+            days = [r["day"] for r in by_day.select("day").where("day IS NOT NULL").distinct().collect()]
         finally:
             by_day.unpersist()
-        if first is None:
+        if not days:
             return
-        history = spark.read.parquet(landed).where(F.col("day").between(first, last))
+        history = spark.read.parquet(landed).where(F.col("day").isin(days))
         states = load_daily.bin_states(history, cutoff, **names).withColumn("day", F.to_date("bin"))
         spread = states.repartition("day", F.pmod(F.hash("ClientId"), F.lit(files_per_day)))
         _overwrite_partitions(spread, ["day"], bins)
