@@ -54,6 +54,12 @@ def test_sample_is_bounded_and_repeatable(spark):
     assert a == b and len(a) == 40
 
 
+def test_passages_of_the_sample_are_bounded(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    one = attention.fit(docs, labels, passages=1)  # the first document alone: one class, a constant
+    assert len(set(one.scores([attention.encode(b"a b c"), attention.encode(b"$$$ ###")]))) == 1
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1), (9, 0), (10, 0), (6, 1)], "doc_id long, quality int")
     model = attention.fit(odd_documents, labels)

@@ -6,7 +6,7 @@ vector. Gated attention gives each passage a weight, learned from the labels of
 passage vectors is scored by a logistic unit.
 
 Encoding and scoring run where the texts are, in one pass without a shuffle. The model is fitted on the driver from the encoded passages
-of at most ``SAMPLE`` labelled documents.
+of at most ``SAMPLE`` labelled documents and about ``PASSAGES`` passages.
 """
 
 from __future__ import annotations
@@ -17,11 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from wattloom.llm.common import held_out, labelled_sample, pieces
+from wattloom.llm.common import held_out, labelled_sample, pieces, stored
 
 PASSAGE = 64
 SAMPLE = 4000
+PASSAGES = 100_000
 THRESHOLD = 0.7
 # ASCII characters each count for themselves, all other bytes together; then four word figures.
 CLASSES = 129
@@ -142,8 +144,11 @@ def _stacked(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.concatenate(bags).astype(np.float64), starts, np.repeat(np.arange(len(bags)), sizes)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> Model:
-    """A model from at most ``sample`` labelled documents, all their passages; held-out labels are never read."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, passages: int = PASSAGES, label: str = "quality") -> Model:
+    """A model from at most ``sample`` labelled documents, all their passages; held-out labels are never read.
+
+    Where such documents have more than ``passages`` passages, those with the smallest id hashes that reach this number.
+    """
     chosen = labelled_sample(docs, labels, label, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +157,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
             columns = [batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array(encoded, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "passages"])
 
-    rows = chosen.mapInArrow(run, "doc_id long, label int, passages binary").orderBy("doc_id", "passages").collect()
+    encoded = stored(chosen.mapInArrow(run, "doc_id long, label int, passages binary"), "passages")
+    own = F.octet_length("passages") / (4 * FEATURES)
+    before = F.sum(own).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "passages")) - own  # `sample` rows at most
+    kept = encoded.withColumn("before", before).where(F.col("before") < passages)
+    rows = kept.orderBy("doc_id", "passages").select("label", "passages").collect()
     bags = [np.frombuffer(r["passages"], np.float32).reshape(-1, FEATURES) for r in rows]
     return Model().fit(bags, np.array([r["label"] for r in rows], float))
 

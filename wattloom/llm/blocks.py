@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from wattloom.llm.common import pieces, stored
 
 SAMPLE = 300
+# Characters of a page that the field is trained on, at most.
+LONGEST = 300_000
 ROUNDS, RATE, DECAY = 300, 0.15, 1e-5
 # Of so many pages one is also trained with its article's tag hidden.
 HIDDEN = 6
@@ -376,8 +378,11 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[list[int
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Field:
-    """A field from at most ``sample`` pages with an article element, those with the smallest url and id hashes."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")).select(F.xxhash64("page_id", "url").alias("k"), "html")
+    """A field from at most ``sample`` pages with an article element, those with the smallest url and id hashes.
+
+    Pages beyond ``LONGEST`` characters are extracted like all others, but not trained on.
+    """
+    marked = pages.where((F.length("html") <= LONGEST) & F.col("html").rlike("(?i)<(article|main)[ >]")).select(F.xxhash64("page_id", "url").alias("k"), "html")
     # the hashes first: no task gives out more than the pages that are chosen in the end
     keys = stored(marked.select("k").distinct().orderBy("k").limit(sample), "page-keys")
     chosen = marked.join(F.broadcast(keys), "k").groupBy("k").agg(F.min("html").alias("html"))  # at most `sample` numbers

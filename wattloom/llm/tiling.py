@@ -21,7 +21,6 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wattloom.llm.common import pieces, stored
 
@@ -139,13 +138,13 @@ class Block:
 
 
 def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> list[list[Row]]:
-    """Items in blocks of bounded bytes, each collected on its own by :func:`_collected`."""
+    """Items in blocks of about ``size`` bytes, dealt by a hash; each block is collected on its own."""
     known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
-    order = Window.orderBy("item_id", F.xxhash64("text"))
-    until = F.sum(F.octet_length("text").cast("long")).over(order)
-    numbered = stored(known.withColumn("__block", F.floor((until - 1) / size).cast("int")), "items")
-    found = [r["__block"] for r in numbered.select("__block").distinct().orderBy("__block").collect()]
-    return [numbered.where(F.col("__block") == b).orderBy("item_id", "text").select("item_id", "text").collect() for b in found]
+    total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = -(-total // size)
+    dealt = stored(known.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n)))), "items")
+    parts = (dealt.where(F.col("__block") == b).orderBy("item_id", "text").select("item_id", "text").collect() for b in range(n))
+    return [part for part in parts if part]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST, coverage: float = COVERAGE) -> DataFrame:
