@@ -98,6 +98,30 @@ class TestWorkFolder:
             session.work_root(Session())
 
 
+class TestReplacedDays:
+    def test_only_changed_days_are_rewritten(self, spark, tmp_path):
+        path = str(tmp_path / "forecast")
+        schema = "ClientId int, Time timestamp_ntz, LoadPower long"
+        old = [(c, datetime(2025, 1, d, h), 10 * d + c) for c in (1, 2) for d in (1, 2, 3, 4) for h in (0, 12)]
+        nobody = spark.createDataFrame([], "ClientId int, since timestamp_ntz")
+        sinks.replace_days(spark.createDataFrame(old, schema), nobody, path)
+
+        def files():
+            return {str(f.relative_to(path)) for f in (tmp_path / "forecast").rglob("*.parquet")}
+
+        before = files()
+        # site 1 gets a new forecast, site 2 of the same run gets none
+        since = spark.createDataFrame([(c, datetime(2025, 1, 3, 6)) for c in (1, 2)], "ClientId int, since timestamp_ntz")
+        new = [(1, datetime(2025, 1, 3, 18), 7)]
+        sinks.replace_days(spark.createDataFrame(new, schema), since, path)
+        got = sorted(map(tuple, spark.read.parquet(path).select("ClientId", "Time", "LoadPower").collect()))
+        assert got == sorted([r for r in old if r[1] < datetime(2025, 1, 3, 6)] + new)
+        assert {f for f in before if "day=2025-01-0" in f and f[14] in "12"} <= files()
+        assert not any("day=2025-01-04" in f for f in files())
+        sinks.replace_days(spark.createDataFrame(new, schema), since, path)
+        assert sorted(map(tuple, spark.read.parquet(path).select("ClientId", "Time", "LoadPower").collect())) == got
+
+
 class TestStreams:
     COLUMNS = ["ClientId", "TimeStampMeasured", "event_id", "LoadEnergyCalculated"]
 

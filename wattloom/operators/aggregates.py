@@ -82,13 +82,15 @@ def modes(df: DataFrame, keys: list[str], columns: Sequence[str], weight: str |
         .agg(F.sum("w").alias("n"))
     )
 
-    def best(column: str) -> Column:
-        typed = F.col("v").cast(types[column])
-        seen = (F.col("c") == column) & F.col("v").isNotNull()
-        winner = F.max(F.when(seen, F.struct(F.col("n"), typed.alias("v")))).getField("v")
-        return F.coalesce(winner, F.lit(NO_MODE)) if isinstance(types[column], T.StringType) else winner
+    return counted.groupBy(*keys).agg(*[_best(c, types[c]).alias(c) for c in columns])
 
-    return counted.groupBy(*keys).agg(*[best(c).alias(c) for c in columns])
+
+def _best(column: str, kind: T.DataType) -> Column:
+    """The value of a column that has the greatest count ``n`` among rows ``(c, v, n)``."""
+    typed = F.col("v").cast(kind)
+    seen = (F.col("c") == column) & F.col("v").isNotNull()
+    winner = F.max(F.when(seen, F.struct(F.col("n"), typed.alias("v")))).getField("v")
+    return F.coalesce(winner, F.lit(NO_MODE)) if isinstance(kind, T.StringType) else winner
 
 
 def resample_mode(
@@ -97,13 +99,6 @@ def resample_mode(
     return modes(df.withColumn("bin", cal.bin_start(ts, width)), [*keys, "bin"], columns)
 
 
-def _mean(column: str, weight: str | None) -> Column:
-    if weight is None:
-        return F.avg(column)
-    times = F.when(F.col(column).isNotNull(), F.col(weight))
-    return F.sum(F.col(column) * times) / F.nullif(F.sum(times), F.lit(0))
-
-
 def resample_mixed(
     df: DataFrame,
     keys: list[str],
@@ -114,16 +109,31 @@ def resample_mixed(
 ) -> DataFrame:
     """Mean of numeric and mode of all other columns per bin, on the gap-free grid.
 
-    A row counts ``weight`` times; ``weights`` names another weight for single columns.
+    A row counts ``weight`` times; ``weights`` names another weight for single columns. Sums of numbers and counts of
+    values come from one pass, by bin, column and value, so the rows and what they are made from are evaluated once.
     """
     own = dict(weights or {})
     helpers = {weight, *own.values()}
     numeric = [c for c in cols.numeric_columns(df) if c not in keys and c not in helpers]
     other = [c for c in cols.other_columns(df) if c not in (*keys, ts)]
-    with_bin = df.withColumn("bin", cal.bin_start(ts, width))
-    means = with_bin.groupBy(*keys, "bin").agg(*[_mean(c, own.get(c, weight)).alias(c) for c in numeric])
-    text = [c for c in other if isinstance(df.schema[c].dataType, T.StringType)]
-    both = means.join(modes(with_bin, [*keys, "bin"], other, weight), [*keys, "bin"]) if other else means
+    types = {c: df.schema[c].dataType for c in other}
+
+    def times(column: str) -> Column:
+        name = own.get(column, weight)
+        return (F.lit(1) if name is None else F.col(name)).cast("double")
+
+    none = F.lit(None)
+    values = [F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"), times(c).alias("w"), none.cast("double").alias("x")) for c in other]
+    known = {c: F.when(F.col(c).isNotNull(), times(c)) for c in numeric}
+    sums = [F.struct(F.lit(c).alias("c"), none.cast("string").alias("v"), known[c].alias("w"), (F.col(c) * known[c]).alias("x")) for c in numeric]
+    counted = (
+        df.select(*keys, cal.bin_start(ts, width).alias("bin"), F.explode(F.array(*values, *sums)).alias("p"))
+        .groupBy(*keys, "bin", F.col("p.c").alias("c"), F.col("p.v").alias("v"))
+        .agg(F.sum("p.w").alias("n"), F.sum("p.x").alias("x"))
+    )
+    means = [F.max(F.when(F.col("c") == c, F.col("x") / F.nullif(F.col("n"), F.lit(0.0)))).alias(c) for c in numeric]
+    both = counted.groupBy(*keys, "bin").agg(*means, *[_best(c, types[c]).alias(c) for c in other])
+    text = [c for c in other if isinstance(types[c], T.StringType)]
     return densify(both, keys, "bin", width).na.fill(NO_MODE, text)
 
 

@@ -98,9 +98,12 @@ def safe_label_encode(df: DataFrame, labels: DataFrame, keys: list[str], column:
 
 
 def fit_or_reuse(df: DataFrame, keys: list[str], columns: Sequence[str], known: DataFrame) -> DataFrame:
-    """Stored min-max state where a site has one, fitted state for the others only."""
-    missing = df.join(known.select(*keys), keys, "left_anti")
-    return known.unionByName(fit_minmax(missing, keys, columns))
+    """Stored min-max state where a site has one, fitted state for the others only.
+
+    Rows are reduced to one per site where they are; only these meet the stored state.
+    """
+    missing = fit_minmax(df, keys, columns).join(known.select(*keys), keys, "left_anti")
+    return known.unionByName(missing)
 
 
 def calendar_features(df: DataFrame, ts: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions import values as val
 from wattloom.operators import columns, sets
+from wattloom.session import stored
 from wattloom.sources import schemas
 
 # Fixed value.
@@ -64,6 +65,43 @@ def write_version(df: DataFrame, root: str, version: str) -> str:
     return path
 
 
+def replace_days(new: DataFrame, since: DataFrame, path: str, ts: str = "Time", key: str = "ClientId", strict: bool = False) -> None:
+    """:func:`replace_from` in a table below ``path`` that is partitioned by ``day``: only days whose rows change are rewritten.
+
+    Days before the first replaced instant are neither read nor written. The rows of a changed day are stored before its folder is
+    overwritten, so a run that fails in between can be repeated; a day that loses all its rows loses its folder.
+    """
+    spark = new.sparkSession
+    first = since.agg(F.min(F.to_date("since"))).first()[0]
+    fresh = new.withColumn("day", F.to_date(ts))
+    low = fresh.agg(F.min("day")).first()[0]
+    first = min((d for d in (first, low) if d is not None), default=None)
+    if first is None:
+        return
+    old = spark.read.schema(fresh.schema).parquet(path).where(F.col("day") >= F.lit(first)) if _exists(spark, path) else fresh.limit(0)
+    replaced = F.col(ts) > F.col("since") if strict else F.col(ts) >= F.col("since")
+    gone = old.join(since, key).where(replaced).select("day")
+    days = [r["day"] for r in gone.union(fresh.select("day")).distinct().collect()]  # a row for each changed day
+    changed = replace_from(old.where(F.col("day").isin(days)), fresh, since, ts, key, strict)
+    rows = stored(changed, "changed-days")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    left = {r["day"] for r in rows.select("day").distinct().collect()}
+    for day in set(days) - left:
+        place, system = _folder(spark, f"{path}/day={day}")
+        system.delete(place, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, system = _folder(spark, path)
+    return system.exists(place)
+
+
 def land_readings(df: DataFrame, path: str, ts: str, files: int = 32) -> None:
     """Partition by day, split and sort by site and time.
 
