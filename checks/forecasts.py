@@ -399,7 +399,7 @@ def retrain_daily_load(t: Tables):
 def forecast_daily_pv(t: Tables):
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", NOW))
     return solar_daily.forecast(
-        t.measurements.drop("event_id"), t.pv_history, t.energy, served, NOW, ["Temperature", "Humidity"], TREES, DEPTH
+        t.measurements.drop("event_id"), t.pv_history, t.energy, served, NOW, trees=TREES, depth=DEPTH
     )
 
 

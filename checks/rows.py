@@ -243,7 +243,7 @@ def cast_numeric(t: Tables):
     return columns.cast_numeric(power, ["PowerFromLoad", "PowerToPv"])
 
 
-@check("SELECT ClientId, Temperature, Humidity, Clouds, Pressure, WindSpeed, PowerPV, event_id FROM measurements")
+@check("SELECT ClientId, Temperature, Humidity, Clouds, Pressure, Visibility, WindSpeed, PowerPV, event_id FROM measurements")
 def select_by_type(t: Tables):
     return columns.select_by_type(t.measurements)
 

@@ -635,7 +635,7 @@ def features_hourly(t: Tables):
     return rounded(load_hourly.features(t.dense_energy, t.dense_measurements))
 
 
-SOLAR_COLUMNS = """m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.WindSpeed, m.Weather, m.WeatherDescription,
+SOLAR_COLUMNS = """m.Temperature, m.Humidity, m.Clouds, m.Pressure, m.Visibility, m.WindSpeed, m.Weather, m.WeatherDescription,
            m.SunriseDT, m.SunsetDT"""
 
 FRAGMENTS["solar_rows"] = f"""
@@ -648,7 +648,8 @@ FRAGMENTS["solar_rows"] = f"""
     WHERE c.cut_over IS NULL OR date_trunc('minute', m.Time) > c.cut_over"""
 FRAGMENTS["solar_means"] = f"""
     SELECT ClientId, {BIN.format('Time')} AS bin, avg(Temperature) - 273.15 AS Temperature, avg(Humidity) AS Humidity,
-           avg(Clouds) AS Clouds, avg(Pressure) AS Pressure, avg(WindSpeed) AS WindSpeed, avg(SolarPower) AS SolarPower
+           avg(Clouds) AS Clouds, avg(Pressure) AS Pressure, avg(Visibility) AS Visibility, avg(WindSpeed) AS WindSpeed,
+           avg(SolarPower) AS SolarPower
     FROM solar_rows GROUP BY 1, 2"""
 FRAGMENTS["solar_spine"] = spine("solar_means")
 
@@ -664,7 +665,7 @@ def solar_series(t: Tables):
     return rounded(series.select("ClientId", "bin", "Temperature", "Humidity", "SolarPower", "Weather"), 9)
 
 
-SOLAR_SKY = ["Temperature", "Humidity", "Clouds", "Pressure", "WindSpeed"]
+SOLAR_SKY = solar_daily.WEATHER
 LOCAL_BIN = "timezone('Europe/Ljubljana', timezone('UTC', {}))"
 FRAGMENTS["solar_weather"] = mode_sql("solar_rows", "Weather")
 FRAGMENTS["solar_description"] = mode_sql("solar_rows", "WeatherDescription")
@@ -711,7 +712,7 @@ def features_solar(t: Tables):
 @check(f"""
     WITH sun AS (SELECT ClientId, arg_max(SunriseDT, bin) AS rise, arg_max(SunsetDT, bin) AS fall FROM solar_complete GROUP BY 1),
     hours AS (
-      SELECT f.ClientId, f.Time AS bin, round(f.Temperature, 9) AS Temperature, f.Humidity, {local_calendar_sql("f.Time")},
+      SELECT f.ClientId, f.Time AS bin, {", ".join(f"round(CAST(f.{c} AS DOUBLE), 9) AS {c}" for c in SOLAR_SKY)}, {local_calendar_sql("f.Time")},
              round(epoch(s.fall - date_trunc('day', s.fall) - (s.rise - date_trunc('day', s.rise))) / 3600.0, 9)
                AS daylight_duration, coalesce(w.code, 0) AS Weather_encoded, coalesce(d.code, 0) AS WeatherDescription_encoded,
              date_trunc('day', f.Time) + (s.rise - date_trunc('day', s.rise)) AS SunriseDT,
@@ -720,7 +721,7 @@ def features_solar(t: Tables):
       LEFT JOIN WeatherDescription_codes d ON f.WeatherDescription = d.WeatherDescription
       WHERE f.Time >= TIMESTAMP '{PV_FROM}'),
     grid AS ({spine("hours")})
-    SELECT g.ClientId, g.bin, {", ".join(f"h.{c}" for c in ("Temperature", "Humidity", "hour_sin", "hour_cos", "sin_day_of_month", "cos_day_of_month", "daylight_duration"))},
+    SELECT g.ClientId, g.bin, {", ".join(f"h.{c}" for c in (*SOLAR_SKY, "hour_sin", "hour_cos", "sin_day_of_month", "cos_day_of_month", "daylight_duration"))},
            CAST(h.Weather_encoded AS BIGINT) AS Weather_encoded, CAST(h.WeatherDescription_encoded AS BIGINT) AS WeatherDescription_encoded,
            h.SunriseDT, h.SunsetDT
     FROM grid g ASOF JOIN hours h ON g.ClientId = h.ClientId AND g.bin >= h.bin""")
@@ -728,8 +729,8 @@ def serving_solar(t: Tables):
     """Hourly forecast rows with features, carried to the quarter hours."""
     encoders, table = solar_table(t)
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", PV_FROM))
-    rows = solar_daily.serving(served, table, encoders, ["Temperature", "Humidity"])
-    return rounded(rows, 9)
+    rows = solar_daily.serving(served, table, encoders, SOLAR_SKY)
+    return rounded(rows.withColumns({c: F.col(c).cast("double") for c in SOLAR_SKY}), 9)
 
 
 def _hourly_targets_sql() -> str:

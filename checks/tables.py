@@ -35,7 +35,7 @@ VIEWS = {
         FROM events""",
     "measurements": """
         SELECT ClientId, Time, 273.15 + k / 4.0 AS Temperature, k AS Humidity, k % 10 AS Clouds,
-               1000 + k % 30 AS Pressure, value / 50.0 AS WindSpeed, value * 10.0 AS PowerPV, event_type AS Weather,
+               1000 + k % 30 AS Pressure, 2000 + k * 8 AS Visibility, value / 50.0 AS WindSpeed, value * 10.0 AS PowerPV, event_type AS Weather,
                concat(event_type, '_', CAST(k % 4 AS VARCHAR)) AS WeatherDescription,
                date_trunc('day', Time) + INTERVAL 6 HOUR AS SunriseDT,
                date_trunc('day', Time) + INTERVAL 18 HOUR AS SunsetDT, event_id
@@ -43,7 +43,8 @@ VIEWS = {
                      CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k, value, event_type, event_id
               FROM events WHERE event_type IN ('view', 'click', 'error')) m""",
     "weather_forecast": """
-        SELECT ClientId, Time, Temperature, Humidity, Weather, WeatherDescription FROM (
+        SELECT ClientId, Time, Temperature, Humidity, Humidity % 10 AS Clouds, 1000 + Humidity % 30 AS Pressure,
+               2000 + Humidity * 8 AS Visibility, Temperature / 5.0 AS WindSpeed, Weather, WeatherDescription FROM (
           SELECT CAST(user_id % 5 AS INT) AS ClientId, date_trunc('hour', ts) AS Time, value / 10.0 AS Temperature,
                  CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS Humidity, event_type AS Weather,
                  concat(event_type, '_', CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % 5 AS VARCHAR))
@@ -113,6 +114,7 @@ class Tables:
             k.alias("Humidity"),
             (k % 10).alias("Clouds"),
             (1000 + k % 30).alias("Pressure"),
+            (2000 + k * 8).alias("Visibility"),
             (F.col("value") / 50.0).alias("WindSpeed"),
             (F.col("value") * 10.0).alias("PowerPV"),
             F.col("event_type").alias("Weather"),
@@ -140,6 +142,10 @@ class Tables:
             "Time",
             (F.col("f.value") / 10.0).alias("Temperature"),
             F.col("f.k").alias("Humidity"),
+            (F.col("f.k") % 10).alias("Clouds"),
+            (1000 + F.col("f.k") % 30).alias("Pressure"),
+            (2000 + F.col("f.k") * 8).alias("Visibility"),
+            (F.col("f.value") / 10.0 / 5.0).alias("WindSpeed"),
             F.col("f.event_type").alias("Weather"),
             F.concat("f.event_type", F.lit("_"), (F.col("f.k") % 5).cast("string")).alias("WeatherDescription"),
         )
