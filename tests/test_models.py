@@ -165,6 +165,14 @@ class TestHourlyLoad:
             shape = 5000 * site * (1.5 + np.sin(2 * np.pi * 12 / 24))
             assert np.abs(part.LoadPower - shape).mean() < 0.5 * shape
 
+    def test_steps_follow_the_daily_shape_and_sites_scale(self, spark):
+        energy, measurements = site_readings(spark, 6)
+        out = load_hourly.forecast(energy, measurements, "2024-01-06 08:45:00", trees=20, depth=4).toPandas()
+        by_site = {c: p.sort_values("h").LoadPower.to_numpy() for c, p in out.groupby("ClientId")}
+        assert all(len(set(v.round(3))) > 1 for v in by_site.values())
+        # site 2 has twice the power of site 1 and shares its models
+        np.testing.assert_allclose(by_site[2] / by_site[1], 2, rtol=0.1)
+
     def test_targets_and_labels(self, spark):
         energy, measurements = site_readings(spark, 2, sites=(1,))
         table = load_hourly.supervised(energy, measurements)
