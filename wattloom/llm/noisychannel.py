@@ -26,6 +26,8 @@ THRESHOLD = 0.3
 # Features of that many sampled documents at least, and at most so many features.
 LEAST, MOST = 3, 3000
 LASSO = 2e-4
+# Documents that a feature's share of positives is shrunk by; features count as proof above so many times the share of all.
+SHRINK, PROOF, PROOFS = 2.0, 3.0, 20_000
 # Letters of the character model: a-z, Latin-1 letters, one sign for any other letter, one for a word's edge.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0xDF, 0x100)))
 EDGE, OTHER = 0, len(_LETTERS) + 1
@@ -179,38 +181,84 @@ def features(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}~" for n in PREFIXES if len(word) > n))
 
 
-class Scorer:
-    """Sparse logistic regression on the presence of words and beginnings."""
+class Lookup:
+    """Values of features, found for words without building the features of each."""
 
-    def __init__(self, bias: float = 0.0, weights: dict[str, float] | None = None):
-        self.bias, self.weights = bias, weights or {}
-        self.starts = {n: {f[:-1] for f in self.weights if f[-1] == "~" and len(f) == n + 1} for n in PREFIXES}
+    def __init__(self, values: dict[str, float]):
+        self.values = values
+        self.starts = {n: {f[:-1]: v for f, v in values.items() if f[-1] == "~" and len(f) == n + 1} for n in PREFIXES}
 
-    def score(self, words: set[str]) -> float:
-        found = {w for w in words if w in self.weights}
+    def features(self, words: set[str]) -> set[str]:
+        """The known features that the words have."""
+        found = words & self.values.keys()
         for n, known in self.starts.items():
             if known:
                 found.update(f"{w[:n]}~" for w in words if w[:n] in known and len(w) > n)
-        total = self.bias + sum(self.weights[f] for f in sorted(found))
-        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
-
-    @classmethod
-    def fit(cls, names: list[str], rows: np.ndarray, cols: np.ndarray, labels: np.ndarray, rounds: int = 600) -> Scorer:
-        """From the pairs (document, feature) that hold, by proximal steps with a lasso."""
-        n, positive = len(labels), float(labels.sum())
-        if not 0 < positive < n or not names:
-            return cls(float(np.log((positive + 1) / (n - positive + 1))))
-        w, b, momentum, mb = np.zeros(len(names)), float(np.log(positive / (n - positive))), 0.0, 0.0
-        rate = 0.5 / np.sqrt(np.maximum(np.bincount(cols, minlength=len(names)), 1) / n)  # rare features move as readily
-        for _ in range(rounds):
-            z = np.bincount(rows, w[cols], n) + b
-            d = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-            momentum = 0.9 * momentum + np.bincount(cols, d[rows], len(names)) / n
-            mb = 0.9 * mb + d.mean()
-            w -= 0.1 * rate * momentum
-            w = np.sign(w) * np.maximum(np.abs(w) - 0.1 * rate * LASSO, 0)
-            b -= 0.1 * mb
-        return cls(b, {f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-3})
+        return found
+
+    def strongest(self, words: set[str], most: int = 3) -> list[float]:
+        """The greatest values of different words, each word by its best feature; zeros where there are fewer."""
+        best = {w: self.values[w] for w in words & self.values.keys()}
+        for n, known in self.starts.items():
+            if known:
+                for w in words:
+                    v = known.get(w[:n])
+                    if v is not None and len(w) > n and v > best.get(w, 0.0):
+                        best[w] = v
+        return (sorted(best.values(), reverse=True) + [0.0] * most)[:most]
+
+
+def _logistic(x) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def evidence(n, p, share: float):
+    """Log odds that a document with the feature is positive, over those of any document; few documents prove little."""
+    rate = np.clip((p + SHRINK * share) / (n + SHRINK), 1e-4, 1 - 1e-4)
+    return np.log(rate / (1 - rate)) - np.log(share / (1 - share))
+
+
+class Scorer:
+    """The mean of two views of a text's words and beginnings.
+
+    One is a sparse logistic regression on their presence, which weighs many weak signs. The other is a logistic regression on
+    the strongest evidence of three words, which one unmistakable word can decide.
+    """
+
+    def __init__(self, bias: float = 0.0, weights: dict[str, float] | None = None, strong: dict[str, float] | None = None, trust=None):
+        self.bias, self.weights = bias, Lookup(weights or {})
+        self.strong = Lookup(strong or {})
+        self.trust = np.array([0.0, 0.0, 0.0, bias] if trust is None else trust)
+
+    def score(self, words: set[str]) -> float:
+        total = self.bias + sum(self.weights.values[f] for f in sorted(self.weights.features(words)))
+        proof = float(np.dot(self.trust, (*self.strong.strongest(words), 1.0)))
+        return float((_logistic(total) + _logistic(proof)) / 2)
+
+
+def fit_presence(rows: np.ndarray, cols: np.ndarray, labels: np.ndarray, features: int, rounds: int = 600) -> tuple[np.ndarray, float]:
+    """Weights and bias from the pairs (document, feature) that hold, by proximal steps with a lasso."""
+    n, positive = len(labels), float(labels.sum())
+    w, b, momentum, mb = np.zeros(features), float(np.log(positive / (n - positive))), 0.0, 0.0
+    rate = 0.5 / np.sqrt(np.maximum(np.bincount(cols, minlength=features), 1) / n)  # rare features move as readily
+    for _ in range(rounds):
+        d = _logistic(np.bincount(rows, w[cols], n) + b) - labels
+        momentum = 0.9 * momentum + np.bincount(cols, d[rows], features) / n
+        mb = 0.9 * mb + d.mean()
+        w -= 0.1 * rate * momentum
+        w = np.sign(w) * np.maximum(np.abs(w) - 0.1 * rate * LASSO, 0)
+        b -= 0.1 * mb
+    return w, b
+
+
+def fit_trust(proofs: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Logistic regression on a few columns and a bias, by Newton steps."""
+    x = np.column_stack((proofs, np.ones(len(proofs))))
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        y = _logistic(x @ w)
+        w -= np.linalg.solve((x * (y * (1 - y))[:, None]).T @ x + 1e-2 * np.eye(len(w)), x.T @ (y - labels) + 1e-2 * w)
+    return w
 
 
 def character_model(docs: DataFrame) -> CharacterModel:
@@ -246,27 +294,34 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharacterModel, sample: int =
     n, positive = seen.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < positive < n:
         return Scorer(float(np.log((positive + 1) / (n - positive + 1))))
-    expected = F.col("n") * F.lit(positive / n)
-    best = (
-        seen.select("label", F.explode("bag").alias("f"))
-        .groupBy("f")
-        .agg(F.count("*").alias("n"), F.sum("label").alias("p"))
-        .where(F.col("n") >= LEAST)
-        .orderBy(((F.col("p") - expected) ** 2 / expected).desc(), "f")
-        .limit(MOST)
-    )
-    names = [r["f"] for r in best.select("f").collect()]
+    share = positive / n
+    counted = seen.select("label", F.explode("bag").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
+    counted = stored(counted.where("n > 1"), "feature-counts")
+    expected = F.col("n") * F.lit(share)
+    telling = counted.where(F.col("n") >= LEAST).orderBy(((F.col("p") - expected) ** 2 / expected).desc(), "f").limit(MOST)
+    names = [r["f"] for r in telling.select("f").collect()]
     index = {f: i for i, f in enumerate(names)}
+    rate = (F.col("p") + SHRINK * share) / (F.col("n") + SHRINK)
+    proving = counted.where(rate > F.lit(PROOF * share)).orderBy(rate.desc(), "f").limit(PROOFS).collect()
+    strong = {r["f"]: float(evidence(r["n"], r["p"], share)) for r in proving}
+    # what a document's own label adds to a count proves nothing about it
+    without = [Lookup({r["f"]: float(evidence(r["n"] - 1, r["p"] - y, share)) for r in proving if r["n"] > 2}) for y in (0, 1)]
 
     def chosen_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[index[f] for f in bag if f in index] for bag in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "label", "found"])
+            labels, bags = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            found = [[index[f] for f in bag if f in index] for bag in bags]
+            proofs = [without[y].strongest({f for f in bag if f[-1] != "~"}) for y, bag in zip(labels, bags, strict=True)]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())), pa.array(proofs, pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "found", "proofs"])
 
-    rows = seen.mapInArrow(chosen_features, "doc_id long, label int, found array<int>").orderBy("doc_id", "label").collect()
+    rows = seen.mapInArrow(chosen_features, "doc_id long, label int, found array<int>, proofs array<double>").orderBy("doc_id", "label").collect()
     sizes = [len(r["found"]) for r in rows]
     cols = np.array([k for r in rows for k in r["found"]], np.int64)
-    return Scorer.fit(names, np.repeat(np.arange(len(rows)), sizes), cols, np.array([r["label"] for r in rows], float))
+    known = np.array([r["label"] for r in rows], float)
+    w, b = fit_presence(np.repeat(np.arange(len(rows)), sizes), cols, known, len(names))
+    trust = fit_trust(np.array([r["proofs"] for r in rows]), known)
+    return Scorer(b, {f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-3}, strong, trust)
 
 
 def scored(docs: DataFrame, model: CharacterModel, scorer: Scorer, threshold: float = THRESHOLD) -> DataFrame:
