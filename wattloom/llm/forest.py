@@ -83,6 +83,14 @@ def build(vectors: DataFrame, trees: int = TREES, bits: int = BITS, segment: int
     return usable(vectors).mapInArrow(run, INDEX)
 
 
+def added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, component after component, so equal vectors get equal products anywhere."""
+    total = np.zeros(len(a))
+    for k in range(a.shape[1]):
+        total += a[:, k] * b[..., k]
+    return total
+
+
 class Segment:
     """One row of the index, opened."""
 
@@ -130,12 +138,11 @@ class Segment:
         rows = rows[self.ids[rows] != own]
         if not len(rows):
             return np.empty(0), np.empty(0, np.int64)
-        size = math.sqrt((query * query).sum())
+        size = math.sqrt(float(added(query[None], query)[0]))
         rough = (self.vectors[rows] @ query) / (norms[rows] * size)
         if len(rows) > k:
             rows = rows[rough >= np.partition(rough, -k)[-k] - 1e-9]
-        # summed row by row in one order, so equal vectors get equal scores
-        score = (self.vectors[rows] * query).sum(axis=1) / (norms[rows] * size)
+        score = added(self.vectors[rows], query) / (norms[rows] * size)
         best = np.lexsort((self.ids[rows], -score))[:k]
         return score[best], self.ids[rows[best]]
 
@@ -192,7 +199,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, trees: int
                 ids, x, keys, depth = shared.value
                 best: list[list[tuple[float, int]]] = [[] for _ in ids]
                 for segment in _opened(batches, trees, bits):
-                    norms = np.sqrt((segment.vectors * segment.vectors).sum(axis=1))
+                    norms = np.sqrt(added(segment.vectors, segment.vectors))
                     for q, met in enumerate(segment.candidates(keys, depth)):
                         scores, found = segment.nearest(met, x[q], ids[q], norms, k)
                         if len(found):
@@ -210,6 +217,17 @@ def search(index: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, trees: int
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+# Every pair of a query and another vector: what the forest finds at full recall.
+ORACLE = f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+u AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS size FROM v),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(c.x, q.x) / (c.size * q.size) AS score
+      FROM u q JOIN u c ON q.vec_id <> c.vec_id WHERE q.vec_id % {QUERY_EVERY} = 0 AND q.size > 0 AND c.size > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= {NEIGHBOURS}
+"""
+
+
 def neighbours(vectors: DataFrame, every: int = QUERY_EVERY) -> DataFrame:
     """The nearest neighbours of the vectors whose id is divisible by ``every`` among all vectors."""
     index = stored(build(vectors), "forest")

@@ -68,4 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op3_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": suffixes.ORACLE,
+    "op3_mix_sources": mixing.ORACLE,
+    "op10_prefix_forest": forest.ORACLE,
+}

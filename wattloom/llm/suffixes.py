@@ -565,3 +565,22 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, batch: int = BATCH) -> D
 
 def report(docs: DataFrame) -> DataFrame:
     return deduplicated(docs).drop("kept")
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+h AS (SELECT doc_id, hex(b) AS h, octet_length(b) AS n FROM d),
+w AS (SELECT doc_id, CAST(i AS BIGINT) AS i, substr(h, 2 * i + 1, {2 * LENGTH}) AS s FROM h, generate_series(0, n - {LENGTH}) g(i)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT w.doc_id, w.i FROM w JOIN f ON w.s = f.s WHERE f.first < w.doc_id),
+e AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {LENGTH} THEN 0 ELSE 1 END AS fresh FROM r),
+k AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS span FROM e),
+p AS (SELECT doc_id, span, min(i) AS a, max(i) + {LENGTH} AS z FROM k GROUP BY doc_id, span),
+q AS (SELECT p.doc_id, span, a, z, n, substr(h, 2 * coalesce(lag(z) OVER (PARTITION BY p.doc_id ORDER BY a), 0) + 1,
+             2 * (a - coalesce(lag(z) OVER (PARTITION BY p.doc_id ORDER BY a), 0))) AS before,
+             substr(h, 2 * z + 1) AS after FROM p JOIN h ON p.doc_id = h.doc_id),
+c AS (SELECT doc_id, sum(z - a) AS removed, count(*) AS spans, string_agg(before, '' ORDER BY a) || arg_max(after, a) AS kept FROM q GROUP BY doc_id)
+SELECT h.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, h.h))) AS kept_sha256
+FROM h LEFT JOIN c ON h.doc_id = c.doc_id
+"""
