@@ -7,9 +7,9 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
-from test_mixing import by_hand as targets_by_hand
-from test_simhash import by_hand as fingerprint_by_hand
-from test_simhash import classes
+from .test_mixing import by_hand as targets_by_hand
+from .test_simhash import by_hand as fingerprint_by_hand
+from .test_simhash import classes
 from wattloom.llm import attention, mixing, tiling
 from wattloom.session import stored
 
