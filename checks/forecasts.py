@@ -16,8 +16,6 @@ from wattloom.session import stored, work_path
 from wattloom.sources import readers, schemas, sinks
 from wattloom.streaming import jobs
 
-TREES = 10
-DEPTH = 4
 TARGET = load_daily.TARGET
 
 # ---- sinks
@@ -323,7 +321,7 @@ def scheduled_incremental_features(t: Tables):
 
 @check()
 def forecast_hourly_direct(t: Tables):
-    return load_hourly.forecast(t.dense_energy, t.dense_measurements, NOW, trees=TREES, depth=DEPTH)
+    return load_hourly.forecast(t.dense_energy, t.dense_measurements, NOW)
 
 
 @check()
@@ -398,15 +396,14 @@ def retrain_daily_load(t: Tables):
 @check()
 def forecast_daily_pv(t: Tables):
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", NOW))
-    return solar_daily.forecast(
-        t.measurements.drop("event_id"), t.pv_history, t.energy, served, NOW, trees=TREES, depth=DEPTH
-    )
+    return solar_daily.forecast(t.measurements.drop("event_id"), t.pv_history, t.energy, served, NOW)
 
 
 @check()
 def hyperparameter_sweep(t: Tables):
-    series = energy_series(t)
-    return sweep.sweep(series, TARGET, test_rows=576)
+    """Five-minute bins: thirty days of quarter hours have no 3840 rows to judge on besides those to learn from."""
+    series = load_daily.energy_series(t.energy, CUTOFF, tie=("event_id",), width=5)
+    return sweep.sweep(series, TARGET)
 
 
 @check()

@@ -43,6 +43,7 @@ def bin_states(
     value: str = "LoadEnergyCalculated",
     ts: str = "TimeStampMeasured",
     tie: tuple[str, ...] = (),
+    width: int = cal.STEP_MINUTES,
 ) -> DataFrame:
     """What a bin's readings say about its sum: ``(ClientId, bin, total, open, final)``.
 
@@ -56,7 +57,7 @@ def bin_states(
     place = [*KEY, *[c for c in ("day",) if c in energy.columns]]
     wanted = [*place, ts, value, *tie]
     raw = filters.after_cutoff(energy, ts, cutoff, wanted)
-    marks = {"bin": cal.bin_start(ts), "part": cal.truncate(F.col(ts), "SECOND"), "v": val.spike_to_null(F.col(value), limit)}
+    marks = {"bin": cal.bin_start(ts, width), "part": cal.truncate(F.col(ts), "SECOND"), "v": val.spike_to_null(F.col(value), limit)}
     good = raw.select(*wanted).withColumns(marks)
     parts = [*place, "bin", "part"]
     inside = Window.partitionBy(*parts).orderBy(ts, *tie).rowsBetween(Window.unboundedPreceding, 0)
@@ -105,13 +106,15 @@ def _clean_sums(series: DataFrame, limit: float) -> DataFrame:
     return ordered.fill_forward(summed, KEY, ["bin"], [TARGET], None)
 
 
-def series_from_bins(bins: DataFrame, limit: float = val.SPIKE_LIMIT) -> DataFrame:
-    return _clean_sums(agg.densify(bins, KEY), limit)
+def series_from_bins(bins: DataFrame, limit: float = val.SPIKE_LIMIT, width: int = cal.STEP_MINUTES) -> DataFrame:
+    return _clean_sums(agg.densify(bins, KEY, width=width), limit)
 
 
-def energy_series(energy: DataFrame, cutoff: str = CUTOFF, limit: float = val.SPIKE_LIMIT, **names) -> DataFrame:
-    """The clean gap-free 15-minute energy series."""
-    return series_from_bins(energy_bins(energy, cutoff, limit, **names), limit)
+def energy_series(
+    energy: DataFrame, cutoff: str = CUTOFF, limit: float = val.SPIKE_LIMIT, width: int = cal.STEP_MINUTES, **names
+) -> DataFrame:
+    """The clean gap-free energy series, in bins of 15 minutes unless told otherwise."""
+    return series_from_bins(energy_bins(energy, cutoff, limit, width=width, **names), limit, width)
 
 
 def weather_bins(measurements: DataFrame) -> DataFrame:
