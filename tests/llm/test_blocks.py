@@ -81,3 +81,22 @@ def test_odd_pages(spark, field):
     assert len(got) == 6 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert [r["n_chars"] for r in got if r["text"].startswith("word")] == [499_999]
     assert blocks.extracted(pages.where("false")).count() == 0 and blocks.extracted(pages.where("page_id = 2")).first()["text"] == ""
+
+
+def test_only_closed_elements_hide_their_text():
+    texts = lambda page: [b.text for b in blocks.leaf_blocks(page)]
+    for odd in ("<svg-icon a=1></svg-icon>", "<video-player></video-player>", "<svg width=1 />", "<svg/>", "<math/>", "<video src=x>", "<object data=x>", "<canvas>", "<title-bar></title-bar>"):
+        assert texts(f"<p>one {odd}two<p>three") == ["one two", "three"], odd
+        assert texts(f"<p>one {odd}two<p>three<svg>no</svg><video>no</video><object>no</object><canvas>no</canvas>") == ["one two", "three"], odd
+    assert texts("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be<p>next") == ["let x=1 be", "next"]
+    assert texts("<p>a<svg><svg><text>no</text></svg><title/><style/><text>no</text></svg>b<p>c") == ["ab", "c"]
+    assert texts("<p>a<script>var s = '<video>';</script>b<p>c<video>no</video><!-- <object> -->d<object>no</object>") == ["ab", "cd"]
+    assert texts("<p>kept<script>never closed <p>x") == ["kept"]
+
+
+def test_hidden_is_an_attribute_of_its_own():
+    hints = lambda rest: blocks.leaf_blocks(f"<div {rest}>text</div>")[0].hints
+    for rest in ('class="overflow-hidden"', 'style="overflow: hidden"', 'aria-hidden="false"', "data-hidden=1", "title='not hidden'", "data-x='display:none'"):
+        assert "hidden" not in hints(rest), rest
+    for rest in ("hidden", 'hidden=""', "a=1 hidden", "aria-hidden=true", "ARIA-HIDDEN='true'", 'style="color: red; display: none"'):
+        assert "hidden" in hints(rest), rest

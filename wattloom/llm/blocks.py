@@ -38,7 +38,9 @@ BLOCK_TAGS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|audio|video|canvas|title"
+# Elements whose content is no text of the page: the first run to the page's end if none closes them, the others only count if closed.
+RAW = "script|style"
+UNSEEN = "noscript|template|textarea|svg|iframe|object|audio|video|canvas|title"
 ANCESTORS = (
     "article main section aside nav header footer form ul ol li table td th p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption "
     "button label select option a dl dd dt details summary fieldset address dialog menu div body".split()
@@ -56,13 +58,19 @@ HINTS = {
 }
 _HINT_OF = {w: k for k, words in HINTS.items() for w in words.split()}
 
+_REST = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>{_REST})(?:>|\Z)",
     re.S | re.I,
 )
+_UNSEEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>|<(?P<close>/?)(?P<tag>{UNSEEN})(?=[\s/>])(?P<rest>{_REST})>", re.S | re.I
+)
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW.split("|")}
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN_ATTRIBUTE = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+_ANY_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _LIST_ITEM = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
 
@@ -75,6 +83,28 @@ class Block:
         self.text, self.tags, self.hints, self.linked = text, tags, hints, linked
 
 
+def unseen(page: str) -> dict[int, int]:
+    """Where closed elements that hold no text of the page start and end; an end tag closes the last one open, ``/>`` an svg."""
+    ends: dict[int, int] = {}
+    open_at: dict[str, list[int]] = {name: [] for name in UNSEEN.split("|")}
+    at = 0
+    while m := _UNSEEN.search(page, at):
+        at = m.end()
+        if raw := m.group("raw"):
+            if open_at["svg"] and m.group().endswith("/>"):
+                continue
+            end = _RAW_END[raw.lower()].search(page, at)
+            at = end.end() if end else len(page)
+        elif tag := m.group("tag"):
+            tag = tag.lower()
+            if m.group("close"):
+                if open_at[tag]:
+                    ends[open_at[tag].pop()] = at
+            elif tag != "svg" or not m.group("rest").endswith("/"):
+                open_at[tag].append(m.start())
+    return ends
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The page's leaf blocks in order. Markup left open, or cut off, is closed where HTML would close it."""
     out: list[Block] = []
@@ -101,10 +131,14 @@ def leaf_blocks(page: str) -> list[Block]:
         if in_link:
             linked += len(text)
 
+    ends = unseen(page)
     at = 0
-    for m in _MARKUP.finditer(page):
+    while m := _MARKUP.search(page, at):
         if m.start() > at:
             add(page[at : m.start()])
+        if m.start() in ends:
+            at = ends[m.start()]
+            continue
         at = m.end()
         tag = m.group("tag")
         if tag is None:
@@ -131,7 +165,7 @@ def leaf_blocks(page: str) -> list[Block]:
             rest = m.group("rest")
             if rest.endswith("/") and not block:
                 continue
-            stack.append((tag, _hints(rest) if "=" in rest else none))
+            stack.append((tag, _hints(rest) if rest else none))
         in_link = sum(t == "a" for t, _ in stack)
     if at < len(page):
         add(page[at:])
@@ -161,11 +195,23 @@ def _hints(rest: str) -> frozenset[str]:
         for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m.group(1) or m.group(2) or m.group(3) or "").lower()):
             if word in _HINT_OF:
                 found.add(_HINT_OF[word])
-    if _HIDDEN_ATTRIBUTE.search(rest):
+    if _is_hidden(rest):
         found.add("hidden")
     return frozenset(found)
 
 
+def _is_hidden(rest: str) -> bool:
+    """Whether a ``hidden`` attribute, ``aria-hidden=true`` or a style without display hides the element."""
+    lowered = rest.lower()
+    if "hidden" not in lowered and "none" not in lowered:
+        return False
+    for m in _ANY_ATTRIBUTE.finditer(rest):
+        name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
+
+
 _NAMES = (
     [f"in {t}" for t in ANCESTORS]
     + [f"hint {h}" for h in (*HINTS, "hidden")]
