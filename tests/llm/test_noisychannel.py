@@ -82,3 +82,32 @@ def test_odd_rows(spark, odd_documents, no_documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in noisy.toxicity(odd_documents, none).collect()} == {0.5}
     assert noisy.toxicity(no_documents, none).count() == 0
+
+
+def test_spaced_sentences_keep_their_words(fitted):
+    *_, model, _ = fitted
+    restorer = noisy.Restorer(model)
+    assert "loser" in restorer.words("you are a l o s e r")
+    assert any(w.startswith("loser") for w in restorer.words("y o u a r e a l o s e r a n d i t s h o w s"))
+    assert "idiot" in restorer.words("well i d i o t")
+
+
+def test_long_stretches_are_decoded_in_one_pass(fitted):
+    *_, model, _ = fitted
+    restorer = noisy.Restorer(model)
+    whole = "abcdefghijklmnopqrstuvwxyzabcd" + "idiot"  # 64 characters end within the last word
+    assert whole in restorer.words(" ".join(whole))
+    assert any(w.endswith("idiot") for w in restorer.words("bcd" * 21 + "1diot"))
+    assert len(model.decode("ab" * 50_000)) == 100_000
+
+
+def test_repeated_single_letters_and_capitals_are_seen(spark, fitted):
+    *_, model, scorer = fitted
+    restorer = noisy.Restorer(model)
+    assert {w for w in restorer.words("what an a s s") if "ass" in w}
+    texts = ["you LoOoser", "ÉéÉ", "aА\u0430\u0410", "哈哈哈", "a哈哈", "ЖжЖ"]
+    lowered = pa.array([t.lower() for t in texts])
+    assert noisy.tripled(*text_bytes(lowered)).tolist() == [True, True, True, True, False, True]
+    docs = spark.createDataFrame([(1, "you LoOoOser"), (2, "you looooser")], "doc_id long, text string")
+    a, b = (r["score"] for r in noisy.scored(docs, model, scorer).orderBy("doc_id").collect())
+    assert a == b

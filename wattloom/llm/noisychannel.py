@@ -1,7 +1,7 @@
 """Toxicity scores on text restored by a noisy-channel decoder.
 
 Writers hide words by look-alike characters, by spacing letters out and by repeating them. Such a stretch becomes a lattice: every
-observed character may stand for a few letters (or for nothing, between spaced letters; a repeated letter may stand for one or two), each at a
+observed character may stand for a few letters (or for nothing, between spaced letters; a space also for a word's edge; a repeated letter may stand for one or two), each at a
 channel cost. A Viterbi pass over the lattice finds the letters that are likeliest under a character trigram model of the corpus and the
 channel. Words without such signs have a lattice of one path and stay as they are.
 
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +44,8 @@ LOOKALIKES = {
 SPACERS = ".-_*~'`·"
 # Costs of channel steps, in nats.
 SWAP, DROP, REPEAT = 1.0, 0.2, 0.2
+# Costs of a word's edge at a space between spaced letters. Trigrams alone cannot tell such edges surely, so all these readings count.
+BORDERS = (0.2, 1.0, 2.0, float("inf"))
 
 _LOOK = "".join(re.escape(c) for c in LOOKALIKES)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -83,46 +86,63 @@ class CharacterModel:
         p3 = (c3 + 5 * p2) / (c3.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(p3).tolist()
 
-    def decode(self, observed: str) -> str:
-        """The likeliest letters behind ``observed`` (lower case): Viterbi over the last two letters."""
+    def decode(self, observed: str, border: float = float("inf")) -> str:
+        """The likeliest letters behind ``observed`` (lower case): Viterbi over the last two letters.
+
+        A space may be nothing or, at the cost ``border``, a word's edge, which stays a space. There are at most as many states as pairs of letters, and
+        their texts are chains that share what they have in common, so a stretch of any length is decoded in one pass.
+        """
         log = self.log
-        states: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
         for k, c in enumerate(observed):
             options = [(c, 0.0)] if c in _OF or c.isalpha() else []
             options += [(x, SWAP) for x in LOOKALIKES.get(c, "")]
             inner = 0 < k < len(observed) - 1
             drop = DROP if not options or (inner and (c in SPACERS or c == " ")) else None
             again = k > 0 and c == observed[k - 1]
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, text) in states.items():
                 steps = []
                 if drop is not None:
                     steps.append((a, b, score - drop, text))
-                if again and text and (text[-1] == c or text[-1] in LOOKALIKES.get(c, "")):
+                if c == " " and inner and text and border < float("inf"):
+                    steps.append((b, EDGE, score - border + log[a][b][EDGE], (text, " ")))
+                if again and text and (text[1] == c or text[1] in LOOKALIKES.get(c, "")):
                     steps.append((a, b, score - REPEAT, text))
                 for x, cost in options:
                     n = _OF.get(x, OTHER)
-                    steps.append((b, n, score - cost + log[a][b][n], text + x))
+                    steps.append((b, n, score - cost + log[a][b][n], (text, x)))
                 for a2, b2, s, t in steps:
                     if (a2, b2) not in after or s > after[a2, b2][0]:
                         after[a2, b2] = (s, t)
             states = after
-        best = max(states.items(), key=lambda x: (x[1][0] + log[x[0][0]][x[0][1]][EDGE], x[1][1]))
-        return best[1][1]
+        ends = [(score + log[a][b][EDGE], text) for (a, b), (score, text) in states.items()]
+        best = max(score for score, _ in ends)
+        return max(_spelled(text) for score, text in ends if score == best)
+
+
+def _spelled(text: tuple | None) -> str:
+    """The letters of a chain (letters before, letter)."""
+    out = []
+    while text:
+        text, x = text
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def tripled(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which texts hold a letter three times in a row: found on the bytes of all of them, two-byte letters included."""
-    letter = (data >= 97) & (data <= 122) | (data >= 65) & (data <= 90)
-    at = np.flatnonzero((data[:-2] == data[1:-1]) & (data[1:-1] == data[2:]) & letter[2:]) if len(data) > 2 else np.empty(0, int)
-    wide = np.empty(0, int)
-    if len(data) > 5:
-        lead = np.flatnonzero((data[:-5] >= 0xC3) & (data[:-5] == data[2:-3]) & (data[2:-3] == data[4:-1]))
-        wide = lead[(data[lead + 1] == data[lead + 3]) & (data[lead + 3] == data[lead + 5])]
+    """Which lower-cased texts hold a letter three times in a row: found on the bytes of all of them, at any number of bytes a letter."""
     out = np.zeros(len(starts) - 1, bool)
-    found, last = np.concatenate((at, wide)), np.concatenate((at + 2, wide + 5))
-    row = np.searchsorted(starts, found, "right") - 1
-    out[row[last < starts[row + 1]]] = True  # not from one text into the next
+    for width, low, high in ((1, 0x61, 0x7A), (2, 0xC3, 0xDF), (3, 0xE0, 0xEF), (4, 0xF0, 0xF4)):
+        n = len(data) - 3 * width + 1
+        if n <= 0:
+            break
+        same = (data[:n] == data[width : n + width]) & (data[:n] == data[2 * width : n + 2 * width])
+        found = np.flatnonzero(same & (data[:n] >= low) & (data[:n] <= high))
+        for k in range(1, width):
+            found = found[(data[found + k] == data[found + k + width]) & (data[found + k] == data[found + k + 2 * width])]
+        row = np.searchsorted(starts, found, "right") - 1
+        out[row[found + 3 * width <= starts[row + 1]]] = True  # not from one text into the next
     return out
 
 
@@ -133,10 +153,6 @@ class Restorer:
         self.model, self.remembered = model, remembered
         self.known: dict[str, tuple[str, ...]] = {}
 
-    def _decoded(self, stretch: str) -> list[str]:
-        """A stretch far beyond any word is decoded in pieces, so nothing is cut off."""
-        return [self.model.decode(stretch[at : at + 64].strip()) for at in range(0, len(stretch), 64)]
-
     def _behind(self, token: str) -> tuple[str, ...]:
         if token not in self.known:
             if len(self.known) >= self.remembered:
@@ -144,7 +160,7 @@ class Restorer:
             core = _TAIL.sub("", token)
             out = [core] if core.isalpha() else _WORD.findall(token)
             if core and _HIDDEN.search(core):
-                out += self._decoded(core)
+                out += self.model.decode(core).split()
             self.known[token] = tuple(w for w in out if w)
         return self.known[token]
 
@@ -154,7 +170,8 @@ class Restorer:
         ``tripled`` tells whether a letter may stand three times in a row; else plain words are not looked through.
         """
         text = text.lower()
-        found = set(text.split())
+        tokens = text.split()
+        found = set(tokens)
         out = {t for t in found if t.isalpha()}
         odd = found - out
         if tripled:
@@ -166,9 +183,10 @@ class Restorer:
             else:
                 out.update(self._behind(t))
         # spaced-out letters reach over tokens
-        if sum(len(t) == 1 for t in found) > 2:
-            for m in _SPACED.finditer(" ".join(text.split())):
-                out.update(self._decoded(m.group()))
+        if b"\1\1\1" in bytes(map((1).__eq__, map(len, tokens))):
+            for m in _SPACED.finditer(" ".join(tokens)):
+                for border in BORDERS:
+                    out.update(self.model.decode(m.group(), border).split())
         out.discard("")
         return out
 
@@ -332,7 +350,7 @@ def scored(docs: DataFrame, model: CharacterModel, scorer: Scorer, threshold: fl
         known, scorer = shared.value
         restorer = Restorer(known)
         for batch in pieces(batches):
-            flags = tripled(*text_bytes(batch.column(2)))
+            flags = tripled(*text_bytes(pc.utf8_lower(batch.column(2))))
             texts = batch.column(2).to_pylist()
             score = np.array([scorer.score(restorer.words(t or "", f)) for t, f in zip(texts, flags, strict=True)])
             columns = [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
