@@ -100,3 +100,17 @@ def test_chunks_of_a_long_text_add_up(monkeypatch):
     whole = simhash.fingerprint(text.encode())
     monkeypatch.setattr(simhash, "CHUNK", 7)
     assert simhash.fingerprint(text.encode()) == whole == by_hand(text)
+
+
+def test_one_id_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in ("apple", "bear", "cloud"))
+    rows = [(3, b.upper(), "s"), (7, a, "s"), (7, b, "s"), (7, c, "t"), (7, c, "u"), (None, c.title(), "v")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3)
+        kept = sorted(tuple(r) for r in simhash.one_of_each(docs).collect())
+        assert [r[:2] for r in kept] == [(3, b.upper()), (7, a), (7, c)]
+        assert len({r for r in kept}) == 3
+    again = [sorted(map(tuple, simhash.one_of_each(spark.createDataFrame(x, docs.schema)).collect())) for x in (rows, rows[::-1])]
+    assert again[0] == again[1]
+    # two texts of one fingerprint and one id: one stays
+    assert simhash.one_of_each(spark.createDataFrame([(7, a, "s"), (7, a.upper(), "s")], docs.schema)).count() == 1

@@ -55,15 +55,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per document, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): one row per document, the fingerprint as a signed long; ``carried`` columns of longs go along."""
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(1).cast(pa.binary())
         found = np.array([fingerprint(t or b"", shingle) for t in texts.to_pylist()], np.uint64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *carried])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), step, "doc_id long, fp long")
+    schema = ", ".join(f"{c} long" for c in ("doc_id", "fp", *carried))
+    return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carried), step, schema)
 
 
 def postings(entries: DataFrame) -> DataFrame:
@@ -180,15 +181,20 @@ def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, longes
     other; repeated rows stay repeated; an empty table gives an empty result.
     """
     marked = stored(fingerprints(docs, shingle), "fingerprints")
-    entries = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "entries")
-    tree = stored(roots(links(entries.select("fp"), bits, longest)), "roots")
-    rooted = entries.join(tree, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "rooted")
+    rooted = _rooted(marked, bits, longest)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "component_id")
     return marked.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
+def _rooted(marked: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
+    """(fp, first, root): every fingerprint, its smallest id, and the fingerprint that stands for its component."""
+    entries = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "entries")
+    tree = stored(roots(links(entries.select("fp"), bits, longest)), "roots")
+    rooted = entries.join(tree, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return stored(rooted, "rooted")
+
+
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits), component_id."""
     found = components(docs)
@@ -198,11 +204,18 @@ def report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with all their columns, one of each component: the one with its id.
 
-    A document without an id stands behind all that have one; among such documents the text decides. Of repeated rows
-    with one id one stays.
+    A document without an id stands behind all that have one; among such documents the text decides, as it does among
+    different texts with one id. Rows of one id whose texts are in different components stay, one for each. Of rows with one id and
+    one text one stays, which their other columns decide.
     """
     stand_in = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), stand_in))
-    found = components(keyed.select(F.col("__id").alias("doc_id"), "text"))
-    kept = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct(), "kept-ids")
-    return keyed.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), stand_in), "__hash": F.xxhash64("text")})
+    marked = fingerprints(keyed.select(F.col("__id").alias("doc_id"), "text", "__hash"), carried=("__hash",))
+    marked = stored(marked, "fingerprints")
+    roots_of = _rooted(marked).select(F.col("fp").alias("of"), "root")
+    least = marked.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").alias("__id"), "__hash")).alias("row"))
+    kept = least.join(roots_of, F.col("fp") == F.col("of")).groupBy("root").agg(F.min("row").alias("row"))
+    kept = stored(kept.select("row.__id", "row.__hash"), "kept-rows")
+    order = F.xxhash64(*[f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    rows = keyed.join(kept, ["__id", "__hash"], "left_semi").groupBy("__id", "__hash")
+    return rows.agg(F.min_by(F.struct(*docs.columns), order).alias("__row")).select("__row.*")
