@@ -88,3 +88,11 @@ def test_odd_rows(spark, odd_documents, no_documents):
 def test_merged_spans():
     assert suffixes.merged(np.array([0, 2, 9, 10]), np.array([5, 3, 10, 12])) == [(0, 5), (9, 12)]
     assert suffixes.merged(np.empty(0, int), np.empty(0, int)) == []
+
+
+@pytest.mark.parametrize("ids", [(5, 3, 5), (None, 3, None)])
+def test_a_copy_of_a_later_id_that_comes_first(spark, ids):
+    passage = "".join(chr(97 + (k * k) % 26) for k in range(80))
+    rows = list(zip(ids, (f"one text {passage} ends", f"one text {passage} ends", f"another {passage} goes on"), strict=True))
+    got = found(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert got == by_hand(rows, 50) and sum(r[2] for r in got) > len(rows[0][1])

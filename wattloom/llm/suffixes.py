@@ -218,7 +218,8 @@ def _send_anchors(shards: int, length: int):
     """Pass one, by part: anchors of its distinct texts, those that several documents hold apart, and the texts' digests."""
 
     def close(part: int, state) -> Iterator[tuple[int, int, int, bytes]]:
-        digests, keys, owners = state
+        digests, keys, texts = state
+        firsts = np.array([min(d for d, _ in rows) for rows in digests.values()], np.int64)
         copies = []
         by_shard: dict[int, list[bytes]] = {}
         for digest, rows in digests.items():
@@ -234,7 +235,7 @@ def _send_anchors(shards: int, length: int):
         if copies:
             yield int(part % shards), part, COPIES, np.array(copies, "<u4").tobytes()
         if any(map(len, keys)):
-            key, owner = np.concatenate(keys), np.concatenate(owners)
+            key, owner = np.concatenate(keys), firsts[np.concatenate(texts)]  # of a text in several documents, the one that keeps it
             order = np.lexsort((owner, key))
             key, owner = key[order], owner[order]
             fresh = np.ones(len(key), bool)
@@ -258,16 +259,17 @@ def _send_anchors(shards: int, length: int):
                     part, state = int(parts[a]), ({}, [], [])
                 raw, starts = text_bytes(batch.column(3).slice(a, b - a))
                 docs, rows = batch.column(2).to_numpy()[a:b], batch.column(1).to_numpy()[a:b]
-                new = np.zeros(b - a, bool)
+                new, text = np.zeros(b - a, bool), np.zeros(b - a, np.int64)
                 for k in range(b - a):
                     digest = hashlib.sha256(raw[starts[k] : starts[k + 1]]).digest()[:16]
                     new[k] = digest not in state[0]
+                    text[k] = len(state[0])  # the place of a new digest among the part's
                     state[0].setdefault(digest, []).append((int(docs[k]), int(rows[k])))
                 first, _, anchors = stretches(raw, starts, length)
                 of = np.searchsorted(starts, first, "right") - 1
                 keep = new[of]
                 state[1].append(key_of(anchors[keep], shards))
-                state[2].append(docs[of[keep]])
+                state[2].append(text[of[keep]])
         if part is not None:
             yield _batch(list(close(part, state)))
 
