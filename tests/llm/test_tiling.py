@@ -65,3 +65,10 @@ def test_odd_rows(spark, odd_documents, no_documents):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert tiling.clean(odd_documents, empty).count() == 14 and tiling.contaminated(odd_documents, empty).count() == 0
     assert tiling.clean(no_documents, bench).count() == 0 and tiling.contaminated(no_documents, bench).count() == 0
+
+
+def test_items_without_an_id_are_cleaned_too(spark):
+    passage = " ".join(f"a{i}" for i in range(10))
+    bench = spark.createDataFrame([(1, "some other item of many words that nothing holds"), (None, passage), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {passage} y"), (2, "clean"), (None, None)], "doc_id long, text string")
+    assert sorted(r["doc_id"] or 0 for r in tiling.clean(docs, bench).collect()) == [0, 2]

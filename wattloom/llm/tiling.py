@@ -138,8 +138,8 @@ class Block:
 
 
 def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> list[list[Row]]:
-    """Items in blocks of about ``size`` bytes, dealt by a hash; each block is collected on its own."""
-    known = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
+    """Items in blocks of about ``size`` bytes, dealt by a hash; each block is collected on its own. Item ids may be null."""
+    known = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = -(-total // size)
     dealt = stored(known.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n)))), "items")
@@ -151,8 +151,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST
     """One row per document and test item it covers: doc_id, item_id, item_tokens, covered_tokens, coverage, tiles.
 
     Null or empty texts and items of fewer than ``shortest`` tokens cover nothing and are not covered; repeated documents
-    are reported each; without documents or items there are no rows.
+    are reported each; without documents or items there are no rows. An item without an id cannot be named, so it is not
+    reported; ``clean`` judges by it all the same.
     """
+    benchmark = benchmark.where(F.col("item_id").isNotNull())
     schema = "doc_id long, item_id long, item_tokens int, covered_tokens int, tiles int"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
@@ -183,7 +185,7 @@ def _reporter(block: Broadcast, coverage: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST, coverage: float = COVERAGE) -> DataFrame:
-    """The documents that cover no test item, with all their columns; a row is judged by its own text alone."""
+    """The documents that cover no test item, with all their columns; a row is judged by its own text alone, and by items without an id too."""
     at = docs.columns.index("text")
     for items in blocks(benchmark):
         block = docs.sparkSession.sparkContext.broadcast(Block(items, shortest))
