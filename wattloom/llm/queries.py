@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import attention, blocks, forest, mixing, noisychannel, ring, simhash, suffixes, tiling, tokenfile
+from wattloom.llm import attention, blocks, forest, mixing, noisychannel, prefixbpe, ring, simhash, suffixes, tiling, tokenfile
 from wattloom.llm.common import table
 
 
@@ -52,6 +52,11 @@ def op10_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.neighbours(table(spark, sf_dir, "embeddings"))
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return prefixbpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_passage_attention,
         op10_prefix_forest,
+        op11_prefix_bpe,
     )
 }
 
