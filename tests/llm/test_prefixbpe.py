@@ -32,12 +32,18 @@ TEXTS = st.one_of(
 @settings(max_examples=1500, deadline=None)
 @given(TEXTS)
 def test_as_the_library_encodes(text):
-    packed = CODER.encode(text)
+    packed = CODER.encode([text])[0]
     assert ids(packed) == BRUTE.encode_ordinary(text)
     assert CODER.decode(packed) == text.encode()
     assert CODER.ids(text.encode(), CODER.table(text)) == BRUTE.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXTS, max_size=8))
+def test_many_texts_at_once(texts):
+    assert [ids(p) for p in CODER.encode(texts)] == [BRUTE.encode_ordinary(t) for t in texts]
+
+
 @settings(max_examples=1500, deadline=None)
 @given(st.binary(max_size=60) | st.text(alphabet="aeinrst", max_size=60).map(str.encode))
 def test_every_prefix_ends_on_the_last_token_of_its_encoding(piece):
@@ -76,12 +82,12 @@ def test_tokens_that_no_merges_reach():
     own = tiktoken.Encoding("x", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     coder = prefixbpe.TextCoder(ranks, PATTERN)
     for text in ("abc", "abcabc", " abc", "xyx", "xyxyx", "yxyx", "xxyyx abc"):
-        assert ids(coder.encode(text)) == own.encode_ordinary(text)
+        assert ids(coder.encode([text])[0]) == own.encode_ordinary(text)
 
 
 @pytest.mark.parametrize("text", ["x" * 200_000, " " * 50_000, "ab" * 30_000 + "\n\n  end", "1234567890" * 5000])
 def test_long_texts(text):
-    assert ids(CODER.encode(text)) == BRUTE.encode_ordinary(text)
+    assert ids(CODER.encode([text])[0]) == BRUTE.encode_ordinary(text)
 
 
 def expected(rows):

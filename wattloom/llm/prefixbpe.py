@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from wattloom.llm.common import in_arrow
 
 # Parts of texts, and pairs of tokens, that a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 # Longer parts are encoded each time.
 LONGEST = 64
 FIRST = np.uint32(1 << 31)
@@ -47,15 +47,19 @@ class PrefixCoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        lengths: dict[bytes, set[int]] = {}
-        for token in ranks:
-            lengths.setdefault(token[-2:], set()).add(len(token))
-        # lengths of the tokens that end on given two bytes (one byte: that token alone), longest first
-        self.lengths = {tail: sorted(found, reverse=True) for tail, found in lengths.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._left: dict[int, list[tuple[bytes, float]]] = {}
         self._right: dict[int, list[tuple[bytes, float]]] = {}
         self._fits: dict[tuple[int, int], bool] = {}
+        # tokens that merges lead to, and by their last bytes (three, or all of a shorter token) their lengths, longest first
+        self.usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or self.halves(rank) is not None}
+        lengths: dict[bytes, set[int]] = {}
+        for token in self.usable:
+            lengths.setdefault(token[-3:], set()).add(len(token))
+        for tail, found in lengths.items():
+            if len(tail) == 3 and tail[1:] in self.usable:
+                found.add(2)
+        self.lengths = {tail: sorted(found - {1}, reverse=True) for tail, found in lengths.items()}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for single bytes and for tokens that no merges lead to."""
@@ -71,9 +75,6 @@ class PrefixCoder:
             self._halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
         return self._halves[token]
 
-    def reached(self, token: int) -> bool:
-        return len(self.bytes_of[token]) == 1 or self.halves(token) is not None
-
     def _edge(self, token: int, side: int) -> list[tuple[bytes, float]]:
         """What stands at a token's edge while it is built: each such token's bytes, and the rank at which it is merged away."""
         known = self._right if side else self._left
@@ -110,19 +111,24 @@ class PrefixCoder:
 
     def extend(self, piece: bytes, last: array) -> None:
         """Add the last tokens of all prefixes of ``piece`` that ``last`` does not cover yet."""
-        ranks, lengths, fits = self.ranks, self.lengths, self.fits
+        usable, lengths, pairs = self.usable.get, self.lengths.get, self._fits.get
         for end in range(len(last) + 1, len(piece) + 1):
-            single = ranks[piece[end - 1 : end]]
-            chosen = None
-            for n in lengths.get(piece[end - 2 : end], ()) if end > 1 else ():
-                if n > end:
+            found = lengths(piece[end - 3 : end] if end > 2 else piece[:end])
+            if found is None:
+                found = lengths(piece[end - 2 : end], ()) if end > 2 else ()
+            for n in found:
+                token = usable(piece[end - n : end]) if n <= end else None
+                if token is None:
                     continue
-                token = ranks.get(piece[end - n : end])
-                if token is not None and self.reached(token) and (n == end or fits(last[end - n - 1], token)):
-                    chosen = token
+                if n == end:
+                    break
+                before = last[end - n - 1]
+                fit = pairs((before, token))
+                if fit or fit is None and self.fits(before, token):
                     break
-            # no longer token fits, so the byte by itself does
-            last.append(single if chosen is None else chosen)
+            else:  # no longer token fits, so the byte by itself does
+                token = usable(piece[end - 1 : end])
+            last.append(token)
 
     def table(self, piece: bytes) -> array:
         last = array("I")
@@ -144,50 +150,71 @@ class PrefixCoder:
         known = self.ranks.get(piece)
         return [known] if known is not None else self.read(self.table(piece), piece)
 
+    def encode_all(self, pieces: Iterable[bytes]) -> dict[bytes, list[int]]:
+        """Tokens of many pieces: in sorted order each table goes on from what it shares with the one before."""
+        out: dict[bytes, list[int]] = {}
+        before, last = b"", array("I")
+        for piece in sorted(pieces):
+            same = 0
+            for a, b in zip(piece, before, strict=False):
+                if a != b:
+                    break
+                same += 1
+            del last[same:]
+            self.extend(piece, last)
+            out[piece] = self.read(last, piece)
+            before = piece
+        return out
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-class _Parts(dict):
-    """A space and what follows it up to the next space, to packed ids; None where white space at an edge belongs to neighbours."""
-
-    def __init__(self, text_coder: TextCoder):
-        super().__init__()
-        self.coder = text_coder
-
-    def __missing__(self, part: str) -> bytes | None:
-        if not part or part[0].isspace() or part[-1].isspace():
-            return None
-        found = self.coder.packed(" " + part)
-        if len(part) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[part] = found
-        return found
-
-
 class TextCoder:
     """Encodes whole texts. No piece reaches over a single space between other characters: such parts are remembered."""
 
     _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+    _BESIDE = re.compile(r"\s\s")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pieces = regex.compile(pattern)
         self.coder = PrefixCoder(ranks)
-        self.parts = _Parts(self)
-
-    def packed(self, text: str) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit numbers, piece by piece."""
-        ids = [i for piece in self.pieces.findall(text) for i in self.coder.encode(piece.encode())]
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        found = [self.parts[part] for part in rest]
-        if None in found or not first or first[-1].isspace():
-            first, *rest = self._SINGLE_SPACE.split(text)
-            found = [self.parts[part] or self.packed(" " + part) for part in rest]
-        return b"".join([self.packed(first), *found])
+        # what follows a single space, up to the next one, to the packed ids of both
+        self.parts: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        split = []
+        for text in texts:
+            # white space beside a space belongs to it
+            plain = not (text[:1].isspace() or text[-1:].isspace() or self._BESIDE.search(text))
+            parts = text.split(" ") if plain else self._SINGLE_SPACE.split(text)
+            split.append(parts)
+        if len(self.parts) >= REMEMBERED:
+            self.parts.clear()
+        new = {part for _, *rest in split for part in rest}.difference(self.parts)
+        known = self._packed([" " + part for part in new])
+        found = {part: known[" " + part] for part in new}
+        self.parts.update((part, ids) for part, ids in found.items() if len(part) <= LONGEST)
+        firsts = self._packed([parts[0] for parts in split])
+        parts_of = self.parts if all(len(p) <= LONGEST for p in new) else {**self.parts, **found}
+        return [b"".join([firsts[first], *map(parts_of.__getitem__, rest)]) for first, *rest in split]
+
+    def _packed(self, stretches: list[str]) -> dict[str, bytes]:
+        """Packed ids of stretches of text, each split by itself."""
+        ranks = self.coder.ranks
+        split = {s: [piece.encode() for piece in self.pieces.findall(s)] for s in stretches}
+        ids = self.coder.encode_all({p for pieces in split.values() for p in pieces if p not in ranks})
+        out = {}
+        for s, pieces in split.items():
+            found = array("I")
+            for p in pieces:
+                if p in ids:
+                    found.extend(ids[p])
+                else:
+                    found.append(ranks[p])
+            out[s] = np.array(found, "<u4").tobytes()
+        return out
 
     def decode(self, packed: bytes) -> bytes:
         return self.coder.decode(np.frombuffer(packed, "<u4").tolist())
@@ -273,7 +300,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = _coder(ranks, pattern)
-        return pa.record_batch([batch["doc_id"], pa.array(map(coder.encode, batch["text"].to_pylist()), pa.binary())], ["doc_id", "ids"])
+        return pa.record_batch([batch["doc_id"], pa.array(coder.encode(batch["text"].to_pylist()), pa.binary())], ["doc_id", "ids"])
 
     return in_arrow(_texts(docs), step, "doc_id long, ids binary")
 
@@ -332,8 +359,7 @@ def digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder, n, ids, texts = _coder(ranks, pattern), [], [], []
-        for text in batch["text"].to_pylist():
-            packed = coder.encode(text)
+        for packed in coder.encode(batch["text"].to_pylist()):
             n.append(len(packed) // 4)
             ids.append(hashlib.sha256(packed).hexdigest())
             texts.append(hashlib.sha256(coder.decode(packed)).hexdigest())
