@@ -19,7 +19,7 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from wattloom.llm.common import in_arrow
 
-# Parts of texts, and pairs of tokens, that a worker remembers; beyond that it starts anew.
-REMEMBERED = 800_000
+# Parts of texts, pieces, and pairs of tokens, that a worker remembers; beyond that it starts anew.
+REMEMBERED = 600_000
 # Longer parts are encoded each time.
 LONGEST = 64
 FIRST = np.uint32(1 << 31)
@@ -59,7 +59,7 @@ class PrefixCoder:
         for tail, found in lengths.items():
             if len(tail) == 3 and tail[1:] in self.usable:
                 found.add(2)
-        self.lengths = {tail: sorted(found - {1}, reverse=True) for tail, found in lengths.items()}
+        self.lengths = {tail: sorted(found - {1}) for tail, found in lengths.items()}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for single bytes and for tokens that no merges lead to."""
@@ -111,23 +111,28 @@ class PrefixCoder:
 
     def extend(self, piece: bytes, last: array) -> None:
         """Add the last tokens of all prefixes of ``piece`` that ``last`` does not cover yet."""
-        usable, lengths, pairs = self.usable.get, self.lengths.get, self._fits.get
+        usable, lengths, pairs, slow = self.usable.get, self.lengths.get, self._fits.get, self.fits
         for end in range(len(last) + 1, len(piece) + 1):
-            found = lengths(piece[end - 3 : end] if end > 2 else piece[:end])
-            if found is None:
-                found = lengths(piece[end - 2 : end], ()) if end > 2 else ()
-            for n in found:
-                token = usable(piece[end - n : end]) if n <= end else None
-                if token is None:
-                    continue
-                if n == end:
-                    break
-                before = last[end - n - 1]
-                fit = pairs((before, token))
-                if fit or fit is None and self.fits(before, token):
-                    break
-            else:  # no longer token fits, so the byte by itself does
-                token = usable(piece[end - 1 : end])
+            token = usable(piece[end - 1 : end])
+            if end > 1:
+                pair = (last[-1], token)
+                fit = pairs(pair)
+                if fit is None:
+                    fit = slow(*pair)
+                if not fit:
+                    found = lengths(piece[end - 3 : end] if end > 2 else piece[:end])
+                    if found is None:
+                        found = lengths(piece[end - 2 : end], ()) if end > 2 else ()
+                    for n in found:
+                        token = usable(piece[end - n : end])
+                        if token is None or n > end:
+                            continue
+                        if n == end:
+                            break
+                        pair = (last[end - n - 1], token)
+                        fit = pairs(pair)
+                        if fit or fit is None and slow(*pair):
+                            break
             last.append(token)
 
     def table(self, piece: bytes) -> array:
@@ -150,11 +155,14 @@ class PrefixCoder:
         known = self.ranks.get(piece)
         return [known] if known is not None else self.read(self.table(piece), piece)
 
-    def encode_all(self, pieces: Iterable[bytes]) -> dict[bytes, list[int]]:
+    def encode_all(self, pieces: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Tokens of many pieces: in sorted order each table goes on from what it shares with the one before."""
-        out: dict[bytes, list[int]] = {}
         before, last = b"", array("I")
         for piece in sorted(pieces):
+            known = self.ranks.get(piece)
+            if known is not None:
+                yield piece, [known]
+                continue
             same = 0
             for a, b in zip(piece, before, strict=False):
                 if a != b:
@@ -162,9 +170,8 @@ class PrefixCoder:
                 same += 1
             del last[same:]
             self.extend(piece, last)
-            out[piece] = self.read(last, piece)
+            yield piece, self.read(last, piece)
             before = piece
-        return out
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -181,6 +188,8 @@ class TextCoder:
         self.coder = PrefixCoder(ranks)
         # what follows a single space, up to the next one, to the packed ids of both
         self.parts: dict[str, bytes] = {}
+        # a piece's packed ids
+        self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
@@ -202,18 +211,16 @@ class TextCoder:
 
     def _packed(self, stretches: list[str]) -> dict[str, bytes]:
         """Packed ids of stretches of text, each split by itself."""
-        ranks = self.coder.ranks
         split = {s: [piece.encode() for piece in self.pieces.findall(s)] for s in stretches}
-        ids = self.coder.encode_all({p for pieces in split.values() for p in pieces if p not in ranks})
-        out = {}
-        for s, pieces in split.items():
-            found = array("I")
-            for p in pieces:
-                if p in ids:
-                    found.extend(ids[p])
-                else:
-                    found.append(ranks[p])
-            out[s] = np.array(found, "<u4").tobytes()
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        known = self.known
+        new = {piece for pieces in split.values() for piece in pieces if piece not in known}
+        long = {piece for piece in new if len(piece) > LONGEST}
+        known.update((piece, array("I", ids).tobytes()) for piece, ids in self.coder.encode_all(new))
+        out = {s: b"".join(map(known.__getitem__, pieces)) for s, pieces in split.items()}
+        for piece in long:
+            del known[piece]
         return out
 
     def decode(self, packed: bytes) -> bytes:
