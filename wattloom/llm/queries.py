@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import attention, blocks, forest, merkle, mixing, noisychannel, prefixbpe, ring, simhash, suffixes, tiling, tokenfile
+from wattloom.llm import attention, blocks, collocations, forest, merkle, mixing, noisychannel, prefixbpe, ring, simhash, suffixes, tiling, tokenfile
 from wattloom.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixbpe.digest(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_passage_attention,
         op10_prefix_forest,
         op11_prefix_bpe,
+        op12_phrases,
         op13_merkle_manifest,
     )
 }
@@ -83,5 +88,6 @@ ORACLES: dict[str, str] = {
     "op2_suffix_dedup": suffixes.ORACLE,
     "op3_mix_sources": mixing.ORACLE,
     "op10_prefix_forest": forest.ORACLE,
+    "op12_phrases": collocations.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
