@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,7 +36,7 @@ INSIDE = 50
 BEST = 2000
 # Words of a block; suffixes of a route, on average.
 WORDS = 1 << 20
-SUFFIXES = 2_000_000
+SUFFIXES = 1_000_000
 HEAVY = 4096
 # A language's ranking starts in so many parts.
 SALTS = 64
@@ -48,45 +49,62 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def multikey(keys: np.ndarray, weights: np.ndarray, end: int, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+Parts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def multikey(keys: np.ndarray, weights: np.ndarray | None, end: int, least: list[int]) -> Iterator[Parts]:
     """Equal parts of a multikey three-way quicksort: (depth, a pointer of the part, its weight, whether it ends there).
 
-    ``keys`` has a row for each depth and a column for each pointer; ``end`` marks the end of a suffix. Parts that weigh less than
-    ``least`` of their depth are abandoned. Each round splits all open segments around the median of three of their keys.
+    ``keys`` has a row for each depth and a column for each pointer; ``end`` marks the end of a suffix; no weights: one each. Parts
+    that weigh less than ``least`` of their depth are abandoned. Each round splits all open parts around the median of
+    three of their keys. A pointer left alone is read to its end at once.
     """
-    order = np.arange(keys.shape[1])
-    starts, sizes, depth = (np.array([x], np.int64) for x in (0, len(order), 0))
-    least, last = np.array(least), len(keys) - 1
-    if not len(order):
-        return
-    while len(starts):
-        of = np.repeat(np.arange(len(starts)), sizes)
-        key = keys[depth[of], order]
+    keys, least, last, n = keys.astype(np.int32), np.array(least), len(keys) - 1, keys.shape[1]
+    flat, order = keys.ravel(), np.arange(n, dtype=np.int32)
+    sizes, depth = np.array([n], np.int32), np.zeros(1, np.int32)
+
+    def weigh(chosen: np.ndarray, of: np.ndarray, parts: int) -> np.ndarray:
+        if weights is None:
+            return np.bincount(of[chosen], minlength=parts)
+        return np.bincount(of[chosen], weights[order[chosen]], parts).astype(np.int64)  # exact: sums stay below 2**53
+
+    while len(order):
+        alone = sizes == 1
+        if alone.any():
+            own = np.repeat(alone, sizes)
+            at, level = order[own], depth[alone]
+            weight = np.ones(len(at), np.int64) if weights is None else weights[at]
+            while len(at):
+                ends = (keys[level, at] == end) | (level == last)
+                found = weight >= least[level]
+                yield level[found], at[found], weight[found], ends[found]
+                on = found & ~ends
+                at, level, weight = at[on], level[on] + 1, weight[on]
+            order, sizes, depth = order[~own], sizes[~alone], depth[~alone]
+            if not len(order):
+                return
+        parts = len(sizes)
+        starts = np.cumsum(sizes) - sizes
+        of = np.repeat(np.arange(parts, dtype=np.int32), sizes)
+        key = flat[(depth.astype(np.int64) * n)[of] + order]
         a, b, c = key[starts], key[starts + sizes // 2], key[starts + sizes - 1]
         pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
-        less, equal = key < pivot[of], key == pivot[of]
-        below, same = np.cumsum(less), np.cumsum(equal)
-        below_before, same_before = below[starts] - less[starts], same[starts] - equal[starts]
-        n_less, n_equal = np.append(below_before[1:], below[-1]) - below_before, np.append(same_before[1:], same[-1]) - same_before
-        below -= below_before[of]
-        same -= same_before[of]
-        at = np.arange(len(order)) - starts[of]
-        to = np.where(less, below - 1, np.where(equal, n_less[of] + same - 1, n_less[of] + n_equal[of] + at - below - same))
-        moved = np.empty_like(order)
-        moved[starts[of] + to] = order
-        order = moved
-        total = np.cumsum(np.append(0, weights[order]))
-        cuts = [starts, starts + n_less, starts + n_less + n_equal, starts + sizes]
-        heavy = [total[hi] - total[lo] >= least[depth] for lo, hi in zip(cuts, cuts[1:], strict=False)]
-        found = heavy[1]
+        at_pivot = pivot[of]
+        less, equal = key < at_pivot, key == at_pivot
         ends = (depth == last) | (pivot == end)
-        yield depth[found], order[cuts[1][found]], (total[cuts[2]] - total[cuts[1]])[found], ends[found]
-        open_ = [heavy[0] & (n_less > 0), found & ~ends, heavy[2] & (cuts[3] > cuts[2])]
-        lows = np.concatenate([lo[keep] for lo, keep in zip(cuts, open_, strict=False)])
-        sizes = np.concatenate([(hi - lo)[keep] for lo, hi, keep in zip(cuts, cuts[1:], open_, strict=False)])
-        depth = np.concatenate([depth[keep] + (part == 1) for part, keep in enumerate(open_)])
-        starts = np.cumsum(sizes) - sizes
-        order = order[np.repeat(lows - starts, sizes) + np.arange(int(sizes.sum()))]
+        next_order, next_sizes, next_depth = [], [], []
+        for chosen, is_equal in ((less, False), (equal, True), (~(less | equal), False)):
+            weight = weigh(chosen, of, parts)
+            count = weight if weights is None else np.bincount(of[chosen], minlength=parts)
+            keep = (count > 0) & (weight >= least[depth])
+            if is_equal:
+                first = order[chosen][np.cumsum(count) - count]
+                yield depth[keep], first[keep], weight[keep], ends[keep]
+                keep &= ~ends
+            next_order.append(order[chosen & keep[of]])
+            next_sizes.append(count[keep].astype(np.int32))
+            next_depth.append(depth[keep] + np.int32(is_equal))
+        order, sizes, depth = map(np.concatenate, (next_order, next_sizes, next_depth))
 
 
 def _words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -125,6 +143,15 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def _tally(numbers: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers and how often each occurs."""
+    if below > 8 * len(numbers):
+        return np.unique(numbers, return_counts=True)
+    counts = np.bincount(numbers, minlength=below)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each slice with their counts, and the slice's words per language under a null word."""
     for batch in pieces(batches, size=8_000_000):
@@ -132,7 +159,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(block.ids):
             continue
         n_words = len(block.words)
-        both, counts = np.unique(block.langs * n_words + block.ids, return_counts=True)
+        both, counts = _tally(block.langs * n_words + block.ids, n_words * len(block.lang_names))
         langs = pa.array(block.lang_names).take(pa.array(both // n_words))
         words = block.words.cast(pa.large_string()).take(pa.array(both % n_words)).cast(pa.string())
         yield pa.record_batch([langs, words, pa.array(counts, pa.int64())], ["lang", "word", "n"])
@@ -164,7 +191,12 @@ def _small(values: np.ndarray) -> tuple[int, bytes]:
 
 def _packed(route: int, heavy: bool, keys: np.ndarray, counts: np.ndarray, langs: list[str], words: pa.Array) -> tuple:
     """Suffixes with the words they use, as a row of ``_RUN``; the end of a suffix is the number after the last word's."""
-    used, numbers = np.unique(keys[1:], return_inverse=True)
+    if len(words) > 32 * keys.shape[1]:
+        used, numbers = np.unique(keys[1:], return_inverse=True)
+    else:
+        seen = np.zeros(len(words) + 1, bool)
+        seen[keys[1:]] = True
+        used, numbers = np.flatnonzero(seen), (np.cumsum(seen) - 1)[keys[1:]]
     ended = len(used) and used[-1] == len(words)
     texts = b"\n".join(words.take(pa.array(used[: len(used) - ended])).to_pylist())
     of, lang = np.unique(keys[0], return_inverse=True)
@@ -173,7 +205,7 @@ def _packed(route: int, heavy: bool, keys: np.ndarray, counts: np.ndarray, langs
     return int(route), bool(heavy), json.dumps([langs[i] for i in of]), texts, keys.shape[1], size, count_size, packed, packed_counts
 
 
-def _runs(routes: int, heavy_words: set[tuple[str, bytes]]):
+def _runs(routes: int, heavy_words: list[tuple[str, bytes]]):
     """Sorted runs of each block's suffixes, a row for each route they go to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,12 +213,12 @@ def _runs(routes: int, heavy_words: set[tuple[str, bytes]]):
             block = _Block(batch)
             texts = block.words.to_pylist()
             hashes, lang_hashes = np.append(_hashes(texts), np.uint64(1)), _hashes([x.encode() for x in block.lang_names])
-            number = {t: i for i, t in enumerate(texts)}
             lang_number = {x: i for i, x in enumerate(block.lang_names)}
-            heavy_keys = [lang_number[x] * len(texts) + number[w] for x, w in heavy_words if x in lang_number and w in number]
+            place = pc.index_in(pa.array([w for _, w in heavy_words], pa.large_binary()), value_set=block.words).to_pylist()
+            heavy_keys = [lang_number[x] * len(texts) + i for (x, _), i in zip(heavy_words, place, strict=True) if i is not None and x in lang_number]
             for low in range(0, len(block.ids), WORDS):
                 keys = block.suffixes(low, min(low + WORDS, len(block.ids)))
-                found = [(p, w) for _, p, w, ends in multikey(keys, np.ones(keys.shape[1], np.int64), len(texts), [0] * (LONGEST + 1)) for p, w in [(p[ends], w[ends])]]
+                found = [(p, w) for _, p, w, ends in multikey(keys, None, len(texts), [0] * (LONGEST + 1)) for p, w in [(p[ends], w[ends])]]
                 if not found:
                     continue
                 at, counts = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -211,29 +243,26 @@ class _Route:
     def __init__(self):
         self.langs: dict[str, int] = {}
         self.words: pa.Array = pa.array([], pa.large_binary())
-        self.keys, self.counts = np.empty((LONGEST + 1, 0), np.int64), np.empty(0, np.int64)
+        self.keys, self.counts = np.empty((LONGEST + 1, 0), np.int32), np.empty(0, np.int64)
 
     def add(self, rows: list[dict]) -> None:
-        """Take in runs; suffixes that are there already add up."""
-        parts, lists = [self.words], [np.arange(len(self.words))]
+        """Take in runs under one numbering of all words."""
+        if not rows:
+            return
+        texts = [b"\n".join(self.words.to_pylist()), *(row["words"] for row in rows)]
+        texts = texts[0 if len(self.words) else 1 :]
+        _, numbers, self_words = _words(np.frombuffer(b"\n".join(texts), np.uint8), np.zeros(1, np.int64))
+        end, at = np.int32(len(self_words)), len(self.words)
+        keys, counts = [np.vstack([self.keys[:1], np.append(numbers[:at], end)[self.keys[1:]]]).astype(np.int32)], [self.counts]
         for row in rows:
-            raw = np.frombuffer(row["words"], np.uint8)
-            _, ids, words = _words(raw, np.zeros(1, np.int64))
-            parts.append(words.take(pa.array(ids)))
-        column = pa.chunked_array(parts).combine_chunks().dictionary_encode()
-        numbers, lists = column.indices.to_numpy().astype(np.int64), []
-        at, end = len(self.words), len(column.dictionary)
-        own = np.append(numbers[:at], end)
-        keys, counts = [np.vstack([self.keys[:1], own[self.keys[1:]]])], [self.counts]
-        for row, part in zip(rows, parts[1:], strict=True):
-            n = row["n"]
-            packed = np.frombuffer(row["keys"], f"<u{row['key_bytes']}").astype(np.int64)
-            langs = np.array([self.langs.setdefault(x, len(self.langs)) for x in json.loads(row["langs"])])
-            of = np.append(numbers[at : at + len(part)], end)
+            n, size = row["n"], row["words"].count(b"\n") + 1
+            packed = np.frombuffer(row["keys"], f"<u{row['key_bytes']}").astype(np.int32)
+            langs = np.array([self.langs.setdefault(x, len(self.langs)) for x in json.loads(row["langs"])], np.int32)
+            of = np.append(numbers[at : at + size], end).astype(np.int32)
             keys.append(np.vstack([langs[packed[:n]][None], of[packed[n:].reshape(LONGEST, n)]]))
             counts.append(np.frombuffer(row["counts"], f"<u{row['count_bytes']}").astype(np.int64))
-            at += len(part)
-        self.words, self.keys, self.counts = column.dictionary, np.hstack(keys), np.concatenate(counts)
+            at += size
+        self.words, self.keys, self.counts = self_words, np.hstack(keys), np.concatenate(counts)
 
     def merge(self) -> None:
         found = [(p[e], w[e]) for _, p, w, e in multikey(self.keys, self.counts, len(self.words), [0] * (LONGEST + 1))]
@@ -274,7 +303,7 @@ def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     words = words.where("word IS NOT NULL")
     total = totals.agg(F.sum("n")).first()[0] or 0
     # at most HEAVY words
-    heavy = {(r["lang"], r["word"].encode()) for r in words.where(F.col("n") > total // HEAVY).where(F.col("n") * HEAVY > total).collect()}
+    heavy = [(r["lang"], r["word"].encode()) for r in words.where(F.col("n") > total / HEAVY).collect()]
     routes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SUFFIXES))
     runs = docs.mapInArrow(_runs(routes, heavy), _RUN)
     grams = runs.groupBy("route", "heavy").applyInArrow(_count_route, "lang string, w1 string, w2 string, w3 string, n long")
