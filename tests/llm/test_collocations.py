@@ -51,7 +51,7 @@ def got(docs):
 def test_multikey(rows, least):
     end = 3
     rows = [(a, b, end if b == end else c, w) for a, b, c, w in rows]
-    keys, weights = np.array([r[:3] for r in rows], np.int64).reshape(-1, 3).T, np.array([r[3] for r in rows], np.int64)
+    keys, weights = np.ascontiguousarray(np.array([r[:3] for r in rows], np.int64).reshape(-1, 3).T), np.array([r[3] for r in rows], np.int64)
     found = {}
     for depth, at, weight, _ in collocations.multikey(keys, weights, end, [least] * 3):
         for d, p, w in zip(depth, at, weight, strict=True):

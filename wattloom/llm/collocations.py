@@ -55,19 +55,15 @@ Parts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def multikey(keys: np.ndarray, weights: np.ndarray | None, end: int, least: list[int]) -> Iterator[Parts]:
     """Equal parts of a multikey three-way quicksort: (depth, a pointer of the part, its weight, whether it ends there).
 
-    ``keys`` has a row for each depth and a column for each pointer; ``end`` marks the end of a suffix; no weights: one each. Parts
+    ``keys`` has a row for each depth and a column for each pointer; ``end`` marks the end of a suffix (not
+    as a first key); no weights: one each. Parts
     that weigh less than ``least`` of their depth are abandoned. Each round splits all open parts around the median of
     three of their keys. A pointer left alone is read to its end at once.
     """
-    keys, least, last, n = keys.astype(np.int32), np.array(least), len(keys) - 1, keys.shape[1]
+    least, last, n = np.array(least), len(keys) - 1, keys.shape[1]
     flat, order = keys.ravel(), np.arange(n, dtype=np.int32)
     sizes, depth = np.array([n], np.int32), np.zeros(1, np.int32)
 
-    def weigh(chosen: np.ndarray, of: np.ndarray, parts: int) -> np.ndarray:
-        if weights is None:
-            return np.bincount(of[chosen], minlength=parts)
-        return np.bincount(of[chosen], weights[order[chosen]], parts).astype(np.int64)  # exact: sums stay below 2**53
-
     while len(order):
         alone = sizes == 1
         if alone.any():
@@ -75,7 +71,7 @@ def multikey(keys: np.ndarray, weights: np.ndarray | None, end: int, least: list
             at, level = order[own], depth[alone]
             weight = np.ones(len(at), np.int64) if weights is None else weights[at]
             while len(at):
-                ends = (keys[level, at] == end) | (level == last)
+                ends = (level > 0) & (keys[level, at] == end) | (level == last)
                 found = weight >= least[level]
                 yield level[found], at[found], weight[found], ends[found]
                 on = found & ~ends
@@ -91,17 +87,20 @@ def multikey(keys: np.ndarray, weights: np.ndarray | None, end: int, least: list
         pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))
         at_pivot = pivot[of]
         less, equal = key < at_pivot, key == at_pivot
-        ends = (depth == last) | (pivot == end)
+        ends = (depth == last) | (depth > 0) & (pivot == end)
         next_order, next_sizes, next_depth = [], [], []
         for chosen, is_equal in ((less, False), (equal, True), (~(less | equal), False)):
-            weight = weigh(chosen, of, parts)
-            count = weight if weights is None else np.bincount(of[chosen], minlength=parts)
+            at = np.flatnonzero(chosen)
+            part = of[at]
+            count = weight = np.bincount(part, minlength=parts)
+            if weights is not None:  # exact: sums stay below 2**53
+                weight = np.bincount(part, weights[order[at]], parts).astype(np.int64)
             keep = (count > 0) & (weight >= least[depth])
             if is_equal:
-                first = order[chosen][np.cumsum(count) - count]
-                yield depth[keep], first[keep], weight[keep], ends[keep]
+                first = order[at[(np.cumsum(count) - count)[keep]]]
+                yield depth[keep], first, weight[keep], ends[keep]
                 keep &= ~ends
-            next_order.append(order[chosen & keep[of]])
+            next_order.append(order[at[keep[part]]])
             next_sizes.append(count[keep].astype(np.int32))
             next_depth.append(depth[keep] + np.int32(is_equal))
         order, sizes, depth = map(np.concatenate, (next_order, next_sizes, next_depth))
@@ -120,6 +119,12 @@ def _words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, column.indices.to_numpy().astype(np.int64), column.dictionary
 
 
+def _keys(langs: np.ndarray, first: np.ndarray, second: np.ndarray, third: np.ndarray, words: int, names: int) -> np.ndarray:
+    """Suffix keys, whose first is the word of a language; in 32 bits where they fit."""
+    kind = np.int32 if (words + 1) * (names + 1) < 1 << 31 else np.int64
+    return np.stack([langs.astype(kind) * words + first.astype(kind), second.astype(kind), third.astype(kind)])
+
+
 class _Block:
     """The words of a slice of documents: ``ids``, ``langs`` (numbers), and whether the next word is in the same piece."""
 
@@ -133,10 +138,10 @@ class _Block:
         self.lang_names, self.langs = lang.dictionary.to_pylist(), lang.indices.to_numpy().astype(np.int64)[doc]
 
     def suffixes(self, low: int, high: int) -> np.ndarray:
-        """Keys (language, word, second, third) of the suffixes that start at words ``low`` to ``high``, those of one word left out."""
+        """Keys (language and word, second, third) of the suffixes that start at words ``low`` to ``high``, those of one word left out."""
         end, at = len(self.words), np.arange(low, high)[self.joined[low:high]]
         third = np.where(self.joined[at + 1], self.ids[np.minimum(at + 2, len(self.ids) - 1)], end)
-        return np.stack([self.langs[at], self.ids[at], self.ids[at + 1], third])
+        return _keys(self.langs[at], self.ids[at], self.ids[at + 1], third, len(self.words), len(self.lang_names))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -189,18 +194,26 @@ def _small(values: np.ndarray) -> tuple[int, bytes]:
     return size, values.astype(f"<u{size}").tobytes()
 
 
-def _packed(route: int, heavy: bool, keys: np.ndarray, counts: np.ndarray, langs: list[str], words: pa.Array) -> tuple:
-    """Suffixes with the words they use, as a row of ``_RUN``; the end of a suffix is the number after the last word's."""
+def _packed(route: int, heavy: bool, keys: np.ndarray, counts: np.ndarray, langs: list[str], words: pa.Array, number: np.ndarray) -> tuple:
+    """Suffixes with the words they use, as a row of ``_RUN``; the end of a suffix is the number after the last word's.
+
+    ``number`` is room for a number per word.
+    """
+    lang, first = np.divmod(keys[0], max(1, len(words)))
+    parts = np.concatenate([first, keys[1], keys[2]])
     if len(words) > 32 * keys.shape[1]:
-        used, numbers = np.unique(keys[1:], return_inverse=True)
+        used, parts = np.unique(parts, return_inverse=True)
     else:
         seen = np.zeros(len(words) + 1, bool)
-        seen[keys[1:]] = True
-        used, numbers = np.flatnonzero(seen), (np.cumsum(seen) - 1)[keys[1:]]
-    ended = len(used) and used[-1] == len(words)
-    texts = b"\n".join(words.take(pa.array(used[: len(used) - ended])).to_pylist())
-    of, lang = np.unique(keys[0], return_inverse=True)
-    size, packed = _small(np.append(lang, numbers.ravel()))
+        seen[parts] = True
+        used = np.flatnonzero(seen)
+        number[used] = np.arange(len(used))
+        parts = number[parts]
+    ended = used[-1] == len(words)
+    texts = words.take(pa.array(used[: len(used) - ended])).cast(pa.binary())
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts), b"\n")[0].as_py()
+    of, lang = np.unique(lang, return_inverse=True)
+    size, packed = _small(np.append(lang, parts))
     count_size, packed_counts = _small(counts)
     return int(route), bool(heavy), json.dumps([langs[i] for i in of]), texts, keys.shape[1], size, count_size, packed, packed_counts
 
@@ -216,20 +229,26 @@ def _runs(routes: int, heavy_words: list[tuple[str, bytes]]):
             lang_number = {x: i for i, x in enumerate(block.lang_names)}
             place = pc.index_in(pa.array([w for _, w in heavy_words], pa.large_binary()), value_set=block.words).to_pylist()
             heavy_keys = [lang_number[x] * len(texts) + i for (x, _), i in zip(heavy_words, place, strict=True) if i is not None and x in lang_number]
+            size = len(block.lang_names) * len(texts)
+            is_heavy = np.zeros(size, bool) if size <= 8 * len(block.ids) else None
+            if is_heavy is not None:
+                is_heavy[heavy_keys] = True
+            number = np.empty(len(texts) + 1, np.int64)
             for low in range(0, len(block.ids), WORDS):
                 keys = block.suffixes(low, min(low + WORDS, len(block.ids)))
-                found = [(p, w) for _, p, w, ends in multikey(keys, None, len(texts), [0] * (LONGEST + 1)) for p, w in [(p[ends], w[ends])]]
+                found = [(p, w) for _, p, w, ends in multikey(keys, None, len(texts), [0] * LONGEST) for p, w in [(p[ends], w[ends])]]
                 if not found:
                     continue
                 at, counts = (np.concatenate(x) for x in zip(*found, strict=True))
                 keys = keys[:, at]
-                heavy = np.isin(keys[0] * len(texts) + keys[1], heavy_keys)
-                lead = _mixed(lang_hashes[keys[0]], hashes[keys[1]])
-                route = np.where(heavy, _mixed(lead, hashes[keys[2]], hashes[keys[3]]), lead) % np.uint64(routes)
-                to = route.astype(np.int64) * 2 + heavy
+                lang, first = np.divmod(keys[0], len(texts))
+                heavy = is_heavy[keys[0]] if is_heavy is not None else np.isin(keys[0], heavy_keys)
+                lead = _mixed(lang_hashes[lang], hashes[first])
+                lead[heavy] = _mixed(lead[heavy], hashes[keys[1][heavy]], hashes[keys[2][heavy]])
+                to = (lead % np.uint64(routes)).astype(np.int64) * 2 + heavy
                 order = np.argsort(to, kind="stable")
                 cuts = np.flatnonzero(np.diff(to[order], prepend=-1, append=-1))
-                rows = [_packed(to[order[a]] // 2, to[order[a]] % 2, keys[:, order[a:b]], counts[order[a:b]], block.lang_names, block.words) for a, b in zip(cuts, cuts[1:], strict=False)]
+                rows = [_packed(to[order[a]] // 2, to[order[a]] % 2, keys[:, order[a:b]], counts[order[a:b]], block.lang_names, block.words, number) for a, b in zip(cuts, cuts[1:], strict=False)]
                 kinds = [pa.int32(), pa.bool_(), pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
                 names = [x.split()[0] for x in _RUN.split(", ")]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -264,17 +283,20 @@ class _Route:
             at += size
         self.words, self.keys, self.counts = self_words, np.hstack(keys), np.concatenate(counts)
 
+    def suffixes(self) -> np.ndarray:
+        return _keys(*self.keys, len(self.words), len(self.langs))
+
     def merge(self) -> None:
-        found = [(p[e], w[e]) for _, p, w, e in multikey(self.keys, self.counts, len(self.words), [0] * (LONGEST + 1))]
+        found = [(p[e], w[e]) for _, p, w, e in multikey(self.suffixes(), self.counts, len(self.words), [0] * LONGEST)]
         at, self.counts = (np.concatenate(x) for x in zip(*found, strict=True))
         self.keys = self.keys[:, at]
 
     def phrases(self, least: list[int]) -> Iterator[pa.RecordBatch]:
         names, texts = pa.array(list(self.langs), pa.string()), pa.chunked_array([self.words.cast(pa.large_string()).cast(pa.string())]).combine_chunks()
-        for depth, at, weight, _ in multikey(self.keys, self.counts, len(self.words), least):
-            keep = (depth >= 2) & (self.keys[depth, at] < len(self.words))
+        for depth, at, weight, _ in multikey(self.suffixes(), self.counts, len(self.words), least):
+            keep = (depth >= 1) & (self.keys[depth + 1, at] < len(self.words))
             depth, keys, weight = depth[keep], self.keys[:, at[keep]], weight[keep]
-            third = pa.array(np.where((depth == 3) & (keys[3] < len(self.words)), keys[3], 0), mask=depth < 3)
+            third = pa.array(np.where(depth == 2, keys[3], 0), mask=depth < 2)
             columns = [names.take(pa.array(keys[0])), texts.take(pa.array(keys[1])), texts.take(pa.array(keys[2])), texts.take(third), pa.array(weight)]
             yield pa.record_batch(columns, ["lang", "w1", "w2", "w3", "n"])
 
@@ -291,7 +313,7 @@ def _count_route(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch])
                 waiting, size = [], 0
     route.add(waiting)
     # a heavy word's suffixes are spread over routes: what is here of it may be few though it has many
-    yield from route.phrases([0, 0, 0, LEAST] if heavy else [LEAST] * (LONGEST + 1))
+    yield from route.phrases([0, 0, LEAST] if heavy else [LEAST] * LONGEST)
 
 
 def counted(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -347,8 +369,19 @@ def scored(docs: DataFrame) -> DataFrame:
 
 
 def best(docs: DataFrame, limit: int = BEST) -> DataFrame:
-    """Each language's first ``limit`` phrases: lang, rank, phrase, a, l, r, n, score. Ranked in parts first, so that no task ranks a whole language."""
-    rows = scored(docs).withColumn("__salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    """Each language's first ``limit`` phrases: lang, rank, phrase, a, l, r, n, score. Ranked in parts first, so that no task ranks a whole language.
+
+    Scores reach from 0 to 1000000.
+    """
+    rows = stored(scored(docs), "phrase-scores")
+    # at most 1001 bands of scores a language: those below the band that holds the last wanted phrase can go
+    band = F.floor(F.col("score") / 1000)
+    better = Window.partitionBy("__lang").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    bands = rows.groupBy(F.col("lang").alias("__lang"), band.alias("band")).count()
+    bands = bands.withColumn("before", F.coalesce(F.sum("count").over(better), F.lit(0))).where(F.col("before") < limit)
+    bands = bands.groupBy("__lang").agg(F.min("band").alias("lowest"))
+    rows = rows.join(stored(bands, "phrase-bands"), (F.col("lang") == F.col("__lang")) & (band >= F.col("lowest")))
+    rows = rows.withColumn("__salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "__salt").orderBy(*order))).where(F.col("rank") <= limit)
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= limit)
