@@ -9,7 +9,7 @@ from checks.series import KEY, TIME, VALUE, energy_series
 from checks.tables import CUTOFF, FRAGMENTS, NOW, PV_FROM, Tables, check, rounded
 from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, columns, filters, metrics, ordered, sets
+from wattloom.operators import assembly, boosting, columns, filters, metrics, ordered, sets
 from wattloom.plans import batch_score as saved_models
 from wattloom.plans import load_daily, load_hourly, profiles, publish, slots, solar_daily, sweep
 from wattloom.session import stored, work_path
@@ -319,6 +319,41 @@ def scheduled_incremental_features(t: Tables):
 # ---- forecasting jobs
 
 
+FRAGMENTS["grown_trees"] = """
+    SELECT CAST(p_partkey % 5 AS INT) AS ClientId, CAST(p_partkey // 5 AS INT) AS tree, k AS node,
+           CASE k WHEN 1 THEN p_size % 3 WHEN 3 THEN (p_size + 1) % 3 END AS feature,
+           CASE k WHEN 1 THEN p_size * 1.5 WHEN 3 THEN p_retailprice / 40.0 END AS cut, 2 * k AS lft, 2 * k + 1 AS rgt,
+           CASE WHEN k IN (2, 6, 7) THEN (p_retailprice - 1000.0) * k / 100.0 END AS val
+    FROM part, (VALUES (1), (2), (3), (6), (7)) nodes(k)"""
+
+
+@check("""
+    WITH RECURSIVE walk AS (
+      SELECT ClientId, Time, Temperature, Humidity, WindSpeed, tree, 1 AS node FROM weather_forecast JOIN (SELECT DISTINCT ClientId, tree FROM grown_trees) t USING (ClientId)
+      UNION ALL
+      SELECT w.ClientId, Time, Temperature, Humidity, WindSpeed, w.tree,
+             CASE WHEN CASE feature WHEN 0 THEN Temperature WHEN 1 THEN Humidity ELSE WindSpeed END < cut THEN lft ELSE rgt END
+      FROM walk w JOIN grown_trees g ON g.ClientId = w.ClientId AND g.tree = w.tree AND g.node = w.node WHERE feature IS NOT NULL)
+    SELECT w.ClientId, Time, round(sum(val), 4) AS prediction FROM walk w
+    JOIN grown_trees g ON g.ClientId = w.ClientId AND g.tree = w.tree AND g.node = w.node WHERE feature IS NULL GROUP BY w.ClientId, Time""")
+def score_saved_trees(t: Tables):
+    """Ensembles that were written as a version and read back, walked for all sites' weather in one pass; two cuts a tree."""
+    k, size, price = F.col("node"), F.col("p_size"), F.col("p_retailprice")
+    nodes = t.raw("part").withColumn("node", F.explode(F.array(*map(F.lit, (1, 2, 3, 6, 7))))).select(
+        (F.col("p_partkey") % 5).cast("int").alias("ClientId"),
+        F.floor(F.col("p_partkey") / 5).cast("int").alias("tree"),
+        "node",
+        F.when(k == 1, size % 3).when(k == 3, (size + 1) % 3).cast("int").alias("feature"),
+        F.when(k == 1, size * 1.5).when(k == 3, price / 40.0).cast("double").alias("cut"),
+        F.when(k.isin(1, 3), 2 * k).alias("left"),
+        F.when(k.isin(1, 3), 2 * k + 1).alias("right"),
+        F.when(k.isin(2, 6, 7), (price - 1000.0) * k / 100.0).cast("double").alias("value"),
+    )
+    trees = t.spark.read.parquet(sinks.write_version(nodes, work_path(t.spark, "trees"), "v1"))
+    scored = boosting.predict(t.weather_forecast, trees, KEY, ["Temperature", "Humidity", "WindSpeed"])
+    return rounded(scored.select("ClientId", "Time", "prediction"), 4)
+
+
 @check()
 def forecast_hourly_direct(t: Tables):
     return load_hourly.forecast(t.dense_energy, t.dense_measurements, NOW)

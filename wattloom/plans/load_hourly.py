@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
-from wattloom.operators import filters, joins, linear, ordered, sets, transforms
+from wattloom.operators import boosting, filters, joins, linear, ordered, transforms
 from wattloom.session import stored
 
 # Fixed values.
@@ -18,11 +15,10 @@ LAGS = 24
 HORIZON = 4
 TREES = 500
 LEARNING_RATE = 0.05
-SEED = 42
+DEPTH = 6
 TARGET = "ConsumerPower1"
 WEATHER = ["Temperature", "Humidity"]
 KEY = ["ClientId"]
-FORECAST_SCHEMA = "ClientId int, h int, Time timestamp_ntz, LoadPower double"
 
 
 def merged_series(energy: DataFrame, measurements: DataFrame, weather: list[str] = WEATHER) -> DataFrame:
@@ -83,56 +79,33 @@ def model_inputs() -> list[str]:
     return [TARGET, *feature_names()]
 
 
-def fit_scaler(table: DataFrame) -> DataFrame:
-    """Each site's range of load power, one row per site."""
-    return stored(transforms.fit_minmax(table, KEY, [TARGET]), "hourly-scaler")
+def fit(
+    table: DataFrame, trees: int = TREES, depth: int = DEPTH, rate: float = LEARNING_RATE, known: DataFrame | None = None
+) -> DataFrame:
+    """Boosted trees, an ensemble for every site and step; sites in ``known`` keep their stored ones.
 
-
-def _span() -> Column:
-    low, high = F.col(f"{TARGET}_min"), F.col(f"{TARGET}_max")
-    return F.when(high == low, F.lit(1.0)).otherwise(high - low)
-
-
-def scaled(table: DataFrame, scaler: DataFrame) -> DataFrame:
-    """Load power, its lags and its later values in the site's own range, so that sites of any size share a model."""
-    powers = [c for c in table.columns if c == TARGET or c.startswith(("lag_", "y_"))]
-    moved = {c: (F.col(c) - F.col(f"{TARGET}_min")) / _span() for c in powers}
-    return table.join(scaler, KEY).withColumns(moved).select(*table.columns)
-
-
-def fit(table: DataFrame, trees: int = TREES, depth: int = 5, rate: float = LEARNING_RATE, horizon: int = HORIZON) -> dict[int, PipelineModel]:
-    """Boosted trees over all sites, a model for each step; ``table`` is scaled and has ``y_1 .. y_H``."""
-    models = {}
-    for h in range(1, horizon + 1):
-        assembler = VectorAssembler(inputCols=model_inputs(), outputCol="features")
-        boosted = GBTRegressor(
-            labelCol=f"y_{h}", maxIter=trees, maxDepth=depth, stepSize=rate, seed=SEED, cacheNodeIds=True, checkpointInterval=10
-        )
-        models[h] = Pipeline(stages=[assembler, boosted]).fit(table.where(F.col(f"y_{h}").isNotNull()))
-    return models
+    ``table`` has ``y_1 .. y_H``. Trees do not depend on the scale of a feature, so features are not scaled.
+    """
+    return boosting.fit_or_reuse(
+        long_form(table), [*KEY, "h"], known, inputs=model_inputs(), label="label", order=["bin"], trees=trees, rate=rate, depth=depth
+    )
 
 
-def score(table: DataFrame, models: dict[int, PipelineModel], scaler: DataFrame, now: str) -> DataFrame:
-    """Steps 1..H after each site's last complete row not later than ``now``, in units of power."""
-    last = scaled(filters.asof_last_row(table, KEY, "bin", now), scaler)
-    steps = [m.transform(last).select(*KEY, F.lit(h).alias("h"), "prediction") for h, m in sorted(models.items())]
+def score(table: DataFrame, trees: DataFrame, now: str, horizon: int = HORIZON) -> DataFrame:
+    """Steps 1..H after each site's last complete row not later than ``now``, for sites with an ensemble."""
+    last = filters.asof_last_row(table, KEY, "bin", now).withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    scored = boosting.predict(last, trees, [*KEY, "h"], model_inputs())
     ahead = F.make_dt_interval(F.lit(0), F.lit(0), F.col("h") * cal.STEP_MINUTES)
-    power = F.col("prediction") * _span() + F.col(f"{TARGET}_min")
-    return sets.union_all(*steps).join(scaler, KEY).select(
-        *KEY, "h", (F.lit(now).cast("timestamp_ntz") + ahead).alias("Time"), power.alias("LoadPower")
-    )
+    return scored.select(*KEY, "h", (F.lit(now).cast("timestamp_ntz") + ahead).alias("Time"), F.col("prediction").alias("LoadPower"))
 
 
-def forecast(energy: DataFrame, measurements: DataFrame, now: str, trees: int = TREES, depth: int = 5) -> DataFrame:
-    """The whole hourly job: fit on everything known at ``now``, then score."""
+def forecast(
+    energy: DataFrame, measurements: DataFrame, now: str, trees: int = TREES, depth: int = DEPTH, known: DataFrame | None = None
+) -> DataFrame:
+    """The whole hourly job: fit on everything known at ``now``, then score. ``known``: stored ensembles not to be fitted again."""
     until = energy.where(F.col("TimeStampMeasured") <= filters.at(energy, "TimeStampMeasured", now))
     table = stored(supervised(until, measurements), "hourly-load-features")
-    if table.isEmpty():
-        # no site has 24 full bins in a row: nothing to fit, no rows
-        return table.sparkSession.createDataFrame([], FORECAST_SCHEMA)
-    scaler = fit_scaler(table)
-    models = fit(stored(scaled(table, scaler), "hourly-load-scaled"), trees, depth)
-    return score(table, models, scaler, now)
+    return score(table, stored(fit(table, trees, depth, known=known), "hourly-load-trees"), now)
 
 
 def reading_sequences(

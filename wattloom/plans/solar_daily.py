@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, columns, filters, joins, metrics, ordered, sets, transforms
+from wattloom.operators import assembly, boosting, columns, filters, joins, metrics, ordered, sets, transforms
 from wattloom.session import stored
 
 # Fixed values.
@@ -22,15 +19,13 @@ TARGET = "SolarPower"
 TRAIN_FRACTION = 0.85
 CONTEXT_ROWS = 1152
 SEQUENCE = 24
-SEED = 42
+TREES = 200
+DEPTH = 5
+LEARNING_RATE = 0.1
 
-# Rows before a serving row whose weather is looked at: the next one, one hour and the full window back.
-CONTEXT_LAGS = (1, 4, SEQUENCE)
+# Rows before a serving row whose weather is looked at: the full window.
+CONTEXT_LAGS = range(1, SEQUENCE + 1)
 KEY = ["ClientId"]
-FORECAST_SCHEMA = (
-    "ClientId int, Time timestamp_ntz, SolarPower_pred double, Time_predicted timestamp_ntz,"
-    " SunriseDT timestamp_ntz, SunsetDT timestamp_ntz"
-)
 
 
 def training_series(
@@ -110,34 +105,35 @@ def with_context(table: DataFrame, weather: list[str] = WEATHER) -> tuple[DataFr
     return ordered.neighbour_columns(table, KEY, ["bin"], lags, None), [*weather, *CALENDAR, *ENCODED, *lags]
 
 
-def fit(table: DataFrame, inputs: list[str], trees: int, depth: int) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=[*KEY, *inputs], outputCol="features")
-    boosted = GBTRegressor(
-        labelCol=TARGET, maxIter=trees, maxDepth=depth, seed=SEED, cacheNodeIds=True, checkpointInterval=10
+def fit(table: DataFrame, inputs: list[str], trees: int, depth: int, known: DataFrame | None = None) -> DataFrame:
+    """Boosted trees, an ensemble per site; sites in ``known`` keep their stored ones."""
+    return boosting.fit_or_reuse(
+        table, KEY, known, inputs=inputs, label=TARGET, order=["bin"], trees=trees, rate=LEARNING_RATE, depth=depth
     )
-    return Pipeline(stages=[assembler, boosted]).fit(table)
 
 
-def train(table: DataFrame, weather: list[str], trees: int, depth: int) -> tuple[PipelineModel, DataFrame]:
-    """A model on the first part of every site, and errors in kWh on the rest."""
+def train(
+    table: DataFrame, weather: list[str], trees: int, depth: int, known: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Ensembles from the first part of every site, and errors in kWh on the rest."""
     rows, inputs = with_context(table, weather)
     split = stored(
         ordered.chronological_split(rows.na.drop("any", subset=inputs), KEY, ["bin"], None, fraction=TRAIN_FRACTION),
         "solar-features",
     )
-    model = fit(split.where("is_train"), inputs, trees, depth)
-    tested = model.transform(split.where("NOT is_train")).withColumns(
+    models = stored(fit(split.where("is_train"), inputs, trees, depth, known), "solar-trees")
+    tested = boosting.predict(split.where("NOT is_train"), models, KEY, inputs).withColumns(
         {"y": val.watt_to_kwh(F.col(TARGET)), "p": val.watt_to_kwh(F.col("prediction"))}
     )
-    return model, metrics.evaluate(tested, KEY, "y", "p", ["MSE", "MAE", "RMSE", "R2"])
+    return models, metrics.evaluate(tested, KEY, "y", "p", ["MSE", "MAE", "RMSE", "R2"])
 
 
-def score(model: PipelineModel, table: DataFrame, served: DataFrame, issued: str, weather: list[str] = WEATHER) -> DataFrame:
+def score(models: DataFrame, table: DataFrame, served: DataFrame, issued: str, weather: list[str] = WEATHER) -> DataFrame:
     """Forecast every grid row of the serving set; training rows only give its first rows a past."""
     tail = ordered.sequence_tail(table.drop(TARGET), KEY, [F.desc("bin")], CONTEXT_ROWS).withColumn("is_serving", F.lit(False))
     both = sets.union_all(tail, served.withColumn("is_serving", F.lit(True)))
     rows, inputs = with_context(both, weather)
-    scored = model.transform(assembly.serving_rows(rows).na.drop("any", subset=inputs))
+    scored = boosting.predict(assembly.serving_rows(rows).na.drop("any", subset=inputs), models, KEY, inputs)
     power = val.night_to_zero(F.col("prediction"), F.col("bin"), F.col("SunriseDT"), F.col("SunsetDT"))
     return scored.select(
         *KEY,
@@ -156,17 +152,15 @@ def forecast(
     weather_forecast: DataFrame,
     issued: str,
     weather: list[str] = WEATHER,
-    trees: int = 20,
-    depth: int = 5,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """The whole daily solar job."""
+    """The whole daily solar job. ``known``: stored ensembles of sites that are not fitted again."""
     complete = filters.drop_any_null(training_series(measurements, history, energy))
     series = stored(complete, "solar-series")
     encoders = {c: stored(labels, "solar-labels") for c, labels in fit_encoders(series).items()}
     table = stored(features(series, encoders, weather), "solar-table")
-    if table.isEmpty():
-        # no bin has both weather and solar power: nothing to fit, no rows
-        return table.sparkSession.createDataFrame([], FORECAST_SCHEMA)
-    model, _ = train(table, weather, trees, depth)
+    models, _ = train(table, weather, trees, depth, known)
     served = serving(weather_forecast, table, encoders, weather)
-    return score(model, table, served, issued, weather)
+    return score(models, table, served, issued, weather)
