@@ -205,9 +205,9 @@ def sql(body: str) -> str:
     visit(body)
     parts = [f"{name} AS ({FRAGMENTS[name]})" for name in needed]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        parts.append(body[5:])
-        return "WITH " + ",\n".join(parts)
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return start + ",\n".join([*parts, body[len(start) :]])
     return (f"WITH {', '.join(parts)}\n" if parts else "") + body
 
 
