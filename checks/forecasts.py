@@ -18,6 +18,44 @@ from wattloom.streaming import jobs
 
 TARGET = load_daily.TARGET
 
+
+
+def season_sql(month: str) -> str:
+    return f"(CASE WHEN {month} IN (12, 1, 2) THEN 1 WHEN {month} IN (3, 4, 5) THEN 2 WHEN {month} IN (6, 7, 8) THEN 3 ELSE 4 END)"
+
+
+def ridge_sql(name: str, pairs: str, keys: list[str], features: int, targets: int, ridge: float, min_rows: int) -> None:
+    """Fragments that solve ridge regressions: ``pairs`` has the keys, x and y as lists; ``<name>_weights`` the keys, b and w per target.
+
+    Moments of all columns, then elimination of the standardised features, one per step.
+    """
+    k, size = ", ".join(keys), features + targets
+    on = " AND ".join(f"a.{c} = b.{c}" for c in keys)
+    FRAGMENTS[f"{name}_means"] = f"""
+        SELECT {k}, count(*) AS n, [{", ".join(f"avg(z[{i}])" for i in range(1, size + 1))}] AS m
+        FROM (SELECT {k}, list_concat(x, y) AS z FROM {pairs}) q GROUP BY {k} HAVING count(*) >= {min_rows}"""
+    FRAGMENTS[f"{name}_moments"] = f"""
+        SELECT {", ".join("a." + c for c in keys)}, i, list(avg_ij - m[i] * m[j] ORDER BY j) AS row, any_value(m) AS m, any_value(n) AS n FROM (
+          SELECT {k}, CAST(i AS INT) AS i, CAST(j AS INT) AS j, avg(z[i] * z[j]) AS avg_ij
+          FROM (SELECT {k}, list_concat(x, y) AS z FROM {pairs}) q, generate_series(1, {features}) gi(i), generate_series(1, {size}) gj(j)
+          GROUP BY {k}, i, j) a JOIN {name}_means b ON {on} GROUP BY {", ".join("a." + c for c in keys)}, i"""
+    FRAGMENTS[f"{name}_spread"] = f"""
+        SELECT {k}, any_value(m) AS m, any_value(n) AS n, list(row ORDER BY i) AS c,
+               list((CASE WHEN sqrt(greatest(row[i], 0)) > 1e-9 * greatest(1.0, abs(m[i])) THEN sqrt(row[i]) ELSE 'inf'::DOUBLE END) ORDER BY i) AS sd
+        FROM {name}_moments GROUP BY {k}"""
+    FRAGMENTS[f"{name}_steps"] = f"""
+        SELECT {k}, 0 AS step, m, sd, list_transform(c, lambda r, i: list_transform(r, lambda v, j: CASE WHEN j <= {features}
+                 THEN v / (sd[i] * sd[j]) + CASE WHEN i = j THEN {ridge} / n ELSE 0 END ELSE v / sd[i] END)) AS a FROM {name}_spread
+        UNION ALL
+        SELECT {k}, step + 1, m, sd, list_transform(a, lambda r, i: CASE WHEN i = step + 1 THEN list_transform(r, lambda v: v / r[step + 1])
+                 ELSE list_transform(r, lambda v, j: v - r[step + 1] * a[step + 1][j] / a[step + 1][step + 1]) END)
+        FROM {name}_steps WHERE step < {features}"""
+    FRAGMENTS[f"{name}_weights"] = f"""
+        SELECT {k}, list_transform(w, lambda u, t: m[{features} + t] - list_sum(list_transform(u, lambda v, i: v * m[i]))) AS b, w FROM (
+          SELECT {k}, m, list_transform(range(1, {targets + 1}), lambda t: list_transform(a, lambda r, i: r[{features} + t] / sd[i])) AS w
+          FROM {name}_steps WHERE step = {features}) q"""
+
+
 # ---- sinks
 
 FRAGMENTS["latest_power"] = f"""
@@ -369,34 +407,100 @@ def _filled(t: Tables):
     return profiles.filled_days(slots.load_series(t.energy), slots.TARGET).select("ClientId", "bin", slots.TARGET)
 
 
-@check()
+FRAGMENTS["slot_rows"] = f"""
+    SELECT * FROM (
+      SELECT ClientId, strftime(bin, '%H:%M:%S') AS slot, bin, {", ".join(f"lag(v, {k}) OVER w AS lag_{k}" for k in range(1, 11))}, v
+      FROM profile_values WINDOW w AS (PARTITION BY ClientId, strftime(bin, '%H:%M:%S') ORDER BY bin)) q"""
+FRAGMENTS["slot_pairs"] = f"""
+    SELECT ClientId, slot, bin, [{", ".join(f"lag_{k}" for k in range(1, 11))}, month(bin)::DOUBLE, isodow(bin)::DOUBLE,
+           (CASE WHEN isodow(bin) >= 6 THEN 1 ELSE 0 END)::DOUBLE, {season_sql("month(bin)")}::DOUBLE] AS x, [v] AS y
+    FROM slot_rows WHERE lag_10 IS NOT NULL"""
+ridge_sql("slot", "slot_pairs", ["ClientId", "slot"], 14, 1, 10.0, filters.MIN_HISTORY["slot_model"])
+FRAGMENTS["slot_days"] = "SELECT ClientId, CAST(max(bin) AS DATE) + 1 AS d FROM profile_values GROUP BY 1"
+FRAGMENTS["slot_ahead"] = f"""
+    SELECT c.ClientId, s.slot, d.d, coalesce(round(p.v, 9), 0) AS v FROM (SELECT DISTINCT ClientId FROM profile_values) c
+    JOIN slot_days d ON d.ClientId = c.ClientId
+    CROSS JOIN (SELECT strftime(TIMESTAMP '2024-01-01' + to_minutes(15 * CAST(i AS INT)), '%H:%M:%S') AS slot FROM generate_series(0, 95) g(i)) s
+    LEFT JOIN (
+      SELECT r.ClientId, r.slot, m.b[1] + list_sum(list_transform(list_zip(m.w[1], [r.v, {", ".join(f"r.lag_{k}" for k in range(1, 10))}, month(d.d)::DOUBLE,
+        isodow(d.d)::DOUBLE, (CASE WHEN isodow(d.d) >= 6 THEN 1 ELSE 0 END)::DOUBLE, {season_sql("month(d.d)")}::DOUBLE]), lambda z: z[1] * z[2])) AS v
+      FROM (SELECT * FROM slot_rows QUALIFY row_number() OVER (PARTITION BY ClientId, slot ORDER BY bin DESC) = 1) r
+      JOIN slot_days d ON d.ClientId = r.ClientId JOIN slot_weights m ON m.ClientId = r.ClientId AND m.slot = r.slot
+    ) p ON p.ClientId = c.ClientId AND p.slot = s.slot"""
+FRAGMENTS["slot_forecast"] = """
+    SELECT ClientId, CAST(CAST(d AS VARCHAR) || ' ' || slot AS TIMESTAMP) AS Time, v FROM slot_ahead
+    UNION ALL
+    SELECT ClientId, CAST(CAST(d + 1 AS VARCHAR) || ' ' || slot AS TIMESTAMP), v FROM slot_ahead WHERE slot IN ('00:15:00', '00:30:00', '00:45:00', '01:00:00')"""
+
+
+@check("SELECT ClientId, Time, round(v, 3) AS Predicted FROM slot_forecast")
 def forecast_by_slot(t: Tables):
-    return slots.forecast(_filled(t))
+    return rounded(slots.forecast(_filled(t)), 3)
+
+
+# every site's clusters by the same draws and rounds as the operator's
+FRAGMENTS["profile_scale"] = """
+    SELECT ClientId, list(m ORDER BY slot) AS ms, list(s ORDER BY slot) AS ss FROM (
+      SELECT ClientId, slot, avg(v) AS m, stddev_pop(v) AS s FROM profile_slots GROUP BY 1, 2) q
+    WHERE ClientId IN (SELECT ClientId FROM profile_slots GROUP BY 1 HAVING count(DISTINCT Date) >= 10) GROUP BY 1"""
+FRAGMENTS["profile_points"] = """
+    SELECT p.ClientId, Date, list((CASE WHEN ss[slot + 1] = 0 THEN v - ms[slot + 1] ELSE (v - ms[slot + 1]) / ss[slot + 1] END) ORDER BY slot) AS f
+    FROM profile_slots p JOIN profile_scale s ON s.ClientId = p.ClientId GROUP BY 1, 2"""
+FRAGMENTS["profile_starts"] = """
+    SELECT ClientId, Date, f, 0 AS j, CAST(1.0 AS DOUBLE) AS d2, CAST(NULL AS DOUBLE[]) AS c FROM profile_points
+    UNION ALL
+    SELECT ClientId, Date, f, j + 1, CASE WHEN j = 0 THEN list_distance(f, nxt) ** 2 ELSE least(d2, list_distance(f, nxt) ** 2) END, nxt
+    FROM (SELECT *, arg_max(f, score) OVER (PARTITION BY ClientId) AS nxt FROM (
+      SELECT *, CASE WHEN d2 > 0 THEN ln((('0x' || substr(md5(concat(ClientId, ':', Date, ':', j)), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296) / d2 END AS score
+      FROM profile_starts WHERE j < 10) a) b"""
+FRAGMENTS["profile_rounds"] = """
+    SELECT 0 AS i, ClientId, j - 1 AS cluster, any_value(c) AS c FROM profile_starts WHERE j > 0 AND c IS NOT NULL GROUP BY ClientId, j
+    UNION ALL
+    SELECT i + 1, ClientId, cluster, CASE WHEN len(own) > 0 THEN list_transform(range(1, 101), lambda k: list_avg(list_transform(own, lambda m: m[k]))) ELSE c END
+    FROM (SELECT i, ClientId, cluster, any_value(c) AS c, coalesce(list(f ORDER BY Date) FILTER (nearest = 1), []) AS own FROM (
+      SELECT r.*, p.Date, p.f, row_number() OVER (PARTITION BY p.ClientId, p.Date ORDER BY list_distance(p.f, r.c), r.cluster) AS nearest
+      FROM profile_rounds r JOIN profile_points p ON p.ClientId = r.ClientId WHERE i < 20) a GROUP BY i, ClientId, cluster) b"""
+FRAGMENTS["profile_centres"] = "SELECT ClientId, cluster, c FROM profile_rounds WHERE i = 20"
+FRAGMENTS["hybrid_rows"] = """
+    SELECT d.ClientId, CAST(d.d AS TIMESTAMP) + to_minutes(15 * CAST(k - 1 AS INT)) AS Time, vs[k] AS p,
+           (vs[k] + c[k] * CASE WHEN ss[k] = 0 THEN 1 ELSE ss[k] END + ms[k]) / 2 AS b
+    FROM (
+      SELECT a.ClientId, a.d, vs, ms, ss, c FROM (
+        SELECT ClientId, d, list_concat(list(v ORDER BY slot), list(v ORDER BY slot)[2:5]) AS vs FROM slot_ahead GROUP BY 1, 2) a
+      JOIN profile_scale s ON s.ClientId = a.ClientId JOIN profile_centres z ON z.ClientId = a.ClientId
+      QUALIFY row_number() OVER (PARTITION BY a.ClientId ORDER BY list_distance(list_transform(range(1, 101),
+        lambda k: CASE WHEN ss[k] = 0 THEN vs[k] - ms[k] ELSE (vs[k] - ms[k]) / ss[k] END), c), cluster) = 1) d, generate_series(1, 100) g(k)"""
 
 
-@check()
+@check("""
+    SELECT ClientId, Date, cluster FROM (
+      SELECT p.ClientId, Date, CAST(cluster AS INT) AS cluster, row_number() OVER (PARTITION BY p.ClientId, Date ORDER BY list_distance(f, c), cluster) AS n
+      FROM profile_points p JOIN profile_centres z ON z.ClientId = p.ClientId) q WHERE n = 1""")
 def cluster_day_profiles(t: Tables):
     filled = profiles.filled_days(slots.load_series(t.energy), slots.TARGET)
-    days, _, _ = profiles.cluster(profiles.profiles(filled, slots.TARGET))
+    days, _, _ = profiles.cluster_by_site(profiles.profiles(filled, slots.TARGET))
     return days.select("ClientId", F.col("Date").cast("string").alias("Date"), "cluster")
 
 
-@check()
+@check("""
+    SELECT ClientId, Time, round(p, 2) AS lstm_predictions, round(b, 2) AS hybrid_predictions FROM hybrid_rows""")
 def hybrid_forecast(t: Tables):
     series = stored(_filled(t), "filled-series")
     ahead = stored(slots.forecast(series), "slot-forecast")
     days = profiles.profiles(series, slots.TARGET)
-    _, scaler, model = profiles.cluster(days)
-    return profiles.hybrid_forecast(ahead, scaler, model)
+    _, scaler, centres = profiles.cluster_by_site(days)
+    return rounded(profiles.hybrid_forecast(ahead, scaler, centres), 2)
 
 
-@check()
+@check("""
+    SELECT ClientId, date_trunc('hour', Time) AS bin, round(avg(p), 2) AS lstm_predictions, round(avg(b), 2) AS hybrid_predictions
+    FROM hybrid_rows GROUP BY 1, 2""")
 def hybrid_forecast_hourly(t: Tables):
     series = stored(_filled(t), "filled-series")
     ahead = stored(slots.forecast(series), "slot-forecast")
     days = profiles.profiles(series, slots.TARGET)
-    _, scaler, model = profiles.cluster(days)
-    return profiles.hourly(profiles.hybrid_forecast(ahead, scaler, model))
+    _, scaler, centres = profiles.cluster_by_site(days)
+    return rounded(profiles.hourly(profiles.hybrid_forecast(ahead, scaler, centres)), 2)
 
 
 @check()

@@ -195,20 +195,22 @@ def sql(body: str) -> str:
     """A query text with the views and fragments it mentions, directly or not, in front of it."""
     needed: list[str] = []
 
-    def visit(text: str) -> None:
+    def visit(text: str, own: str = "") -> None:
         for name, definition in FRAGMENTS.items():
-            if name not in needed and re.search(rf"\b{name}\b", text):
-                visit(definition)
+            if name not in (own, *needed) and re.search(rf"\b{name}\b", text):
+                visit(definition, name)
                 if name not in needed:
                     needed.append(name)
 
     visit(body)
+    # a fragment that names itself is a recursive one
+    recursive = any(re.search(rf"\b{n}\b", FRAGMENTS[n]) for n in needed)
     parts = [f"{name} AS ({FRAGMENTS[name]})" for name in needed]
     body = body.strip()
     for start in ("WITH RECURSIVE ", "WITH "):
         if body.upper().startswith(start):
-            return start + ",\n".join([*parts, body[len(start) :]])
-    return (f"WITH {', '.join(parts)}\n" if parts else "") + body
+            return ("WITH RECURSIVE " if recursive else start) + ",\n".join([*parts, body[len(start) :]])
+    return (f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)}\n" if parts else "") + body
 
 
 def check(oracle: str | None = None):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
-from wattloom.operators import filters, joins, ordered, transforms
+from wattloom.operators import clustering, filters, joins, ordered, transforms
 from wattloom.session import stored
 
 # Fixed values.
@@ -69,6 +69,18 @@ def cluster(days: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> tuple[DataF
     return model.transform(points).select(*KEY, "Date", "profile", "cluster"), scaler, model
 
 
+def cluster_by_site(days: DataFrame, k: int = CLUSTERS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Days with their ``cluster``, the scaler table and the centroids ``(ClientId, cluster, centroid)``: k-means of each site.
+
+    Sites with fewer than ten full days are left out.
+    """
+    enough = filters.with_min_history(days, KEY, MIN_DAYS)
+    scaler = stored(fit_scaler(enough), "profile-scaler")
+    points = stored(enough.join(scaler, KEY).withColumn("features", _scaled(F.col("profile"))).select(*KEY, "Date", "profile", "features"), "profile-points")
+    centres = stored(clustering.fit(points, KEY[0], "Date", "features", k), "profile-centres")
+    return clustering.assign(points, centres, KEY[0], "features").select(*KEY, "Date", "profile", "cluster"), scaler, centres
+
+
 def centroids(model: KMeansModel, like: DataFrame) -> DataFrame:
     """``(cluster, centroid)``; one row per cluster."""
     rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
@@ -78,10 +90,14 @@ def centroids(model: KMeansModel, like: DataFrame) -> DataFrame:
 def blend(assigned: DataFrame, centres: DataFrame) -> DataFrame:
     """``(ClientId, Time, lstm_predictions, hybrid_predictions)``: the mean of forecast and centroid per slot.
 
-    Input: forecast days with ``profile``, ``cluster`` and the site's ``means`` and ``stds``.
+    Input: forecast days with ``profile``, ``cluster`` and the site's ``means`` and ``stds``. Centres are those of each site, or
+    shared ones without ``ClientId``.
     """
-    # one row per cluster: its number is fixed when the model is fitted
-    joined = assigned.join(F.broadcast(centres), "cluster")
+    if "ClientId" in centres.columns:
+        joined = assigned.join(centres, [*KEY, "cluster"])
+    else:
+        # one row per cluster: its number is fixed when the model is fitted
+        joined = assigned.join(F.broadcast(centres), "cluster")
     hybrid = val.mean_of_arrays(F.col("profile"), _unscaled(F.col("centroid")))
     pairs = F.zip_with("profile", hybrid, lambda p, b: F.struct(p.alias("p"), b.alias("b")))
     start = F.col("Date").cast("timestamp_ntz")
@@ -93,9 +109,15 @@ def blend(assigned: DataFrame, centres: DataFrame) -> DataFrame:
     )
 
 
-def hybrid_forecast(forecast: DataFrame, scaler: DataFrame, model: KMeansModel, value: str = "Predicted") -> DataFrame:
-    """Assign each forecast day to a cluster and average it with the centroid in the site's units."""
+def hybrid_forecast(forecast: DataFrame, scaler: DataFrame, model: KMeansModel | DataFrame, value: str = "Predicted") -> DataFrame:
+    """Assign each forecast day to a cluster and average it with the centroid in the site's units.
+
+    ``model``: each site's centroids, or a model shared by all sites.
+    """
     days = profiles(forecast.withColumnRenamed("Time", "bin"), value)
+    if isinstance(model, DataFrame):
+        points = days.join(scaler, KEY).withColumn("features", _scaled(F.col("profile")))
+        return blend(clustering.assign(points, model, KEY[0], "features"), model)
     assigned = model.transform(scaled(days, scaler))
     return blend(assigned, centroids(model, forecast))
 
