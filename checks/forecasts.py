@@ -540,9 +540,35 @@ def forecast_daily_pv(t: Tables):
 
 @check()
 def hyperparameter_sweep(t: Tables):
-    """Five-minute bins: thirty days of quarter hours have no 3840 rows to judge on besides those to learn from."""
+    """Hyperband in five-minute bins: thirty days of quarter hours have no 3840 rows to judge on besides those to learn from."""
     series = load_daily.energy_series(t.energy, CUTOFF, tie=("event_id",), width=5)
-    return sweep.sweep(series, TARGET)
+    return sweep.hyperband(series, TARGET)
+
+
+FRAGMENTS["rung_losses"] = """
+    SELECT CAST(o_custkey % 17 AS INT) AS trial, CAST(o_orderkey % 3 AS INT) AS rung, round(avg(o_totalprice), 4) AS loss FROM orders GROUP BY 1, 2"""
+FRAGMENTS["rung_0"] = """
+    SELECT *, row_number() OVER (PARTITION BY bracket ORDER BY loss, trial) AS place FROM (
+      SELECT *, CASE WHEN trial < 9 THEN 2 WHEN trial < 14 THEN 1 ELSE 0 END AS bracket FROM rung_losses WHERE rung = 0) q"""
+FRAGMENTS["rung_1"] = """
+    SELECT l.*, r.bracket, row_number() OVER (PARTITION BY r.bracket ORDER BY l.loss, l.trial) AS place FROM rung_losses l
+    JOIN rung_0 r ON r.trial = l.trial AND r.place <= CASE r.bracket WHEN 2 THEN 3 WHEN 1 THEN 1 ELSE 0 END WHERE l.rung = 1"""
+
+
+@check("""
+    SELECT trial, bracket, rung, CASE bracket WHEN 2 THEN 15 / 9.0 WHEN 1 THEN 5.0 ELSE 15.0 END::DOUBLE AS budget, loss,
+           place <= CASE bracket WHEN 2 THEN 3 WHEN 1 THEN 1 ELSE 0 END AS survived FROM rung_0
+    UNION ALL
+    SELECT trial, bracket, rung, CASE bracket WHEN 2 THEN 5.0 ELSE 15.0 END::DOUBLE, loss, place <= CASE bracket WHEN 2 THEN 1 ELSE 0 END FROM rung_1
+    UNION ALL
+    SELECT l.trial, r.bracket, l.rung, 15.0::DOUBLE, l.loss, false FROM rung_losses l JOIN rung_1 r ON r.trial = l.trial AND r.bracket = 2 AND r.place = 1 WHERE l.rung = 2""")
+def sweep_survivors(t: Tables):
+    """The brackets over losses that orders give to each trial and rung."""
+    kind = [(F.col("o_custkey") % 17).cast("int").alias("trial"), (F.col("o_orderkey") % 3).cast("int").alias("rung")]
+    losses = stored(t.raw("orders").groupBy(*kind).agg(F.round(F.avg("o_totalprice"), 4).alias("loss")), "rung-losses")
+    plan = sweep.rungs()
+    found = sweep.halving(t.spark, sweep.draws(plan), lambda _, rung: losses.where(F.col("rung") == rung).drop("rung"), plan, "loss")
+    return found.select("trial", "bracket", "rung", "budget", "loss", "survived")
 
 
 @check()
