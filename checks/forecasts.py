@@ -397,9 +397,26 @@ def forecast_hourly_direct(t: Tables):
     return load_hourly.forecast(t.dense_energy, t.dense_measurements, NOW)
 
 
-@check()
+_READING_LAGS = ", ".join(f"lag(p, {k}) OVER w AS lag_{k}" for k in range(1, 24))
+FRAGMENTS["reading_rows"] = f"""
+    SELECT ClientId, {TIME}, event_id, p, {_READING_LAGS}, {", ".join(f"lead(p, {h}) OVER w AS y_{h}" for h in range(1, 5))}
+    FROM (SELECT ClientId, event_id, {TIME}, CAST(PowerFromLoad AS DOUBLE) AS p FROM energy) e
+    WINDOW w AS (PARTITION BY ClientId ORDER BY {TIME}, event_id)"""
+FRAGMENTS["reading_inputs"] = f"""
+    SELECT ClientId, {TIME}, event_id, [p, {", ".join(f"lag_{k}" for k in range(1, 24))},
+           (hour({TIME}) * 10000 + minute({TIME}) * 100 + floor(second({TIME})))::DOUBLE, month({TIME})::DOUBLE, isodow({TIME})::DOUBLE,
+           (CASE WHEN isodow({TIME}) >= 6 THEN 1 ELSE 0 END)::DOUBLE, {season_sql(f"month({TIME})")}::DOUBLE] AS x, [y_1, y_2, y_3, y_4] AS y
+    FROM reading_rows WHERE lag_23 IS NOT NULL"""
+FRAGMENTS["reading_pairs"] = "SELECT ClientId, x, y FROM reading_inputs WHERE y[4] IS NOT NULL"
+ridge_sql("reading", "reading_pairs", ["ClientId"], 29, 4, 1.0, filters.MIN_HISTORY["slot_model"])
+
+
+@check(f"""
+    SELECT l.ClientId, CAST(h AS INT) AS h, round(b[h] + list_sum(list_transform(list_zip(w[h], x), lambda z: z[1] * z[2])), 2) AS LoadPower
+    FROM (SELECT * FROM reading_inputs QUALIFY row_number() OVER (PARTITION BY ClientId ORDER BY {TIME} DESC, event_id DESC) = 1) l
+    JOIN reading_weights m ON m.ClientId = l.ClientId, generate_series(1, 4) g(h)""")
 def forecast_hourly_sequence(t: Tables):
-    return load_hourly.forecast_from_readings(t.energy, tie=("event_id",))
+    return rounded(load_hourly.forecast_from_readings(t.energy, tie=("event_id",)), 2)
 
 
 def _filled(t: Tables):
@@ -503,9 +520,40 @@ def hybrid_forecast_hourly(t: Tables):
     return rounded(profiles.hourly(profiles.hybrid_forecast(ahead, scaler, centres)), 2)
 
 
-@check()
+_DAY_X = [
+    "v", "Temperature", "Humidity", "month(bin)", "day(bin)", "hour(bin)", "sin(2 * pi() * hour(bin) / 24)", "cos(2 * pi() * hour(bin) / 24)",
+    "sin(2 * pi() * day(bin) / 30)", "cos(2 * pi() * day(bin) / 30)", *[f"lag(v, {k}) OVER w" for k in range(1, 16)], "Temperature * hour(bin)",
+    *[f"CASE WHEN isodow(bin) - 1 = {k} THEN 1 ELSE 0 END" for k in range(1, 7)], *[f"lag(v, {k}) OVER w" for k in (96, 192, 288)],
+]
+FRAGMENTS["day_inputs"] = f"""
+    SELECT ClientId, bin, [{", ".join(f"({x})::DOUBLE" for x in _DAY_X)}] AS x, list(v) OVER (PARTITION BY ClientId ORDER BY bin ROWS BETWEEN 1 FOLLOWING AND 96 FOLLOWING) AS y
+    FROM (SELECT ClientId, bin, LoadEnergyCalculated_15 AS v, Temperature, Humidity FROM joined_15m) q WINDOW w AS (PARTITION BY ClientId ORDER BY bin)"""
+FRAGMENTS["day_usable"] = "SELECT *, len(list_filter(x, lambda v: v IS NOT NULL)) = 35 AS usable FROM day_inputs"
+FRAGMENTS["day_parts"] = """
+    SELECT *, lead(is_train, 96) OVER (PARTITION BY ClientId ORDER BY bin) AS ends_in_train FROM (
+      SELECT *, count(*) FILTER (usable) OVER (PARTITION BY ClientId ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+               <= floor(0.8::DOUBLE * count(*) FILTER (usable) OVER (PARTITION BY ClientId)) AS is_train FROM day_usable) q"""
+FRAGMENTS["day_pairs"] = "SELECT ClientId, x, y FROM day_parts WHERE usable AND ends_in_train AND len(list_filter(y, lambda v: v IS NOT NULL)) = 96"
+ridge_sql("day", "day_pairs", ["ClientId"], 35, 96, 1.0, filters.MIN_HISTORY["daily_load"])
+FRAGMENTS["day_steps_ahead"] = """
+    SELECT l.ClientId, bin + to_minutes(15 * CAST(h AS INT)) AS Timestamp,
+           round(b[least(h, 96)] + list_sum(list_transform(list_zip(w[least(h, 96)], x), lambda z: z[1] * z[2])), 2) AS LoadEnergyForecast_15
+    FROM (SELECT * FROM day_usable WHERE usable QUALIFY row_number() OVER (PARTITION BY ClientId ORDER BY bin DESC) = 1) l
+    JOIN day_weights m ON m.ClientId = l.ClientId, generate_series(1, 100) g(h)"""
+FRAGMENTS["day_scores"] = """
+    SELECT d.ClientId, y[h] AS y, b[h] + list_sum(list_transform(list_zip(w[h], x), lambda z: z[1] * z[2])) AS p
+    FROM day_parts d JOIN day_weights m ON m.ClientId = d.ClientId, generate_series(1, 96) g(h)
+    WHERE usable AND NOT is_train AND len(y) = 96 AND y[h] IS NOT NULL"""
+_RUN_SQL = """avg(abs(y - p)) AS MAE, sqrt(avg((y - p) * (y - p))) AS RMSE, avg(100 * abs(y - p) / (abs(y) + abs(p) + 1e-8)) AS SMAPE_percent,
+           100 * sum(abs(y - p)) / (sum(abs(y)) + 1e-8) AS WMAPE_percent"""
+FRAGMENTS["day_errors"] = f"""
+    SELECT ClientId, {_RUN_SQL}, avg((y - p) * (y - p)) AS MSE, 1 - sum((y - p) * (y - p)) / nullif(var_pop(y) * count(y), 0) AS R2,
+           avg(CASE WHEN abs(y - p) <= 1 THEN (y - p) * (y - p) / 2 ELSE abs(y - p) - 0.5 END) AS Huber FROM day_scores GROUP BY 1"""
+
+
+@check("SELECT * FROM day_steps_ahead")
 def forecast_daily_load(t: Tables):
-    return load_daily.forecast(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
+    return rounded(load_daily.forecast(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",)), 2)
 
 
 def _daily_table(t: Tables):
@@ -513,13 +561,18 @@ def _daily_table(t: Tables):
     return stored(load_daily.split(table), "daily-load-features")
 
 
-@check()
+@check(f"SELECT ClientId, {', '.join(f'round({c}, 2) AS {c}' for c in metrics.ALL)} FROM day_errors")
 def evaluate_daily_load(t: Tables):
     table = _daily_table(t)
-    return load_daily.evaluate(table, stored(load_daily.train(table), "daily-load-models"))
+    return rounded(load_daily.evaluate(table, stored(load_daily.train(table), "daily-load-models")), 2)
 
 
-@check()
+@check(f"""
+    SELECT e.ClientId, TrainEnd, {', '.join(f'round({c}, 4) AS {c}' for c in metrics.RUN_ERRORS)}, n_rows_total, n_train_rows, n_test_rows, was_in_use
+    FROM day_errors e JOIN (
+      SELECT ClientId, CAST(count(*) AS INT) AS n_rows_total, CAST(count(*) FILTER (is_train) AS INT) AS n_train_rows,
+             CAST(count(*) FILTER (NOT is_train) AS INT) AS n_test_rows FROM day_parts WHERE usable GROUP BY 1) c ON c.ClientId = e.ClientId
+    CROSS JOIN (VALUES ('2024-01-31T00:01:00', true), ('2024-02-01T00:01:00', false)) r(TrainEnd, was_in_use)""")
 def retrain_daily_load(t: Tables):
     """Two runs: the first has no rival, the second is no better than the first."""
     table, history = _daily_table(t), work_path(t.spark, "run-history")
@@ -529,7 +582,7 @@ def retrain_daily_load(t: Tables):
     active = stored(active, "active-models")
     runs, _ = load_daily.retrain(table, readers.read_runs(t.spark, history), active, "2024-02-01T00:01:00")
     sinks.append_run_metrics(runs, history)
-    return readers.read_runs(t.spark, history).select(names)
+    return rounded(readers.read_runs(t.spark, history).select(names), 4)
 
 
 @check()
@@ -571,14 +624,14 @@ def sweep_survivors(t: Tables):
     return found.select("trial", "bracket", "rung", "budget", "loss", "survived")
 
 
-@check()
+@check("SELECT * FROM day_steps_ahead")
 def batch_score(t: Tables):
     table, path = _daily_table(t), work_path(t.spark, "models")
     saved_models.save(load_daily.train(table), path)
-    return saved_models.score(t.spark, path, table)
+    return rounded(saved_models.score(t.spark, path, table), 2)
 
 
-@check()
+@check("SELECT * FROM day_steps_ahead")
 def batch_score_records(t: Tables):
     """The same forecast, from energy and weather that arrive as JSON records."""
     models, energy, sky = (work_path(t.spark, n) for n in ("models", "energy-json", "weather-json"))
@@ -588,4 +641,4 @@ def batch_score_records(t: Tables):
     columns.select_rename(t.energy, lower).write.option("timestampNTZFormat", micros).json(energy)
     lower = {"ClientId": "clientId", "Time": "time", "Temperature": "temperature", "Humidity": "humidity"}
     columns.select_rename(t.measurements, lower).write.option("timestampNTZFormat", micros).json(sky)
-    return saved_models.score_records(t.spark, models, energy, sky, cutoff=CUTOFF)
+    return rounded(saved_models.score_records(t.spark, models, energy, sky, cutoff=CUTOFF), 2)
