@@ -2,11 +2,10 @@
 
 Two sizes of input are told apart:
 
-* **Raw readings** have no bound per site; one site may own a third of them, and they may crowd into any hour. These
-  operators never gather a site: rows are split by site and second, which the clock's microseconds bound, since site and
-  instant identify a reading. What crosses a second's border (a count, a last value) is summed up by second and then by
-  hour, and joined back. Where a fixed number of neighbours is needed, rows are cut into equal blocks with
-  copied edges. Pass the instant's column as ``ts``.
+* **Raw readings** have no bound per site; one site may own a third of them, and they may crowd into any second. These
+  operators never gather a site: rows are dealt once to ranges of site and order, sorted there and stored with a running number.
+  What crosses a range's border (a count, a last value) is one row per site and range, carried over the ranges before and joined back.
+  Where a fixed number of neighbours is needed, rows are cut into equal blocks with copied edges. Pass the instant's column as ``ts``.
 * **Series** on the 15-minute grid hold at most 35 040 rows per site and year whatever the reading rate,
   so a plain window by site is safe there. Pass ``ts=None`` for them.
 """
@@ -19,13 +18,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions import calendar as cal
+from wattloom.session import stored
 
 BLOCK_ROWS = 100_000
-PLACE = ["_hour", "_second"]
 
 
-def _placed(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumns({"_hour": cal.truncate(F.col(ts), "HOUR"), "_second": cal.truncate(F.col(ts), "SECOND")})
+def _dealt(df: DataFrame, keys: list[str], order: Sequence[str | Column]) -> DataFrame:
+    """The rows with ``_row``, ascending in the order of keys and ``order``, and ``_part``, the range they are in."""
+    by = [*keys, *order]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
+    return stored(rows, "ordered").withColumn("_part", F.shiftright("_row", 33))
 
 
 def _before(keys: list[str], order: str):
@@ -42,60 +44,36 @@ def row_ordinal(
 ) -> DataFrame:
     """0-based position of every row within its key, and optionally the row count of the key.
 
-    Rows in a second follow ``order``. Seconds are counted within their hour, hours within their key.
+    Rows are counted within their range, ranges within their key.
     """
     if ts is None:
         df = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
         return df.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))) if total else df
-    placed = _placed(df, ts)
-    seconds = placed.groupBy(*keys, *PLACE).agg(F.count(F.lit(1)).alias("_n"))
-    hours = seconds.groupBy(*keys, "_hour").agg(F.sum("_n").alias("_n"))
-    hours = hours.select(
-        *keys,
-        "_hour",
-        F.coalesce(F.sum("_n").over(_before(keys, "_hour")), F.lit(0)).alias("_hours_before"),
-        *([F.sum("_n").over(Window.partitionBy(*keys)).alias(total)] if total else []),
-    )
-    inside = F.coalesce(F.sum("_n").over(_before([*keys, "_hour"], "_second")), F.lit(0))
-    bases = seconds.select(*keys, *PLACE, inside.alias("_inside")).join(hours, [*keys, "_hour"])
-    bases = bases.withColumn("_base", F.col("_hours_before") + F.col("_inside")).drop("_hours_before", "_inside", "_hour")
-    own = Window.partitionBy(*keys, "_second").orderBy(*order)
-    joined = placed.drop("_hour").join(bases, [*keys, "_second"])
-    return joined.withColumn(name, F.col("_base") + F.row_number().over(own) - 1).drop("_second", "_base")
+    dealt = _dealt(df, keys, order)
+    parts = dealt.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = F.coalesce(F.sum("_n").over(_before(keys, "_part")), F.lit(0))
+    totals = [F.sum("_n").over(Window.partitionBy(*keys)).alias(total)] if total else []
+    bases = stored(parts.select(*keys, "_part", (earlier - F.col("_first")).alias("_base"), *totals), "ordered-bases")
+    joined = dealt.join(bases, [*keys, "_part"]).withColumn(name, F.col("_base") + F.col("_row"))
+    return joined.select(*[c for c in df.columns if c not in (name, total)], *([total] if total else []), name)
 
 
 def fill_forward(
     df: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str], ts: str | None
 ) -> DataFrame:
-    """Last known value down the rows; nulls before the first known value stay.
-
-    Readings are identified by site and instant, so the instant alone should be their ``order``: the last
-    value of a second is then found by a hash aggregate. With more columns, as ties need, rows are sorted.
-    """
+    """Last known value down the rows; nulls before the first known value stay."""
     so_far = (Window.unboundedPreceding, 0)
     if ts is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*so_far)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-    placed = _placed(df, ts)
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    lasts = {c: f"_last_{c}" for c in columns}
-    seconds = placed.groupBy(*keys, *PLACE).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(n) for c, n in lasts.items()]
-    )
-    hours = seconds.groupBy(*keys, "_hour").agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_second"))).alias(n) for n in lasts.values()]
-    )
-    carried = hours.select(
-        *keys, "_hour", *[F.last(n, ignorenulls=True).over(_before(keys, "_hour")).alias(f"{n}_hour") for n in lasts.values()]
-    )
-    inside = seconds.select(
-        *keys, *PLACE, *[F.last(n, ignorenulls=True).over(_before([*keys, "_hour"], "_second")).alias(n) for n in lasts.values()]
-    )
-    bases = inside.join(carried, [*keys, "_hour"]).select(
-        *keys, "_second", *[F.coalesce(n, f"{n}_hour").alias(f"_carry_{c}") for c, n in lasts.items()]
+    dealt = _dealt(df, keys, order)
+    parts = dealt.groupBy(*keys, "_part").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_row"))).alias(f"_last_{c}") for c in columns]
     )
-    own = Window.partitionBy(*keys, "_second").orderBy(*order).rowsBetween(*so_far)
-    filled = placed.drop("_hour").join(bases, [*keys, "_second"]).withColumns(
+    carried = [F.last(f"_last_{c}", ignorenulls=True).over(_before(keys, "_part")).alias(f"_carry_{c}") for c in columns]
+    bases = stored(parts.select(*keys, "_part", *carried), "ordered-carries")
+    own = Window.partitionBy(*keys, "_part").orderBy("_row").rowsBetween(*so_far)
+    filled = dealt.join(bases, [*keys, "_part"]).withColumns(
         {c: F.coalesce(F.last(c, ignorenulls=True).over(own), F.col(f"_carry_{c}")) for c in columns}
     )
     return filled.select(*df.columns)
