@@ -100,3 +100,46 @@ def test_hidden_is_an_attribute_of_its_own():
         assert "hidden" not in hints(rest), rest
     for rest in ("hidden", 'hidden=""', "a=1 hidden", "aria-hidden=true", "ARIA-HIDDEN='true'", 'style="color: red; display: none"'):
         assert "hidden" in hints(rest), rest
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['class="has-sidebar"', 'class="single-post comments-open"', 'class="no-js cookie-free"', 'class="page top"', 'style="display:none"', 'id=sidebar'],
+)
+def test_names_of_the_body_change_nothing(spark, field, attributes):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    plain, named = (sum(field.extract(p) == article(p) for p in ps) for ps in (pages, [p.replace("<body", f"<body {attributes}", 1) for p in pages]))
+    assert plain == named > 0.99 * len(pages)
+    inside = [p.replace("<article>", f'<div {attributes}><article class="post sidebar-left top">', 1) for p in pages[:50]]
+    assert attributes.startswith("style") or sum(field.extract(p) == article(q) for p, q in zip(inside, pages, strict=False)) == 50
+
+
+@pytest.mark.parametrize("name", ["meta-analysis", "tags", "author-quote", "top-story", "legal", "story-alert", "related-work", "comment-worthy"])
+def test_content_with_unlucky_names(field, name):
+    page = PAGE.replace("<p>Last paragraph", f'<p class="{name}">Last paragraph')
+    assert field.extract(page) == MAIN
+    assert "Last paragraph ends here." in field.extract(page.replace("article>", "div>"))
+
+
+def test_pages_without_an_article_element(spark, field):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    for wrap in ("div", "section"):
+        got = [field.extract(p.replace("article>", f"{wrap}>")) == article(p) for p in pages]
+        assert np.mean(got) > 0.95
+
+
+def test_comments_that_are_articles(field):
+    comments = '<div class="comments-area"><ol class="comment-list"><li><article class="comment"><p>I like this very much, thanks for writing it.</p></article></ol></div>'
+    assert field.extract(PAGE.replace("</article>", "</article>" + comments)) == MAIN
+
+
+def test_many_unclosed_inline_elements_take_linear_time():
+    import time
+
+    def seconds(n):
+        started = time.process_time()
+        assert len(blocks.leaf_blocks("<p>" + "<font>a <b>b</b></i>" * n + "<p>x" * n)) == n + 1
+        return time.process_time() - started
+
+    seconds(100)
+    assert seconds(40_000) < 30 * max(0.05, seconds(4_000))

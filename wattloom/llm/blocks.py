@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,6 @@ SAMPLE = 300
 # Characters of a page that the field is trained on, at most.
 LONGEST = 300_000
 ROUNDS, RATE, DECAY = 300, 0.15, 1e-5
-# Of so many pages one is also trained with its article's tag hidden.
-HIDDEN = 6
 # Blocks in one training sequence.
 SPAN = 100
 
@@ -57,6 +56,15 @@ HINTS = {
     "body": "article content post entry story main text body prose",
 }
 _HINT_OF = {w: k for k, words in HINTS.items() for w in words.split()}
+# What may stand beside a hint in one name without a change of its sense.
+_PARTS = frozenset(
+    "list box block wrapper wrap container area section group bar link links item items inner outer left right main primary secondary "
+    "unit slot panel column col row holder form button title head body content page site global the".split()
+)
+# Elements above a block, without an article around it, whose names count.
+NEAR = 5
+# Elements of running text, whose own names say little: a paragraph of class "legal" may be about law.
+_TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote li dd dt pre td th figcaption".split())
 
 _REST = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _MARKUP = re.compile(
@@ -75,12 +83,12 @@ _LIST_ITEM = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("
 
 
 class Block:
-    """A leaf block: its text, the open tags and hints above it, and how many of its characters are in links."""
+    """A leaf block: its text, the open tags and hints above it, hints of its own element alone, and its characters in links."""
 
-    __slots__ = ("text", "tags", "hints", "linked")
+    __slots__ = ("text", "tags", "hints", "linked", "own")
 
-    def __init__(self, text: str, tags: tuple[str, ...], hints: frozenset[str], linked: int):
-        self.text, self.tags, self.hints, self.linked = text, tags, hints, linked
+    def __init__(self, text: str, tags: tuple[str, ...], hints: frozenset[str], linked: int, own: frozenset[str] = frozenset()):
+        self.text, self.tags, self.hints, self.linked, self.own = text, tags, hints, linked, own
 
 
 def unseen(page: str) -> dict[int, int]:
@@ -108,10 +116,9 @@ def unseen(page: str) -> dict[int, int]:
 def leaf_blocks(page: str) -> list[Block]:
     """The page's leaf blocks in order. Markup left open, or cut off, is closed where HTML would close it."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack = _Open()
     parts: list[str] = []
     linked = 0
-    in_link = 0
     none: frozenset[str] = frozenset()
 
     def flush() -> None:
@@ -119,8 +126,7 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                hints = none.union(*(h for _, h in stack))
-                out.append(Block(text, tuple(t for t, _ in stack), hints, linked))
+                out.append(Block(text, *stack.above(), linked, stack.own()))
             parts.clear()
             linked = 0
 
@@ -128,7 +134,7 @@ def leaf_blocks(page: str) -> list[Block]:
         nonlocal linked
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
-        if in_link:
+        if stack.count["a"]:
             linked += len(text)
 
     ends = unseen(page)
@@ -153,35 +159,83 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         if m.group("close"):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if not block and stack[k][0] in BLOCK_TAGS:
-                    break
+            stack.close(tag, block)
         else:
             if block:
                 _close_before(stack, tag)
             rest = m.group("rest")
             if rest.endswith("/") and not block:
                 continue
-            stack.append((tag, _hints(rest) if rest else none))
-        in_link = sum(t == "a" for t, _ in stack)
+            # names of the whole page say nothing about a part of it
+            stack.open(tag, _hints(rest) if rest and tag not in ("html", "body") else none)
     if at < len(page):
         add(page[at:])
     flush()
     return out
 
 
-def _close_before(stack: list[tuple[str, frozenset[str]]], tag: str) -> None:
+class _Open:
+    """The open elements. Tags are counted, and those that say something of a block are listed apart, so that unclosed inline
+    elements cost nothing each time."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.count: Counter[str] = Counter()
+        self.listed: list[tuple[int, str, frozenset[str]]] = []
+
+    def open(self, tag: str, hints: frozenset[str]) -> None:
+        if hints or tag in BLOCK_TAGS or tag in _ANCESTOR:
+            self.listed.append((len(self.tags), tag, hints))
+        self.tags.append(tag)
+        self.count[tag] += 1
+
+    def cut(self, k: int) -> None:
+        self.count.subtract(self.tags[k:])
+        del self.tags[k:]
+        while self.listed and self.listed[-1][0] >= k:
+            self.listed.pop()
+
+    def close(self, tag: str, block: bool) -> None:
+        if not self.count[tag]:
+            return
+        if not block:
+            # no further down than the block-level element it is in
+            for k in range(len(self.tags) - 1, -1, -1):
+                if self.tags[k] == tag:
+                    self.cut(k)
+                    return
+                if self.tags[k] in BLOCK_TAGS:
+                    return
+            return
+        self.cut(next(i for i, t, _ in reversed(self.listed) if t == tag))
+
+    def above(self) -> tuple[tuple[str, ...], frozenset[str]]:
+        """Listed tags, and hints: of elements below the outermost article, or else of the nearest; of others only that they are comments or hidden."""
+        root = next((n for n, (_, t, _) in enumerate(self.listed) if t in ("article", "main")), len(self.listed) - 1 - NEAR)
+        found = set()
+        for n, (_, _, hints) in enumerate(self.listed):
+            found |= hints if n > root else hints & _FAR_HINTS
+        return tuple(t for _, t, _ in self.listed), frozenset(found)
+
+    def own(self) -> frozenset[str]:
+        """Hints of the innermost listed element that no other element has."""
+        if not self.listed or self.listed[-1][1] in ("article", "main"):
+            return frozenset()
+        return self.listed[-1][2].difference(*(h for _, _, h in self.listed[:-1]))
+
+
+_ANCESTOR = frozenset(ANCESTORS)
+_FAR_HINTS = frozenset(("comment", "hidden"))
+
+
+def _close_before(stack: _Open, tag: str) -> None:
     """What the start of a block-level element closes: an open paragraph, or the list item or cell before it."""
-    for k in range(len(stack) - 1, -1, -1):
-        name = stack[k][0]
+    for k, name, _ in reversed(stack.listed):
         if name == "p":
-            del stack[k:]
+            stack.cut(k)
             return
         if tag in _LIST_ITEM and (name == tag or {name, tag} <= {"dt", "dd"} or {name, tag} <= {"td", "th"}):
-            del stack[k:]
+            stack.cut(k)
             return
         if tag in _LIST_ITEM and name in _LIST_ITEM[tag]:
             return
@@ -190,11 +244,14 @@ def _close_before(stack: list[tuple[str, frozenset[str]]], tag: str) -> None:
 
 
 def _hints(rest: str) -> frozenset[str]:
+    """What the names in class, id and role hint at. A name counts if all its words are known; its last hint counts."""
     found = set()
     for m in _ATTRIBUTE.finditer(rest):
-        for word in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", m.group(1) or m.group(2) or m.group(3) or "").lower()):
-            if word in _HINT_OF:
-                found.add(_HINT_OF[word])
+        for name in (m.group(1) or m.group(2) or m.group(3) or "").split():
+            words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+            hints = [_HINT_OF[w] for w in words if w in _HINT_OF]
+            if hints and all(w in _HINT_OF or w in _PARTS for w in words):
+                found.add(hints[-1])
     if _is_hidden(rest):
         found.add("hidden")
     return frozenset(found)
@@ -215,9 +272,11 @@ def _is_hidden(rest: str) -> bool:
 _NAMES = (
     [f"in {t}" for t in ANCESTORS]
     + [f"hint {h}" for h in (*HINTS, "hidden")]
+    + [f"own {h}" for h in HINTS]
+    + ["own hint in text", "own hint in sentences"]
     + [f"words {k}" for k in range(8)]
     + [f"links {k}" for k in range(4)]
-    + ["ends", "mark ©", "digits", "upper", "short", "first", "last", "after heading", "no block above", "plain in article", "bias"]
+    + ["ends", "mark ©", "digits", "upper", "short", "first", "last", "after heading", "no block above", "bias"]
 )
 _INDEX = {n: i for i, n in enumerate(_NAMES)}
 N_FEATURES = len(_NAMES)
@@ -230,7 +289,13 @@ def active(blocks: list[Block]) -> list[list[int]]:
     for k, b in enumerate(blocks):
         text, words = b.text, b.text.count(" ") + 1
         found = {_INDEX[f"in {t}"] for t in b.tags if f"in {t}" in _INDEX}
-        found.update(_INDEX[f"hint {h}"] for h in b.hints)
+        own = b.own - {"hidden"}
+        found.update(_INDEX[f"hint {h}"] for h in b.hints - own)
+        found.update(_INDEX[f"own {h}"] for h in own)
+        if own & _CLUTTER_HINTS and _is_text(b):
+            found.add(_INDEX["own hint in text"])
+            if words > 5 and text[-1] in ".!?…。":
+                found.add(_INDEX["own hint in sentences"])
         found.add(_INDEX[f"words {min(7, words.bit_length() - 1)}"])
         share = b.linked / max(1, len(text))
         found.add(_INDEX[f"links {0 if not b.linked else 1 if share < 0.3 else 2 if share < 0.8 else 3}"])
@@ -252,8 +317,6 @@ def active(blocks: list[Block]) -> list[list[int]]:
             found.add(_INDEX["after heading"])
         if not any(t in BLOCK_TAGS and t not in ("html", "body") for t in b.tags):
             found.add(_INDEX["no block above"])
-        if _plain_in_article(b):
-            found.add(_INDEX["plain in article"])
         heading = any(t in ("h1", "h2", "h3") for t in b.tags)
         found.add(_INDEX["bias"])
         out.append(sorted(found))
@@ -264,9 +327,15 @@ _CLUTTER_ABOVE = {"nav", "header", "footer", "aside", "form", "button", "select"
 _CLUTTER_HINTS = {"advert", "menu", "side", "notice", "comment", "share", "hidden"}
 
 
+def _is_text(b: Block) -> bool:
+    """Whether the block's own element is one of running text."""
+    return bool(b.tags) and b.tags[-1] in _TEXT_TAGS
+
+
 def _plain_in_article(b: Block) -> bool:
-    """Inside an article or main element, without a sign of clutter above."""
-    return bool({"article", "main"} & set(b.tags)) and not _CLUTTER_ABOVE & set(b.tags) and not _CLUTTER_HINTS & b.hints
+    """Inside an article or main element, without a sign of clutter above; names of a sentence's own element are no sign."""
+    hints = b.hints - (b.own - {"hidden"}) if _is_text(b) and b.text[-1] in ".!?…。" else b.hints
+    return bool({"article", "main"} & set(b.tags)) and not _CLUTTER_ABOVE & set(b.tags) and not _CLUTTER_HINTS & hints
 
 
 class Field:
@@ -379,10 +448,13 @@ def _clutter(rng: np.random.Generator, texts: list[str]) -> list[Block]:
     out = []
     for _ in range(rng.integers(1, 4)):
         t = text(least, most)
-        out.append(Block(t, tags, frozenset(hints), len(t) if tags[-1] == "a" else 0))
+        # a container has the name, or the element itself
+        own = frozenset(hints) if len(tags) == 1 else frozenset()
+        out.append(Block(t, tags, frozenset(hints), len(t) if tags[-1] == "a" else 0, own))
     return out
 
 
+_UNLUCKY = sorted(_CLUTTER_HINTS - {"hidden"})
 _CONTENT = (("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("table", "tr", "td"), ("h2",), ("h3",), ("pre",), ("figure", "figcaption"), ("section", "p"), ("div",), ("dl", "dd"))
 
 
@@ -393,11 +465,11 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[list[int
     parsed = [(b, y) for b, y in parsed if y is not None]
     texts = [b.text for blocks, _ in parsed for b in blocks if " " in b.text]
     out = []
-    for n, (blocks, y) in enumerate(parsed):
+    for blocks, y in parsed:
         out.append((active(blocks), y))
         if not texts:
             continue
-        for hide in (False, True)[: 1 + (n % HIDDEN == 0)]:
+        for hide in (False, True):
             inside = blocks[[k for k, label in enumerate(y) if label][0]].tags
             above = inside[: next(i for i, t in enumerate(inside) if t in ("article", "main")) + 1]
             mixed, labels = [], []
@@ -406,8 +478,11 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[list[int
                     for c in _clutter(rng, texts):
                         # clutter stands beside the article or inside it
                         within = above if label else ("html", "body")
-                        mixed.append(Block(c.text, (*within, *c.tags), c.hints, c.linked))
+                        mixed.append(Block(c.text, (*within, *c.tags), c.hints, c.linked, c.own))
                         labels.append(0)
+                if label and _is_text(b) and b.text[-1] in ".!?…。" and rng.random() < 0.08:
+                    unlucky = frozenset((_UNLUCKY[rng.integers(len(_UNLUCKY))],))
+                    b = Block(b.text, b.tags, b.hints | unlucky, b.linked, b.own | unlucky)
                 mixed.append(b)
                 labels.append(label)
                 if label and rng.random() < 0.05:
@@ -418,7 +493,7 @@ def training_pages(pages: list[str], seed: int = 11) -> list[tuple[list[list[int
                         mixed.append(Block(" ".join(words[: rng.integers(2, 30)]), (*above, *form), frozenset(), 0))
                         labels.append(1)
             if hide:
-                mixed = [Block(b.text, tuple("div" if t in ("article", "main") else t for t in b.tags), b.hints, b.linked) for b in mixed]
+                mixed = [Block(b.text, tuple("div" if t in ("article", "main") else t for t in b.tags), b.hints, b.linked, b.own) for b in mixed]
             out.append((active(mixed), labels))
     return out
 
