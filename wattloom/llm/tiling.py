@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from heapq import heappop, heappush
 from itertools import repeat
 
 import numpy as np
@@ -48,49 +47,90 @@ def rolling(ids: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
+class _Windows:
+    """Hashes of all windows of any one length of a row of tokens, from sums of its prefixes."""
+
+    def __init__(self, ids: np.ndarray):
+        powers = np.full(len(ids) + 1, BASE, np.uint64)
+        powers[0] = 1
+        self.back = np.full(len(ids) + 1, _INVERSE, np.uint64)
+        self.back[0] = 1
+        np.cumprod(powers, out=powers)
+        np.cumprod(self.back, out=self.back)
+        self.sums = np.zeros(len(ids) + 1, np.uint64)
+        np.cumsum(ids.astype(np.uint64) * powers[:-1], out=self.sums[1:])
+        self.breaks = np.zeros(len(ids) + 1, np.int64)
+
+    def block(self, blocked: np.ndarray) -> None:
+        """Windows over blocked tokens no longer count."""
+        np.cumsum(blocked, out=self.breaks[1:])
+
+    def free(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where free windows start, and their hashes."""
+        n = len(self.sums) - length
+        if n <= 0:
+            return np.empty(0, np.int64), np.empty(0, np.uint64)
+        at = np.flatnonzero(self.breaks[length:] == self.breaks[:n])
+        return at, (self.sums[at + length] - self.sums[at]) * self.back[at]
+
+
+_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+
+
 def tile(item: np.ndarray, doc: np.ndarray, shortest: int = SHORTEST) -> list[tuple[int, int, int]]:
     """Tiles (start in item, start in document, length), longest first; ties by place in the item, then in the document.
 
-    Maximal matches are found through the rolling hashes of ``shortest`` tokens and verified token by token; a match that
-    an earlier tile has cut leaves its unmarked runs as matches of their own.
+    The greatest length at which unmarked windows of both sides agree is found by bisection, as shorter windows of a match match as well.
+    Windows of that length are then marked in order, after a check token by token. Memory is linear in both, also where words repeat:
+    the document's places of a hash are walked once a round, never paired with all those of the item.
     """
-    seeds = rolling(item, shortest)
-    order = np.argsort(seeds, kind="stable")
-    own = rolling(doc, shortest)
-    low, high = np.searchsorted(seeds[order], own, "left"), np.searchsorted(seeds[order], own, "right")
-    at = np.repeat(np.arange(len(own)), high - low)
-    if not len(at):
+    seeds, own = rolling(item, shortest), rolling(doc, shortest)
+    hit = np.flatnonzero(np.isin(own, seeds))
+    if not len(hit):
         return []
-    inner = np.arange(len(at)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-    of = order[np.repeat(low, high - low) + inner]
-    true = np.ones(len(at), bool)
-    for k in range(shortest):
-        true &= item[of + k] == doc[at + k]
-    of, at = of[true], at[true]
-    # seeds on one diagonal, one after the other, are one maximal match
-    by = np.lexsort((of, at - of))
-    of, at = of[by], at[by]
-    new = np.ones(len(of), bool)
-    new[1:] = (of[1:] != of[:-1] + 1) | (at[1:] - of[1:] != at[:-1] - of[:-1])
-    first = np.flatnonzero(new)
-    size = np.diff(np.concatenate((first, [len(of)]))) + shortest - 1
-    waiting: list[tuple[int, int, int]] = []
-    for i, j, n in zip(of[first].tolist(), at[first].tolist(), size.tolist(), strict=True):
-        heappush(waiting, (-n, i, j))
-    in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
-    tiles = []
-    while waiting:
-        n, i, j = heappop(waiting)
-        n = -n
-        marked = in_item[i : i + n] | in_doc[j : j + n]
-        if not marked.any():
-            in_item[i : i + n] = in_doc[j : j + n] = True
-            tiles.append((i, j, n))
-            continue
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], marked, [True])).astype(np.int8)))
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-            if b - a >= shortest:
-                heappush(waiting, (a - b, i + a, j + a))
+    # only what shares a seed with the item is looked at; a token that stands for a gap comes between
+    edge = np.zeros(len(doc) + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, hit + shortest, -1)
+    place = np.flatnonzero(np.cumsum(edge[:-1]))
+    gaps = np.flatnonzero(np.diff(place) > 1) + 1
+    place = np.insert(place, gaps, -1)
+    part = np.where(place >= 0, doc[place], -1)
+    in_item, in_part = np.zeros(len(item), bool), place < 0
+    item_windows, part_windows = _Windows(item), _Windows(part)
+    part_windows.block(in_part)
+    tiles: list[tuple[int, int, int]] = []
+    length = min(len(item), len(part))
+    while length >= shortest:
+        low, high = shortest - 1, length
+        while low < high:
+            middle = (low + high + 1) // 2
+            if np.isin(item_windows.free(middle)[1], part_windows.free(middle)[1]).any():
+                low = middle
+            else:
+                high = middle - 1
+        length = low
+        if length < shortest:
+            break
+        (of, hashes), (at, others) = item_windows.free(length), part_windows.free(length)
+        by = np.argsort(others, kind="stable")
+        at, others = at[by], others[by]
+        first, last = np.searchsorted(others, hashes, "left"), np.searchsorted(others, hashes, "right")
+        walked: dict[int, int] = {}
+        for i, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True):
+            if a == b or in_item[i : i + length].any():
+                continue
+            k = walked.get(a, a)
+            while k < b and (in_part[at[k] : at[k] + length].any() or not np.array_equal(item[i : i + length], part[at[k] : at[k] + length])):
+                k += 1
+            walked[a] = k
+            if k < b:
+                j = int(at[k])
+                in_item[i : i + length] = in_part[j : j + length] = True
+                tiles.append((i, int(place[j]), length))
+        item_windows.block(in_item)
+        part_windows.block(in_part)
+        length -= 1
     return tiles
 
 
@@ -137,30 +177,31 @@ class Block:
         return out
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> list[list[Row]]:
-    """Items in blocks of about ``size`` bytes, dealt by a hash; each block is collected on its own. Item ids may be null."""
+def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> Iterator[list[Row]]:
+    """Items in blocks of about ``size`` bytes, dealt by a hash; one block at a time is collected. Item ids may be null."""
     known = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = -(-total // size)
     dealt = stored(known.withColumn("__block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n)))), "items")
-    parts = (dealt.where(F.col("__block") == b).orderBy("item_id", "text").select("item_id", "text").collect() for b in range(n))
-    return [part for part in parts if part]
+    for b in range(n):
+        if part := dealt.where(F.col("__block") == b).orderBy("item_id", "text").select("item_id", "text").collect():
+            yield part
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST, coverage: float = COVERAGE) -> DataFrame:
     """One row per document and test item it covers: doc_id, item_id, item_tokens, covered_tokens, coverage, tiles.
 
     Null or empty texts and items of fewer than ``shortest`` tokens cover nothing and are not covered; repeated documents
-    are reported each; without documents or items there are no rows. An item without an id cannot be named, so it is not
-    reported; ``clean`` judges by it all the same.
+    are reported each; without documents or items there are no rows. Items without an id are reported with a null one. A block's
+    rows are stored before its broadcast goes and the next block comes.
     """
-    benchmark = benchmark.where(F.col("item_id").isNotNull())
     schema = "doc_id long, item_id long, item_tokens int, covered_tokens int, tiles int"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
     for items in blocks(benchmark):
         block = docs.sparkSession.sparkContext.broadcast(Block(items, shortest))
-        found = rows.mapInArrow(_reporter(block, coverage), schema)
+        found = stored(rows.mapInArrow(_reporter(block, coverage), schema), "tiles")
+        block.destroy()
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = docs.sparkSession.createDataFrame([], schema)
