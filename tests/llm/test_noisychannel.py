@@ -111,3 +111,18 @@ def test_repeated_single_letters_and_capitals_are_seen(spark, fitted):
     docs = spark.createDataFrame([(1, "you LoOoOser"), (2, "you looooser")], "doc_id long, text string")
     a, b = (r["score"] for r in noisy.scored(docs, model, scorer).orderBy("doc_id").collect())
     assert a == b
+
+
+@pytest.mark.parametrize(
+    ("text", "word"),
+    [
+        ("you are an i d i o t.", "idiot"), ("m o r o n!", "moron"), ("(i d i o t)", "idiot"), ("what an a s s.", "ass"), ("@$$", "ass"), ("4$$", "ass"),
+        ("!d!07", "idiot"), ("iiddiioott", "idiot"), ("an IIDDIIOOTT, he", "idiot"), ('"m o r o n"', "moron"),
+    ],
+)
+def test_disguises_with_marks_and_signs(text, word):
+    plain = "you are an idiot and a moron what an ass he is the idiots and morons of that class do not last or pass at all " * 40
+    restorer = noisy.Restorer(noisy.CharacterModel(noisy.trigrams(plain)))
+    lowered = text.lower().encode()
+    odd = bool(noisy.tripled(np.frombuffer(lowered, np.uint8), np.array([0, len(lowered)]))[0])
+    assert word in restorer.words(text, odd)

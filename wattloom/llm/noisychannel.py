@@ -49,10 +49,19 @@ BORDERS = (0.2, 1.0, 2.0, float("inf"))
 
 _LOOK = "".join(re.escape(c) for c in LOOKALIKES)
 _WORD = re.compile(r"[^\W\d_]+")
-# Signs of hiding: a look-alike next to a letter, three equal letters, single letters with one spacer between.
-_HIDDEN = re.compile(rf"[^\W\d_][{_LOOK}]|[{_LOOK}][^\W\d_]|([^\W\d_])\1\1|(?<![^\W_])[^\W_](?:[{re.escape(SPACERS)}][^\W_]){{2,}}(?![^\W_])")
-_SPACED = re.compile(rf"(?<!\S)[^\W_{_LOOK}](?: [^\s]){{2,}}(?!\S)|(?<!\S)[^\s](?: [^\s]){{2,}}(?!\S)")
-_TAIL = re.compile(r"^[^\w@$+(|€£]+|(?:([^\w\s])\1{2,}|[.,;:!?)\"'»…*#&%])+$")
+# Signs of hiding: a look-alike next to a letter, three equal letters, single letters with one spacer between, look-alikes
+# alone with a sign among them that stands for a letter only, every letter twice.
+_HIDDEN = re.compile(
+    rf"[^\W\d_][{_LOOK}]|[{_LOOK}][^\W\d_]|([^\W\d_])\1\1|(?<![^\W_])[^\W_](?:[{re.escape(SPACERS)}][^\W_]){{2,}}(?![^\W_])"
+    rf"|^(?=.*[@$€£])[{_LOOK}]{{3,}}$|^(?:([^\W\d_])\2){{3,}}$"
+)
+# Marks may stand before the first and behind the last of spaced letters.
+_OPENS, _CLOSES = "([\"'«", ".,;:!?)\"'»…]"
+_SPACED = re.compile(
+    rf"(?<!\S)[{re.escape(_OPENS)}]*[^\W_{_LOOK}](?: [^\s]){{2,}}[{re.escape(_CLOSES)}]*(?!\S)"
+    rf"|(?<!\S)[{re.escape(_OPENS)}]*[^\s](?: [^\s]){{2,}}[{re.escape(_CLOSES)}]*(?!\S)"
+)
+_TAIL = re.compile(r"^(?:(?!!\w)[^\w@$+(|€£])+|(?:([^\w\s])\1{2,}|[.,;:!?)\"'»…*#&%])+$")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -131,8 +140,13 @@ def _spelled(text: tuple | None) -> str:
 
 
 def tripled(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which lower-cased texts hold a letter three times in a row: found on the bytes of all of them, at any number of bytes a letter."""
+    """Which lower-cased texts hold a letter three times in a row, or three of a-z twice each: found on the bytes of all of them, at any number of bytes a letter."""
     out = np.zeros(len(starts) - 1, bool)
+    if len(data) > 5:
+        twice = (data[1:] == data[:-1]) & (data[1:] >= 0x61) & (data[1:] <= 0x7A)
+        found = np.flatnonzero(twice[:-4] & twice[2:-2] & twice[4:])
+        row = np.searchsorted(starts, found, "right") - 1
+        out[row[found + 6 <= starts[row + 1]]] = True
     for width, low, high in ((1, 0x61, 0x7A), (2, 0xC3, 0xDF), (3, 0xE0, 0xEF), (4, 0xF0, 0xF4)):
         n = len(data) - 3 * width + 1
         if n <= 0:
@@ -183,10 +197,14 @@ class Restorer:
             else:
                 out.update(self._behind(t))
         # spaced-out letters reach over tokens
-        if b"\1\1\1" in bytes(map((1).__eq__, map(len, tokens))):
+        if b"\1\1" in bytes(map((1).__eq__, map(len, tokens))):
             for m in _SPACED.finditer(" ".join(tokens)):
-                for border in BORDERS:
-                    out.update(self.model.decode(m.group(), border).split())
+                letters = m.group().lstrip(_OPENS)
+                # marks right behind the last letter; a mark of its own may stand for a letter
+                core = letters.rstrip(_CLOSES)
+                letters = letters if core.endswith(" ") else core
+                for border in BORDERS if len(letters) > 4 else ():
+                    out.update(self.model.decode(letters, border).split())
         out.discard("")
         return out
 
