@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import in_arrow, pieces, stored
-from wattloom.llm.components import roots
+from wattloom.llm.components import roots, with_least
 
 SHINGLE = 3
 BITS = 3
@@ -182,8 +182,9 @@ def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, longes
     """
     marked = stored(fingerprints(docs, shingle), "fingerprints")
     rooted = _rooted(marked, bits, longest)
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "component_id")
+    # the fingerprint spreads the rows of a root; null firsts count as none
+    near = with_least(rooted.select("fp", "root", F.struct(F.col("first").isNull().alias("none"), "first", "fp").alias("by")), "root", "by")
+    named = near.select(F.col("fp").alias("of"), F.col("m.first").alias("component_id"))
     return marked.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
