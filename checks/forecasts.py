@@ -328,7 +328,7 @@ ISSUED = " UNION ALL ".join(
     SELECT batch_id, ClientId, Time, LoadPower FROM issued i
     WHERE NOT EXISTS (SELECT 1 FROM starts s WHERE s.ClientId = i.ClientId AND s.batch_id > i.batch_id AND s.start <= i.Time)""")
 def stream_replace_forecast(t: Tables):
-    """Three forecasts of 15 days, ten days apart, arrive one after the other."""
+    """Three forecasts of 15 days, ten days apart, arrive one after the other; what they replace is compacted in between."""
     landed, out, checkpoint = (work_path(t.spark, n) for n in ("issued", "batches", "batches-checkpoint"))
     for i, start in enumerate(STARTS):
         at = F.lit(start).cast("timestamp_ntz")
@@ -337,7 +337,9 @@ def stream_replace_forecast(t: Tables):
         )
         rows.write.mode("append").parquet(landed)
         jobs.publish_batches(jobs.read_stream(t.spark, landed, rows.schema), out, checkpoint)
-    return jobs.current_forecast(t.spark.read.parquet(out)).select("batch_id", "ClientId", "Time", "LoadPower")
+        if i < 2:
+            jobs.compact_batches(t.spark, out, rows.schema)
+    return jobs.current_forecast(jobs.read_batches(t.spark, out, rows.schema)).select("batch_id", "ClientId", "Time", "LoadPower")
 
 
 @check(f"SELECT ClientId, bin, round({TARGET}, 6) AS {TARGET} FROM load_15m")

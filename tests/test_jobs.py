@@ -149,6 +149,35 @@ class TestStreams:
             jobs.publish_batches(jobs.read_stream(spark, landed, rows.schema), out, work_path(spark, "cp"))
         assert jobs.current_forecast(spark.read.parquet(out)).count() == 2
 
+    def test_compaction_at_any_moment(self, spark, monkeypatch):
+        landed, out, checkpoint = (work_path(spark, n) for n in ("in", "out", "cp"))
+        schema = spark.createDataFrame([], FORECAST).schema
+
+        def live():
+            return sorted((r.ClientId, r.Time, r.LoadPower, r.batch_id) for r in jobs.current_forecast(jobs.read_batches(spark, out, schema)).collect())
+
+        def folders(place, name):
+            return jobs._numbered(spark, place, name, False)
+
+        assert jobs.compact_batches(spark, out, schema) is None and live() == []
+        sizes = []
+        for i in range(6):
+            rows = spark.createDataFrame([(c, t, 10 * i + k) for c in (1, 2) for k, t in enumerate(T[min(i, 2) :])], FORECAST)
+            rows.coalesce(1).write.mode("append").parquet(landed)
+            jobs.publish_batches(jobs.read_stream(spark, landed, rows.schema), out, checkpoint)
+            before = live()
+            assert jobs.compact_batches(spark, out, schema) == i
+            assert live() == before and jobs.compact_batches(spark, out, schema) is None
+            sizes.append(len(folders(out, "batch_id")))
+        assert max(sizes) <= 2 and folders(f"{out}/_states", "upto") == [4, 5]
+        # a state that was not finished does not count, and the batches before it are still there
+        rows.coalesce(1).write.mode("append").parquet(landed)
+        jobs.publish_batches(jobs.read_stream(spark, landed, rows.schema), out, checkpoint)
+        before = live()
+        jobs.current_forecast(jobs.read_batches(spark, out, schema)).limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{out}/_states/upto=6")
+        assert live() == before
+        assert jobs.compact_batches(spark, out, schema) == 6 and live() == before
+
     def test_later_forecasts_win_from_their_start(self, spark):
         issued = [(0, 1, T[0], 1), (0, 1, T[1], 2), (0, 1, T[3], 3), (0, 2, T[3], 9), (1, 1, T[2], 4), (2, 1, T[4], 5)]
         batches = spark.createDataFrame(issued, "batch_id int, ClientId int, Time timestamp_ntz, LoadPower long")
@@ -168,3 +197,13 @@ class TestStreams:
         names = ["ClientId", "bin", F.round(load_daily.TARGET, 6)]
         assert got.count() == want.count() > 0
         assert got.select(names).exceptAll(want.select(names)).isEmpty()
+
+
+def test_two_writers_never_claim_one_version(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = work_path(spark, "models")
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: sinks.claim_version(spark, root, 4), range(24)))
+    assert sorted(claimed) == list(range(5, 29))
+    assert sinks.claim_version(spark, root, 40) == 41 and sinks.claim_version(spark, root, 4, "site2-v") == 5

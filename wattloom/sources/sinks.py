@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,18 +88,46 @@ def replace_days(new: DataFrame, since: DataFrame, path: str, ts: str = "Time",
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     left = {r["day"] for r in rows.select("day").distinct().collect()}
     for day in set(days) - left:
-        place, system = _folder(spark, f"{path}/day={day}")
+        place, system = folder(spark, f"{path}/day={day}")
         system.delete(place, True)
 
 
-def _folder(spark: SparkSession, path: str):
+def claim_version(spark: SparkSession, root: str, latest: int, name: str = "v") -> int:
+    """The next free version above ``latest``, claimed for this run: two runs never get the same one.
+
+    A claim is an empty file below ``root`` that is created only if it is absent, which file systems decide atomically; who
+    comes second tries the next number.
+    """
+    version = latest + 1
+    while not _create_absent(spark, f"{root}/_claims/{name}{version}"):
+        version += 1
+    return version
+
+
+def _create_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there."""
+    place, system = folder(spark, path)
+    system.mkdirs(place.getParent())
+    jvm = spark.sparkContext._jvm
+    if system.getScheme() == "file":  # whose create() looks first and creates then
+        return jvm.java.io.File(place.toUri().getPath()).createNewFile()
+    try:
+        system.create(place, False).close()
+        return True
+    except Py4JJavaError as error:
+        if system.exists(place):
+            return False
+        raise error
+
+
+def folder(spark: SparkSession, path: str):
     """A path and its file system."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    place, system = _folder(spark, path)
+    place, system = folder(spark, path)
     return system.exists(place)
 
 

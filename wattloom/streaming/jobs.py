@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wattloom.functions import calendar as cal
 from wattloom.plans import load_daily
+from wattloom.sources import sinks
 
 # Fixed values.
 LATENESS = "10 minutes"
 
 FILES_PER_DAY = 4
+# Compacted states of a published table; a hidden folder to plain readers of the batches.
+STATES = "_states"
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -50,7 +55,10 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 
 def publish_batches(forecasts: DataFrame, path: str, checkpoint: str) -> None:
-    """Write every micro-batch of forecasts into its own folder; a repeated batch overwrites itself."""
+    """Write every micro-batch of forecasts into its own folder; a repeated batch overwrites itself.
+
+    Batches are numbered by the checkpoint: a stream that starts over without it, after a compaction, needs another path.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -64,6 +72,54 @@ def publish_batches(forecasts: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def _numbered(spark: SparkSession, path: str, name: str, complete: bool) -> list[int]:
+    """Numbers n of the folders ``<name>=<n>`` below ``path``, ascending; if asked, of those whose write has ended."""
+    place, system = sinks.folder(spark, path)
+    if not system.exists(place):
+        return []
+    found = []
+    for status in system.listStatus(place):
+        folder = status.getPath()
+        ended = not complete or system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+        if folder.getName().startswith(f"{name}=") and ended:
+            found.append(int(folder.getName().split("=")[1]))
+    return sorted(found)
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What :func:`publish_batches` wrote, with ``batch_id``: the newest compacted state, and the batches after it.
+
+    ``schema`` is that of a batch. Good at any moment of a compaction: a state counts once it is complete, and the batches it
+    stands for stay until the next one.
+    """
+    states = _numbered(spark, f"{path}/{STATES}", "upto", True)
+    newer = [b for b in _numbered(spark, path, "batch_id", True) if not states or b > states[-1]]
+    whole = StructType([*schema.fields, StructField("batch_id", LongType())])
+    parts = [spark.read.schema(whole).parquet(f"{path}/{STATES}/upto={states[-1]}")] if states else []
+    # one scan of all newer batches; their number goes back to few with each compaction
+    if newer:
+        parts.append(spark.read.schema(whole).option("basePath", path).parquet(*[f"{path}/batch_id={b}" for b in newer]))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], whole)
+
+
+def compact_batches(spark: SparkSession, path: str, schema: StructType) -> int | None:
+    """Write what is live of all batches so far as one state, and remove what the state before it stood for.
+
+    The state is named by its last batch, so a repeated run writes the same folder again. Returns that batch, or None without new batches.
+    Only one compaction of a table may run at a time.
+    """
+    states, batches = _numbered(spark, f"{path}/{STATES}", "upto", True), _numbered(spark, path, "batch_id", True)
+    if not batches or states and batches[-1] <= states[-1]:
+        return None
+    current_forecast(read_batches(spark, path, schema)).write.mode("overwrite").parquet(f"{path}/{STATES}/upto={batches[-1]}")
+    if states:
+        gone = [f"{path}/batch_id={b}" for b in batches if b <= states[-1]] + [f"{path}/{STATES}/upto={s}" for s in states[:-1]]
+        for old in gone:
+            place, system = sinks.folder(spark, old)
+            system.delete(place, True)
+    return batches[-1]
+
+
 def current_forecast(batches: DataFrame, ts: str = "Time", key: str = "ClientId") -> DataFrame:
     """What remains after each batch replaced its sites' rows from its first instant on.
 
