@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.series import KEY, TIME, VALUE, energy_series
@@ -130,9 +132,10 @@ def replace_forecast_from(t: Tables):
     root = work_path(t.spark, "replaced")
     parts = []
     for strict in (False, True):
-        rows = sinks.replace_from(old, fresh, since, strict=strict)
-        path = sinks.write_version(rows, root, f"version={int(strict)}")
-        parts.append(sinks.read_back(t.spark, path, rows).withColumn("strict", F.lit(strict)))
+        path = f"{root}/{int(strict)}"
+        sinks.land_days(old, path)
+        sinks.replace_days(fresh, since, path, strict=strict)
+        parts.append(t.spark.read.parquet(path).drop("day").withColumn("strict", F.lit(strict)))
     return sets.union_all(*parts)
 
 
@@ -219,6 +222,14 @@ def shape_load_output(t: Tables):
     return assembly.shape_load_output(assembly.hold_last(_day_ahead(t), KEY, "Timestamp", load_daily.FORECAST))
 
 
+def _published(t: Tables, old: DataFrame, ts: str, run: Callable[[str], None]) -> DataFrame:
+    """The published table after a run that brings it up to date in place."""
+    path = work_path(t.spark, "published")
+    sinks.land_days(old, path, ts)
+    run(path)
+    return t.spark.read.parquet(path).drop("day")
+
+
 @check(f"""
     WITH fresh AS (SELECT ClientId, Timestamp, LoadEnergyForecast_15 AS p FROM day_ahead_held),
     since AS (SELECT ClientId, min(Timestamp) AS since FROM fresh GROUP BY 1),
@@ -232,7 +243,8 @@ def publish_daily_load(t: Tables):
     ahead = assembly.hold_last(_day_ahead(t), KEY, "Timestamp", load_daily.FORECAST)
     old = t.energy.select("ClientId", (F.col(TIME) + F.expr("INTERVAL 5 DAYS")).alias("TimeUtc"), F.col("PowerFromLoad").alias("LSTMLoadPower"))
     old = old.withColumns({"Time": cal.to_local(F.col("TimeUtc")), "HybridLoadPower": F.lit(0).cast("long")})
-    return publish.daily_load(old, ahead).select("ClientId", "TimeUtc", "Time", "LSTMLoadPower")
+    rows = _published(t, old, "TimeUtc", lambda path: publish.publish_daily_load(ahead, path))
+    return rows.select("ClientId", "TimeUtc", "Time", "LSTMLoadPower")
 
 
 @check(f"""
@@ -240,7 +252,7 @@ def publish_daily_load(t: Tables):
     UNION ALL {HOUR_SQL}""")
 def publish_hourly_load(t: Tables):
     old = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerFromLoad").alias("LoadPower"))
-    return publish.hourly_load(old, _hour_rows(t), NOW)
+    return _published(t, old, "Time", lambda path: publish.publish_hourly_load(_hour_rows(t), path, NOW))
 
 
 WEEK_START = f"""timezone('UTC', timezone('Europe/Ljubljana',
@@ -253,7 +265,7 @@ WEEK_START = f"""timezone('UTC', timezone('Europe/Ljubljana',
 def publish_solar(t: Tables):
     old = t.energy.select("ClientId", F.col(TIME).alias("Time"), F.col("PowerToPv").alias("PVProductionPower"))
     forecast = t.measurements.select("ClientId", "Time", F.col("PowerPV").alias("SolarPower_pred"))
-    return publish.solar(old, forecast, NOW)
+    return _published(t, old, "Time", lambda path: publish.publish_solar(forecast, path, NOW))
 
 
 @check("""

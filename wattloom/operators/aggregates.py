@@ -248,8 +248,10 @@ def max_time(df: DataFrame, keys: list[str], ts: str, name: str = "max_time") ->
 
 
 def last_values(df: DataFrame, keys: list[str], ts: str, columns: Sequence[str]) -> DataFrame:
-    """Each column at the latest instant of its key."""
-    return df.groupBy(*keys).agg(*[F.max_by(c, ts).alias(c) for c in columns])
+    """The columns of one row of each key, that at the latest instant; of several at that instant the one with the largest values."""
+    row = F.struct(ts, *[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    rows = df.groupBy(*keys).agg(F.max(F.when(F.col(ts).isNotNull(), row)).alias("_last"))
+    return rows.select(*keys, *[F.col(f"_last._{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def corr_with_target(df: DataFrame, keys: list[str], features: Sequence[str], target: str) -> DataFrame:

@@ -13,6 +13,8 @@ from wattloom.sources import schemas
 
 # Fixed value.
 JDBC_BATCH = 100
+# A day of all sites is spread over so many files at most.
+FILES_OF_A_DAY = 2
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -66,6 +68,12 @@ def write_version(df: DataFrame, root: str, version: str) -> str:
     return path
 
 
+def land_days(rows: DataFrame, path: str, ts: str = "Time") -> None:
+    """A table that :func:`replace_days` keeps up to date: partitioned by ``day``, one file a day and task."""
+    by_day = rows.withColumn("day", F.to_date(ts))
+    by_day.repartition("day", F.pmod(F.xxhash64(*rows.columns), F.lit(FILES_OF_A_DAY))).write.partitionBy("day").parquet(path)
+
+
 def replace_days(new: DataFrame, since: DataFrame, path: str, ts: str = "Time", key: str = "ClientId", strict: bool = False) -> None:
     """:func:`replace_from` in a table below ``path`` that is partitioned by ``day``: only days whose rows change are rewritten.
 
