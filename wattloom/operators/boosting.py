@@ -105,8 +105,8 @@ def fit(
     columns = [*keys, "tree", "node", "feature", "cut", "left", "right", "value"]
     numbers = [F.col(c).cast("double").alias(c) for c in dict.fromkeys([*inputs, label]) if c not in order]
     used = table.na.drop("any", subset=[*inputs, label]).select(*keys, *order, *numbers)
-    # growing takes far longer than its few rows suggest, so small partitions are not to be merged
-    used = used.repartition(max(2, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
+    # growing takes far longer than its few rows suggest: many small partitions, which are not to be merged
+    used = used.repartition(max(8, 4 * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
     def run(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat(batches).sort_values([*order, *inputs, label])

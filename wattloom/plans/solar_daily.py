@@ -22,6 +22,8 @@ SEQUENCE = 24
 TREES = 200
 DEPTH = 5
 LEARNING_RATE = 0.1
+# Weather and its lags have few different values.
+BINS = 64
 
 # Rows before a serving row whose weather is looked at: the full window.
 CONTEXT_LAGS = range(1, SEQUENCE + 1)
@@ -108,7 +110,7 @@ def with_context(table: DataFrame, weather: list[str] = WEATHER) -> tuple[DataFr
 def fit(table: DataFrame, inputs: list[str], trees: int, depth: int, known: DataFrame | None = None) -> DataFrame:
     """Boosted trees, an ensemble per site; sites in ``known`` keep their stored ones."""
     return boosting.fit_or_reuse(
-        table, KEY, known, inputs=inputs, label=TARGET, order=["bin"], trees=trees, rate=LEARNING_RATE, depth=depth
+        table, KEY, known, inputs=inputs, label=TARGET, order=["bin"], trees=trees, rate=LEARNING_RATE, depth=depth, bins=BINS
     )
 
 

@@ -199,8 +199,8 @@ def rung_errors(split: DataFrame, trials: list[tuple[Trial, float]], horizon: in
         yield pd.DataFrame(out, columns=[*KEY, "trial", "n", "se", "ae", "huber"])
 
     dealt = split.select(*KEY, "bin", "v", "is_train", F.explode(F.array(*[F.lit(n) for n in wanted])).alias("seq_len"))
-    # fitting takes far longer than its few rows suggest, so small partitions are not to be merged
-    dealt = dealt.repartition(max(2, int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *KEY, "seq_len")
+    # fitting takes far longer than its few rows suggest: many small partitions, which are not to be merged
+    dealt = dealt.repartition(max(8, 4 * int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *KEY, "seq_len")
     return dealt.groupBy(*KEY, "seq_len").applyInPandas(run, "ClientId int, trial int, n long, se double, ae double, huber double")
 
 
