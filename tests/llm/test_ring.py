@@ -71,3 +71,21 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert set(placed.columns) == set(odd_documents.columns) and placed.count() == 14
     assert dict(placed.dtypes)["shard"] == "int"
     assert ring.digest(no_documents).count() == 0 and ring.shard_documents(no_documents).count() == 0
+
+
+def test_another_shard_moves_few_rows_besides_its_own():
+    cells = {c: 20 for c in range(ring.POSITIONS * ring.SALTS)}
+    total = sum(cells.values())
+
+    def placed(shards):
+        at = {}
+        for cell, low, high, shard, _ in ring.plan(cells, shards):
+            at.setdefault(cell, Counter())[shard] += high - low
+        return at
+
+    for shards in (16, 32, 64):
+        old, new = placed(shards), placed(shards + 1)
+        kept = sum((old[c] & new[c]).total() for c in cells)
+        into = sum(n[shards] for n in new.values())
+        assert total - kept - into < 0.03 * total
+        assert set(ring.nodes(shards)) < set(ring.nodes(shards + 1))

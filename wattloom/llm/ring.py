@@ -12,6 +12,7 @@ ranked within their cell, and a rank range of a cell goes to one shard.
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +37,14 @@ _SEGMENTS = T.StructType(
 )
 
 
-def nodes(shards: int, per_shard: int = NODES) -> dict[int, int]:
-    """Position to shard. A node keeps its place when shards are added; a taken place passes it to the next free one."""
-    if shards * per_shard > POSITIONS // 2:
-        per_shard = max(1, POSITIONS // 2 // shards)
-    if shards > POSITIONS:
-        raise ValueError(f"at most {POSITIONS} shards")
-    placed: dict[int, int] = {}
+def nodes(shards: int, per_shard: int = NODES) -> dict[float, int]:
+    """Place on the ring, counted in cells' positions, to shard. Places depend on the shard and node alone, so they stay when shards are added."""
+    placed: dict[float, int] = {}
     for shard in range(shards):
         for v in range(per_shard):
-            at = int.from_bytes(hashlib.md5(f"{shard}:{v}".encode()).digest()[:4], "big") % POSITIONS
+            at = int.from_bytes(hashlib.md5(f"{shard}:{v}".encode()).digest()[:8], "big") / 2**64 * POSITIONS
             while at in placed:
-                at = (at + 1) % POSITIONS
+                at = math.nextafter(at, math.inf)
             placed[at] = shard
     return placed
 
@@ -63,26 +60,26 @@ def plan(counts: dict[int, int], shards: int, per_shard: int = NODES) -> list[tu
     total = sum(counts.values())
     room = [total // shards + (s < total % shards) for s in range(shards)]
     filled = [0] * shards
-    waiting: list[list[tuple[int, int, int]]] = [[] for _ in ring]
+    waiting: dict[int, list[tuple[int, int, int]]] = {}
     for cell in sorted(counts):
-        at = _next(places, cell // SALTS)
-        waiting[at].append((cell, 0, counts[cell]))
+        waiting.setdefault(_next(places, cell // SALTS), []).append((cell, 0, counts[cell]))
     segments = []
-    while any(waiting):
-        passed: list[list[tuple[int, int, int]]] = [[] for _ in ring]
-        for i, (_, shard) in enumerate(ring):
+    while waiting:
+        passed: dict[int, list[tuple[int, int, int]]] = {}
+        for i in sorted(waiting):
+            shard = ring[i][1]
             for cell, low, high in waiting[i]:
                 taken = min(high - low, room[shard] - filled[shard])
                 if taken:
                     segments.append((cell, low, low + taken, shard, filled[shard]))
                     filled[shard] += taken
                 if low + taken < high:
-                    passed[(i + 1) % len(ring)].append((cell, low + taken, high))
+                    passed.setdefault((i + 1) % len(ring), []).append((cell, low + taken, high))
         waiting = passed
     return segments
 
 
-def _next(places: list[int], position: int) -> int:
+def _next(places: list[float], position: int) -> int:
     """Index of the first node at or after the position, clockwise."""
     low, high = 0, len(places)
     while low < high:
