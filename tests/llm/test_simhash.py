@@ -1,5 +1,7 @@
 import random
+from itertools import combinations
 
+import numpy as np
 import xxhash
 from wattloom.llm import simhash
 from wattloom.llm.components import roots
@@ -56,12 +58,56 @@ def test_links_connect_what_all_pairs_connect(spark):
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     entries = spark.createDataFrame([(v,) for v in signed], "fp long")
     want = classes(values, lambda a, b: (a ^ b).bit_count() <= 3)
-    for longest in (simhash.LIST, 3, 1):  # lists too long for a task take the way through neighbours
+    for longest in (simhash.LIST, 3, 1):  # longer lists are dealt on by two more bytes
         tree = {r["node"]: r["root"] for r in roots(simhash.links(entries, longest=longest)).collect()}
         got = [tree.get(v, v) for v in signed]
         assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want)), longest
 
 
+def test_five_shared_bytes_meet_in_a_list_that_was_dealt_on():
+    named = [set(p) for ways in simhash.DEALT for p in ways]
+    assert len(named) == 80 and {len(p) for p in named} == {5}
+    for shared in combinations(range(8), 5):
+        # in a three-byte list, and after dealing it on in one that all five name
+        assert any(set(p) <= set(shared) and set(shared) in [set(w) for w in ways] for p, ways in zip(simhash.POSTINGS, simhash.DEALT, strict=True))
+
+
+def test_flips_connect_what_a_tally_of_the_list_connects():
+    rng = random.Random(8)
+    for way, sign in ((1, 0), (7, 1)):
+        named = simhash.DEALT[7][way - 1]
+        free = [8 * p + i for p in range(8) if p not in named for i in range(8)]
+        base = rng.getrandbits(64) | sign << 63
+        values = {base ^ sum(1 << i for i in rng.sample(free, rng.randrange(0, 9))) for _ in range(300)}
+        fps = np.array(sorted(values), np.uint64)
+        found = []
+        for a, b in (simhash._forest(fps, 3, 5), simhash._forest_by_flips(fps, 7 * simhash.WAYS + way, 3)):
+            pairs = list(zip(*(np.concatenate([np.empty(0, np.uint64), *x]).tolist() for x in (a, b)), strict=True))
+            assert all((x ^ y).bit_count() <= 3 for x, y in pairs) and len(pairs) < len(fps)
+            place = {v: i for i, v in enumerate(fps.tolist())}
+            joined = {frozenset((place[x], place[y])) for x, y in pairs}
+            found.append(classes(list(range(len(fps))), lambda i, j, joined=joined: frozenset((i, j)) in joined))
+        assert found[0] == found[1] == classes(fps.tolist(), lambda x, y: (x ^ y).bit_count() <= 3)
+
+
+def test_a_list_beyond_the_limit_is_dealt_on_within_one_job(spark):
+    """A crowd that shares four bytes, in small batches: every list of it is long."""
+    rng = random.Random(3)
+    crowd = {0x7F00AA0000000000 | rng.getrandbits(20) << 8 for _ in range(3000)} | {(1 << 64) - 1 - x for x in range(50)}
+    values = sorted(crowd)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    entries = spark.createDataFrame([(v,) for v in signed], "fp long").repartition(3)
+    want = classes(values, lambda a, b: (a ^ b).bit_count() <= 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        for longest in (simhash.LIST, 100):
+            tree = {r["node"]: r["root"] for r in roots(simhash.links(entries, longest=longest)).collect()}
+            got = [tree.get(v, v) for v in signed]
+            assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want)), longest
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_dense_groups_give_no_pairs(spark):
     base = 0x0123456789ABCDEF
     near = sorted({base ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(40)})

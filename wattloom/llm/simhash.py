@@ -6,9 +6,10 @@ one half; any five shared positions hold three in one half, so such pairs meet i
 256th of all fingerprints each and could not scale). Within a list the shared positional bytes of each pair are tallied, pairs
 that reach the guaranteed minimum are retained, and their bit distance is verified.
 
-Equal fingerprints are one entry. A list of up to ``LIST`` entries is compared in blocks inside a task, which gives out a
-spanning forest of its links, never all pairs. Longer lists take an exact way that is linear in their length: two
-fingerprints within three bits share a neighbour that is at most two bits from the one and one bit from the other.
+Equal fingerprints are one entry. A list of more than ``LIST`` entries is dealt on by two more positional bytes: any five shared
+bytes that hold the three of the list hold two of the other five positions, so the pair meets again in one of ten lists, and is tallied
+there as anywhere. Such a list leaves three bytes open, which bounds it at 2 ** 24 entries. A task gives out a spanning forest of a
+list's links, never all pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import in_arrow, pieces, stored
+from wattloom.llm.common import in_arrow, stored
 from wattloom.llm.components import roots, with_least
 
 SHINGLE = 3
@@ -32,6 +33,12 @@ MATCHES = 5
 LIST = 4096
 # Three positional bytes of the lower or of the upper half.
 POSTINGS = [tuple(4 * half + p for p in c) for half in (0, 1) for c in combinations(range(4), 3)]
+# For each of these the ten ways to name two positions more.
+DEALT = [[(*p, *c) for c in combinations([q for q in range(8) if q not in p], MATCHES - len(p))] for p in POSTINGS]
+# Numbers of a list and of those it is dealt on to: ``WAYS * posting``, and the ones that follow.
+WAYS = 1 + len(DEALT[0])
+# Entries whose neighbours are looked up at once.
+FRONTIER = 64
 # A chunk of shingles whose bits are counted at once.
 CHUNK = 1 << 18
 
@@ -67,14 +74,29 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ..
     return in_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carried), step, schema)
 
 
+def _mask(positions: tuple[int, ...]) -> int:
+    """The bits of some positional bytes, as a signed long."""
+    mask = sum(0xFF << (8 * p) for p in positions)
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
 def postings(entries: DataFrame) -> DataFrame:
     """(list, part, fp): every fingerprint in the eight lists of its positional bytes."""
-    masks = [sum(0xFF << (8 * p) for p in positions) for positions in POSTINGS]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*[F.struct(F.lit(i).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(signed)])
+    parts = [F.col("fp").bitwiseAND(F.lit(_mask(p))) for p in POSTINGS]
+    keys = F.array(*[F.struct(F.lit(WAYS * i).alias("list"), part.alias("part")) for i, part in enumerate(parts)])
     return entries.select("fp", F.explode(keys).alias("k")).select("k.list", "k.part", "fp")
 
 
+def dealt_on(rows: DataFrame, longest: int = LIST) -> DataFrame:
+    """(list, part, fp) from rows that also have their list's ``count``: those of longer lists go on to the ten lists of five bytes."""
+    masks = F.array(*[F.array(*[F.lit(_mask(p)) for p in ways]) for ways in DEALT])
+    named = F.get(masks, F.expr(f"list div {WAYS}").cast("int"))
+    way = F.struct(F.col("list").alias("list"), F.col("part").alias("part"))
+    ways = F.transform(named, lambda m, j: F.struct((F.col("list") + j + 1).alias("list"), F.col("fp").bitwiseAND(m).alias("part")))
+    keyed = rows.select("fp", F.explode(F.when(F.col("count") > longest, ways).otherwise(F.array(way))).alias("k"))
+    return keyed.select("k.list", "k.part", "fp")
+
+
 def _forest(fps: np.ndarray, bits: int, matches: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Links that connect what lies within ``bits`` of each other: breadth first, each entry is reached once."""
     left = fps
@@ -96,11 +118,37 @@ def _forest(fps: np.ndarray, bits: int, matches: int) -> tuple[list[np.ndarray],
     return a, b
 
 
-def _linked_lists(bits: int, matches: int):
+def _forest_by_flips(fps: np.ndarray, list_id: int, bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """As :func:`_forest` for a list of five bytes, in time linear in its length: what lies near is looked up by flips of the open bits."""
+    named = DEALT[list_id // WAYS][list_id % WAYS - 1]
+    free = [8 * p + i for p in range(8) if p not in named for i in range(8)]
+    flips = np.array([sum(1 << i for i in c) for k in range(1, bits + 1) for c in combinations(free, k)], np.uint64)
+    fps = np.sort(fps)
+    seen = np.zeros(len(fps), bool)
+    a, b = [], []
+    for seed in range(len(fps)):
+        if seen[seed]:
+            continue
+        seen[seed] = True
+        frontier = np.array([seed])
+        while len(frontier):
+            now, frontier = frontier[:FRONTIER], frontier[FRONTIER:]
+            met = (fps[now][:, None] ^ flips).ravel()
+            at = np.minimum(np.searchsorted(fps, met), len(fps) - 1)
+            new = np.flatnonzero((fps[at] == met) & ~seen[at])
+            reached, first = np.unique(at[new], return_index=True)
+            seen[reached] = True
+            a.append(fps[now[new[first] // len(flips)]])
+            b.append(fps[reached])
+            frontier = np.concatenate((frontier, reached))
+    return a, b
+
+
+def _linked_lists(bits: int, matches: int, longest: int):
     """Batches sorted by (list, part) in, links out; a list that goes on in the next batch is carried over."""
     none = np.empty(0, np.uint64)
 
-    def links(lists: np.ndarray, parts: np.ndarray, fps: np.ndarray) -> pa.RecordBatch | None:
+    def links(lists: np.ndarray, parts: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
         cut = np.flatnonzero((lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1])) + 1
         start, end = np.concatenate(([0], cut)), np.concatenate((cut, [len(fps)]))
         two = start[end - start == 2]
@@ -108,70 +156,50 @@ def _linked_lists(bits: int, matches: int):
         near = ((apart.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= matches) & (np.bitwise_count(apart) <= bits)
         a, b = [fps[two][near]], [fps[two + 1][near]]
         for s, e in zip(start[end - start > 2], end[end - start > 2], strict=True):
-            x, y = _forest(fps[s:e], bits, matches)
+            # a list longer than that has been dealt on, so it names five bytes
+            x, y = _forest(fps[s:e], bits, matches) if e - s <= longest else _forest_by_flips(fps[s:e], int(lists[s]), bits)
             a += x
             b += y
         a, b = np.concatenate([none, *a]), np.concatenate([none, *b])
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
+    def joined(held: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists, parts, fps = (np.concatenate(x) for x in zip(*held, strict=True))
+        return lists, parts, fps.astype(np.int64).view(np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
+        held: list[list[np.ndarray]] = []  # rows of the list that may go on, after those of lists that have ended
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            if kept is not None:
-                cols = [np.concatenate(x) for x in zip(kept, cols, strict=True)]
-            lists, parts, fps = cols
-            last = np.flatnonzero((lists != lists[-1]) | (parts != parts[-1]))
-            at = last[-1] + 1 if len(last) else 0
-            kept = [c[at:] for c in cols]
-            if at:
-                yield links(lists[:at], parts[:at], fps[:at].astype(np.int64).view(np.uint64))
-        if kept is not None:
-            yield links(kept[0], kept[1], kept[2].astype(np.int64).view(np.uint64))
+            lists, parts, _ = cols
+            before = np.flatnonzero((lists != lists[-1]) | (parts != parts[-1]))
+            at = before[-1] + 1 if len(before) else 0
+            ended = at or (held and (held[-1][0][-1] != lists[-1] or held[-1][1][-1] != parts[-1]))
+            if ended:
+                yield links(*joined([*held, [c[:at] for c in cols]]))
+                held = []
+            held.append([c[at:] for c in cols])
+        if held:
+            yield links(*joined(held))
 
     return run
 
 
-def _by_neighbours(entries: DataFrame, bits: int) -> DataFrame:
-    """Links among ``entries`` (fp) through shared neighbours: as many rows as entries times a constant.
+def links(entries: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
+    """(a, b): links between distinct fingerprints, as many as connect what is connected within ``bits`` bits.
 
-    A neighbour met by one entry within ``bits // 2`` flips joins all entries within ``bits - bits // 2`` flips of it,
-    since each of them is then within ``bits`` of that entry.
+    Every list is tallied in the same job. ``longest`` decides which are dealt on first, and changes no component.
     """
-    near, far = bits // 2, bits - bits // 2
-    flips = [sum(1 << p for p in c) for k in range(far + 1) for c in combinations(range(64), k)]
-    masks, close = np.array(flips, np.uint64), np.array([f.bit_count() <= near for f in flips])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, rows=100):
-            fps = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            met = fps.view(np.uint64)[:, None] ^ masks
-            arrays = [np.repeat(fps, len(masks)), np.tile(close, len(fps)), met.view(np.int64).ravel()]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["fp", "near", "c"])
-
-    met = entries.select("fp").mapInArrow(run, "fp long, near boolean, c long")
-    met = stored(met, "neighbours")
-    middle = met.where("near").groupBy("c").agg(F.min("fp").alias("m"))
-    return met.join(middle, "c").where("fp != m").select(F.col("fp").alias("a"), F.col("m").alias("b"))
-
-
-def links(entries: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
-    """(a, b): links between distinct fingerprints, as many as connect what is connected within ``bits`` bits."""
     if bits > BITS:
         raise ValueError(f"the lists guarantee links up to {BITS} bits")
     keys = postings(entries)
     sizes = stored(keys.groupBy("list", "part").count().where("count > 1"), "list-sizes")
-    short = keys.join(sizes.where(F.col("count") <= longest), ["list", "part"]).select("list", "part", "fp")
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = short.repartition(tasks, "list", "part").sortWithinPartitions("list", "part", "fp")
-    found = ordered.mapInArrow(_linked_lists(bits, MATCHES), "a long, b long")
-    long_lists = sizes.where(F.col("count") > longest)
-    if not long_lists.isEmpty():
-        crowded = keys.join(long_lists, ["list", "part"], "left_semi").select("fp").distinct()
-        found = found.unionByName(_by_neighbours(crowded, bits))
-    return found
+    rows = dealt_on(keys.join(sizes, ["list", "part"]), longest)
+    ordered = rows.repartition(tasks, "list", "part").sortWithinPartitions("list", "part", "fp")
+    return ordered.mapInArrow(_linked_lists(bits, MATCHES, longest), "a long, b long")
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, longest: int = LIST) -> DataFrame:
