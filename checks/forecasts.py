@@ -11,7 +11,7 @@ from checks.series import KEY, TIME, VALUE, energy_series
 from checks.tables import CUTOFF, FRAGMENTS, NOW, PV_FROM, Tables, check, rounded
 from wattloom.functions import calendar as cal
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, boosting, columns, filters, metrics, ordered, sets
+from wattloom.operators import assembly, boosting, columns, filters, metrics, ordered, sets, windows
 from wattloom.plans import batch_score as saved_models
 from wattloom.plans import load_daily, load_hourly, profiles, publish, slots, solar_daily, sweep
 from wattloom.session import stored, work_path
@@ -599,6 +599,41 @@ def retrain_daily_load(t: Tables):
     return rounded(readers.read_runs(t.spark, history).select(names), 4)
 
 
+FRAGMENTS["window_rows"] = """
+    SELECT ClientId, bin, is_train, usable, list_concat(x[1:1], x[11:17], [x[7], s_1, s_2]) AS x, y[1:4] AS y,
+           lead(is_train, 4) OVER (PARTITION BY ClientId ORDER BY bin) AS ends
+    FROM (SELECT *, lag(x[7]) OVER (PARTITION BY ClientId ORDER BY bin) AS s_1, lag(x[7], 2) OVER (PARTITION BY ClientId ORDER BY bin) AS s_2
+          FROM day_parts) q"""
+FRAGMENTS["window_pairs"] = """
+    SELECT ClientId, x, y FROM window_rows WHERE ends AND len(list_filter(x, lambda v: v IS NOT NULL)) = 11 AND len(list_filter(y, lambda v: v IS NOT NULL)) = 4"""
+ridge_sql("window", "window_pairs", ["ClientId"], 11, 4, 1.0, 2)
+
+
+@check("""
+    SELECT r.ClientId, bin, CAST(h AS INT) AS h, round(y[h], 2) AS y, round(b[h] + list_sum(list_transform(list_zip(w[h], x), lambda z: z[1] * z[2])), 2) AS p
+    FROM window_rows r JOIN window_weights m ON m.ClientId = r.ClientId, generate_series(1, 4) g(h)
+    WHERE NOT is_train AND len(list_filter(x, lambda v: v IS NOT NULL)) = 11""")
+def forecast_from_short_windows(t: Tables):
+    """The regression on windows at a size that SQL can solve: eight sums and three clock values, four steps."""
+    table = _daily_table(t).withColumn("is_origin", ~F.col("is_train"))
+    inputs = {TARGET: 8, "hour_sin": 3}
+    models = stored(windows.fit(table, KEY, "bin", inputs, TARGET, 4, "is_train", tolerance=1e-13), "window-models")
+    return rounded(windows.ahead(table, models, KEY, "bin", inputs, TARGET, 4, "is_origin"), 2)
+
+
+@check()
+def forecast_daily_load_windows(t: Tables):
+    """From all 288 rows of 32 features to 96 steps; tests compare it with a dense solution."""
+    return load_daily.forecast_from_windows(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",))
+
+
+@check()
+def evaluate_daily_load_windows(t: Tables):
+    table = stored(load_daily.window_table(t.energy, t.measurements, cutoff=CUTOFF, tie=("event_id",)), "daily-load-windows")
+    models = stored(load_daily.train_windows(table), "daily-load-window-models")
+    return metrics.evaluate(load_daily.held_out_windows(table, models), KEY, "y", "p")
+
+
 @check()
 def forecast_daily_pv(t: Tables):
     served = t.weather_forecast.where(F.col("Time") >= filters.at(t.weather_forecast, "Time", NOW))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wattloom.functions import calendar as cal
 from wattloom.functions import values as val
 from wattloom.operators import aggregates as agg
-from wattloom.operators import assembly, columns, filters, joins, linear, metrics, ordered, transforms
+from wattloom.operators import assembly, columns, filters, joins, linear, metrics, ordered, transforms, windows
 from wattloom.plans import gate
 from wattloom.session import stored
 
@@ -33,6 +33,9 @@ FEATURES = [
 
 # The same quarter hour one, two and three days before: what a longer input window would show.
 DAY_LAGS = (96, 192, 288)
+# Rows of the whole input window. Its lags reach back further, to older values of the target alone.
+WINDOW = 288
+WINDOW_INPUTS = {TARGET: WINDOW + LAGS, **{f: WINDOW for f in FEATURES if not f.startswith("lag_")}}
 KEY = ["ClientId"]
 
 
@@ -256,3 +259,40 @@ def forecast(energy: DataFrame, measurements: DataFrame, **settings) -> DataFram
     table = stored(split(supervised(energy, measurements, **settings)), "daily-load-features")
     models = stored(train(table), "daily-load-models")
     return forecast_from(table, models)
+
+
+def window_table(energy: DataFrame, measurements: DataFrame, **settings) -> DataFrame:
+    """Every bin of the joined span with the columns that input windows are made of, split into training and test rows.
+
+    A window of 288 rows would be lost with any bin that has no weather, so the last known one is carried over gaps.
+    """
+    filled = ordered.fill_forward(joined_series(energy, measurements, **settings), KEY, ["bin"], ["Temperature", "Humidity"], None)
+    calendar = transforms.calendar_features(filled, "bin").withColumn("Temperature_Hour", F.col("Temperature") * F.col("Hour"))
+    table = columns.cast_numeric(transforms.one_hot_weekday(calendar, "bin"), list(WINDOW_INPUTS))
+    known = reduce(and_, [F.col(c).isNotNull() for c in WINDOW_INPUTS])
+    return split(table.select(*KEY, "bin", *WINDOW_INPUTS, known.alias("usable")))
+
+
+def train_windows(table: DataFrame, horizon: int = HORIZON, ridge: float = 1.0) -> DataFrame:
+    """One model per site and step, from all 288 rows of 32 features; sites with too little history have none."""
+    return windows.fit(table, KEY, "bin", WINDOW_INPUTS, TARGET, horizon, "is_train", ridge, filters.MIN_HISTORY["daily_load"])
+
+
+def held_out_windows(table: DataFrame, models: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """``(ClientId, bin, h, y, p)`` for the held-out origins that have all their targets."""
+    marked = ordered.neighbour_columns(table, KEY, ["bin"], {"_last": (TARGET, -horizon)}, None)
+    marked = marked.withColumn("is_origin", ~F.col("is_train") & F.col("usable") & F.col("_last").isNotNull())
+    return windows.ahead(marked, models, KEY, "bin", WINDOW_INPUTS, TARGET, horizon, "is_origin")
+
+
+def forecast_windows(table: DataFrame, models: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """96 steps after each site's last whole window, then the last value held for 4 more."""
+    steps = stored(windows.ahead(table, models, KEY, "bin", WINDOW_INPUTS, TARGET, horizon), "daily-load-steps")
+    grid = assembly.future_grid(steps, KEY, "bin", horizon)
+    return assembly.hold_last(assembly.on_future_grid(grid, steps.withColumnRenamed("p", FORECAST), KEY, FORECAST), KEY, "Timestamp", FORECAST)
+
+
+def forecast_from_windows(energy: DataFrame, measurements: DataFrame, **settings) -> DataFrame:
+    """The whole daily job from whole input windows."""
+    table = stored(window_table(energy, measurements, **settings), "daily-load-windows")
+    return forecast_windows(table, stored(train_windows(table), "daily-load-window-models"))
