@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 # Steps ahead that are solved for together.
 STEPS = 12
 # Fixed values of the solver: share of the first residual at which it stops, and rounds after which it does.
-TOLERANCE, ROUNDS = 1e-6, 400
+TOLERANCE, ROUNDS = 1e-4, 400
 # Below this a column, or a lag of it, counts as constant (units of its spread).
 FLAT = 1e-9
 
@@ -114,10 +114,11 @@ def _ahead(values: np.ndarray, first: int, last: int) -> np.ndarray:
 
 
 def _in_blocks(series: DataFrame, keys: list[str], order: str, columns: list[str], horizon: int, *more: str) -> DataFrame:
-    """The series once for each block of steps."""
+    """The series once for each block of steps, in many small partitions: solving takes far longer than the few rows suggest, so they are not to be merged."""
+    tasks = max(8, 4 * int(series.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     blocks = F.explode(F.array(*[F.lit(b) for b in range(-(-horizon // STEPS))])).alias("block")
     numbers = [F.col(c).cast("double").alias(c) for c in columns]
-    return series.select(*keys, order, *more, *numbers, blocks)
+    return series.select(*keys, order, *more, *numbers, blocks).repartition(tasks, *keys, "block")
 
 
 def fit(

@@ -36,6 +36,8 @@ DAY_LAGS = (96, 192, 288)
 # Rows of the whole input window. Its lags reach back further, to older values of the target alone.
 WINDOW = 288
 WINDOW_INPUTS = {TARGET: WINDOW + LAGS, **{f: WINDOW for f in FEATURES if not f.startswith("lag_")}}
+# There may be more inputs than rows: the penalty of one for each of them.
+WINDOW_RIDGE = float(sum(WINDOW_INPUTS.values()))
 KEY = ["ClientId"]
 
 
@@ -273,7 +275,7 @@ def window_table(energy: DataFrame, measurements: DataFrame, **settings) -> Data
     return split(table.select(*KEY, "bin", *WINDOW_INPUTS, known.alias("usable")))
 
 
-def train_windows(table: DataFrame, horizon: int = HORIZON, ridge: float = 1.0) -> DataFrame:
+def train_windows(table: DataFrame, horizon: int = HORIZON, ridge: float = WINDOW_RIDGE) -> DataFrame:
     """One model per site and step, from all 288 rows of 32 features; sites with too little history have none."""
     return windows.fit(table, KEY, "bin", WINDOW_INPUTS, TARGET, horizon, "is_train", ridge, filters.MIN_HISTORY["daily_load"])
 
