@@ -1,6 +1,9 @@
 """Boosted trees: splits against exhaustive search, scores against a plain walk, reuse of stored ensembles."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +112,77 @@ def test_nulls_go_right_and_incomplete_rows_are_not_learned_from(spark):
     assert [r["prediction"] for r in got.where("a IS NULL").collect()] == [21.0]
 
 
+def table_of(nodes):
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64()]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*nodes, strict=True), kinds, strict=True)], [c.split()[0] for c in boosting.NODE.split(", ")])
+
+
+def small_trees(count):
+    """Two cuts a tree, in the second feature and the first."""
+    for t in range(count):
+        yield t, 1, 1, (t % 7) / 7, 2, 3, 0.0
+        yield t, 3, 0, (t % 11) / 11, 6, 7, 0.0
+        for n in (2, 6, 7):
+            yield t, n, None, None, None, None, float(t % 5 + n)
+
+
+def test_memory_does_not_grow_with_rows_times_trees():
+    nodes = table_of(small_trees(4000))
+    x = np.random.default_rng(0).uniform(size=(2000, 2))
+    tracemalloc.start()
+    got = boosting._walk(x, nodes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    t = np.arange(4000)
+    ends = np.where(x[:, 1:] < t % 7 / 7, 2, np.where(x[:, :1] < t % 11 / 11, 6, 7))
+    np.testing.assert_allclose(got, (t % 5 + ends).sum(axis=1))
+    assert peak < 16e6  # one array of all pairs takes 64 MB
+
+
+def test_memory_does_not_grow_with_the_names_of_nodes():
+    """A chain of 30 cuts; the names double with each."""
+    chain = [(0, 2 ** (i + 1) - 1, 0, float(i), 2 ** (i + 2) - 2, 2 ** (i + 2) - 1, 0.0) for i in range(30)]
+    leaves = [(0, 2 ** (i + 2) - 2, None, None, None, None, float(i)) for i in range(30)]
+    got = boosting._walk(np.array([[-1.0], [0.5], [28.5], [29.5], [np.nan]]), table_of([*chain, *leaves]))
+    assert got.tolist() == [0, 1, 29, 0, 0]  # the last right child is not there
+
+
+def test_feature_out_of_the_inputs():
+    with pytest.raises(IndexError):
+        boosting._walk(np.zeros((2, 2)), table_of([(0, 1, 2, 0.5, 2, 3, 0.0), (0, 2, None, None, None, None, 1.0)]))
+
+
+@pytest.mark.parametrize("few", [(7, 5), (10**6, 5), (7, 10**6)])
+def test_trees_and_rows_are_dealt_to_groups_of_bounded_size(spark, monkeypatch, few):
+    """Keys of 1, 40 and 3 trees, one of them null, one without rows; rows that come twice stay two."""
+    monkeypatch.setattr(boosting, "PART_NODES", few[0])
+    monkeypatch.setattr(boosting, "PART_ROWS", few[1])
+    walk = boosting._walk
+
+    def bounded(x, nodes):
+        # parts are even but for chance, and a tree is not cut
+        if len(x) > 6 * few[1] or nodes.num_rows > 6 * few[0]:
+            raise AssertionError(f"{len(x)} rows meet {nodes.num_rows} nodes")
+        return walk(x, nodes)
+
+    monkeypatch.setattr(boosting, "_walk", bounded)
+    counts = {("a", 1): 1, ("a", 2): 40, (None, 1): 3, ("z", 1): 2}
+    trees = spark.createDataFrame([(*k, *n) for k, c in counts.items() for n in small_trees(c)], f"site string, h int, {boosting.NODE}")
+    rng = np.random.default_rng(1)
+    given = [(site, h, i, *rng.uniform(size=2).tolist()) for site, h in (("a", 1), ("a", 2), (None, 1), ("none", 1)) for i in range(60)]
+    given = [*given, *given[60:70], ("a", 2, 99, None, 0.4)]
+    rows = spark.createDataFrame(given, "site string, h int, i int, p double, q double")
+    scored = boosting.predict(rows, trees, ["site", "h"], ["p", "q"], "sum")
+    assert scored.columns == [*rows.columns, "sum"]
+    want = []
+    for site, h, i, p, q in given:
+        if (site, h) in counts:
+            ends = [2 if q < t % 7 / 7 else 6 if p is not None and p < t % 11 / 11 else 7 for t in range(counts[site, h])]
+            want.append((str(site), h, i, str(p), q, float(sum(t % 5 + n for t, n in enumerate(ends)))))
+    got = [(str(r["site"]), r["h"], r["i"], str(r["p"]), r["q"], r["sum"]) for r in scored.collect()]
+    assert sorted(got) == sorted(want)
+
+
 def test_only_keys_without_an_ensemble_are_fitted(spark):
     table = spark.createDataFrame(ROWS, SCHEMA)
     known = spark.createDataFrame([(1, 0, 1, None, None, None, None, 5.0)], f"ClientId int, {boosting.NODE}")

@@ -6,11 +6,16 @@ sums of gradients per node, feature and bin.
 
 An ensemble is a table of nodes: tree 0 is a single leaf with the mean; a row of an inner node names its feature (a place in the
 inputs), its cut and its children, a leaf its value. Rows whose value is below the cut go left; others, also nulls, go right.
+
+Scores are sums over trees, so neither the rows nor the nodes of a key need to be in one place: both are dealt to parts of bounded size,
+every part of the rows meets every part of the trees, and the sums of the parts are added up per row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 import numpy as np
@@ -18,14 +23,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wattloom.operators.linear import _key_types
+from wattloom.session import stored
 
 NODE = "tree int, node int, feature int, cut double, left int, right int, value double"
+NODE_COLUMNS = ["tree", "node", "feature", "cut", "left", "right", "value"]
 BINS = 256
-# Rows that are walked down all trees of an ensemble together.
-BLOCK = 2048
+# Nodes of a key, and rows of it, that meet in one group, about; a tree's nodes stay together.
+PART_NODES = 65_536
+PART_ROWS = 65_536
+# Pairs of a row and a tree that are walked together.
+PAIRS = 65_536
 
 
 def bin_edges(values: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -102,7 +111,7 @@ def fit(
 
     ``order`` fixes the order of a key's rows, so that reruns add the same numbers in the same order.
     """
-    columns = [*keys, "tree", "node", "feature", "cut", "left", "right", "value"]
+    columns = [*keys, *NODE_COLUMNS]
     numbers = [F.col(c).cast("double").alias(c) for c in dict.fromkeys([*inputs, label]) if c not in order]
     used = table.na.drop("any", subset=[*inputs, label]).select(*keys, *order, *numbers)
     # growing takes far longer than its few rows suggest: many small partitions, which are not to be merged
@@ -131,39 +140,99 @@ def fit_or_reuse(table: DataFrame, keys: list[str], known: DataFrame | None, **h
     return known.unionByName(fit(missing, keys, **how))
 
 
+def _linked(nodes: pa.Table) -> tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the trees' first nodes, the depth, and by place the feature, cut, children (left after right) and value.
+
+    What no row goes on from, a leaf or a child that is not there, is its own child; the latter is the last place, of value 0.
+    """
+    for c in ("tree", "node"):
+        if nodes[c].null_count:
+            raise ValueError(f"nodes without a {c}")
+    tree, name = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
+    order = np.lexsort((name, tree))
+    # of nodes that come twice the later one
+    last = np.append((np.diff(tree[order]) != 0) | (np.diff(name[order]) != 0), True)
+    order = order[last]
+    nodes, name = nodes.take(order), name[order].astype(np.int64)
+    numbers, rank = np.unique(tree[order], return_inverse=True)
+    ids = (rank << 32) + name
+
+    def place(ranks: np.ndarray, names: np.ndarray | int) -> np.ndarray:
+        wanted = (ranks << 32) + names
+        at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+        return np.where(ids[at] == wanted, at, len(ids))
+
+    feature = np.append(nodes["feature"].fill_null(-1).to_numpy(), -1).astype(np.intp)
+    cut, value = (np.append(nodes[c].fill_null(0.0).to_numpy(), 0.0) for c in ("cut", "value"))
+    child = np.repeat(np.arange(len(feature)), 2)
+    for side, c in enumerate(("right", "left")):
+        child[side:-2:2] = place(rank, nodes[c].fill_null(0).to_numpy().astype(np.int64))
+    inner = feature >= 0
+    child[np.repeat(~inner, 2)] = np.repeat(np.flatnonzero(~inner), 2)
+    first = place(np.arange(len(numbers)), 1)
+    depth, level = 0, first
+    while depth < len(ids) and inner[level].any():
+        level = level[inner[level]]
+        level = np.unique(np.concatenate([child[2 * level], child[2 * level + 1]]))
+        depth += 1
+    return first, depth, feature, cut, child, value
+
+
 def _walk(x: np.ndarray, nodes: pa.Table) -> np.ndarray:
     """Sums over the trees of the leaves that rows reach."""
-    tree, name = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
-    shape = (int(tree.max()) + 1, int(name.max()) + 1)
-    feature, left, right = np.full(shape, -1), np.zeros(shape, int), np.zeros(shape, int)
-    cut, value = np.zeros(shape), np.zeros(shape)
-    feature[tree, name] = nodes["feature"].fill_null(-1).to_numpy()
-    left[tree, name], right[tree, name] = nodes["left"].fill_null(0).to_numpy(), nodes["right"].fill_null(0).to_numpy()
-    cut[tree, name], value[tree, name] = nodes["cut"].fill_null(0.0).to_numpy(), nodes["value"].fill_null(0.0).to_numpy()
-    trees = np.arange(shape[0])
-    out = []
-    for low in range(0, len(x), BLOCK):
-        part = x[low : low + BLOCK]
-        at = np.ones((len(part), shape[0]), int)
-        while True:
-            by = feature[trees, at]
-            inner = by >= 0
-            if not inner.any():
-                break
-            goes_left = part[np.arange(len(part))[:, None], by] < cut[trees, at]  # not for NaN
-            at = np.where(inner, np.where(goes_left, left[trees, at], right[trees, at]), at)
-        out.append(value[trees, at].sum(axis=1))
-    return np.concatenate(out) if out else np.empty(0)
+    first, depth, feature, cut, child, value = _linked(nodes)
+    if feature.max() >= x.shape[1]:
+        raise IndexError(f"feature {feature.max()} of {x.shape[1]} inputs")
+    feature = np.maximum(feature, 0)
+    out, step = np.empty(len(x)), max(1, PAIRS // len(first))
+    for low in range(0, len(x), step):
+        part = x[low : low + step]
+        row = np.arange(len(part))[:, None] * x.shape[1]
+        at = np.broadcast_to(first, (len(part), len(first)))
+        for _ in range(depth):
+            goes_left = part.take(feature.take(at) + row) < cut.take(at)  # not for NaN
+            at = child.take(2 * at + goes_left)
+        out[low : low + step] = value.take(at).sum(axis=1)
+    return out
 
 
 def predict(rows: DataFrame, trees: DataFrame, keys: list[str], inputs: Sequence[str], name: str = "prediction") -> DataFrame:
-    """``rows`` of the keys that have an ensemble, with ``name``. Rows and trees of a key meet in one group."""
+    """``rows`` of the keys that have an ensemble, with ``name``.
+
+    Rows are stored first, so that their numbers hold; ``trees`` is read twice, to count and to score, and should be stored.
+    """
+    numbered = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "scored-rows")
+    own, places = [f"_key_{i}" for i in range(len(keys))], [f"_x_{i}" for i in range(len(inputs))]
+    named = [F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]
+    given = numbered.select(*named, "_row", *[F.col(c).cast("double").alias(p) for c, p in zip(inputs, places, strict=True)])
+    nodes = trees.select(*named, *NODE_COLUMNS)
+
+    def parts(table: DataFrame, most: int, part: str) -> DataFrame:
+        return table.groupBy(*own).agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias(part))
+
+    def by_key(table: DataFrame, other: DataFrame) -> DataFrame:
+        """Keys that are null agree."""
+        there = other.withColumnsRenamed({o: f"{o}_" for o in own})
+        same = [F.col(o).eqNullSafe(F.col(f"{o}_")) for o in own]
+        return table.join(there, reduce(and_, same)).drop(*[f"{o}_" for o in own])
+
+    def dealt(table: DataFrame, by: str, part: str, other: str) -> DataFrame:
+        """A part for each row of ``table``, and a copy for each part of the other side."""
+        held = by_key(table, sizes).withColumn(part, F.pmod(F.xxhash64(by), part).cast("int"))
+        return held.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).groupBy(*own, "_rows", "_trees")
+
+    sizes = stored(by_key(parts(given, PART_ROWS, "_rows"), parts(nodes, PART_NODES, "_trees")), "score-parts")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = left.select(["_row", "_trees"])
         if not (left.num_rows and right.num_rows):
-            return left.slice(0, 0).append_column(name, pa.array([], pa.float64()))
-        x = np.column_stack([left[c].cast(pa.float64()).to_numpy(zero_copy_only=False) for c in inputs])
-        return left.append_column(name, pa.array(_walk(x, right)))
-
-    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.DoubleType())])
-    return rows.groupBy(*keys).cogroup(trees.groupBy(*keys)).applyInArrow(score, schema)
+            return found.slice(0, 0).append_column("_sum", pa.array([], pa.float64()))
+        x = np.column_stack([left[p].to_numpy() for p in places])
+        return found.append_column("_sum", pa.array(_walk(x, right)))
+
+    met = dealt(given, "_row", "_rows", "_trees").cogroup(dealt(nodes, "tree", "_trees", "_rows"))
+    sums = met.applyInArrow(score, "_row long, _trees int, _sum double").groupBy("_row")
+    # in the order of the parts, so that reruns add the same numbers in the same order
+    ordered = sums.agg(F.array_sort(F.collect_list(F.struct("_trees", "_sum"))).alias("_sums"))
+    total = F.aggregate("_sums", F.lit(0.0), lambda so_far, part: so_far + part["_sum"])
+    return numbered.join(ordered.select("_row", total.alias(name)), "_row").drop("_row")
